@@ -180,3 +180,173 @@ def q_vector_norms(spark, sf):
     unit = V.normalize("a")
     return p.select("vec_id", r6(V.dot("a", "b")).alias("dot"), r6(V.l2_norm("a")).alias("norm"),
                     r6(F.aggregate(unit, F.lit(0.0), lambda acc, x: acc + x)).alias("unit_sum"))
+
+
+# =========================================================================== parsing, normalising, statuses
+
+from semjoin.operators import embed as EMB  # noqa: E402
+from semjoin.operators import news as N  # noqa: E402
+
+
+def hash_sql(name: str, src: str, id_col: str, text_col: str, dim: int = FX_DIM) -> str:
+    """Sparse hashed bag-of-tokens vectors in SQL: ``{name}_vec(id, bucket, v FLOAT)``."""
+    return f""",
+{name}_tok AS (SELECT {id_col} AS id, lower(unnest(regexp_extract_all({text_col}, '{EMB.TOKEN_PATTERN}'))) AS tok
+               FROM {src}),
+{name}_cnt AS (SELECT id, CAST(('0x' || substr(md5(tok), 1, {EMB.HASH_HEX_CHARS})) AS BIGINT) % {dim} AS bucket,
+                      count(*) AS c FROM {name}_tok GROUP BY 1, 2),
+{name}_vec AS (SELECT id, bucket, CAST(c / sqrt(sum(c * c) OVER (PARTITION BY id)) AS FLOAT) AS v FROM {name}_cnt)"""
+
+
+def _embedder():
+    return EMB.HashEmbedder(FX_DIM)
+
+
+def _parsed(spark, sf):
+    return N.normalize_news(N.parse_news(X.fx_raw(spark, sf)))
+
+
+_SQL_RAW_STATUS = f""",
+raw_st AS (
+  SELECT *, CASE WHEN headline IS NULL THEN 'no_text'
+                 WHEN len(regexp_extract_all(headline, '{EMB.TOKEN_PATTERN}')) = 0 THEN 'failed'
+                 ELSE 'success' END AS embedding_status
+  FROM fx_raw WHERE NOT bad),
+raw_db AS (
+  SELECT *, CASE WHEN source IS NULL OR published_date IS NULL OR published_time IS NULL OR headline IS NULL
+                   THEN 'failed_missing_fields'
+                 WHEN embedding_status <> 'success' THEN 'failed_no_embedding'
+                 WHEN NOT regexp_full_match(published_date, '\\d{{4}}-\\d{{2}}-\\d{{2}}')
+                      OR TRY_CAST(published_date AS DATE) IS NULL THEN 'failed: bad date'
+                 ELSE 'saved' END AS db_status
+  FROM raw_st)"""
+
+
+@query("parse_news", with_ctes("fx_raw") + """
+SELECT msg_id, CASE k WHEN 2 THEN 'date,headline,news,source,time'
+                      WHEN 3 THEN 'date,news,time'
+                      WHEN 4 THEN 'headline,published_date,published_time,source,tags'
+                      ELSE 'date,news,source,time' END AS keys
+FROM fx_raw WHERE NOT bad""")
+def q_parse_news(spark, sf):
+    p = N.parse_news(X.fx_raw(spark, sf))
+    return p.select("msg_id", F.array_join(F.array_sort(F.map_keys("record")), ",").alias("keys"))
+
+
+@query("bad_records", with_ctes("fx_raw") + """
+SELECT msg_id, CASE WHEN k = 0 THEN concat('not json ', CAST(msg_id AS VARCHAR)) ELSE '[1,2]' END AS value
+FROM fx_raw WHERE bad""")
+def q_bad_records(spark, sf):
+    return N.bad_records(X.fx_raw(spark, sf)).select("msg_id", "value")
+
+
+@query("headline_fallback", with_ctes("fx_raw") + "SELECT msg_id, headline FROM fx_raw WHERE NOT bad")
+def q_headline_fallback(spark, sf):
+    return _parsed(spark, sf).select("msg_id", "headline")
+
+
+@query("normalize_news", with_ctes("fx_raw") + """
+SELECT msg_id, source, published_date, published_time, headline FROM fx_raw WHERE NOT bad""")
+def q_normalize_news(spark, sf):
+    return _parsed(spark, sf).select("msg_id", "source", "published_date", "published_time", "headline")
+
+
+@query("typed_datetime", with_ctes("fx_raw") + """
+SELECT msg_id, CASE WHEN regexp_full_match(published_date, '\\d{4}-\\d{2}-\\d{2}')
+                    THEN TRY_CAST(published_date AS DATE) END AS pub_date,
+       coalesce(regexp_full_match(published_time, '([01]\\d|2[0-3]):[0-5]\\d:[0-5]\\d(\\.\\d{1,6})?'), false)
+         AS time_valid
+FROM fx_raw WHERE NOT bad""")
+def q_typed_datetime(spark, sf):
+    return N.typed_datetime(_parsed(spark, sf)).select("msg_id", "pub_date", "time_valid")
+
+
+@query("required_fields", with_ctes("fx_raw") + """
+SELECT msg_id FROM fx_raw
+WHERE NOT bad AND source IS NOT NULL AND published_date IS NOT NULL AND published_time IS NOT NULL
+  AND headline IS NOT NULL""")
+def q_required_fields(spark, sf):
+    return _parsed(spark, sf).where(N.required_present()).select("msg_id")
+
+
+@query("embedding_status", with_ctes("fx_raw") + _SQL_RAW_STATUS + f"""
+SELECT msg_id, embedding_status, CASE WHEN embedding_status = 'success' THEN {FX_DIM} END AS embedding_dim
+FROM raw_st""")
+def q_embedding_status(spark, sf):
+    return N.embed_news(_parsed(spark, sf), _embedder()).select("msg_id", "embedding_status", "embedding_dim")
+
+
+@query("store_status", with_ctes("fx_raw") + _SQL_RAW_STATUS + """
+SELECT msg_id, embedding_status, db_status FROM raw_db""")
+def q_store_status(spark, sf):
+    s = N.store_status(N.embed_news(_parsed(spark, sf), _embedder()))
+    return s.select("msg_id", "embedding_status", "db_status")
+
+
+@query("status_counts", with_ctes("fx_raw") + _SQL_RAW_STATUS + """
+SELECT embedding_status, db_status, count(*) AS n FROM raw_db GROUP BY 1, 2""")
+def q_status_counts(spark, sf):
+    s = N.store_status(N.embed_news(_parsed(spark, sf), _embedder()))
+    return s.groupBy("embedding_status", "db_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("embedding_dim", """
+SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN len(embedding) - 1 ELSE len(embedding) END AS embedding_dim
+FROM embeddings""")
+def q_embedding_dim(spark, sf):
+    e = X.table(spark, sf, "embeddings")
+    cut = F.when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, FX_DIM - 1)).otherwise(F.col("embedding"))
+    return e.select("vec_id", F.size(cut).alias("embedding_dim"))
+
+
+@query("vector_dim_check", f"""
+SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 'rejected' ELSE 'ok' END AS status
+FROM embeddings""")
+def q_vector_dim_check(spark, sf):
+    from semjoin.functions.vectors import text_to_vector, vector_to_text
+    e = X.table(spark, sf, "embeddings")
+    cut = F.when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, FX_DIM - 1)).otherwise(F.col("embedding"))
+    back = text_to_vector(vector_to_text(cut), FX_DIM)
+    return e.select("vec_id", F.when(back.isNull(), "rejected").otherwise("ok").alias("status"))
+
+
+@query("vector_text_roundtrip", """
+SELECT vec_id, round(list_sum(CAST(embedding AS DOUBLE[])), 5) AS total, len(embedding) AS dim FROM embeddings""")
+def q_vector_text_roundtrip(spark, sf):
+    from semjoin.functions.vectors import text_to_vector, vector_to_text
+    e = X.table(spark, sf, "embeddings")
+    back = text_to_vector(vector_to_text("embedding"), FX_DIM)
+    return e.select("vec_id", F.round(F.aggregate(back, F.lit(0.0), lambda a, x: a + x.cast("double")), 5)
+                    .alias("total"), F.size(back).alias("dim"))
+
+
+@query("text_preview", """
+SELECT doc_id, CASE WHEN length(text) > 50 THEN concat(substring(text, 1, 50), '...') ELSE text END AS preview
+FROM documents""")
+def q_text_preview(spark, sf):
+    from semjoin.functions.text import text_preview
+    return X.table(spark, sf, "documents").select("doc_id", text_preview("text").alias("preview"))
+
+
+@query("embed_hash", "WITH d AS (SELECT doc_id, text FROM documents)" + hash_sql("h", "d", "doc_id", "text") + f""",
+agg AS (SELECT id, count(*) AS n_buckets, sum(CAST(v AS DOUBLE)) AS l1, sum(bucket * CAST(v AS DOUBLE)) AS weighted
+             FROM h_vec GROUP BY id)
+SELECT d.doc_id, len(regexp_extract_all(d.text, '{EMB.TOKEN_PATTERN}')) AS n_tokens,
+       a.n_buckets, round(a.l1, 6) AS l1, round(a.weighted, 6) AS weighted
+FROM d LEFT JOIN agg a ON a.id = d.doc_id""")
+def q_embed_hash(spark, sf):
+    d = X.table(spark, sf, "documents").select("doc_id", "text")
+    v = _embedder()(F.col("text"))
+    e = d.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(EMB.TOKEN_PATTERN), 0)).alias("n_tokens"),
+                 v.alias("v"))
+    w = F.zip_with(F.sequence(F.lit(0), F.lit(FX_DIM - 1)), F.col("v"), lambda i, x: i * x.cast("double"))
+    return e.select("doc_id", "n_tokens",
+                    F.when(F.col("v").isNotNull(), F.size(F.filter("v", lambda x: x > 0))).cast("long").alias("n_buckets"),
+                    F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("l1"),
+                    F.round(F.aggregate(w, F.lit(0.0), lambda a, x: a + x), 6).alias("weighted"))
+
+
+@query("embed_batches")
+def q_embed_batches(spark, sf):
+    d = X.table(spark, sf, "documents").select("doc_id", "text")
+    return EMB.embed_batches(d, "text", "doc_id", _embedder())
