@@ -65,14 +65,46 @@ def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market feed rows: 50 slugs so a run sees each slug several times (last wins)."""
+    """Market feed rows: 50 recurring slugs (last wins), new slugs, empty slugs, null questions and flags."""
     b = base(spark, sf_dir)
-    return b.select(F.col("vec_id").alias("pos"),
-                    F.concat(F.lit("market-"), ((F.col("vec_id") % 50) * 10).cast("string")).alias("market_slug"),
-                    F.when(F.col("vec_id") % 13 == 0, F.lit(None).cast("string"))
+    vid = F.col("vec_id")
+    slug = (F.when(vid % 17 == 0, F.lit(""))
+            .when(vid % 4 == 3, F.concat(F.lit("new-"), (vid % 50).cast("string")))
+            .otherwise(F.concat(F.lit("market-"), ((vid % 50) * 10).cast("string"))))
+    return b.select(vid.alias("pos"), slug.alias("market_slug"), (vid % 3 == 0).alias("slug_key"),
+                    F.when(vid % 13 == 0, F.lit(None).cast("string"))
                      .otherwise(F.substring("text", 1, 120)).alias("question"),
                     F.when(F.col("label") == 9, F.lit(True)).when(F.col("label") == 0, F.lit(None).cast("boolean"))
-                     .otherwise(F.lit(False)).alias("closed"))
+                     .otherwise(F.lit(False)).alias("closed"),
+                    (vid % 19 == 0).alias("null_flag"))
+
+
+FEED_SNAPSHOT_ROWS = 100
+FEED_LIMIT = 80
+
+
+def fx_feed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed snapshots of 100 rows as JSON documents: a bare array, ``{"data": [...]}`` or ``{"markets": [...]}``.
+
+    Each snapshot is one bounded group (100 rows), so building it never gathers
+    more than one snapshot in a task.
+    """
+    f = fx_feed(spark, sf_dir)
+    v = lambda c: F.col(c).cast("variant")
+    entries = F.map_from_arrays(
+        F.array(*[F.lit(k) for k in ("market_slug", "slug", "question", "closed", "is_resolved")]),
+        F.array(v("market_slug"), v("market_slug"), v("question"), v("closed"), F.parse_json(F.lit("null"))))
+    keep = F.map_filter(entries, lambda k, _x: (
+        ((k == "market_slug") & ~F.col("slug_key")) | ((k == "slug") & F.col("slug_key"))
+        | k.isin("question", "closed") | ((k == "is_resolved") & F.col("null_flag"))))
+    rows = f.select((F.col("pos") / FEED_SNAPSHOT_ROWS).cast("long").alias("snap"), "pos",
+                    to_json_text(keep).alias("j"))
+    docs = rows.groupBy("snap").agg(F.array_sort(F.collect_list(F.struct("pos", "j"))).alias("items"))
+    arr = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["j"]), ","), F.lit("]"))
+    value = (F.when(F.col("snap") % 3 == 0, arr)
+             .when(F.col("snap") % 3 == 1, F.concat(F.lit('{"data": '), arr, F.lit("}")))
+             .otherwise(F.concat(F.lit('{"markets": '), arr, F.lit("}"))))
+    return docs.select("snap", value.alias("value"))
 
 
 def fx_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,10 +180,18 @@ fx_news AS (
 
 SQL_FEED = """
 fx_feed AS (
-  SELECT vec_id AS pos, concat('market-', CAST((vec_id % 50) * 10 AS VARCHAR)) AS market_slug,
+  SELECT vec_id AS pos,
+         CASE WHEN vec_id % 17 = 0 THEN '' WHEN vec_id % 4 = 3 THEN concat('new-', CAST(vec_id % 50 AS VARCHAR))
+              ELSE concat('market-', CAST((vec_id % 50) * 10 AS VARCHAR)) END AS market_slug,
+         vec_id % 3 = 0 AS slug_key,
          CASE WHEN vec_id % 13 = 0 THEN NULL ELSE substring(text, 1, 120) END AS question,
-         CASE WHEN label = 9 THEN TRUE WHEN label = 0 THEN NULL ELSE FALSE END AS closed
-  FROM base)"""
+         CASE WHEN label = 9 THEN TRUE WHEN label = 0 THEN NULL ELSE FALSE END AS closed,
+         vec_id % 19 = 0 AS null_flag
+  FROM base),
+fx_feed_rows AS (
+  SELECT pos, pos // 100 AS snap, pos % 100 AS idx, nullif(market_slug, '') AS slug, nullif(question, '') AS question,
+         CASE WHEN closed THEN TRUE WHEN null_flag THEN NULL ELSE FALSE END AS is_resolved
+  FROM fx_feed WHERE pos % 100 < 80)"""
 
 SQL_ARRIVALS = """
 fx_arrivals AS (

@@ -350,3 +350,121 @@ def q_embed_hash(spark, sf):
 def q_embed_batches(spark, sf):
     d = X.table(spark, sf, "documents").select("doc_id", "text")
     return EMB.embed_batches(d, "text", "doc_id", _embedder())
+
+
+# =========================================================================== catalogue
+
+import datetime as _dt  # noqa: E402
+
+from semjoin.operators import catalog as C  # noqa: E402
+from semjoin.session import shared_dir  # noqa: E402
+from semjoin.sources import feed as FEED  # noqa: E402
+
+FX_NOW = _dt.datetime(2024, 2, 1, 0, 0, 0)
+_SQL_NOW = "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+def _feed_docs(spark, sf):
+    """Land the feed snapshots as files in the shared folder and read them back."""
+    path = shared_dir(spark, "feed")
+    FEED.write_feed(X.fx_feed_docs(spark, sf), path)
+    return FEED.read_feed(spark, path)
+
+
+def _staged(spark, sf):
+    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
+    return C.ingest_status(rows, _embedder())
+
+
+_ORDER = ["snap", "pos"]
+
+
+@query("market_feed", with_ctes("fx_feed") + """
+SELECT snap, idx AS pos, slug, question, is_resolved FROM fx_feed_rows""")
+def q_market_feed(spark, sf):
+    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
+    return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"),
+                       "slug", "question", "is_resolved")
+
+
+@query("market_feed_valid", with_ctes("fx_feed") + """
+SELECT snap, idx AS pos, slug FROM fx_feed_rows WHERE slug IS NOT NULL AND question IS NOT NULL""")
+def q_market_feed_valid(spark, sf):
+    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT)).where(C.feed_valid())
+    return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"), "slug")
+
+
+@query("market_normalize", with_ctes("fx_feed") + f"""
+SELECT snap, idx AS pos, slug, is_resolved, '{C.DEFAULT_SOURCE_TAG}' AS source FROM fx_feed_rows""")
+def q_market_normalize(spark, sf):
+    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
+    return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"),
+                       "slug", "is_resolved", "source")
+
+
+_SQL_STAGED = f""",
+staged AS (
+  SELECT r.*, snap * 100 + idx AS ord,
+         CASE WHEN slug IS NULL OR question IS NULL THEN 'invalid'
+              WHEN len(regexp_extract_all(question, '{EMB.TOKEN_PATTERN}')) = 0 THEN 'no_embedding'
+              ELSE 'ok' END AS status
+  FROM fx_feed_rows r),
+last AS (
+  SELECT slug, question, is_resolved, first_ord FROM (
+    SELECT slug, question, is_resolved, min(ord) OVER (PARTITION BY slug) AS first_ord,
+           row_number() OVER (PARTITION BY slug ORDER BY ord DESC) AS rn
+    FROM staged WHERE status = 'ok') WHERE rn = 1),
+cur AS (SELECT id, source, slug, question, is_resolved, created_at, updated_at FROM fx_markets),
+upserted AS (
+  SELECT c.id, c.source, c.slug, coalesce(l.question, c.question) AS question,
+         CASE WHEN l.slug IS NOT NULL THEN l.is_resolved ELSE c.is_resolved END AS is_resolved,
+         c.created_at, CASE WHEN l.slug IS NOT NULL THEN {_SQL_NOW} ELSE c.updated_at END AS updated_at
+  FROM cur c LEFT JOIN last l ON l.slug = c.slug
+  UNION ALL
+  SELECT (SELECT max(id) FROM cur) + row_number() OVER (ORDER BY l.first_ord) AS id, '{C.DEFAULT_SOURCE_TAG}',
+         l.slug, l.question, l.is_resolved, {_SQL_NOW}, {_SQL_NOW}
+  FROM last l WHERE l.slug NOT IN (SELECT slug FROM cur))"""
+
+
+@query("ingest_counters", with_ctes("fx_feed") + _SQL_STAGED + """
+SELECT count(*) FILTER (WHERE status = 'ok') AS success_count,
+       count(*) FILTER (WHERE status <> 'ok') AS error_count FROM staged""")
+def q_ingest_counters(spark, sf):
+    return C.ingest_counters(_staged(spark, sf))
+
+
+def _upserted(spark, sf):
+    return C.upsert_markets(X.fx_market_rows(spark, sf), _staged(spark, sf), FX_NOW, _ORDER)
+
+
+@query("upsert_markets", with_ctes("fx_markets", "fx_feed") + _SQL_STAGED + " SELECT * FROM upserted")
+def q_upsert_markets(spark, sf):
+    return _upserted(spark, sf).select(*C.MARKET_COLUMNS)
+
+
+@query("upsert_market_embeddings", with_ctes("fx_markets", "fx_feed") + _SQL_STAGED + """,
+fresh AS (SELECT u.id AS market_id, l.question FROM last l JOIN upserted u ON u.slug = l.slug)"""
+       + hash_sql("fq", "fresh", "market_id", "question") + f""",
+fresh_sum AS (SELECT id AS market_id, sum(CAST(v AS DOUBLE)) AS l1, count(*) AS nb FROM fq_vec GROUP BY id)
+SELECT coalesce(f.market_id, c.id) AS id, coalesce(f.market_id, c.id) AS market_id,
+       CASE WHEN f.market_id IS NOT NULL THEN {FX_DIM} ELSE len(c.embedding) END AS dim,
+       round(CASE WHEN f.market_id IS NOT NULL THEN s.l1 ELSE list_sum(c.embedding) END, 5) AS l1,
+       CASE WHEN f.market_id IS NOT NULL THEN {_SQL_NOW} ELSE c.created_at END AS created_at
+FROM fx_markets c FULL OUTER JOIN fresh f ON f.market_id = c.id
+LEFT JOIN fresh_sum s ON s.market_id = f.market_id""")
+def q_upsert_market_embeddings(spark, sf):
+    staged = _staged(spark, sf)
+    markets = C.upsert_markets(X.fx_market_rows(spark, sf), staged, FX_NOW, _ORDER)
+    vecs = C.upsert_market_embeddings(X.fx_market_embeddings(spark, sf), markets, staged, FX_NOW, _ORDER)
+    return vecs.select("id", "market_id", F.size("embedding").alias("dim"),
+                       F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("l1"),
+                       "created_at")
+
+
+@query("upsert_idempotent", with_ctes("fx_markets", "fx_feed") + _SQL_STAGED + """
+SELECT id, source, slug, question, is_resolved FROM upserted""")
+def q_upsert_idempotent(spark, sf):
+    staged = _staged(spark, sf)
+    once = C.upsert_markets(X.fx_market_rows(spark, sf), staged, FX_NOW, _ORDER)
+    twice = C.upsert_markets(once, staged, FX_NOW + _dt.timedelta(hours=1), _ORDER)
+    return twice.select("id", "source", "slug", "question", "is_resolved")
