@@ -108,13 +108,22 @@ def fx_feed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrival log of the two topics, one row per event."""
+    """Arrival log of the two topics, one item per event; purchases are the processed (matched) items."""
     ev = table(spark, sf_dir, "events")
-    return ev.select(F.when(F.col("event_type") == "purchase", F.lit("processed_news"))
-                      .otherwise(F.lit("news_stream")).alias("topic"),
+    proc = F.col("event_type") == "purchase"
+    uid = F.col("user_id")
+    return ev.select(F.when(proc, F.lit("processed_news")).otherwise(F.lit("news_stream")).alias("topic"),
                      F.col("event_id").alias("arrival"),
+                     F.when(uid % 23 == 0, F.lit(None).cast("string"))
+                      .otherwise(F.concat(F.lit("Src"), (uid % 20).cast("string"))).alias("source"),
+                     F.col("ts").cast("date").cast("string").alias("date"),
                      F.substring(F.col("ts").cast("string"), 12, 8).alias("time"),
-                     "value", F.col("user_id"))
+                     F.concat(F.col("event_type"), F.lit(" "), F.col("props")).alias("news"),
+                     F.when(proc, F.concat(F.lit("market-"), ((uid % 50) * 10).cast("string"))).alias("matched_market"),
+                     F.when(proc, (uid % 50) * 10).cast("long").alias("matched_market_id"),
+                     F.when(proc, F.concat(F.lit("question "), (uid % 50).cast("string")))
+                      .alias("matched_market_question"),
+                     F.when(proc, F.col("value")).alias("match_score"))
 
 
 def fx_raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +205,17 @@ fx_feed_rows AS (
 SQL_ARRIVALS = """
 fx_arrivals AS (
   SELECT CASE WHEN event_type = 'purchase' THEN 'processed_news' ELSE 'news_stream' END AS topic,
-         event_id AS arrival, substring(CAST(ts AS VARCHAR), 12, 8) AS time, value, user_id
+         event_id AS arrival,
+         CASE WHEN user_id % 23 = 0 THEN NULL ELSE concat('Src', CAST(user_id % 20 AS VARCHAR)) END AS source,
+         CAST(CAST(ts AS DATE) AS VARCHAR) AS date,
+         substring(CAST(ts AS VARCHAR), 12, 8) AS time,
+         concat(event_type, ' ', props) AS news,
+         CASE WHEN event_type = 'purchase' THEN concat('market-', CAST((user_id % 50) * 10 AS VARCHAR)) END
+           AS matched_market,
+         CASE WHEN event_type = 'purchase' THEN CAST((user_id % 50) * 10 AS BIGINT) END AS matched_market_id,
+         CASE WHEN event_type = 'purchase' THEN concat('question ', CAST(user_id % 50 AS VARCHAR)) END
+           AS matched_market_question,
+         CASE WHEN event_type = 'purchase' THEN value END AS match_score
   FROM events)"""
 
 SQL_RAW = f"""

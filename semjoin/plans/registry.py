@@ -468,3 +468,154 @@ def q_upsert_idempotent(spark, sf):
     once = C.upsert_markets(X.fx_market_rows(spark, sf), staged, FX_NOW, _ORDER)
     twice = C.upsert_markets(once, staged, FX_NOW + _dt.timedelta(hours=1), _ORDER)
     return twice.select("id", "source", "slug", "question", "is_resolved")
+
+
+# =========================================================================== serving
+
+from semjoin.operators import serving as SV  # noqa: E402
+
+
+def _iso_sql(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN epoch_us({c}) % 1000000 = 0 "
+            f"THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+_SQL_MK_LIST = f"id, source, slug, question, is_resolved, {_iso_sql('created_at')} AS created_at, " \
+               f"{_iso_sql('updated_at')} AS updated_at"
+
+
+@query("markets_list", with_ctes("fx_markets") + f"""
+SELECT {_SQL_MK_LIST} FROM fx_markets ORDER BY created_at DESC, id LIMIT 100""")
+def q_markets_list(spark, sf):
+    return SV.markets_list(X.fx_market_rows(spark, sf), 100)
+
+
+@query("markets_by_resolved", with_ctes("fx_markets") + f"""
+SELECT {_SQL_MK_LIST} FROM fx_markets WHERE is_resolved = true ORDER BY created_at DESC, id LIMIT 1000""")
+def q_markets_by_resolved(spark, sf):
+    return SV.markets_list(X.fx_market_rows(spark, sf), 1000, is_resolved=True)
+
+
+@query("markets_iso", with_ctes("fx_markets") + f""",
+m AS (SELECT id, CASE WHEN id % 2 = 0 THEN date_trunc('second', created_at) ELSE created_at END AS created_at,
+             updated_at FROM fx_markets)
+SELECT id, {_iso_sql('created_at')} AS created_at, {_iso_sql('updated_at')} AS updated_at FROM m""")
+def q_markets_iso(spark, sf):
+    m = X.fx_market_rows(spark, sf)
+    m = m.withColumn("created_at", F.when(F.col("id") % 2 == 0, F.date_trunc("second", "created_at"))
+                     .otherwise(F.col("created_at")).cast("timestamp_ntz"))
+    return SV.markets_iso(m.select("id", "created_at", "updated_at"))
+
+
+_SQL_BUF = """,
+buf AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY arrival DESC) AS rn FROM fx_arrivals) WHERE rn <= 1000)"""
+
+
+@query("recent_by_topic", with_ctes("fx_arrivals") + _SQL_BUF + " SELECT topic, arrival, time FROM buf")
+def q_recent_by_topic(spark, sf):
+    return SV.recent_by_topic(X.fx_arrivals(spark, sf)).select("topic", "arrival", "time")
+
+
+@query("recent_news", with_ctes("fx_arrivals") + _SQL_BUF + """
+SELECT arrival, time, source FROM buf WHERE topic = 'news_stream' ORDER BY arrival DESC LIMIT 100""")
+def q_recent_news(spark, sf):
+    return SV.recent(X.fx_arrivals(spark, sf), SV.NEWS_TOPIC, 100).select("arrival", "time", "source")
+
+
+@query("news_by_source", with_ctes("fx_arrivals") + _SQL_BUF + """
+SELECT arrival, source FROM buf WHERE topic = 'news_stream' AND lower(coalesce(source, '')) = lower('SRC3')""")
+def q_news_by_source(spark, sf):
+    return SV.news_by_source(X.fx_arrivals(spark, sf), "SRC3").select("arrival", "source")
+
+
+@query("api_news", with_ctes("fx_arrivals") + _SQL_BUF + """
+SELECT source, date, time, news FROM (
+  SELECT * FROM buf WHERE topic = 'news_stream' ORDER BY arrival DESC LIMIT 100)
+WHERE source IS NOT NULL AND date IS NOT NULL AND time IS NOT NULL AND news IS NOT NULL""")
+def q_api_news(spark, sf):
+    return SV.api_news(SV.recent(X.fx_arrivals(spark, sf), SV.NEWS_TOPIC, 100))
+
+
+@query("api_processed", with_ctes("fx_arrivals") + _SQL_BUF + """
+SELECT source, date, time, news, matched_market, matched_market_id, matched_market_question, match_score FROM (
+  SELECT * FROM buf WHERE topic = 'processed_news' ORDER BY arrival DESC LIMIT 100)
+WHERE source IS NOT NULL AND date IS NOT NULL AND time IS NOT NULL AND news IS NOT NULL""")
+def q_api_processed(spark, sf):
+    return SV.api_processed(SV.recent(X.fx_arrivals(spark, sf), SV.PROCESSED_TOPIC, 100))
+
+
+def _stat_markets(spark, sf):
+    m = X.fx_market_rows(spark, sf).withColumn(
+        "is_resolved", F.when(F.col("id") % 7 == 0, F.lit(None).cast("boolean")).otherwise(F.col("is_resolved")))
+    v = X.fx_market_embeddings(spark, sf).where(F.col("market_id") % 3 != 0)
+    return m, v
+
+
+_SQL_MSTATS = """,
+ms AS (
+  SELECT count(*) AS total_markets,
+         count(*) FILTER (WHERE is_resolved = false) AS active_markets,
+         count(*) FILTER (WHERE is_resolved = true) AS resolved_markets,
+         count(DISTINCT me.market_id) AS markets_with_embeddings
+  FROM (SELECT id, CASE WHEN id % 7 = 0 THEN NULL ELSE is_resolved END AS is_resolved FROM fx_markets) m
+  LEFT JOIN (SELECT id AS market_id FROM fx_markets WHERE id % 3 <> 0) me ON m.id = me.market_id)"""
+
+_SQL_BSTATS = """,
+bs AS (
+  SELECT least(count(*) FILTER (WHERE topic = 'news_stream'), 3000) AS total_news,
+         least(count(*) FILTER (WHERE topic = 'processed_news'), 3000) AS total_processed,
+         arg_max(time, arrival) FILTER (WHERE topic = 'news_stream') AS latest_news_time,
+         arg_max(time, arrival) FILTER (WHERE topic = 'processed_news') AS latest_processed_time
+  FROM fx_arrivals),
+bs2 AS (SELECT total_news, total_processed,
+               coalesce(round(100.0 * total_processed / nullif(total_news, 0), 2), 0.0) AS processing_rate,
+               latest_news_time, latest_processed_time FROM bs)"""
+
+
+@query("market_stats", with_ctes("fx_markets") + _SQL_MSTATS + " SELECT * FROM ms")
+def q_market_stats(spark, sf):
+    return SV.market_stats(*_stat_markets(spark, sf))
+
+
+@query("buffer_stats", with_ctes("fx_arrivals") + _SQL_BSTATS + " SELECT * FROM bs2")
+def q_buffer_stats(spark, sf):
+    return SV.buffer_stats(X.fx_arrivals(spark, sf), cap=3000)
+
+
+@query("combined_stats", with_ctes("fx_markets", "fx_arrivals") + _SQL_MSTATS + _SQL_BSTATS + """
+SELECT bs2.*, ms.total_markets AS markets_total_markets, ms.active_markets AS markets_active_markets,
+       ms.resolved_markets AS markets_resolved_markets, ms.markets_with_embeddings AS markets_markets_with_embeddings
+FROM bs2, ms""")
+def q_combined_stats(spark, sf):
+    s = SV.combined_stats(X.fx_arrivals(spark, sf), *_stat_markets(spark, sf), cap=3000)
+    return s.select("total_news", "total_processed", "processing_rate", "latest_news_time", "latest_processed_time",
+                    *[F.col(f"markets.{c}").alias(f"markets_{c}") for c in
+                      ("total_markets", "active_markets", "resolved_markets", "markets_with_embeddings")])
+
+
+@query("table_audit", with_ctes("fx_markets", "fx_news") + """
+SELECT 'news' AS table_name, count(*) AS n FROM fx_news
+UNION ALL SELECT 'news_embeddings', count(*) FROM fx_news WHERE embedding IS NOT NULL
+UNION ALL SELECT 'markets', count(*) FROM fx_markets
+UNION ALL SELECT 'market_embeddings', count(*) FROM fx_markets WHERE embedding IS NOT NULL""")
+def q_table_audit(spark, sf):
+    news = X.fx_news(spark, sf)
+    mk = X.fx_markets(spark, sf)
+    return SV.table_audit({"news": news.drop("embedding"),
+                           "news_embeddings": news.select("news_id", "embedding").where(F.col("embedding").isNotNull()),
+                           "markets": mk.drop("embedding"),
+                           "market_embeddings": X.fx_market_embeddings(spark, sf).where(F.col("embedding").isNotNull())})
+
+
+@query("delta_feed", with_ctes("fx_arrivals") + """,
+since AS (SELECT topic, CASE WHEN topic = 'news_stream' THEN max(arrival) - 100 ELSE max(arrival) END AS last_arrival
+          FROM fx_arrivals GROUP BY topic)
+SELECT topic, arrival, time FROM (
+  SELECT a.*, row_number() OVER (PARTITION BY a.topic ORDER BY a.arrival DESC) AS rn
+  FROM fx_arrivals a JOIN since s ON s.topic = a.topic WHERE a.arrival > s.last_arrival) WHERE rn <= 10""")
+def q_delta_feed(spark, sf):
+    arr = X.fx_arrivals(spark, sf)
+    since = arr.groupBy("topic").agg(
+        F.when(F.col("topic") == SV.NEWS_TOPIC, F.max("arrival") - 100).otherwise(F.max("arrival")).alias("last_arrival"))
+    return SV.delta_feed(arr, since).select("topic", "arrival", "time")
