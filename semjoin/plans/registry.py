@@ -619,3 +619,141 @@ def q_delta_feed(spark, sf):
     since = arr.groupBy("topic").agg(
         F.when(F.col("topic") == SV.NEWS_TOPIC, F.max("arrival") - 100).otherwise(F.max("arrival")).alias("last_arrival"))
     return SV.delta_feed(arr, since).select("topic", "arrival", "time")
+
+
+# =========================================================================== store, integrity, publish, stream
+
+from semjoin.operators import publish as PUB  # noqa: E402
+from semjoin.operators import store as ST  # noqa: E402
+from semjoin.sources import streams as SRC  # noqa: E402
+from semjoin.streaming import news_job as JOB  # noqa: E402
+
+
+def _hash_catalogue(spark, sf):
+    """Open markets with their questions embedded by the same embedder as the news (the ingest path)."""
+    m = M.active_markets(X.fx_market_rows(spark, sf))
+    return m.select("id", "slug", "question", _embedder()(F.col("question")).alias("embedding"))
+
+
+def _processed_raw(spark, sf):
+    p = N.process(X.fx_raw(spark, sf), _embedder(), _hash_catalogue(spark, sf), dim=FX_DIM,
+                  threshold=FX_THRESHOLD, key="msg_id")
+    return ST.with_news_id(p, key="msg_id")
+
+
+_SQL_RAW_MATCH = _SQL_RAW_STATUS + """,
+rcat AS (SELECT id, slug, question FROM fx_markets WHERE is_resolved = false)""" + \
+    hash_sql("ch", "rcat", "id", "question") + hash_sql("nh", "raw_st", "msg_id", "headline") + f""",
+dots AS (SELECT n.id AS msg_id, c.id AS market_id, sum(CAST(n.v AS DOUBLE) * CAST(c.v AS DOUBLE)) AS d
+         FROM nh_vec n JOIN ch_vec c ON n.bucket = c.bucket GROUP BY 1, 2),
+nn AS (SELECT id, sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS nrm FROM nh_vec GROUP BY id),
+cn AS (SELECT id, sqrt(sum(CAST(v AS DOUBLE) * CAST(v AS DOUBLE))) AS nrm FROM ch_vec GROUP BY id),
+rsims AS (SELECT d.msg_id, d.market_id, d.d / (a.nrm * b.nrm) AS sim
+          FROM dots d JOIN nn a ON a.id = d.msg_id JOIN cn b ON b.id = d.market_id),
+rtop AS (SELECT msg_id, market_id, sim FROM (
+           SELECT *, row_number() OVER (PARTITION BY msg_id ORDER BY round(sim, 12) DESC, market_id) AS rn
+           FROM rsims) WHERE rn = 1 AND sim >= {FX_THRESHOLD}),
+published AS (
+  SELECT r.source, r.headline, c.slug AS matched_market, round(t.sim, 6) AS match_score, r.embedding_status,
+         r.db_status, r.db_status = 'saved' AS has_news_id, CASE WHEN r.has_tags THEN 1 END AS tags_k
+  FROM raw_db r JOIN rtop t ON t.msg_id = r.msg_id JOIN rcat c ON c.id = t.market_id)"""
+
+_SQL_STORED = with_ctes("fx_raw") + _SQL_RAW_STATUS + """
+SELECT source, CAST(published_date AS DATE) AS published_date, published_time, headline FROM raw_db
+WHERE db_status = 'saved'"""
+
+_SQL_STORED_VEC = with_ctes("fx_raw") + _SQL_RAW_STATUS + """,
+saved AS (SELECT msg_id, headline FROM raw_db WHERE db_status = 'saved')""" + \
+    hash_sql("sh", "saved", "msg_id", "headline") + f""",
+sums AS (SELECT id, sum(CAST(v AS DOUBLE)) AS l1 FROM sh_vec GROUP BY id)
+SELECT s.headline, {FX_DIM} AS dim, round(u.l1, 5) AS l1 FROM saved s JOIN sums u ON u.id = s.msg_id"""
+
+
+def _read_stored(spark, root):
+    news = spark.read.parquet(f"{root}/news")
+    return news.select("source", "published_date", "published_time", "headline")
+
+
+def _read_stored_vectors(spark, root):
+    news = spark.read.parquet(f"{root}/news").select("id", "headline")
+    vec = spark.read.parquet(f"{root}/news_embeddings").select("news_id", "embedding")
+    j = vec.join(news, vec["news_id"] == news["id"])
+    return j.select("headline", F.size("embedding").alias("dim"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("l1"))
+
+
+def _read_published(spark, path):
+    from semjoin.functions.jsonio import parse_json_object
+    p = spark.read.parquet(path).select(parse_json_object(F.col("value")).alias("m"))
+
+    def s(k):
+        return F.try_variant_get(F.col("m")[k], "$", "string")
+    return p.select(s("source").alias("source"),
+                    F.coalesce(F.nullif(s("headline"), F.lit("")), s("news")).alias("headline"),
+                    s("matched_market").alias("matched_market"),
+                    F.round(F.try_variant_get(F.col("m")["match_score"], "$", "double"), 6).alias("match_score"),
+                    s("embedding_status").alias("embedding_status"), s("db_status").alias("db_status"),
+                    F.col("m")["news_id"].isNotNull().alias("has_news_id"),
+                    F.try_variant_get(F.col("m")["tags"], "$.k", "int").alias("tags_k"))
+
+
+def _store_batch(spark, sf):
+    root = shared_dir(spark, "store")
+    ST.append_news(_processed_raw(spark, sf), root, 0, FX_NOW)
+    return root
+
+
+@query("store_news", _SQL_STORED)
+def q_store_news(spark, sf):
+    return _read_stored(spark, _store_batch(spark, sf))
+
+
+@query("store_news_embeddings", _SQL_STORED_VEC)
+def q_store_news_embeddings(spark, sf):
+    return _read_stored_vectors(spark, _store_batch(spark, sf))
+
+
+@query("publish_payload", with_ctes("fx_markets", "fx_raw") + _SQL_RAW_MATCH + " SELECT * FROM published")
+def q_publish_payload(spark, sf):
+    path = shared_dir(spark, "published")
+    PUB.payloads(_processed_raw(spark, sf)).write.mode("overwrite").parquet(path)
+    return _read_published(spark, path)
+
+
+def _run_stream(spark, sf):
+    """Land the raw messages as 4 files and run the streaming job over them, one file per micro-batch."""
+    base_dir = shared_dir(spark, "stream")
+    inbox, out, ckpt = f"{base_dir}/inbox", f"{base_dir}/out", f"{base_dir}/checkpoint"
+    SRC.write_message_files(X.fx_raw(spark, sf).repartition(4, "msg_id").select("value"), inbox)
+    stream = SRC.read_message_files(spark, inbox, stream=True, max_files_per_trigger=1)
+    q = JOB.start(stream, out, ckpt, embedder=_embedder(), load_catalogue=lambda: _hash_catalogue(spark, sf),
+                  dim=FX_DIM, threshold=FX_THRESHOLD, now=lambda: FX_NOW)
+    q.awaitTermination()
+    return out
+
+
+@query("stream_ingest", _SQL_STORED)
+def q_stream_ingest(spark, sf):
+    return _read_stored(spark, _run_stream(spark, sf))
+
+
+@query("stream_match", with_ctes("fx_markets", "fx_raw") + _SQL_RAW_MATCH + " SELECT * FROM published")
+def q_stream_match(spark, sf):
+    return _read_published(spark, f"{_run_stream(spark, sf)}/published")
+
+
+def _deleted_markets(spark, sf):
+    return X.fx_market_rows(spark, sf).where(F.col("id") % 3 != 0)
+
+
+@query("orphan_embeddings", with_ctes("fx_markets") + """
+SELECT id AS market_id FROM fx_markets WHERE id % 3 = 0""")
+def q_orphan_embeddings(spark, sf):
+    return ST.orphans(X.fx_market_embeddings(spark, sf), _deleted_markets(spark, sf), "market_id").select("market_id")
+
+
+@query("cascade_delete", with_ctes("fx_markets") + """
+SELECT id AS market_id, len(embedding) AS dim FROM fx_markets WHERE id % 3 <> 0""")
+def q_cascade_delete(spark, sf):
+    kept = ST.cascade(X.fx_market_embeddings(spark, sf), _deleted_markets(spark, sf), "market_id")
+    return kept.select("market_id", F.size("embedding").alias("dim"))
