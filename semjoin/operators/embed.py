@@ -48,7 +48,9 @@ def _unit_counts_udf(dim: int):
         for i in np.nonzero(norms > 0)[0]:
             out[i] = (mat[i] / norms[i]).astype(np.float32)
         return pd.Series(out, dtype=object)
-    return unit_counts
+    # Marked non-deterministic only to stop Catalyst from inlining the call into
+    # pushed-down filters (which would evaluate it twice); the result is deterministic.
+    return unit_counts.asNondeterministic()
 
 
 class HashEmbedder:
@@ -95,7 +97,8 @@ class ModelEmbedder:
                             except Exception:  # noqa: BLE001
                                 out[i] = None
                 yield pd.Series(out, dtype=object)
-        self._udf = embed
+        # a model call can fail transiently: never duplicate or reorder it
+        self._udf = embed.asNondeterministic()
 
     def __call__(self, text: Column) -> Column:
         return self._udf(text)

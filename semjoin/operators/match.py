@@ -121,7 +121,9 @@ def _broadcast_udf(bc, dim: int):
             mid = pd.array(np.where(bi >= 0, ids[np.maximum(bi, 0)], 0), dtype="Int64")
             mid[bi < 0] = pd.NA
             yield pd.DataFrame({"market_id": mid, "similarity": np.where(bi >= 0, bs, np.nan)})
-    return nearest
+    # non-deterministic only for the optimizer: keeps filters above the matrix
+    # product instead of copying the call into them
+    return nearest.asNondeterministic()
 
 
 # --------------------------------------------------------------------------- catalogue preparation

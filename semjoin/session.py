@@ -18,6 +18,7 @@ def build_session(master: str | None = None, app: str = "semjoin",
          .master(master or f"local[{cpus}]")
          .appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
