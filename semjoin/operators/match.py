@@ -27,6 +27,7 @@ order cannot flip two equal candidates.
 from __future__ import annotations
 
 import math
+import uuid
 from typing import Iterator
 
 import numpy as np
@@ -99,15 +100,18 @@ _CATALOGUE_CACHE: dict = {}
 
 
 def _catalogue_from_broadcast(bc, dim: int):
-    """Normalised float64 catalogue, built once per Python worker per broadcast."""
-    key = (bc.id if hasattr(bc, "id") else id(bc), dim)
-    got = _CATALOGUE_CACHE.get(key)
+    """Normalised float64 catalogue, built once per Python worker per broadcast.
+
+    The cache is keyed by a token created with the broadcast (reused workers
+    serve many queries, so object identity is not a safe key).
+    """
+    token, ids, mat = bc.value
+    got = _CATALOGUE_CACHE.get(token)
     if got is None:
-        ids, mat = bc.value
         mat = mat.astype(np.float64)
         mat /= np.linalg.norm(mat, axis=1, keepdims=True)
         _CATALOGUE_CACHE.clear()
-        _CATALOGUE_CACHE[key] = got = (ids, mat)
+        _CATALOGUE_CACHE[token] = got = (ids, mat)
     return got
 
 
@@ -195,7 +199,7 @@ def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
     ids = tbl.column("id").to_numpy().astype(np.int64)
     flat = tbl.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     mat = np.asarray(flat, dtype=np.float32).reshape(len(ids), dim)
-    bc = left.sparkSession.sparkContext.broadcast((ids, mat))
+    bc = left.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ids, mat))
     udf = _broadcast_udf(bc, dim)
     m = udf(F.col(vector))
     return (left.withColumn("_m", m)
@@ -234,23 +238,26 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     salts and the catalogue rows into ``B = ceil(n_cat / block_rows)`` blocks;
     left rows are repeated over the B blocks and catalogue rows over the S
     salts, so every co-group holds at most about ``block_rows`` rows a side no
-    matter how hot a list is. The per-list plan has one row per list (bounded
-    by ``nlist``), which is what gets broadcast.
+    matter how hot a list is. The per-list sizes have one row per list
+    (bounded by ``nlist``); they are the only thing fetched to the driver.
     """
     nl = left_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_left"))
     nc = cat_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_cat"))
-    plan = (nl.join(nc, "list_id")
-              .select("list_id",
-                      F.greatest(F.lit(1), F.ceil(F.col("n_left") / block_rows)).cast("int").alias("S"),
-                      F.greatest(F.lit(1), F.ceil(F.col("n_cat") / block_rows)).cast("int").alias("B")))
-    plan = F.broadcast(plan)
-    ls = (left_kv.join(plan, "list_id")
-          .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("S")).cast("int"))
-          .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("B") - 1)))
+    # one row per list present on both sides: bounded by nlist, so it is fetched and
+    # shipped as two small map literals instead of being joined
+    sizes = nl.join(nc, "list_id").collect()
+    if not sizes:
+        return left_kv.sparkSession.createDataFrame([], _BLOCK_OUT)
+    s_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_left / block_rows)))])
+    b_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_cat / block_rows)))])
+    S, B = F.element_at(s_map, F.col("list_id")), F.element_at(b_map, F.col("list_id"))
+    ls = (left_kv.where(F.map_contains_key(s_map, F.col("list_id")))
+          .withColumn("salt", F.pmod(F.xxhash64("key"), S).cast("int"))
+          .withColumn("block", F.explode(F.sequence(F.lit(0), B - 1)))
           .select("list_id", "salt", "block", "key", "embedding"))
-    cs = (cat_kv.join(plan, "list_id")
-          .withColumn("block", F.pmod(F.xxhash64("id"), F.col("B")).cast("int"))
-          .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("S") - 1)))
+    cs = (cat_kv.where(F.map_contains_key(s_map, F.col("list_id")))
+          .withColumn("block", F.pmod(F.xxhash64("id"), B).cast("int"))
+          .withColumn("salt", F.explode(F.sequence(F.lit(0), S - 1)))
           .select("list_id", "salt", "block", "id", "embedding"))
     per_block = (ls.groupBy("list_id", "salt", "block")
                  .cogroup(cs.groupBy("list_id", "salt", "block"))

@@ -1,0 +1,70 @@
+"""Physical-plan assertions: the plans we want at scale, not just the right answers."""
+
+from pyspark.sql import functions as F
+
+from semjoin.operators import match as M
+from semjoin.operators import serving as SV
+from semjoin.plans import fixtures as X
+from semjoin.plans import registry as R
+
+from conftest import SMALL
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _news_and_catalogue(spark):
+    e = X.table(spark, SMALL, "embeddings")
+    news = e.where(F.col("vec_id") % 5 != 0).select(F.col("vec_id").alias("news_id"), "embedding")
+    cat = e.where(F.col("vec_id") % 5 == 0).select(F.col("vec_id").alias("id"), "embedding",
+                                                   F.concat(F.lit("m"), F.col("vec_id")).alias("slug"),
+                                                   F.lit("q").alias("question"))
+    return news, cat
+
+
+def test_broadcast_match_never_shuffles_news(spark):
+    news, cat = _news_and_catalogue(spark)
+    p = plan(M.nearest(news, cat, dim=X.FX_DIM))
+    assert "ArrowEvalPython" in p
+    assert "Exchange" not in p and "SortMergeJoin" not in p and "CartesianProduct" not in p
+    assert "BroadcastNestedLoopJoin" not in p
+
+
+def test_enrich_joins_by_broadcast(spark):
+    news, cat = _news_and_catalogue(spark)
+    p = plan(M.enrich(M.nearest(news, cat, dim=X.FX_DIM), cat))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert "Exchange hashpartitioning" not in p
+
+
+def test_blocked_match_uses_cogroup_not_cross_join(spark):
+    news, cat = _news_and_catalogue(spark)
+    p = plan(M.nearest(news, cat, dim=X.FX_DIM, strategy="blocked", block_rows=50))
+    assert "FlatMapCoGroupsInPandas" in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_buffers_limit_before_shuffle(spark):
+    df = SV.recent_by_topic(X.fx_arrivals(spark, SMALL))
+    p = df._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in p
+
+
+def test_listing_is_take_ordered(spark):
+    df = R.QUERIES["markets_list"](spark, SMALL)
+    assert "TakeOrderedAndProject" in df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_scans_are_pruned(spark):
+    p = plan(R.QUERIES["market_stats"](spark, SMALL))
+    # statistics never read vectors or texts
+    assert "ReadSchema: struct<vec_id:bigint,label:int>" in p or "embedding" not in p.split("ReadSchema")[1]
+    q = plan(R.QUERIES["text_preview"](spark, SMALL))
+    assert "struct<doc_id:bigint,text:string>" in q
+
+
+def test_no_single_partition_exchange_in_numbering(spark):
+    p = plan(R.QUERIES["upsert_markets"](spark, SMALL))
+    # the only global ordering is a range-partitioned sort of the new keys, never one task for all rows
+    assert "CartesianProduct" not in p
