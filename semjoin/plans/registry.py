@@ -757,3 +757,54 @@ SELECT id AS market_id, len(embedding) AS dim FROM fx_markets WHERE id % 3 <> 0"
 def q_cascade_delete(spark, sf):
     kept = ST.cascade(X.fx_market_embeddings(spark, sf), _deleted_markets(spark, sf), "market_id")
     return kept.select("market_id", F.size("embedding").alias("dim"))
+
+
+# =========================================================================== streaming catalogue refresh and delta push
+
+from semjoin.sources import tables as TB  # noqa: E402
+from semjoin.streaming import delta as DELTA  # noqa: E402
+from semjoin.streaming import ingest_job as INGEST  # noqa: E402
+
+
+@query("ingest_stream", with_ctes("fx_markets", "fx_feed") + _SQL_STAGED + " SELECT * FROM upserted")
+def q_ingest_stream(spark, sf):
+    """Feed snapshots landed as files, applied by the streaming refresh job onto version 0 of the tables."""
+    root = shared_dir(spark, "catalogue")
+    TB.write_version(X.fx_market_rows(spark, sf).select(*C.MARKET_COLUMNS), f"{root}/markets", 0)
+    TB.write_version(X.fx_market_embeddings(spark, sf).select(F.col("market_id").alias("id"), "market_id",
+                                                               "embedding", "created_at"),
+                     f"{root}/market_embeddings", 0)
+    inbox = f"{root}/inbox"
+    FEED.write_feed(X.fx_feed_docs(spark, sf), inbox)
+    stream = spark.readStream.schema("value string, snap long").option("wholetext", "true").text(inbox)
+    q = INGEST.start(stream, root, f"{root}/checkpoint", embedder=_embedder(), limit=X.FEED_LIMIT,
+                     now=lambda: FX_NOW)
+    q.awaitTermination()
+    return TB.read_latest(spark, f"{root}/markets").select(*C.MARKET_COLUMNS)
+
+
+DELTA_TICKS = 4
+
+
+@query("delta_stream", with_ctes("fx_arrivals") + f"""
+SELECT tick, topic, arrival FROM (
+  SELECT arrival % {DELTA_TICKS} AS tick, topic, arrival,
+         row_number() OVER (PARTITION BY arrival % {DELTA_TICKS}, topic ORDER BY arrival DESC) AS rn
+  FROM fx_arrivals) WHERE rn <= 10""")
+def q_delta_stream(spark, sf):
+    """Arrivals delivered in four ticks (one landed file each); every tick pushes its newest 10 per topic."""
+    root = shared_dir(spark, "delta")
+    arr = X.fx_arrivals(spark, sf).withColumn("tick", (F.col("arrival") % DELTA_TICKS).cast("long"))
+    msgs = arr.select("tick", F.to_json(F.struct("topic", "arrival", "time")).alias("value"))
+    msgs.repartition(DELTA_TICKS, "tick").write.partitionBy("tick").text(f"{root}/inbox")
+    stream = (spark.readStream.schema("value string, tick long").option("maxFilesPerTrigger", "1")
+              .text(f"{root}/inbox")
+              .select("tick", F.from_json("value", "topic string, arrival long, time string").alias("m"))
+              .select("tick", "m.*"))
+
+    def sink(df, batch_id):
+        df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
+          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/out")
+    q = DELTA.start(stream, sink, f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("tick", "topic", "arrival")
