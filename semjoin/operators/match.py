@@ -153,21 +153,22 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
             threshold: float | None = DEFAULT_THRESHOLD,
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
             nlist: int = 16, nprobe: int = 4, seed: int = 7,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+            block_rows: int = BLOCK_ROWS, n_rows: int | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
 
     ``threshold`` is inclusive and applied after top-1; ``None`` keeps every
     top-1. ``key`` must be unique in ``left`` for the ``blocked``/``ivf``
-    strategies (they join the result back on it).
+    strategies (they join the result back on it). ``n_rows`` is the usable
+    catalogue size when the caller already measured it (``catalogue_profile``).
     """
     cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
     if strategy == "auto":
-        n = cat.count()
+        n = cat.count() if n_rows is None else n_rows
         if n == 0:
             return _no_match(left)
         strategy = "broadcast" if catalogue_bytes(n, dim) <= max_broadcast_bytes else "blocked"
     if strategy == "broadcast":
-        out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes)
+        out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows)
     elif strategy == "blocked":
         out = _nearest_blocked(left, cat, dim, key, vector, block_rows)
     elif strategy == "ivf":
@@ -187,10 +188,10 @@ def _no_match(left: DataFrame) -> DataFrame:
 
 
 def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
-                       max_broadcast_bytes: int) -> DataFrame:
+                       max_broadcast_bytes: int, n_rows: int | None = None) -> DataFrame:
     # The size is checked before anything leaves the executors: a catalogue over
     # the budget is refused here and callers get the blocked strategy from "auto".
-    n = cat.count()
+    n = cat.count() if n_rows is None else n_rows
     if n == 0:
         return _no_match(left)
     if catalogue_bytes(n, dim) > max_broadcast_bytes:
@@ -337,18 +338,31 @@ def match_catalogue(markets: DataFrame, market_embeddings: DataFrame) -> DataFra
     return market_vectors(active_markets(markets), market_embeddings)
 
 
+def catalogue_profile(catalogue: DataFrame, dim: int, cat_vector: str = "embedding") -> tuple[int, int]:
+    """One aggregate over the catalogue: (rows with a usable vector, bytes of the columns ``enrich`` joins)."""
+    v = F.col(cat_vector)
+    usable = v.isNotNull() & vector_dim_ok(v, dim) & F.exists(v, lambda x: x != 0)
+    r = catalogue.agg(F.count_if(usable).alias("n"),
+                      F.coalesce(F.sum(F.octet_length("slug") + F.octet_length("question") + F.lit(32)),
+                                 F.lit(0)).alias("b")).first()
+    return int(r["n"]), int(r["b"])
+
+
 def enrich(matched: DataFrame, catalogue: DataFrame,
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, text_bytes: int | None = None) -> DataFrame:
     """Attach slug and question of the matched market (left join keeps unmatched rows).
 
     Only the three narrow catalogue columns take part. They are broadcast when
-    their measured size is under the budget (the left side is then never
-    shuffled); otherwise Spark's shuffled join is used.
+    their measured size (``text_bytes``, or measured here) is under the
+    budget, so the left side is never shuffled; otherwise Spark's shuffled
+    join is used.
     """
     m = catalogue.select(F.col("id").alias("matched_market_id"), F.col("slug").alias("matched_market"),
                          F.col("question").alias("matched_market_question"))
-    size = m.agg(F.coalesce(F.sum(F.octet_length("matched_market") + F.octet_length("matched_market_question")
-                                  + F.lit(32)), F.lit(0)).alias("b")).first()["b"]
-    if size <= max_broadcast_bytes:
+    if text_bytes is None:
+        text_bytes = m.agg(F.coalesce(F.sum(F.octet_length("matched_market")
+                                            + F.octet_length("matched_market_question") + F.lit(32)),
+                                      F.lit(0)).alias("b")).first()["b"]
+    if text_bytes <= max_broadcast_bytes:
         m = F.broadcast(m)
     return matched.join(m, "matched_market_id", "left")

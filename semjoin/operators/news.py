@@ -95,9 +95,14 @@ def store_status(df: DataFrame) -> DataFrame:
 
 def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, threshold: float,
             key: str = "msg_id", value_col: str = "value", **match_opts) -> DataFrame:
-    """parse -> normalise -> embed -> match -> enrich -> status, one DataFrame per batch."""
+    """parse -> normalise -> embed -> match -> enrich -> status, one DataFrame per batch.
+
+    ``catalogue`` (id, slug, question, embedding) is profiled once; callers
+    running several actions should persist it for the duration of the batch.
+    """
     from semjoin.operators import match as M
+    n, text_bytes = M.catalogue_profile(catalogue, dim)
     parsed = normalize_news(parse_news(raw, value_col))
     emb = embed_news(parsed, embedder)
-    matched = M.nearest(emb, catalogue, dim=dim, key=key, threshold=threshold, **match_opts)
-    return store_status(M.enrich(matched, catalogue))
+    matched = M.nearest(emb, catalogue, dim=dim, key=key, threshold=threshold, n_rows=n, **match_opts)
+    return store_status(M.enrich(matched, catalogue, text_bytes=text_bytes))

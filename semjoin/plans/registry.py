@@ -725,8 +725,11 @@ def _run_stream(spark, sf):
     base_dir = shared_dir(spark, "stream")
     inbox, out, ckpt = f"{base_dir}/inbox", f"{base_dir}/out", f"{base_dir}/checkpoint"
     SRC.write_message_files(X.fx_raw(spark, sf).repartition(4, "msg_id").select("value"), inbox)
+    # the catalogue as stored by the ingest (markets joined with their vectors), re-read by every batch
+    cat_path = f"{base_dir}/catalogue"
+    _hash_catalogue(spark, sf).write.parquet(cat_path)
     stream = SRC.read_message_files(spark, inbox, stream=True, max_files_per_trigger=1)
-    q = JOB.start(stream, out, ckpt, embedder=_embedder(), load_catalogue=lambda: _hash_catalogue(spark, sf),
+    q = JOB.start(stream, out, ckpt, embedder=_embedder(), load_catalogue=lambda: spark.read.parquet(cat_path),
                   dim=FX_DIM, threshold=FX_THRESHOLD, now=lambda: FX_NOW)
     q.awaitTermination()
     return out

@@ -27,10 +27,8 @@ def process_batch(batch: DataFrame, batch_id: int, *, embedder, catalogue: DataF
                   threshold: float, value_col: str = "value", **match_opts) -> DataFrame:
     """One batch through parse -> normalise -> embed -> match -> enrich -> status -> news_id."""
     keyed = S.number_batch(batch.select(value_col), batch_id)
-    parsed = N.normalize_news(N.parse_news(keyed, value_col))
-    emb = N.embed_news(parsed, embedder)
-    matched = M.nearest(emb, catalogue, dim=dim, key="msg_key", threshold=threshold, **match_opts)
-    return S.with_news_id(N.store_status(M.enrich(matched, catalogue)))
+    return S.with_news_id(N.process(keyed, embedder, catalogue, dim=dim, threshold=threshold,
+                                    key="msg_key", value_col=value_col, **match_opts))
 
 
 def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], DataFrame], dim: int,
@@ -38,7 +36,10 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
     now = now or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        processed = process_batch(batch, batch_id, embedder=embedder, catalogue=load_catalogue(), dim=dim,
+        # the catalogue as it is now, read once for this batch (size-checked inside the matcher)
+        catalogue = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        processed = process_batch(batch, batch_id, embedder=embedder, catalogue=catalogue, dim=dim,
                                   threshold=threshold, **match_opts)
         processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -47,6 +48,8 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
             S.write_batch(pub, f"{out_root}/published")
         finally:
             processed.unpersist()
+            batch.unpersist()
+            catalogue.unpersist()
     return write
 
 
