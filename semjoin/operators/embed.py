@@ -30,7 +30,7 @@ def token_buckets(text: Column, dim: int) -> Column:
     """Bucket of every token: ``md5(lower(token))`` first 8 hex digits as an integer, modulo ``dim``."""
     toks = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
     return F.transform(toks, lambda t: F.pmod(
-        F.conv(F.substring(F.md5(F.lower(t)), 1, HASH_HEX_CHARS), 16, 10).cast("long"), F.lit(dim)))
+        F.conv(F.substring(F.md5(F.lower(t)), 1, HASH_HEX_CHARS), 16, 10).cast("long"), F.lit(dim)).cast("int"))
 
 
 def _unit_counts_udf(dim: int):

@@ -45,7 +45,9 @@ TIE_DECIMALS = 12
 # Operational bounds (ours).
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024   # catalogue matrix shipped to executors
 SIM_CHUNK_CELLS = 1 << 24                     # rows x catalogue cells per matrix product
-BLOCK_ROWS = 20000                            # rows per side in one co-group of the blocked path
+BLOCK_ROWS = 20000                            # left rows in one co-group of the blocked path
+CAT_BLOCK_ROWS = 100000                       # catalogue rows in one co-group (left rows are copied
+                                              # once per catalogue block: keep blocks large)
 
 MATCH_TYPE = T.StructType([
     T.StructField("market_id", T.LongType()),
@@ -153,7 +155,8 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
             threshold: float | None = DEFAULT_THRESHOLD,
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
             nlist: int = 16, nprobe: int = 4, seed: int = 7,
-            block_rows: int = BLOCK_ROWS, n_rows: int | None = None) -> DataFrame:
+            block_rows: int = BLOCK_ROWS, cat_block_rows: int | None = None,
+            n_rows: int | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
 
     ``threshold`` is inclusive and applied after top-1; ``None`` keeps every
@@ -170,9 +173,9 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
     if strategy == "broadcast":
         out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows)
     elif strategy == "blocked":
-        out = _nearest_blocked(left, cat, dim, key, vector, block_rows)
+        out = _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows)
     elif strategy == "ivf":
-        out = _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows)
+        out = _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     if threshold is not None:
@@ -232,16 +235,18 @@ def _block_kernel(dim: int):
     return run
 
 
-def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: int) -> DataFrame:
+def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: int,
+                 cat_block_rows: int | None = None) -> DataFrame:
     """Top-1 per ``key`` of ``left_kv(key, list_id, embedding)`` against ``cat_kv(id, list_id, embedding)``.
 
     Per list, the left rows are split into ``S = ceil(n_left / block_rows)``
-    salts and the catalogue rows into ``B = ceil(n_cat / block_rows)`` blocks;
+    salts and the catalogue rows into ``B = ceil(n_cat / cat_block_rows)`` blocks;
     left rows are repeated over the B blocks and catalogue rows over the S
     salts, so every co-group holds at most about ``block_rows`` rows a side no
     matter how hot a list is. The per-list sizes have one row per list
     (bounded by ``nlist``); they are the only thing fetched to the driver.
     """
+    cat_block_rows = cat_block_rows or max(block_rows, CAT_BLOCK_ROWS)
     nl = left_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_left"))
     nc = cat_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_cat"))
     # one row per list present on both sides: bounded by nlist, so it is fetched and
@@ -250,7 +255,7 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     if not sizes:
         return left_kv.sparkSession.createDataFrame([], _BLOCK_OUT)
     s_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_left / block_rows)))])
-    b_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_cat / block_rows)))])
+    b_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_cat / cat_block_rows)))])
     S, B = F.element_at(s_map, F.col("list_id")), F.element_at(b_map, F.col("list_id"))
     ls = (left_kv.where(F.map_contains_key(s_map, F.col("list_id")))
           .withColumn("salt", F.pmod(F.xxhash64("key"), S).cast("int"))
@@ -275,11 +280,11 @@ def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
     return left.join(best, key, "left")
 
 
-def _nearest_blocked(left, cat, dim, key, vector, block_rows):
+def _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows=None):
     lk = left.select(F.col(key).cast("long").alias("key"), F.lit(0).alias("list_id"),
                      F.col(vector).alias("embedding")).where(F.col("embedding").isNotNull())
     ck = cat.select("id", F.lit(0).alias("list_id"), "embedding")
-    return _join_back(left, blocked_top1(lk, ck, dim, block_rows), key)
+    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
 
 
 # --------------------------------------------------------------------------- IVF
@@ -307,7 +312,7 @@ def _probe_udf(bc, nprobe: int, dim: int):
     return probe
 
 
-def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows):
+def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows=None):
     model = train_lists(cat, nlist, seed)
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)   # nlist x dim, bounded by nlist
     from pyspark.ml.functions import array_to_vector
@@ -317,7 +322,7 @@ def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows):
     lk = (left.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("embedding"))
           .withColumn("list_id", F.explode(_probe_udf(bc, nprobe, dim)(F.col("embedding"))))
           .select("key", "list_id", "embedding"))
-    return _join_back(left, blocked_top1(lk, ck, dim, block_rows), key)
+    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
 
 
 # --------------------------------------------------------------------------- catalogue views

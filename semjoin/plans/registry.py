@@ -114,7 +114,7 @@ FROM fx_news n LEFT JOIN top t USING (news_id)""")
 def q_match_blocked(spark, sf):
     # the beyond-the-broadcast-budget strategy, forced with small blocks so several co-groups meet
     m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None,
-                  strategy="blocked", block_rows=64)
+                  strategy="blocked", block_rows=64, cat_block_rows=16)
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 
@@ -123,7 +123,7 @@ SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
 FROM fx_news n LEFT JOIN top t USING (news_id)""")
 def q_match_ivf_full_probe(spark, sf):
     m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None,
-                  strategy="ivf", nlist=8, nprobe=8, block_rows=64)
+                  strategy="ivf", nlist=8, nprobe=8, block_rows=64, cat_block_rows=16)
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 

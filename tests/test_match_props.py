@@ -46,8 +46,10 @@ def test_strategies_agree_with_brute_force(spark, seed):
     want = _brute(ids, cat, news)
     runs = {
         "broadcast": M.nearest(n, c, dim=DIM, threshold=None, strategy="broadcast"),
-        "blocked": M.nearest(n, c, dim=DIM, threshold=None, strategy="blocked", block_rows=37),
-        "ivf_full": M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=6, nprobe=6, block_rows=50),
+        "blocked": M.nearest(n, c, dim=DIM, threshold=None, strategy="blocked", block_rows=37,
+                             cat_block_rows=29),
+        "ivf_full": M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=6, nprobe=6, block_rows=50,
+                              cat_block_rows=11),
     }
     for name, df in runs.items():
         got = _run(df)
