@@ -67,18 +67,27 @@ class HashEmbedder:
 class ModelEmbedder:
     """Wrap ``encode(list[str]) -> array (n, dim)``, built once per worker by ``load()``.
 
-    Batches are cut to ``batch_size`` texts; a failing batch is retried text by
-    text and a failing text gets NULL, as an embedding service error would.
+    Batches are cut to ``batch_size`` texts. A request that fails or exceeds
+    ``timeout_s`` is retried text by text (each with the same timeout), and a
+    text that still fails gets NULL, as an embedding service error would.
     """
 
     def __init__(self, load: Callable[[], Callable[[list], np.ndarray]], dim: int,
-                 batch_size: int = MAX_BATCH_TEXTS):
+                 batch_size: int = MAX_BATCH_TEXTS, timeout_s: float | None = None):
         self.dim, self.batch_size = dim, batch_size
-        load_fn, size = load, batch_size
+        load_fn, size, limit = load, batch_size, timeout_s
 
         @F.pandas_udf(T.ArrayType(T.FloatType()))
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            import concurrent.futures as cf
             encode = load_fn()
+            pool = cf.ThreadPoolExecutor(max_workers=1) if limit else None
+
+            def call(texts):
+                if pool is None:
+                    return np.asarray(encode(texts), dtype=np.float32)
+                return np.asarray(pool.submit(encode, texts).result(timeout=limit), dtype=np.float32)
+
             for texts in batches:
                 out = [None] * len(texts)
                 vals = texts.tolist()
@@ -87,37 +96,39 @@ class ModelEmbedder:
                     if not chunk:
                         continue
                     try:
-                        vecs = np.asarray(encode([t for _, t in chunk]), dtype=np.float32)
+                        vecs = call([t for _, t in chunk])
                         for (i, _), v in zip(chunk, vecs):
                             out[i] = v
-                    except Exception:  # noqa: BLE001 - one bad batch must not fail the job
+                    except Exception:  # noqa: BLE001 - one bad request must not fail the job
                         for i, t in chunk:
                             try:
-                                out[i] = np.asarray(encode([t])[0], dtype=np.float32)
+                                out[i] = call([t])[0]
                             except Exception:  # noqa: BLE001
                                 out[i] = None
                 yield pd.Series(out, dtype=object)
+            if pool is not None:
+                pool.shutdown(wait=False, cancel_futures=True)
         # a model call can fail transiently: never duplicate or reorder it
         self._udf = embed.asNondeterministic()
 
     def __call__(self, text: Column) -> Column:
-        return self._udf(text)
+        return F.when(text.isNotNull() & (F.length(text) >= 1), self._udf(text))
 
 
 def embed_batches(df: DataFrame, text_col: str, key_col: str, embedder,
                   batch_size: int = MAX_BATCH_TEXTS) -> DataFrame:
-    """Batch-embedding report: texts grouped into request-sized batches per partition.
+    """Request-sized batches: texts in key order cut into runs of at most ``batch_size``.
 
-    Each partition's rows are numbered and cut into batches of at most
-    ``batch_size`` texts (a request over the cap is split, never rejected);
-    returns one row per batch with its count and vector dimension.
+    A run longer than the cap is split, never rejected. Ranks come from a
+    range-partitioned sort plus per-partition offsets (no global window).
+    Returns one row per batch: text count, vector dimension, texts embedded.
     """
-    idx = F.monotonically_increasing_id()
-    with_vec = df.select(F.col(key_col).alias("key"), F.spark_partition_id().alias("part"),
-                         (idx.bitwiseAND(F.lit((1 << 33) - 1))).alias("pos"),
-                         embedder(F.col(text_col)).alias("embedding"))
-    batched = with_vec.withColumn("batch", F.floor(F.col("pos") / batch_size))
-    return (batched.groupBy("part", "batch")
+    from semjoin.operators.ids import with_dense_index
+    ranked = with_dense_index(df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
+                              .orderBy("key"), "rank")
+    emb = ranked.select((F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"),
+                        embedder(F.col("text")).alias("embedding"))
+    return (emb.groupBy("batch")
             .agg(F.count(F.lit(1)).alias("count"),
                  F.max(F.size("embedding")).alias("dimension"),
-                 F.min("key").alias("first_key"), F.max("key").alias("last_key")))
+                 F.count("embedding").alias("embedded")))

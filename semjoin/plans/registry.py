@@ -346,7 +346,11 @@ def q_embed_hash(spark, sf):
                     F.round(F.aggregate(w, F.lit(0.0), lambda a, x: a + x), 6).alias("weighted"))
 
 
-@query("embed_batches")
+@query("embed_batches", f"""
+SELECT batch, count(*) AS count, max(CASE WHEN ok THEN {FX_DIM} END) AS dimension, count(*) FILTER (WHERE ok) AS embedded
+FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // {EMB.MAX_BATCH_TEXTS} AS batch,
+             len(regexp_extract_all(text, '{EMB.TOKEN_PATTERN}')) > 0 AS ok FROM documents)
+GROUP BY batch""")
 def q_embed_batches(spark, sf):
     d = X.table(spark, sf, "documents").select("doc_id", "text")
     return EMB.embed_batches(d, "text", "doc_id", _embedder())

@@ -68,3 +68,17 @@ def test_no_single_partition_exchange_in_numbering(spark):
     p = plan(R.QUERIES["upsert_markets"](spark, SMALL))
     # the only global ordering is a range-partitioned sort of the new keys, never one task for all rows
     assert "CartesianProduct" not in p
+
+
+def test_open_market_filter_reaches_parquet_scan(spark):
+    from semjoin.session import shared_dir
+    root = shared_dir(spark, "plan-markets")
+    X.fx_market_rows(spark, SMALL).write.parquet(f"{root}/markets")
+    X.fx_market_embeddings(spark, SMALL).write.parquet(f"{root}/market_embeddings")
+    cat = M.match_catalogue(spark.read.parquet(f"{root}/markets"), spark.read.parquet(f"{root}/market_embeddings"))
+    p = plan(cat.select("id", "embedding"))
+    assert "Not(EqualTo(is_resolved,true))" in p or "EqualTo(is_resolved,false)" in p
+    assert "ReadSchema: struct<id:bigint,is_resolved:boolean>" in p
+    # listing never reads vectors
+    q = plan(SV.markets_list(spark.read.parquet(f"{root}/markets"), 10))
+    assert "embedding" not in q
