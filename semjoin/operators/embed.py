@@ -124,10 +124,10 @@ def embed_batches(df: DataFrame, text_col: str, key_col: str, embedder,
     Returns one row per batch: text count, vector dimension, texts embedded.
     """
     from semjoin.operators.ids import with_dense_index
-    ranked = with_dense_index(df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
-                              .orderBy("key"), "rank")
-    emb = ranked.select((F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"),
-                        embedder(F.col("text")).alias("embedding"))
+    # embed first: the sort then moves keys and vectors, not whole texts
+    vecs = df.select(F.col(key_col).alias("key"), embedder(F.col(text_col)).alias("embedding"))
+    ranked = with_dense_index(vecs.orderBy("key"), "rank")
+    emb = ranked.select((F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"), "embedding")
     return (emb.groupBy("batch")
             .agg(F.count(F.lit(1)).alias("count"),
                  F.max(F.size("embedding")).alias("dimension"),

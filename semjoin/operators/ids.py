@@ -6,8 +6,11 @@ aggregate, one row per partition), turn the counts into start offsets, and add
 each row's position inside its partition. The offsets table has one row per
 partition, so broadcasting it is bounded by the partition count, not the data.
 
-The input must be deterministic (a file scan, or persisted) because it is
-evaluated twice; ids then survive the loss of an executor unchanged.
+The input is evaluated twice (counts, then rows), so both passes must see
+the same partitions. A file scan or a persisted frame does; a frame whose
+plan contains a shuffle may not (adaptive execution can coalesce the two
+shuffles differently), so such input is first checkpointed to the shared
+checkpoint folder - reliably, which also cuts its lineage.
 """
 
 from __future__ import annotations
@@ -18,7 +21,19 @@ from pyspark.sql import functions as F
 _POS_BITS = 33
 
 
-def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0) -> DataFrame:
+def _has_shuffle(df: DataFrame) -> bool:
+    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0,
+                     materialize: bool | None = None) -> DataFrame:
+    """``df`` plus ``col``: start, start+1, ... in partition order (key order after ``orderBy``)."""
+    if materialize is None:
+        materialize = _has_shuffle(df)
+    if materialize:
+        from semjoin.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
     tagged = df.withColumn("_mid", mid)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _POS_BITS))

@@ -247,6 +247,12 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     (bounded by ``nlist``); they are the only thing fetched to the driver.
     """
     cat_block_rows = cat_block_rows or max(block_rows, CAT_BLOCK_ROWS)
+    if "EvalPython" in left_kv._jdf.queryExecution().executedPlan().toString():
+        # the sizes pass and the main pass would each run the Python step that made the
+        # vectors (embedding, list probing); write them once to the shared folder instead
+        from semjoin.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(left_kv.sparkSession)
+        left_kv = left_kv.checkpoint(eager=True)
     nl = left_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_left"))
     nc = cat_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_cat"))
     # one row per list present on both sides: bounded by nlist, so it is fetched and
