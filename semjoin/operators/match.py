@@ -199,10 +199,12 @@ def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
         return _no_match(left)
     if catalogue_bytes(n, dim) > max_broadcast_bytes:
         raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
-    tbl = cat.orderBy("id").toArrow()
+    tbl = cat.toArrow()
     ids = tbl.column("id").to_numpy().astype(np.int64)
     flat = tbl.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     mat = np.asarray(flat, dtype=np.float32).reshape(len(ids), dim)
+    order = np.argsort(ids, kind="stable")      # ascending ids: argmax then prefers the lowest id
+    ids, mat = ids[order], mat[order]
     bc = left.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ids, mat))
     udf = _broadcast_udf(bc, dim)
     m = udf(F.col(vector))

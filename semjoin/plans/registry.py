@@ -72,8 +72,9 @@ _ENRICH_COLS = ["news_id", "source", "published_date", "published_time", "headli
 
 def _enriched(spark, sf):
     cat = _catalogue(spark, sf)
-    m = M.nearest(X.fx_news(spark, sf), cat, dim=FX_DIM, threshold=FX_THRESHOLD)
-    return M.enrich(m, cat)
+    n, text_bytes = M.catalogue_profile(cat, FX_DIM)      # one pass sizes both the matrix and the join
+    m = M.nearest(X.fx_news(spark, sf), cat, dim=FX_DIM, threshold=FX_THRESHOLD, n_rows=n)
+    return M.enrich(m, cat, text_bytes=text_bytes)
 
 
 _SQL_ENRICH = _SQL_CAT + f""",
