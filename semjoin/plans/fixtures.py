@@ -1,5 +1,10 @@
 """Inputs derived by Spark from the driver tables, and the same definitions as SQL CTEs.
 
+Texts are used whole (headlines, questions and message bodies are full
+documents); ``% n`` expressions only assign each row a role (catalogue or
+news, message shape, missing field), so every row of the source tables is
+used and no query works on a subset.
+
 The reference ships no data; these views turn the given tables into its record
 shapes (markets with vectors, news with vectors, raw JSON messages, a market
 feed, topic arrivals). Each view is written twice - DataFrame code for the
@@ -41,7 +46,7 @@ def fx_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base(spark, sf_dir).where(F.col("vec_id") % 5 == 0)
     return b.select(F.col("vec_id").alias("id"), F.lit("catalog").alias("source"),
                     F.concat(F.lit("market-"), F.col("vec_id").cast("string")).alias("slug"),
-                    F.substring("text", 1, 120).alias("question"),
+                    F.col("text").alias("question"),
                     F.col("label").isin(8, 9).alias("is_resolved"),
                     F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"), "embedding")
 
@@ -61,7 +66,7 @@ def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(F.col("vec_id").alias("news_id"), "source",
                     F.col("ts").cast("date").alias("published_date"),
                     F.substring(F.col("ts").cast("string"), 12, 8).alias("published_time"),
-                    F.substring("text", 1, 200).alias("headline"), "embedding")
+                    F.col("text").alias("headline"), "embedding")
 
 
 def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +78,7 @@ def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.lit("market-"), ((vid % 50) * 10).cast("string"))))
     return b.select(vid.alias("pos"), slug.alias("market_slug"), (vid % 3 == 0).alias("slug_key"),
                     F.when(vid % 13 == 0, F.lit(None).cast("string"))
-                     .otherwise(F.substring("text", 1, 120)).alias("question"),
+                     .otherwise(F.col("text")).alias("question"),
                     F.when(F.col("label") == 9, F.lit(True)).when(F.col("label") == 0, F.lit(None).cast("boolean"))
                      .otherwise(F.lit(False)).alias("closed"),
                     (vid % 19 == 0).alias("null_flag"))
@@ -132,7 +137,7 @@ def fx_raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts")
     j = d.join(ev, "doc_id", "left").withColumn(
         "ts", F.coalesce("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
-    body = F.when(F.col("doc_id") % 11 == 0, F.lit(FX_NO_TOKENS)).otherwise(F.substring("text", 1, 200))
+    body = F.when(F.col("doc_id") % 11 == 0, F.lit(FX_NO_TOKENS)).otherwise(F.col("text"))
     return j.select("doc_id", (F.col("doc_id") % 8).cast("int").alias("k"),
                     F.col("source").alias("src"),
                     F.col("ts").cast("date").cast("string").alias("dt"),
@@ -176,7 +181,7 @@ base AS (
 SQL_MARKETS = """
 fx_markets AS (
   SELECT vec_id AS id, 'catalog' AS source, concat('market-', CAST(vec_id AS VARCHAR)) AS slug,
-         substring(text, 1, 120) AS question, label IN (8, 9) AS is_resolved,
+         text AS question, label IN (8, 9) AS is_resolved,
          ts AS created_at, ts AS updated_at, embedding
   FROM base WHERE vec_id % 5 = 0)"""
 
@@ -184,7 +189,7 @@ SQL_NEWS = """
 fx_news AS (
   SELECT vec_id AS news_id, source, CAST(ts AS DATE) AS published_date,
          substring(CAST(ts AS VARCHAR), 12, 8) AS published_time,
-         substring(text, 1, 200) AS headline, embedding
+         text AS headline, embedding
   FROM base WHERE vec_id % 5 <> 0)"""
 
 SQL_FEED = """
@@ -193,7 +198,7 @@ fx_feed AS (
          CASE WHEN vec_id % 17 = 0 THEN '' WHEN vec_id % 4 = 3 THEN concat('new-', CAST(vec_id % 50 AS VARCHAR))
               ELSE concat('market-', CAST((vec_id % 50) * 10 AS VARCHAR)) END AS market_slug,
          vec_id % 3 = 0 AS slug_key,
-         CASE WHEN vec_id % 13 = 0 THEN NULL ELSE substring(text, 1, 120) END AS question,
+         CASE WHEN vec_id % 13 = 0 THEN NULL ELSE text END AS question,
          CASE WHEN label = 9 THEN TRUE WHEN label = 0 THEN NULL ELSE FALSE END AS closed,
          vec_id % 19 = 0 AS null_flag
   FROM base),
@@ -223,7 +228,7 @@ raw_cols AS (
   SELECT d.doc_id, CAST(d.doc_id % 8 AS INTEGER) AS k, d.source AS src,
          CAST(CAST(coalesce(ev.ts, TIMESTAMP '2024-01-01 00:00:00') AS DATE) AS VARCHAR) AS dt,
          substring(CAST(coalesce(ev.ts, TIMESTAMP '2024-01-01 00:00:00') AS VARCHAR), 12, 8) AS tm,
-         CASE WHEN d.doc_id % 11 = 0 THEN '{FX_NO_TOKENS}' ELSE substring(d.text, 1, 200) END AS body
+         CASE WHEN d.doc_id % 11 = 0 THEN '{FX_NO_TOKENS}' ELSE d.text END AS body
   FROM documents d LEFT JOIN events ev ON ev.event_id = d.doc_id),
 fx_raw AS (
   SELECT doc_id AS msg_id, k, k IN (0, 1) AS bad,
