@@ -22,6 +22,7 @@ DEFAULT_LIST_LIMIT = 100
 MAX_LIST_LIMIT = 1000
 DELTA_MAX_ITEMS = 10
 NEWS_TOPIC, PROCESSED_TOPIC = "news_stream", "processed_news"
+MAX_BROADCAST_TOPICS = 100000      # ours: bound for shipping a per-topic table to every task
 
 
 def _check_limit(limit: int, hi: int | None = None) -> None:
@@ -159,6 +160,9 @@ def delta_feed(arrivals: DataFrame, since: DataFrame, max_items: int = DELTA_MAX
     ``since(topic, last_arrival)`` is the previous tick's position (one row per
     topic, broadcast). A topic that did not grow sends nothing.
     """
-    new = arrivals.join(F.broadcast(since), "topic").where(F.col("arrival") > F.col("last_arrival")).drop("last_arrival")
+    # one row per topic: broadcast once that is checked, else an ordinary join
+    small = since.limit(MAX_BROADCAST_TOPICS + 1).count() <= MAX_BROADCAST_TOPICS
+    pos = F.broadcast(since) if small else since
+    new = arrivals.join(pos, "topic").where(F.col("arrival") > F.col("last_arrival")).drop("last_arrival")
     w = Window.partitionBy("topic").orderBy(F.desc("arrival"))
     return new.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_items).drop("_rn")

@@ -816,3 +816,21 @@ def q_delta_stream(spark, sf):
     q = DELTA.start(stream, sink, f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("tick", "topic", "arrival")
+
+
+from semjoin.streaming import buffer_job as BUF  # noqa: E402
+
+
+@query("buffer_stream", with_ctes("fx_arrivals") + _SQL_BUF + " SELECT topic, arrival, time FROM buf")
+def q_buffer_stream(spark, sf):
+    """Both topics landed as files (one folder per topic, four deliveries each) and read as one stream."""
+    root = shared_dir(spark, "buffers")
+    arr = X.fx_arrivals(spark, sf).withColumn("tick", (F.col("arrival") % DELTA_TICKS).cast("long"))
+    msgs = arr.select("topic", "tick", F.to_json(F.struct("arrival", "time")).alias("value"))
+    msgs.repartition(2 * DELTA_TICKS, "topic", "tick").write.partitionBy("topic", "tick").text(f"{root}/inbox")
+    stream = (spark.readStream.schema("value string, topic string, tick long").option("maxFilesPerTrigger", "2")
+              .text(f"{root}/inbox")
+              .select("topic", F.from_json("value", "arrival long, time string").alias("m")).select("topic", "m.*"))
+    q = BUF.start(stream, f"{root}/buffer", f"{root}/checkpoint", "topic string, arrival long, time string")
+    q.awaitTermination()
+    return TB.read_latest(spark, f"{root}/buffer").select("topic", "arrival", "time")
