@@ -77,22 +77,44 @@ def _stack(vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return out, ok
 
 
-def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray):
-    """Per row of ``x``: (index into ids, similarity) of the best catalogue row; -1 when none."""
+# A float32 product of unit vectors is within ~dim * 6e-8 of the exact value; every
+# catalogue row scoring within RESCORE_MARGIN of a row's float32 maximum is rescored
+# exactly in float64, so the answer equals the exact one (margin covers dim <= 10k).
+RESCORE_MARGIN = 1e-3
+
+
+def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_norm: np.ndarray | None = None):
+    """Per row of ``x``: (index into ids, similarity) of the best catalogue row; -1 when none.
+
+    ``x`` holds unit rows (float64). ``cat`` holds the stored float32 vectors
+    sorted by id and ``inv_norm`` their reciprocal norms (float64); without
+    ``inv_norm`` the rows of ``cat`` are taken as already unit length.
+    """
     n = x.shape[0]
     best_i = np.full(n, -1, dtype=np.int64)
     best_s = np.full(n, np.nan, dtype=np.float64)
     m = cat.shape[0]
     if m == 0 or n == 0:
         return best_i, best_s
-    rows = max(1, SIM_CHUNK_CELLS // m)
-    for lo in range(0, n, rows):
-        hi = min(n, lo + rows)
-        sims = x[lo:hi] @ cat.T
-        # catalogue rows are sorted by id: argmax returns the first (lowest id) of equal maxima
-        j = np.argmax(np.round(sims, TIE_DECIMALS), axis=1)
-        best_i[lo:hi] = j
-        best_s[lo:hi] = sims[np.arange(hi - lo), j]
+    if inv_norm is None:
+        inv_norm = np.ones(m, dtype=np.float64)
+    cat32 = cat.astype(np.float32, copy=False)
+    inv32 = inv_norm.astype(np.float32)
+    rows_per = max(1, SIM_CHUNK_CELLS // m)
+    for lo in range(0, n, rows_per):
+        hi = min(n, lo + rows_per)
+        xs = x[lo:hi]
+        approx = (xs.astype(np.float32) @ cat32.T) * inv32          # fast pass, float32
+        top = approx.max(axis=1)
+        r, c = np.nonzero(approx >= (top - RESCORE_MARGIN)[:, None])
+        exact = np.einsum("ij,ij->i", xs[r], cat32[c].astype(np.float64)) * inv_norm[c]
+        # best per row: highest rounded similarity, then lowest id (columns are sorted by id)
+        order = np.lexsort((c, -np.round(exact, TIE_DECIMALS), r))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = r[order][1:] != r[order][:-1]
+        pick = order[first]
+        best_i[lo + r[pick]] = c[pick]
+        best_s[lo + r[pick]] = exact[pick]
     best_i[~ok] = -1
     best_s[~ok] = np.nan
     return best_i, best_s
@@ -102,28 +124,28 @@ _CATALOGUE_CACHE: dict = {}
 
 
 def _catalogue_from_broadcast(bc, dim: int):
-    """Normalised float64 catalogue, built once per Python worker per broadcast.
+    """(ids, float32 vectors, float64 reciprocal norms), prepared once per Python worker per broadcast.
 
     The cache is keyed by a token created with the broadcast (reused workers
-    serve many queries, so object identity is not a safe key).
+    serve many queries, so object identity is not a safe key). Only the
+    float32 matrix is kept: a worker holds about ``rows x dim x 4`` bytes.
     """
     token, ids, mat = bc.value
     got = _CATALOGUE_CACHE.get(token)
     if got is None:
-        mat = mat.astype(np.float64)
-        mat /= np.linalg.norm(mat, axis=1, keepdims=True)
+        inv = 1.0 / np.linalg.norm(mat.astype(np.float64), axis=1)
         _CATALOGUE_CACHE.clear()
-        _CATALOGUE_CACHE[token] = got = (ids, mat)
+        _CATALOGUE_CACHE[token] = got = (ids, np.ascontiguousarray(mat, dtype=np.float32), inv)
     return got
 
 
 def _broadcast_udf(bc, dim: int):
     @F.pandas_udf(MATCH_TYPE)
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        ids, cat = _catalogue_from_broadcast(bc, dim)
+        ids, cat, inv = _catalogue_from_broadcast(bc, dim)
         for vs in batches:
             x, ok = _stack(vs.to_numpy(), dim)
-            bi, bs = _best(x, ok, ids, cat)
+            bi, bs = _best(x, ok, ids, cat, inv)
             mid = pd.array(np.where(bi >= 0, ids[np.maximum(bi, 0)], 0), dtype="Int64")
             mid[bi < 0] = pd.NA
             yield pd.DataFrame({"market_id": mid, "similarity": np.where(bi >= 0, bs, np.nan)})
@@ -227,9 +249,10 @@ def _block_kernel(dim: int):
                                  "similarity": pd.Series([], dtype="float64")})
         cat_pdf = cat_pdf.sort_values("id", kind="stable")
         ids = cat_pdf["id"].to_numpy(np.int64)
-        c, _ = _stack(cat_pdf["embedding"].to_numpy(), dim)
+        raw = np.stack(cat_pdf["embedding"].to_numpy()).astype(np.float32)
+        inv = 1.0 / np.linalg.norm(raw.astype(np.float64), axis=1)
         x, ok = _stack(left_pdf["embedding"].to_numpy(), dim)
-        bi, bs = _best(x, ok, ids, c)
+        bi, bs = _best(x, ok, ids, raw, inv)
         sel = bi >= 0
         return pd.DataFrame({"key": left_pdf["key"].to_numpy(np.int64)[sel],
                              "market_id": ids[bi[sel]],

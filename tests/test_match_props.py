@@ -84,3 +84,19 @@ def test_auto_switches_to_blocked_beyond_budget(spark):
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     with pytest.raises(ValueError):
         M.nearest(n, c, dim=DIM, strategy="broadcast", max_broadcast_bytes=small_budget)
+
+
+def test_near_ties_resolved_exactly(spark):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=DIM)
+    cat = np.stack([base + rng.normal(scale=1e-6, size=DIM) for _ in range(40)]).astype(np.float32)
+    news = np.stack([base + rng.normal(scale=1e-3, size=DIM) for _ in range(60)]).astype(np.float32)
+    ids = np.arange(40)[::-1] + 100
+    c = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, cat)],
+                              "id long, embedding array<float>")
+    n = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(news)],
+                              "news_id long, embedding array<float>")
+    want = _brute(ids, cat, news)
+    for strategy in ("broadcast", "blocked"):
+        got = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy=strategy, block_rows=16, cat_block_rows=7))
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}, strategy
