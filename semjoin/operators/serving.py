@@ -50,9 +50,23 @@ def markets_iso(markets: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- recent buffers
 
 def recent_by_topic(arrivals: DataFrame, size: int = BUFFER_SIZE, order_col: str = "arrival") -> DataFrame:
-    """The bounded buffer of each topic: its latest ``size`` items by arrival."""
+    """The bounded buffer of each topic: its latest ``size`` items by arrival.
+
+    Up to ``windowGroupLimitThreshold`` Spark limits each topic map-side before
+    the shuffle. Beyond it, a first round keeps the newest ``size`` per
+    (topic, salt) - a hot topic is spread over ``shuffle.partitions`` salts -
+    and the final round ranks at most ``salts x size`` rows per topic.
+    """
     _check_limit(size)
+    spark = arrivals.sparkSession
+    thr = int(str(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")))
     w = Window.partitionBy("topic").orderBy(F.desc(order_col))
+    if size > thr:
+        salts = int(str(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+        ws = Window.partitionBy("topic", "_salt").orderBy(F.desc(order_col))
+        arrivals = (arrivals.withColumn("_salt", F.pmod(F.xxhash64(order_col), F.lit(salts)))
+                    .withColumn("_rn", F.row_number().over(ws)).where(F.col("_rn") <= size)
+                    .drop("_rn", "_salt"))
     return arrivals.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= size).drop("_rn")
 
 

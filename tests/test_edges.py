@@ -196,3 +196,14 @@ def test_iso_timestamps(spark):
                                "t timestamp_ntz")
     got = [r.s for r in df.select(iso_timestamp("t").alias("s")).collect()]
     assert got == ["2024-01-02T03:04:05.000060", "2024-01-02T03:04:05"]
+
+
+def test_large_buffers_use_salted_rounds(spark):
+    arr = spark.createDataFrame([("a" if i % 10 else "b", i, "t") for i in range(5000)],
+                                "topic string, arrival long, time string")
+    got = SV.recent_by_topic(arr, size=1500)
+    rows = got.collect()
+    a = sorted(r.arrival for r in rows if r.topic == "a")
+    b = sorted(r.arrival for r in rows if r.topic == "b")
+    assert len(a) == 1500 and a[0] == sorted(i for i in range(5000) if i % 10)[-1500]
+    assert len(b) == 500
