@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semjoin.functions.jsonio import drop_keys, parse_json_object, truthy_text
+from semjoin.operators.partitioning import spread
 
 # Keys the processing step writes into a record, and the statuses it reports.
 RESERVED_KEYS = ("embedding", "embedding_dim", "embedding_status", "matched_market", "matched_market_id",
@@ -26,6 +27,7 @@ TIME_PATTERN = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,6})?$"
 def parse_news(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Keep messages that are JSON objects; adds ``record`` (reserved keys removed)."""
     rec = parse_json_object(F.col(value_col))
+    raw = spread(raw)
     return raw.withColumn("record", drop_keys(rec, RESERVED_KEYS)).where(F.col("record").isNotNull())
 
 

@@ -336,7 +336,8 @@ SELECT d.doc_id, len(regexp_extract_all(d.text, '{EMB.TOKEN_PATTERN}')) AS n_tok
        a.n_buckets, round(a.l1, 6) AS l1, round(a.weighted, 6) AS weighted
 FROM d LEFT JOIN agg a ON a.id = d.doc_id""")
 def q_embed_hash(spark, sf):
-    d = X.table(spark, sf, "documents").select("doc_id", "text")
+    from semjoin.operators.partitioning import spread
+    d = spread(X.table(spark, sf, "documents").select("doc_id", "text"))
     v = _embedder()(F.col("text"))
     e = d.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(EMB.TOKEN_PATTERN), 0)).alias("n_tokens"),
                  v.alias("v"))
