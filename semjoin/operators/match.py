@@ -32,7 +32,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,13 +187,20 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
     catalogue size when the caller already measured it (``catalogue_profile``).
     """
     cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
+    collected = None
     if strategy == "auto":
-        n = cat.count() if n_rows is None else n_rows
+        if n_rows is None:
+            # one job both checks and collects: never more than the budget reaches the driver
+            cap = max_broadcast_bytes // catalogue_bytes(1, dim)
+            collected = cat.limit(cap + 1).toArrow()
+            n = collected.num_rows
+        else:
+            n = n_rows
         if n == 0:
             return _no_match(left)
         strategy = "broadcast" if catalogue_bytes(n, dim) <= max_broadcast_bytes else "blocked"
     if strategy == "broadcast":
-        out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows)
+        out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows, collected)
     elif strategy == "blocked":
         out = _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows)
     elif strategy == "ivf":
@@ -213,15 +220,16 @@ def _no_match(left: DataFrame) -> DataFrame:
 
 
 def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
-                       max_broadcast_bytes: int, n_rows: int | None = None) -> DataFrame:
+                       max_broadcast_bytes: int, n_rows: int | None = None, collected=None) -> DataFrame:
     # The size is checked before anything leaves the executors: a catalogue over
     # the budget is refused here and callers get the blocked strategy from "auto".
-    n = cat.count() if n_rows is None else n_rows
-    if n == 0:
-        return _no_match(left)
-    if catalogue_bytes(n, dim) > max_broadcast_bytes:
-        raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
-    tbl = cat.toArrow()
+    if collected is None:
+        n = cat.count() if n_rows is None else n_rows
+        if n == 0:
+            return _no_match(left)
+        if catalogue_bytes(n, dim) > max_broadcast_bytes:
+            raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
+    tbl = collected if collected is not None else cat.toArrow()
     ids = tbl.column("id").to_numpy().astype(np.int64)
     flat = tbl.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     mat = np.asarray(flat, dtype=np.float32).reshape(len(ids), dim)

@@ -37,9 +37,18 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return v[-1] if v else None
 
 
-def read_latest(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
-    """Current state of the table; an empty frame of ``schema`` when nothing is committed yet."""
-    v = latest_version(spark, root)
+def read_latest(spark: SparkSession, root: str, schema: str | None = None,
+                at_most: int | None = None) -> DataFrame:
+    """Current state of the table; an empty frame of ``schema`` when nothing is committed yet.
+
+    ``at_most`` reads the newest committed version not above it: a stream
+    batch ``b`` reads version ``<= b`` and writes ``b + 1``, so a replayed
+    batch sees the same input and never reads the folder it rewrites.
+    """
+    vs = committed_versions(spark, root)
+    if at_most is not None:
+        vs = [x for x in vs if x <= at_most]
+    v = vs[-1] if vs else None
     if v is None:
         if schema is None:
             raise FileNotFoundError(f"no committed version under {root}")

@@ -20,7 +20,7 @@ def make_batch_writer(root: str, schema: str, size: int = BUFFER_SIZE, order_col
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = TB.read_latest(spark, root, schema)
+        prev = TB.read_latest(spark, root, schema, at_most=batch_id)   # state before this batch
         merged = prev.select(*cols).unionByName(batch.select(*cols))
         TB.write_version(recent_by_topic(merged, size, order_col), root, batch_id + 1)
     return write

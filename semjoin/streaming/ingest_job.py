@@ -32,8 +32,9 @@ def make_batch_writer(root: str, *, embedder, limit: int = C.DEFAULT_FEED_LIMIT,
 
     def write(docs: DataFrame, batch_id: int) -> None:
         spark = docs.sparkSession
-        markets = TB.read_latest(spark, f"{root}/markets", MARKETS_SCHEMA)
-        vectors = TB.read_latest(spark, f"{root}/market_embeddings", VECTORS_SCHEMA)
+        # the state before this batch: a replay reads the same input and rewrites version batch_id + 1
+        markets = TB.read_latest(spark, f"{root}/markets", MARKETS_SCHEMA, at_most=batch_id)
+        vectors = TB.read_latest(spark, f"{root}/market_embeddings", VECTORS_SCHEMA, at_most=batch_id)
         staged = C.ingest_status(C.normalize_feed(C.feed_rows(docs, limit), source_tag), embedder)
         staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -41,7 +42,7 @@ def make_batch_writer(root: str, *, embedder, limit: int = C.DEFAULT_FEED_LIMIT,
             new_markets = C.upsert_markets(markets, staged, ts, order)
             TB.write_version(new_markets, f"{root}/markets", batch_id + 1)
             # vectors key on the ids just committed
-            committed = TB.read_latest(spark, f"{root}/markets")
+            committed = TB.read_latest(spark, f"{root}/markets", at_most=batch_id + 1)
             new_vectors = C.upsert_market_embeddings(vectors, committed, staged, ts, order)
             TB.write_version(new_vectors, f"{root}/market_embeddings", batch_id + 1)
             counters = C.ingest_counters(staged).withColumn("batch_id", F.lit(batch_id).cast("long"))
