@@ -408,5 +408,15 @@ def enrich(matched: DataFrame, catalogue: DataFrame,
                                             + F.octet_length("matched_market_question") + F.lit(32)),
                                       F.lit(0)).alias("b")).first()["b"]
     if text_bytes <= max_broadcast_bytes:
-        m = F.broadcast(m)
-    return matched.join(m, "matched_market_id", "left")
+        return matched.join(F.broadcast(m), "matched_market_id", "left")
+    # Shuffled join: unmatched rows (NULL key) would all hash to one reducer, so they
+    # carry a spread salt in a second key column that no catalogue row has (0).
+    salt = F.when(F.col("matched_market_id").isNull(),
+                  F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)) + 1).otherwise(F.lit(0))
+    left = (matched.withColumn("_ns", salt)
+            .withColumn("_jk", F.coalesce(F.col("matched_market_id"), F.lit(0).cast("long"))))
+    right = m.withColumn("_ns", F.lit(0).cast("long")).withColumnRenamed("matched_market_id", "_jk")
+    return left.join(right, ["_ns", "_jk"], "left").drop("_ns", "_jk")
+
+
+NULL_SALTS = 1024

@@ -207,3 +207,14 @@ def test_large_buffers_use_salted_rounds(spark):
     b = sorted(r.arrival for r in rows if r.topic == "b")
     assert len(a) == 1500 and a[0] == sorted(i for i in range(5000) if i % 10)[-1500]
     assert len(b) == 500
+
+
+def test_enrich_shuffled_path_equals_broadcast(spark):
+    news = spark.createDataFrame([(i, float(i % 3) if i % 4 else None) for i in range(200)],
+                                 "news_id long, s double")
+    news = news.withColumn("matched_market_id", F.when(F.col("s").isNotNull(), (F.col("news_id") % 5) - 2))
+    cat = spark.createDataFrame([(i, f"m{i}", f"q{i}") for i in range(-2, 3)], "id long, slug string, question string")
+    key = lambda r: r.news_id
+    a = sorted(M.enrich(news, cat).collect(), key=key)
+    b = sorted(M.enrich(news, cat, max_broadcast_bytes=0).collect(), key=key)
+    assert a == b and sum(r.matched_market is not None for r in a) == 150
