@@ -407,8 +407,9 @@ def enrich(matched: DataFrame, catalogue: DataFrame,
         text_bytes = m.agg(F.coalesce(F.sum(F.octet_length("matched_market")
                                             + F.octet_length("matched_market_question") + F.lit(32)),
                                       F.lit(0)).alias("b")).first()["b"]
+    cols = matched.columns + ["matched_market", "matched_market_question"]
     if text_bytes <= max_broadcast_bytes:
-        return matched.join(F.broadcast(m), "matched_market_id", "left")
+        return matched.join(F.broadcast(m), "matched_market_id", "left").select(*cols)
     # Shuffled join: unmatched rows (NULL key) would all hash to one reducer, so they
     # carry a spread salt in a second key column that no catalogue row has (0).
     salt = F.when(F.col("matched_market_id").isNull(),
@@ -416,7 +417,7 @@ def enrich(matched: DataFrame, catalogue: DataFrame,
     left = (matched.withColumn("_ns", salt)
             .withColumn("_jk", F.coalesce(F.col("matched_market_id"), F.lit(0).cast("long"))))
     right = m.withColumn("_ns", F.lit(0).cast("long")).withColumnRenamed("matched_market_id", "_jk")
-    return left.join(right, ["_ns", "_jk"], "left").drop("_ns", "_jk")
+    return left.join(right, ["_ns", "_jk"], "left").select(*cols)
 
 
 NULL_SALTS = 1024
