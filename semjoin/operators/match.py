@@ -60,6 +60,17 @@ MATCH_TYPE = T.StructType([
 def _stack(vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """Arrow list column -> (unit rows float64, valid mask). Invalid rows are zero."""
     n = len(vectors)
+    try:   # fast path: every row present with the right length
+        out = np.stack(vectors).astype(np.float64)
+        if out.shape != (n, dim) or not np.isfinite(out).all():
+            raise ValueError
+        norms = np.linalg.norm(out, axis=1)
+        ok = norms > 0
+        out[ok] /= norms[ok, None]
+        out[~ok] = 0.0
+        return out, ok
+    except (ValueError, TypeError):
+        pass
     out = np.zeros((n, dim), dtype=np.float64)
     ok = np.zeros(n, dtype=bool)
     for i, v in enumerate(vectors):
