@@ -38,8 +38,11 @@ from pyspark.sql import types as T
 
 from semjoin.functions.vectors import vector_dim_ok
 
-# Fixed values matching the matcher's defaults.
+# Fixed values matching the matcher's defaults: threshold, and the inverted-list index
+# (200 lists, one list probed unless asked otherwise).
 DEFAULT_THRESHOLD = 0.5
+DEFAULT_NLIST = 200
+DEFAULT_NPROBE = 1
 TIE_DECIMALS = 12
 
 # Operational bounds (ours).
@@ -187,7 +190,7 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
             cat_id: str = "id", cat_vector: str = "embedding",
             threshold: float | None = DEFAULT_THRESHOLD,
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-            nlist: int = 16, nprobe: int = 4, seed: int = 7,
+            nlist: int = DEFAULT_NLIST, nprobe: int = DEFAULT_NPROBE, seed: int = 7,
             block_rows: int = BLOCK_ROWS, cat_block_rows: int | None = None,
             n_rows: int | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
@@ -363,6 +366,7 @@ def _probe_udf(bc, nprobe: int, dim: int):
 
 
 def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows=None):
+    nlist = max(1, min(nlist, cat.count()))          # no more lists than catalogue rows
     model = train_lists(cat, nlist, seed)
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)   # nlist x dim, bounded by nlist
     from pyspark.ml.functions import array_to_vector

@@ -97,3 +97,32 @@ def test_buffer_replay_has_no_duplicates(spark):
     again = sorted(TB.read_latest(spark, f"{root}/buf").collect())
     assert first == again and len(first) == 100
     assert len({(r.topic, r.arrival) for r in again}) == len(again)
+
+
+def test_supervised_stream_restarts_after_failure(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from semjoin.streaming.supervise import supervise
+
+    base = shared_dir(spark, "test-supervise")
+    inbox, out, ckpt = f"{base}/inbox", f"{base}/out", f"{base}/ckpt"
+    spark.range(0, 300).select(F.col("id").cast("string").alias("value")).repartition(3).write.text(inbox)
+    marker = f"{base.replace('file:', '')}/failed-once"
+    os.makedirs(os.path.dirname(marker), exist_ok=True)
+
+    def sink(df, batch_id):
+        if batch_id == 1 and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise RuntimeError("injected failure")
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+
+    def start():
+        return (spark.readStream.option("maxFilesPerTrigger", "1").text(inbox).writeStream
+                .foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    supervise(start, retry_seconds=0.1, max_restarts=2)
+    got = spark.read.parquet(out)
+    assert got.count() == 300 and got.select("value").distinct().count() == 300
