@@ -282,31 +282,26 @@ def _block_kernel(dim: int):
     return run
 
 
-def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: int,
-                 cat_block_rows: int | None = None) -> DataFrame:
-    """Top-1 per ``key`` of ``left_kv(key, list_id, embedding)`` against ``cat_kv(id, list_id, embedding)``.
+def blocked_groups(left_kv: DataFrame, cat_kv: DataFrame, block_rows: int,
+                   cat_block_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """The two keyed sides of the blocked co-group, or None when no list has rows on both sides.
 
     Per list, the left rows are split into ``S = ceil(n_left / block_rows)``
     salts and the catalogue rows into ``B = ceil(n_cat / cat_block_rows)`` blocks;
     left rows are repeated over the B blocks and catalogue rows over the S
-    salts, so every co-group holds at most about ``block_rows`` rows a side no
+    salts, so every co-group ``(list_id, salt, block)`` holds about
+    ``block_rows`` left rows and ``cat_block_rows`` catalogue rows at most, no
     matter how hot a list is. The per-list sizes have one row per list
     (bounded by ``nlist``); they are the only thing fetched to the driver.
     """
     cat_block_rows = cat_block_rows or max(block_rows, CAT_BLOCK_ROWS)
-    if "EvalPython" in left_kv._jdf.queryExecution().executedPlan().toString():
-        # the sizes pass and the main pass would each run the Python step that made the
-        # vectors (embedding, list probing); write them once to the shared folder instead
-        from semjoin.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(left_kv.sparkSession)
-        left_kv = left_kv.checkpoint(eager=True)
     nl = left_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_left"))
     nc = cat_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_cat"))
     # one row per list present on both sides: bounded by nlist, so it is fetched and
     # shipped as two small map literals instead of being joined
     sizes = nl.join(nc, "list_id").collect()
     if not sizes:
-        return left_kv.sparkSession.createDataFrame([], _BLOCK_OUT)
+        return None
     s_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_left / block_rows)))])
     b_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_cat / cat_block_rows)))])
     S, B = F.element_at(s_map, F.col("list_id")), F.element_at(b_map, F.col("list_id"))
@@ -318,6 +313,27 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
           .withColumn("block", F.pmod(F.xxhash64("id"), B).cast("int"))
           .withColumn("salt", F.explode(F.sequence(F.lit(0), S - 1)))
           .select("list_id", "salt", "block", "id", "embedding"))
+    return ls, cs
+
+
+def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: int,
+                 cat_block_rows: int | None = None) -> DataFrame:
+    """Top-1 per ``key`` of ``left_kv(key, list_id, embedding)`` against ``cat_kv(id, list_id, embedding)``.
+
+    Co-groups are cut by ``blocked_groups``; each emits only the best
+    catalogue row per left row of its block, and ``max_by`` (partially
+    aggregated before its shuffle) merges the blocks of a key.
+    """
+    if "EvalPython" in left_kv._jdf.queryExecution().executedPlan().toString():
+        # the sizes pass and the main pass would each run the Python step that made the
+        # vectors (embedding, list probing); write them once to the shared folder instead
+        from semjoin.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(left_kv.sparkSession)
+        left_kv = left_kv.checkpoint(eager=True)
+    sides = blocked_groups(left_kv, cat_kv, block_rows, cat_block_rows)
+    if sides is None:
+        return left_kv.sparkSession.createDataFrame([], _BLOCK_OUT)
+    ls, cs = sides
     per_block = (ls.groupBy("list_id", "salt", "block")
                  .cogroup(cs.groupBy("list_id", "salt", "block"))
                  .applyInPandas(_block_kernel(dim), _BLOCK_OUT))
