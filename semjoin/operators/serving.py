@@ -1,20 +1,21 @@
 """Serving queries: listings, bounded recent buffers, statistics, audits and delta feeds.
 
-The recent buffers are "latest N per topic by arrival". They are written as
+The recent buffers are "latest N per topic by arrival" (``operators.topn``):
 ``row_number() <= N`` filters, which Spark turns into a partial
-``WindowGroupLimit`` before the shuffle (N up to
-``spark.sql.optimizer.windowGroupLimitThreshold``): each map task forwards at
-most N rows per topic, so a topic holding most of the log never reaches one
-task whole. Statistics are single-pass global aggregates; combined statistics
+``WindowGroupLimit`` before the shuffle, so each map task forwards at most N
+rows per topic; when ``map tasks x N`` would still be too much for the one
+task ranking a hot topic, a round per group of map partitions comes first.
+A topic holding most of the log never reaches one task whole. Statistics are single-pass global aggregates; combined statistics
 union their inputs and aggregate once instead of joining one-row frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from semjoin.functions.text import iso_timestamp
+from semjoin.operators.topn import top_n_per_key
 
 # Fixed values of the serving layer.
 BUFFER_SIZE = 1000
@@ -50,24 +51,9 @@ def markets_iso(markets: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- recent buffers
 
 def recent_by_topic(arrivals: DataFrame, size: int = BUFFER_SIZE, order_col: str = "arrival") -> DataFrame:
-    """The bounded buffer of each topic: its latest ``size`` items by arrival.
-
-    Up to ``windowGroupLimitThreshold`` Spark limits each topic map-side before
-    the shuffle. Beyond it, a first round keeps the newest ``size`` per
-    (topic, salt) - a hot topic is spread over ``shuffle.partitions`` salts -
-    and the final round ranks at most ``salts x size`` rows per topic.
-    """
+    """The bounded buffer of each topic: its latest ``size`` items by arrival (bounded rows per task)."""
     _check_limit(size)
-    spark = arrivals.sparkSession
-    thr = int(str(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")))
-    w = Window.partitionBy("topic").orderBy(F.desc(order_col))
-    if size > thr:
-        salts = int(str(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-        ws = Window.partitionBy("topic", "_salt").orderBy(F.desc(order_col))
-        arrivals = (arrivals.withColumn("_salt", F.pmod(F.xxhash64(order_col), F.lit(salts)))
-                    .withColumn("_rn", F.row_number().over(ws)).where(F.col("_rn") <= size)
-                    .drop("_rn", "_salt"))
-    return arrivals.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= size).drop("_rn")
+    return top_n_per_key(arrivals, "topic", order_col, size)
 
 
 def recent(arrivals: DataFrame, topic: str, limit: int = DEFAULT_LIST_LIMIT, size: int = BUFFER_SIZE,
@@ -178,5 +164,4 @@ def delta_feed(arrivals: DataFrame, since: DataFrame, max_items: int = DELTA_MAX
     small = since.limit(MAX_BROADCAST_TOPICS + 1).count() <= MAX_BROADCAST_TOPICS
     pos = F.broadcast(since) if small else since
     new = arrivals.join(pos, "topic").where(F.col("arrival") > F.col("last_arrival")).drop("last_arrival")
-    w = Window.partitionBy("topic").orderBy(F.desc("arrival"))
-    return new.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_items).drop("_rn")
+    return top_n_per_key(new, "topic", "arrival", max_items)

@@ -8,15 +8,14 @@ no rows in the batch and sends nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from semjoin.operators.serving import DELTA_MAX_ITEMS
+from semjoin.operators.topn import top_n_per_key
 
 
 def tick(batch: DataFrame, max_items: int = DELTA_MAX_ITEMS, order_col: str = "arrival") -> DataFrame:
-    w = Window.partitionBy("topic").orderBy(F.desc(order_col))
-    return batch.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_items).drop("_rn")
+    return top_n_per_key(batch, "topic", order_col, max_items)
 
 
 def start(stream: DataFrame, sink, checkpoint: str, interval: str = "1 second",

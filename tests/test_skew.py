@@ -101,3 +101,26 @@ def test_dense_index_with_one_partition_holding_a_third(spark):
     idx = [r.i for r in with_dense_index(skewed, "i", materialize=False).select("i").collect()]
     assert sorted(idx) == list(range(3000))
     skewed.unpersist()
+
+
+def test_hot_topic_buffer_ranks_in_bounded_rounds(spark):
+    from semjoin.operators.topn import top_n_per_key
+    # a third of 12,000 arrivals in one topic, over 24 input partitions
+    df = spark.range(0, 12000, numPartitions=24).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % 5).cast("string")))
+         .alias("topic"), F.col("id").alias("arrival"))
+    pdf = df.toPandas()
+    for n, budget in ((40, 300), (1200, 3000)):
+        out = top_n_per_key(df, "topic", "arrival", n, max_task_rows=budget)
+        p = out._jdf.queryExecution().sparkPlan().toString()
+        # a grouping round (partition groups) before the final rank
+        assert "SPARK_PARTITION_ID" in p
+        if n <= 1000:
+            assert "WindowGroupLimit" in p
+        else:
+            assert "MapInPandas" in p
+        got = {}
+        for r in out.collect():
+            got.setdefault(r.topic, []).append(r.arrival)
+        want = {t: sorted(g.arrival.nlargest(n)) for t, g in pdf.groupby("topic")}
+        assert {t: sorted(v) for t, v in got.items()} == want
