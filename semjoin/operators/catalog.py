@@ -45,8 +45,9 @@ def feed_rows(docs: DataFrame, limit: int = DEFAULT_FEED_LIMIT, value_col: str =
            .when(kind.startswith("OBJECT"),
                  F.when(F.map_contains_key(obj, "data"), F.try_variant_get(v, "$.data", "array<variant>"))
                   .otherwise(F.try_variant_get(v, "$.markets", "array<variant>"))))
-    rows = docs.select("*", F.posexplode(F.coalesce(arr, F.array().cast("array<variant>"))).alias("pos", "_m"))
-    rows = rows.where(F.col("pos") < F.lit(limit))
+    # cut the array before exploding it: a huge document never yields more than ``limit`` rows
+    first = F.slice(F.coalesce(arr, F.array().cast("array<variant>")), 1, max(int(limit), 0))
+    rows = docs.select("*", F.posexplode(first).alias("pos", "_m"))
     return rows.withColumn("market", F.try_variant_get(F.col("_m"), "$", "map<string,variant>")).drop("_m", value_col)
 
 
