@@ -26,7 +26,9 @@ order cannot flip two equal candidates.
 
 from __future__ import annotations
 
+import contextlib
 import math
+import threading
 import uuid
 from typing import Iterator
 
@@ -168,6 +170,36 @@ def _broadcast_udf(bc, dim: int):
     return nearest.asNondeterministic()
 
 
+# --------------------------------------------------------------------------- broadcast lifetime
+
+_TRACKING = threading.local()
+
+
+def _track(bc):
+    items = getattr(_TRACKING, "items", None)
+    if items is not None:
+        items.append(bc)
+    return bc
+
+
+@contextlib.contextmanager
+def released_broadcasts():
+    """Broadcasts made by ``nearest`` inside the block are released from the executors when it ends.
+
+    A stream broadcasts the catalogue of every micro-batch; without this the
+    copies stay on the executors until a driver GC lets Spark's cleaner find
+    them. Only use it around work whose DataFrames are not executed again.
+    """
+    prev = getattr(_TRACKING, "items", None)
+    _TRACKING.items = []
+    try:
+        yield
+    finally:
+        for bc in _TRACKING.items:
+            bc.unpersist(blocking=False)
+        _TRACKING.items = prev
+
+
 # --------------------------------------------------------------------------- catalogue preparation
 
 def usable_catalogue(catalogue: DataFrame, dim: int, id_col: str = "id",
@@ -249,7 +281,7 @@ def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
     mat = np.asarray(flat, dtype=np.float32).reshape(len(ids), dim)
     order = np.argsort(ids, kind="stable")      # ascending ids: argmax then prefers the lowest id
     ids, mat = ids[order], mat[order]
-    bc = left.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ids, mat))
+    bc = _track(left.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ids, mat)))
     udf = _broadcast_udf(bc, dim)
     m = udf(F.col(vector))
     return (left.withColumn("_m", m)
@@ -388,7 +420,7 @@ def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, c
     from pyspark.ml.functions import array_to_vector
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
     ck = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding")
-    bc = left.sparkSession.sparkContext.broadcast(centers)
+    bc = _track(left.sparkSession.sparkContext.broadcast(centers))
     lk = (left.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("embedding"))
           .withColumn("list_id", F.explode(_probe_udf(bc, nprobe, dim)(F.col("embedding"))))
           .select("key", "list_id", "embedding"))

@@ -39,17 +39,19 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
         # the catalogue as it is now, read once for this batch (size-checked inside the matcher)
         catalogue = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        processed = process_batch(batch, batch_id, embedder=embedder, catalogue=catalogue, dim=dim,
-                                  threshold=threshold, **match_opts)
-        processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            S.append_news(processed, out_root, batch_id, now())
-            pub = P.payloads(processed).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            S.write_batch(pub, f"{out_root}/published")
-        finally:
-            processed.unpersist()
-            batch.unpersist()
-            catalogue.unpersist()
+        # the catalogue matrix broadcast for this batch is released with the batch
+        with M.released_broadcasts():
+            processed = process_batch(batch, batch_id, embedder=embedder, catalogue=catalogue, dim=dim,
+                                      threshold=threshold, **match_opts)
+            processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                S.append_news(processed, out_root, batch_id, now())
+                pub = P.payloads(processed).withColumn("batch_id", F.lit(batch_id).cast("long"))
+                S.write_batch(pub, f"{out_root}/published")
+            finally:
+                processed.unpersist()
+                batch.unpersist()
+                catalogue.unpersist()
     return write
 
 

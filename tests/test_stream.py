@@ -126,3 +126,24 @@ def test_supervised_stream_restarts_after_failure(spark):
     supervise(start, retry_seconds=0.1, max_restarts=2)
     got = spark.read.parquet(out)
     assert got.count() == 300 and got.select("value").distinct().count() == 300
+
+
+def test_batch_broadcasts_are_released(spark):
+    import numpy as np
+    from semjoin.operators import match as M
+    rng = np.random.default_rng(0)
+    cat = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(20)],
+                                "id long, embedding array<float>")
+    news = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(50)],
+                                 "news_id long, embedding array<float>")
+    made = []
+    real = M._track
+    M._track = lambda bc: made.append(bc) or real(bc)
+    try:
+        with M.released_broadcasts():
+            n = M.nearest(news, cat, dim=4, threshold=None).where("matched_market_id IS NOT NULL").count()
+    finally:
+        M._track = real
+    assert n == 50 and len(made) == 1
+    # unpersisted, not destroyed: a later use re-fetches the value from the driver
+    assert made[0].value[1].shape == (20,)
