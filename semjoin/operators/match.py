@@ -50,9 +50,11 @@ TIE_DECIMALS = 12
 # Operational bounds (ours).
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024   # catalogue matrix shipped to executors
 SIM_CHUNK_CELLS = 1 << 24                     # rows x catalogue cells per matrix product
-BLOCK_ROWS = 20000                            # left rows in one co-group of the blocked path
-CAT_BLOCK_ROWS = 100000                       # catalogue rows in one co-group (left rows are copied
-                                              # once per catalogue block: keep blocks large)
+# A co-group of the blocked path holds at most BLOCK_ROWS + CAT_BLOCK_ROWS rows. Its shuffle
+# moves n_left * n_cat * (1 / CAT_BLOCK_ROWS + 1 / BLOCK_ROWS) rows for a large list, least
+# when the two are equal; a small list gives its unused catalogue allowance to the left side.
+BLOCK_ROWS = 60000                            # left rows in one co-group
+CAT_BLOCK_ROWS = 60000                        # catalogue rows in one co-group
 
 MATCH_TYPE = T.StructType([
     T.StructField("market_id", T.LongType()),
@@ -318,15 +320,29 @@ def blocked_groups(left_kv: DataFrame, cat_kv: DataFrame, block_rows: int,
                    cat_block_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
     """The two keyed sides of the blocked co-group, or None when no list has rows on both sides.
 
-    Per list, the left rows are split into ``S = ceil(n_left / block_rows)``
-    salts and the catalogue rows into ``B = ceil(n_cat / cat_block_rows)`` blocks;
-    left rows are repeated over the B blocks and catalogue rows over the S
-    salts, so every co-group ``(list_id, salt, block)`` holds about
-    ``block_rows`` left rows and ``cat_block_rows`` catalogue rows at most, no
-    matter how hot a list is. The per-list sizes have one row per list
-    (bounded by ``nlist``); they are the only thing fetched to the driver.
+    Per list, the catalogue rows are split into ``B = ceil(n_cat / cat_block_rows)``
+    blocks and the left rows into ``S`` salts; left rows are repeated over the
+    B blocks and catalogue rows over the S salts, so every co-group
+    ``(list_id, salt, block)`` holds at most about ``block_rows +
+    cat_block_rows`` rows, no matter how hot a list is. The shuffle moves
+    ``n_left x B + n_cat x S`` rows, so a list whose blocks do not fill the
+    catalogue allowance gives the rest to its left side (fewer salts, fewer
+    catalogue copies): ``S = ceil(n_left / (block_rows + cat_block_rows -
+    ceil(n_cat / B)))``, raised where needed so that there are at least as many
+    co-groups as task slots (each list gets its share by size). The per-list
+    sizes have one row per list (bounded by ``nlist``); they are the only thing
+    fetched to the driver.
     """
-    cat_block_rows = cat_block_rows or max(block_rows, CAT_BLOCK_ROWS)
+    cat_block_rows = cat_block_rows or CAT_BLOCK_ROWS
+    slots = left_kv.sparkSession.sparkContext.defaultParallelism
+
+    def blocks_and_salts(n_left: int, n_cat: int, left_total: int) -> tuple[int, int]:
+        b = max(1, math.ceil(n_cat / cat_block_rows))
+        left_rows = block_rows + cat_block_rows - math.ceil(n_cat / b)
+        by_size = math.ceil(n_left / left_rows)
+        by_slots = math.ceil(slots * n_left / max(1, left_total) / b)
+        return b, max(1, by_size, min(by_slots, n_left))
+
     nl = left_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_left"))
     nc = cat_kv.groupBy("list_id").agg(F.count(F.lit(1)).alias("n_cat"))
     # one row per list present on both sides: bounded by nlist, so it is fetched and
@@ -334,8 +350,10 @@ def blocked_groups(left_kv: DataFrame, cat_kv: DataFrame, block_rows: int,
     sizes = nl.join(nc, "list_id").collect()
     if not sizes:
         return None
-    s_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_left / block_rows)))])
-    b_map = F.create_map(*[F.lit(x) for r in sizes for x in (int(r.list_id), max(1, math.ceil(r.n_cat / cat_block_rows)))])
+    left_total = sum(int(r.n_left) for r in sizes)
+    plan = {int(r.list_id): blocks_and_salts(int(r.n_left), int(r.n_cat), left_total) for r in sizes}
+    s_map = F.create_map(*[F.lit(x) for lid, (_b, sl) in plan.items() for x in (lid, sl)])
+    b_map = F.create_map(*[F.lit(x) for lid, (bl, _s) in plan.items() for x in (lid, bl)])
     S, B = F.element_at(s_map, F.col("list_id")), F.element_at(b_map, F.col("list_id"))
     ls = (left_kv.where(F.map_contains_key(s_map, F.col("list_id")))
           .withColumn("salt", F.pmod(F.xxhash64("key"), S).cast("int"))

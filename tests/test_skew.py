@@ -47,6 +47,13 @@ def test_hot_list_cogroups_are_bounded(spark):
     assert {r.list_id: r["count"] for r in pairs} == want
     # S salts for the hot list: ceil(2000 / 250)
     assert ls.where("list_id = 0").select("salt").distinct().count() == math.ceil(2000 / block_rows)
+    # a list whose catalogue fits one block gives the unused allowance to its left rows: no salting,
+    # so its catalogue rows are not copied
+    assert ls.where("list_id = 2").select("salt").distinct().count() == 1
+    assert cs.where("list_id = 2").count() == 50
+    both = (ls.groupBy(keys).count().withColumnRenamed("count", "nl")
+            .join(cs.groupBy(keys).count().withColumnRenamed("count", "nc"), keys))
+    assert both.agg(F.max(F.col("nl") + F.col("nc"))).first()[0] <= 1.5 * (block_rows + cat_block_rows)
 
 
 def test_single_hot_list_blocked_equals_brute_force(spark):
