@@ -34,6 +34,8 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,26 @@ def _stack(vectors, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return out, ok
 
 
+def _stack_arrow(arr, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrow list array -> (unit rows float64, valid mask), read from the flat value buffer."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    n = len(arr)
+    lengths = pc.fill_null(pc.list_value_length(arr), -1).to_numpy(zero_copy_only=False)
+    ok = lengths == dim
+    out = np.zeros((n, dim), dtype=np.float64)
+    if ok.any():
+        rows = arr if ok.all() else arr.filter(pa.array(ok))
+        out[ok] = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    finite = np.isfinite(out).all(axis=1)
+    out[~finite] = 0.0
+    norms = np.linalg.norm(out, axis=1)
+    ok &= finite & (norms > 0)
+    out[ok] /= norms[ok, None]
+    out[~ok] = 0.0
+    return out, ok
+
+
 # A float32 product of unit vectors is within ~dim * 6e-8 of the exact value; every
 # catalogue row scoring within RESCORE_MARGIN of a row's float32 maximum is rescored
 # exactly in float64, so the answer equals the exact one (margin covers dim <= 10k).
@@ -418,16 +440,19 @@ def train_lists(cat: DataFrame, nlist: int, seed: int = 7):
 
 
 def _probe_udf(bc, nprobe: int, dim: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def probe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Arrow UDF: the ``nprobe`` closest lists of each vector (ties: lower list id); NULL for unusable vectors."""
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def probe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cents = bc.value.astype(np.float64)
         cents /= np.maximum(np.linalg.norm(cents, axis=1, keepdims=True), 1e-300)
+        k = min(nprobe, cents.shape[0])
         for vs in batches:
-            x, ok = _stack(vs.to_numpy(), dim)
-            sims = x @ cents.T
-            k = min(nprobe, cents.shape[0])
-            order = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-            yield pd.Series([list(map(int, r)) if o else None for r, o in zip(order, ok)])
+            x, ok = _stack_arrow(vs, dim)
+            order = np.argsort(-(x @ cents.T), axis=1, kind="stable")[:, :k]
+            offsets = np.zeros(len(ok) + 1, dtype=np.int32)
+            offsets[1:] = np.cumsum(np.where(ok, k, 0))
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[ok].ravel().astype(np.int32)),
+                                           mask=pa.array(~ok))
     return probe
 
 

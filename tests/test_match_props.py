@@ -100,3 +100,15 @@ def test_near_ties_resolved_exactly(spark):
     for strategy in ("broadcast", "blocked"):
         got = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy=strategy, block_rows=16, cat_block_rows=7))
         assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}, strategy
+
+
+def test_arrow_and_pandas_stacking_agree_on_edge_rows():
+    import pyarrow as pa
+    rows = [[1.0, 2.0, 2.0], None, [0.0, 0.0, 0.0], [1.0, 2.0], [float("nan"), 1.0, 1.0], [3.0, 0.0, 4.0],
+            [1.0, None, 1.0]]
+    arr = pa.array(rows, type=pa.list_(pa.float32()))
+    xa, oka = M._stack_arrow(arr, 3)
+    xp, okp = M._stack(np.array([None if r is None else np.array(r, dtype=np.float32) for r in rows],
+                                dtype=object), 3)
+    assert oka.tolist() == okp.tolist() == [True, False, False, False, False, True, False]
+    assert np.allclose(xa, xp)
