@@ -248,16 +248,22 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
             nlist: int = DEFAULT_NLIST, nprobe: int = DEFAULT_NPROBE, seed: int = 7,
             block_rows: int = BLOCK_ROWS, cat_block_rows: int | None = None,
-            n_rows: int | None = None) -> DataFrame:
+            n_rows: int | None = None, prepared: PreparedCatalogue | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
 
     ``threshold`` is inclusive and applied after top-1; ``None`` keeps every
     top-1. ``key`` must be unique in ``left`` for the ``blocked``/``ivf``
     strategies (they join the result back on it). ``n_rows`` is the usable
-    catalogue size when the caller already measured it (``catalogue_profile``).
+    catalogue size when the caller already measured it (``catalogue_profile``);
+    ``prepared`` (from ``prepare_catalogue`` on this same catalogue) also reuses
+    its broadcast matrix.
     """
     cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
     collected = None
+    if prepared is not None:
+        n_rows = prepared.n_rows
+        if strategy in ("auto", "broadcast") and prepared.bc is not None:
+            return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
     if strategy == "auto":
         if n_rows is None:
             # one job both checks and collects: never more than the budget reaches the driver
@@ -277,11 +283,16 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
         out = _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    if threshold is not None:
-        keep = F.col("match_score") >= F.lit(float(threshold))
-        out = (out.withColumn("matched_market_id", F.when(keep, F.col("matched_market_id")))
-                  .withColumn("match_score", F.when(keep, F.col("match_score"))))
-    return out
+    return _threshold(out, threshold)
+
+
+def _threshold(out: DataFrame, threshold: float | None) -> DataFrame:
+    """Inclusive threshold applied after top-1: a best match below it becomes no match."""
+    if threshold is None:
+        return out
+    keep = F.col("match_score") >= F.lit(float(threshold))
+    return (out.withColumn("matched_market_id", F.when(keep, F.col("matched_market_id")))
+               .withColumn("match_score", F.when(keep, F.col("match_score"))))
 
 
 def _no_match(left: DataFrame) -> DataFrame:
@@ -300,20 +311,56 @@ def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
         if catalogue_bytes(n, dim) > max_broadcast_bytes:
             raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
     tbl = collected if collected is not None else cat.toArrow()
+    return _apply_broadcast(left, _broadcast_matrix(left.sparkSession, tbl, dim), dim, vector)
+
+
+def _broadcast_matrix(spark, tbl, dim: int):
+    """Broadcast ``(token, ids ascending, float32 matrix)`` of a collected (size-checked) catalogue."""
     ids = tbl.column("id").to_numpy().astype(np.int64)
     flat = tbl.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     mat = np.asarray(flat, dtype=np.float32).reshape(len(ids), dim)
     order = np.argsort(ids, kind="stable")      # ascending ids: argmax then prefers the lowest id
-    ids, mat = ids[order], mat[order]
-    bc = _track(left.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ids, mat)))
-    udf = _broadcast_udf(bc, dim)
-    m = udf(F.col(vector))
+    return _track(spark.sparkContext.broadcast((uuid.uuid4().hex, ids[order], mat[order])))
+
+
+def _apply_broadcast(left: DataFrame, bc, dim: int, vector: str) -> DataFrame:
+    m = _broadcast_udf(bc, dim)(F.col(vector))
     return (left.withColumn("_m", m)
                 .withColumn("matched_market_id", F.col("_m.market_id"))
                 .withColumn("match_score", F.col("_m.similarity"))
                 .drop("_m"))
 
 
+class PreparedCatalogue:
+    """A catalogue measured once and, within the budget, broadcast once.
+
+    Reusable for as long as the catalogue it was made from does not change
+    (a stream keeps one per catalogue version instead of collecting and
+    broadcasting the matrix again for every micro-batch). ``release()``
+    removes the executor copies.
+    """
+
+    def __init__(self, n_rows: int, text_bytes: int, bc=None):
+        self.n_rows, self.text_bytes, self.bc = n_rows, text_bytes, bc
+
+    def release(self) -> None:
+        if self.bc is not None:
+            self.bc.unpersist(blocking=False)
+
+
+def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      cat_id: str = "id", cat_vector: str = "embedding") -> PreparedCatalogue:
+    """Profile the catalogue (usable rows, enrich text bytes) and broadcast its matrix when it fits."""
+    n, text_bytes = catalogue_profile(catalogue, dim, cat_vector)
+    bc = None
+    if 0 < n and catalogue_bytes(n, dim) <= max_broadcast_bytes:
+        cap = max_broadcast_bytes // catalogue_bytes(1, dim)
+        tbl = usable_catalogue(catalogue, dim, cat_id, cat_vector).limit(cap + 1).toArrow()
+        if catalogue_bytes(tbl.num_rows, dim) <= max_broadcast_bytes:
+            bc = _broadcast_matrix(catalogue.sparkSession, tbl, dim)
+    return PreparedCatalogue(n, text_bytes, bc)
+
+
 # ----------------------------------------------------------- blocked co-group (exact beyond the bound, and IVF)
 
 _BLOCK_OUT = "key long, market_id long, similarity double"

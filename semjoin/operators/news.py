@@ -96,15 +96,21 @@ def store_status(df: DataFrame) -> DataFrame:
 
 
 def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, threshold: float,
-            key: str = "msg_id", value_col: str = "value", **match_opts) -> DataFrame:
+            key: str = "msg_id", value_col: str = "value", prepared=None, **match_opts) -> DataFrame:
     """parse -> normalise -> embed -> match -> enrich -> status, one DataFrame per batch.
 
-    ``catalogue`` (id, slug, question, embedding) is profiled once; callers
-    running several actions should persist it for the duration of the batch.
+    ``catalogue`` (id, slug, question, embedding) is profiled once - or not at
+    all when ``prepared`` (``match.prepare_catalogue`` of this catalogue) is
+    given; callers running several actions should persist it for the
+    duration of the batch.
     """
     from semjoin.operators import match as M
-    n, text_bytes = M.catalogue_profile(catalogue, dim)
+    if prepared is None:
+        n, text_bytes = M.catalogue_profile(catalogue, dim)
+    else:
+        n, text_bytes = prepared.n_rows, prepared.text_bytes
     parsed = normalize_news(parse_news(raw, value_col))
     emb = embed_news(parsed, embedder)
-    matched = M.nearest(emb, catalogue, dim=dim, key=key, threshold=threshold, n_rows=n, **match_opts)
+    matched = M.nearest(emb, catalogue, dim=dim, key=key, threshold=threshold, n_rows=n, prepared=prepared,
+                        **match_opts)
     return store_status(M.enrich(matched, catalogue, text_bytes=text_bytes))

@@ -735,9 +735,13 @@ def _run_stream(spark, sf):
     cat_path = f"{base_dir}/catalogue"
     _hash_catalogue(spark, sf).write.parquet(cat_path)
     stream = SRC.read_message_files(spark, inbox, stream=True, max_files_per_trigger=1)
+    # written once, so its version never changes: measured and broadcast once for all batches
     q = JOB.start(stream, out, ckpt, embedder=_embedder(), load_catalogue=lambda: spark.read.parquet(cat_path),
-                  dim=FX_DIM, threshold=FX_THRESHOLD, now=lambda: FX_NOW)
-    q.awaitTermination()
+                  catalogue_version=lambda: cat_path, dim=FX_DIM, threshold=FX_THRESHOLD, now=lambda: FX_NOW)
+    try:
+        q.awaitTermination()
+    finally:
+        q.release_catalogue()
     return out
 
 

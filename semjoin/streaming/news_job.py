@@ -11,7 +11,7 @@ returns) leaves exactly one copy: at-least-once delivery, exactly-once tables.
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Callable
+from typing import Callable, Hashable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -32,17 +32,47 @@ def process_batch(batch: DataFrame, batch_id: int, *, embedder, catalogue: DataF
 
 
 def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], DataFrame], dim: int,
-                      threshold: float, now: Callable[[], _dt.datetime] | None = None, **match_opts):
+                      threshold: float, now: Callable[[], _dt.datetime] | None = None,
+                      catalogue_version: Callable[[], Hashable] | None = None, **match_opts):
+    """The ``foreachBatch`` function.
+
+    Without ``catalogue_version`` every batch reads, measures and broadcasts
+    the catalogue afresh. With it (e.g. the latest committed version of a
+    versioned catalogue table), the catalogue - persisted, measured and its
+    matrix broadcast - is kept while the version is unchanged and replaced
+    when it changes, so a batch still sees the catalogue as it is when the
+    batch starts but the driver no longer collects it every batch.
+    """
     now = now or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+    held: dict = {}
+    budget = match_opts.get("max_broadcast_bytes", M.DEFAULT_BROADCAST_BYTES)
+
+    def current_catalogue():
+        version = catalogue_version()
+        if held.get("version", _NONE) != version:
+            release_held()
+            cat = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK)
+            held.update(version=version, catalogue=cat, prepared=M.prepare_catalogue(cat, dim, budget))
+        return held["catalogue"], held["prepared"]
+
+    def release_held():
+        if "catalogue" in held:
+            held["prepared"].release()
+            held["catalogue"].unpersist()
+        held.clear()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # the catalogue as it is now, read once for this batch (size-checked inside the matcher)
-        catalogue = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK)
+        own = catalogue_version is None
+        if not own:
+            catalogue, prepared = current_catalogue()      # kept across batches: made outside the release block
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        # the catalogue matrix broadcast for this batch is released with the batch
+        # broadcasts made for this batch alone are released with the batch
         with M.released_broadcasts():
+            if own:
+                # the catalogue as it is now, read once for this batch (size-checked inside the matcher)
+                catalogue, prepared = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK), None
             processed = process_batch(batch, batch_id, embedder=embedder, catalogue=catalogue, dim=dim,
-                                      threshold=threshold, **match_opts)
+                                      threshold=threshold, prepared=prepared, **match_opts)
             processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 S.append_news(processed, out_root, batch_id, now())
@@ -51,15 +81,23 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
             finally:
                 processed.unpersist()
                 batch.unpersist()
-                catalogue.unpersist()
+                if own:
+                    catalogue.unpersist()
+    write.release = release_held
     return write
 
 
+_NONE = object()
+
+
 def start(stream: DataFrame, out_root: str, checkpoint: str, *, embedder, load_catalogue, dim: int,
-          threshold: float = M.DEFAULT_THRESHOLD, trigger: dict | None = None, now=None, **match_opts):
+          threshold: float = M.DEFAULT_THRESHOLD, trigger: dict | None = None, now=None,
+          catalogue_version=None, **match_opts):
     """Start the job; ``trigger`` defaults to ``availableNow`` (process what is there, then stop)."""
     writer = make_batch_writer(out_root, embedder=embedder, load_catalogue=load_catalogue, dim=dim,
-                               threshold=threshold, now=now, **match_opts)
+                               threshold=threshold, now=now, catalogue_version=catalogue_version, **match_opts)
     w = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    q = w.start()
+    q.release_catalogue = writer.release     # drop the held catalogue once the query has ended
+    return q

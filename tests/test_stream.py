@@ -147,3 +147,45 @@ def test_batch_broadcasts_are_released(spark):
     assert n == 50 and len(made) == 1
     # unpersisted, not destroyed: a later use re-fetches the value from the driver
     assert made[0].value[1].shape == (20,)
+
+
+def test_catalogue_held_per_version_matches_fresh_reads(spark):
+    """With ``catalogue_version`` the matrix is broadcast once per version, and the output is unchanged."""
+    from pyspark.sql import functions as F
+
+    from semjoin.operators import match as M
+    base = shared_dir(spark, "test-stream-held")
+    inbox = f"{base}/inbox"
+    SRC.write_message_files(X.fx_raw(spark, SMALL).repartition(4, "msg_id").select("value"), inbox)
+    cat_all = f"{base}/cat"
+    R._hash_catalogue(spark, SMALL).write.parquet(cat_all)
+    # the catalogue changes once: batches 0-1 see version 1 (all but every 4th market), 2-3 version 2
+    seen = {"batches": 0}
+    versions = {1: spark.read.parquet(cat_all).where(F.col("id") % 4 != 0), 2: spark.read.parquet(cat_all)}
+
+    def version():
+        return 1 if seen["batches"] < 2 else 2
+
+    kw = dict(embedder=R._embedder(), dim=X.FX_DIM, threshold=X.FX_THRESHOLD, now=lambda: dt.datetime(2024, 2, 1))
+    made = []
+    real = M._track
+    M._track = lambda bc: made.append(bc) or real(bc)
+    try:
+        outs = {}
+        for mode in ("fresh", "held"):
+            out = f"{base}/{mode}"
+            writer = JOB.make_batch_writer(out, load_catalogue=lambda: versions[version()],
+                                           catalogue_version=version if mode == "held" else None, **kw)
+            seen["batches"] = 0
+            made.clear()
+            for i, f in enumerate(sorted(spark.read.text(inbox).inputFiles())):
+                writer(spark.read.text(f), i)
+                seen["batches"] += 1
+            writer.release()
+            outs[mode] = (sorted(spark.read.parquet(f"{out}/published").select("value", "batch_id").collect()),
+                          len(made))
+    finally:
+        M._track = real
+    assert outs["fresh"][0] == outs["held"][0] and len(outs["fresh"][0]) > 0
+    assert outs["fresh"][1] == 4          # one broadcast per batch
+    assert outs["held"][1] == 2           # one per catalogue version
