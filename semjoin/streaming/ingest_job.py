@@ -58,3 +58,31 @@ def start(stream: DataFrame, root: str, checkpoint: str, *, embedder, trigger: d
     w = stream.writeStream.foreachBatch(make_batch_writer(root, embedder=embedder, **kw))
     w = w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+class StoredCatalogue:
+    """What the news job matches against: open markets with vectors, as the ingest last committed them.
+
+    ``version()`` reports the latest committed (markets, vectors) versions and
+    ``load()`` reads exactly the versions last reported, so a commit landing
+    between the two calls cannot make the held catalogue disagree with its
+    version. Use as ``news_job.start(..., load_catalogue=c.load, catalogue_version=c.version)``.
+    """
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root
+        self._seen = None
+
+    def version(self):
+        self._seen = (TB.latest_version(self.spark, f"{self.root}/markets"),
+                      TB.latest_version(self.spark, f"{self.root}/market_embeddings"))
+        return self._seen
+
+    def load(self) -> DataFrame:
+        from semjoin.operators import match as M
+        mv, vv = self._seen if self._seen is not None else self.version()
+        markets = (TB.read_latest(self.spark, f"{self.root}/markets", MARKETS_SCHEMA, at_most=mv)
+                   if mv is not None else self.spark.createDataFrame([], MARKETS_SCHEMA))
+        vectors = (TB.read_latest(self.spark, f"{self.root}/market_embeddings", VECTORS_SCHEMA, at_most=vv)
+                   if vv is not None else self.spark.createDataFrame([], VECTORS_SCHEMA))
+        return M.match_catalogue(markets, vectors).select("id", "slug", "question", "embedding")

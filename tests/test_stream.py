@@ -189,3 +189,37 @@ def test_catalogue_held_per_version_matches_fresh_reads(spark):
     assert outs["fresh"][0] == outs["held"][0] and len(outs["fresh"][0]) > 0
     assert outs["fresh"][1] == 4          # one broadcast per batch
     assert outs["held"][1] == 2           # one per catalogue version
+
+
+def test_stored_catalogue_loads_the_version_it_reported(spark):
+    from pyspark.sql import functions as F
+
+    from semjoin.operators import catalog as C
+    from semjoin.operators import match as M
+    from semjoin.sources import tables as TB
+    from semjoin.streaming import ingest_job as INGEST
+
+    root = shared_dir(spark, "test-stored-cat")
+    rows = X.fx_market_rows(spark, SMALL).select(*C.MARKET_COLUMNS)
+    vecs = X.fx_market_embeddings(spark, SMALL).select(F.col("market_id").alias("id"), "market_id", "embedding",
+                                                       "created_at")
+    TB.write_version(rows, f"{root}/markets", 0)
+    TB.write_version(vecs, f"{root}/market_embeddings", 0)
+    cat = INGEST.StoredCatalogue(spark, root)
+    assert cat.version() == (0, 0)
+    want0 = M.match_catalogue(rows, vecs).count()
+    # a commit lands between version() and load(): load() still reads what version() reported
+    TB.write_version(rows.where(F.col("id") % 2 == 0), f"{root}/markets", 1)
+    assert cat.load().count() == want0 > 0
+    assert cat.version() == (1, 0)
+    assert cat.load().count() == M.match_catalogue(rows.where(F.col("id") % 2 == 0), vecs).count() < want0
+
+    # end to end: the news job matches against the stored catalogue, held per version
+    out = f"{root}/news-out"
+    writer = JOB.make_batch_writer(out, embedder=R._embedder(), load_catalogue=cat.load,
+                                   catalogue_version=cat.version, dim=X.FX_DIM, threshold=0.0,
+                                   now=lambda: dt.datetime(2024, 2, 1))
+    writer(X.fx_raw(spark, SMALL).select("value"), 0)
+    writer.release()
+    matched = spark.read.parquet(f"{out}/published").count()
+    assert matched > 0
