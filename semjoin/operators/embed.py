@@ -14,6 +14,7 @@ failures turned into NULL vectors.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import Callable, Iterator
 
 import numpy as np
@@ -88,16 +89,31 @@ def _hash_vectors_udf(dim: int):
     """
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def hash_vectors(texts: pa.Array) -> pa.Array:
-        cache = _BUCKETS.setdefault(dim, {})
-        if len(cache) > _TOKEN_CACHE_MAX:
-            cache.clear()
-        return _bucket_vectors(texts, dim, cache)
+        return _bucket_vectors(texts, dim, _bucket_cache(dim))
     # Marked non-deterministic only to stop Catalyst from inlining the call into
     # pushed-down filters (which would evaluate it twice); the result is deterministic.
     return hash_vectors.asNondeterministic()
 
 
-_BUCKETS: dict = {}
+# Per Python worker caches. UDF closures reach them only through the module-level functions
+# below: those are pickled by reference, so every task in a reused worker finds the same dict
+# (a closure naming the dict directly would ship an empty copy with every task).
+_BUCKETS: dict = {}    # dim -> token -> bucket
+_MODELS: dict = {}     # embedder token -> loaded encode function
+
+
+def _bucket_cache(dim: int) -> dict:
+    cache = _BUCKETS.setdefault(dim, {})
+    if len(cache) > _TOKEN_CACHE_MAX:
+        cache.clear()
+    return cache
+
+
+def _loaded_model(token: str, load: Callable[[], Callable[[list], np.ndarray]]):
+    encode = _MODELS.get(token)
+    if encode is None:
+        encode = _MODELS[token] = load()
+    return encode
 
 
 class HashEmbedder:
@@ -123,11 +139,12 @@ class ModelEmbedder:
                  batch_size: int = MAX_BATCH_TEXTS, timeout_s: float | None = None):
         self.dim, self.batch_size = dim, batch_size
         load_fn, size, limit = load, batch_size, timeout_s
+        token = uuid.uuid4().hex     # identifies this embedder's model in a reused Python worker
 
         @F.pandas_udf(T.ArrayType(T.FloatType()))
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             import concurrent.futures as cf
-            encode = load_fn()
+            encode = _loaded_model(token, load_fn)
             pool = cf.ThreadPoolExecutor(max_workers=1) if limit else None
 
             def call(texts):

@@ -48,3 +48,22 @@ def test_model_embedder_timeout(spark):
     emb = EMB.ModelEmbedder(_loader(), dim=2, batch_size=3, timeout_s=0.5)
     got = {r.id: r.v for r in _texts(spark, ["ok", "slow one"]).select("id", emb(F.col("text")).alias("v")).collect()}
     assert got[0] == [2.0, 1.0] and got[1] is None
+
+
+def test_model_loads_once_per_python_worker(spark):
+    import uuid
+    var = "SJ_TEST_MODEL_LOADS_" + uuid.uuid4().hex
+
+    def load():
+        import os
+        n = int(os.environ.get(var, "0")) + 1
+        os.environ[var] = str(n)
+        pid = float(os.getpid())
+        return lambda texts: [[float(n), pid] for _ in texts]
+
+    emb = EMB.ModelEmbedder(load, dim=2, batch_size=10)
+    texts = spark.range(0, 4000, numPartitions=16).select(F.col("id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    got = [r.v for r in texts.select(emb(F.col("text")).alias("v")).collect()]
+    assert len(got) == 4000 and all(v is not None for v in got)
+    # every vector was made by a worker that had loaded the model exactly once
+    assert {v[0] for v in got} == {1.0}
