@@ -112,10 +112,15 @@ def _bucket_cache(dim: int) -> dict:
 def _loaded_model(token: str, load: Callable[[], Callable[[list], np.ndarray]]):
     encode = _MODELS.get(token)
     if encode is None:
+        while len(_MODELS) >= _MAX_MODELS:          # oldest first (dicts keep insertion order)
+            _MODELS.pop(next(iter(_MODELS)))
         encode = _MODELS[token] = load()
     return encode
 
 
+_MAX_MODELS = 2     # ours: models one Python worker keeps loaded
+
+
 class HashEmbedder:
     """Deterministic bag-of-tokens embedder; a text without tokens gets NULL."""
 
