@@ -462,6 +462,20 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     return best.select("key", F.col("b.market_id").alias("market_id"), F.col("b.similarity").alias("similarity"))
 
 
+def _materialized(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder when its plan runs a Python step.
+
+    The blocked and IVF paths read their left side several times (list sizes,
+    the co-group, the join back); without this each pass would run the
+    embedding (and list probing) again.
+    """
+    if "EvalPython" not in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    from semjoin.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
     best = best.select(F.col("key").alias(key), F.col("market_id").alias("matched_market_id"),
                        F.col("similarity").alias("match_score"))
@@ -469,6 +483,7 @@ def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
 
 
 def _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows=None):
+    left = _materialized(left)
     lk = left.select(F.col(key).cast("long").alias("key"), F.lit(0).alias("list_id"),
                      F.col(vector).alias("embedding")).where(F.col("embedding").isNotNull())
     ck = cat.select("id", F.lit(0).alias("list_id"), "embedding")
@@ -511,10 +526,11 @@ def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, c
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
     ck = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding")
     bc = _track(left.sparkSession.sparkContext.broadcast(centers))
-    lk = (left.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("embedding"))
-          .withColumn("list_id", F.explode(_probe_udf(bc, nprobe, dim)(F.col("embedding"))))
-          .select("key", "list_id", "embedding"))
-    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
+    # embedding and probing run once: every later pass reads the materialised rows
+    probed = _materialized(left.withColumn("_lists", _probe_udf(bc, nprobe, dim)(F.col(vector))))
+    lk = (probed.select(F.col(key).cast("long").alias("key"), F.explode("_lists").alias("list_id"),
+                        F.col(vector).alias("embedding")))
+    return _join_back(probed.drop("_lists"), blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
 
 
 # --------------------------------------------------------------------------- catalogue views

@@ -112,3 +112,29 @@ def test_arrow_and_pandas_stacking_agree_on_edge_rows():
                                 dtype=object), 3)
     assert oka.tolist() == okp.tolist() == [True, False, False, False, False, True, False]
     assert np.allclose(xa, xp)
+
+
+@pytest.mark.parametrize("strategy", ["blocked", "ivf"])
+def test_python_vector_step_runs_once_per_row(spark, tmp_path, strategy):
+    """The blocked and IVF paths read their left side several times; the embedding must not rerun."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    marks = str(tmp_path)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def vec(ids: pd.Series) -> pd.Series:
+        import os
+        import uuid
+        with open(os.path.join(marks, uuid.uuid4().hex), "w") as f:
+            f.write(str(len(ids)))
+        return pd.Series([np.random.default_rng(int(i)).normal(size=DIM).astype("float32") for i in ids])
+
+    news = spark.range(0, 600, numPartitions=3).withColumnRenamed("id", "news_id") \
+        .withColumn("embedding", vec(F.col("news_id")))
+    _n, cat, *_ = _frames(spark, 3)
+    kw = dict(nlist=3, nprobe=3) if strategy == "ivf" else {}
+    out = M.nearest(news, cat, dim=DIM, threshold=None, strategy=strategy, block_rows=100, cat_block_rows=40, **kw)
+    out.write.format("noop").mode("overwrite").save()
+    evaluated = sum(int(p.read_text()) for p in tmp_path.iterdir())
+    assert evaluated == 600
