@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from semjoin.functions.jsonio import truthy_text, variant_bool
 from semjoin.operators.ids import with_dense_index
+from semjoin.operators.partitioning import materialize_python
 
 # Fixed value: rows taken from one feed fetch.
 DEFAULT_FEED_LIMIT = 20
@@ -110,7 +111,9 @@ def upsert_markets(current: DataFrame, staged: DataFrame, now, order: list[str]
     order = order or ["pos"]
     now_c = F.lit(now).cast("timestamp_ntz")
     ok = staged.where(F.col("status") == ST_OK)
-    last = _last_per_key(ok, "slug", order, ["question", "is_resolved", "source"])
+    # one row per slug; materialised when the feed was embedded on the way in, so the passes
+    # below (join, the new-key sort's sampling, numbering) do not embed it again
+    last = materialize_python(_last_per_key(ok, "slug", order, ["question", "is_resolved", "source"]))
     cur = current.select(*MARKET_COLUMNS)
     j = cur.alias("c").join(last.alias("n"), F.col("c.slug") == F.col("n.slug"), "full_outer")
     kept = j.where(F.col("c.id").isNotNull()).select(
@@ -150,7 +153,8 @@ def run_ingest(spark: SparkSession, docs: DataFrame, markets: DataFrame, vectors
                now: _dt.datetime, limit: int = DEFAULT_FEED_LIMIT, source_tag: str = DEFAULT_SOURCE_TAG,
                order: list[str] | None = None):
     """One ingest run: (new markets, new vectors, counters). Nothing is written here."""
-    staged = ingest_status(normalize_feed(feed_rows(docs, limit), source_tag), embedder)
+    # three consumers (both upserts, the counters): embed the feed once
+    staged = materialize_python(ingest_status(normalize_feed(feed_rows(docs, limit), source_tag), embedder))
     new_markets = upsert_markets(markets, staged, now, order)
     new_vectors = upsert_market_embeddings(vectors, new_markets, staged, now, order)
     return new_markets, new_vectors, ingest_counters(staged)

@@ -193,9 +193,11 @@ def embed_batches(df: DataFrame, text_col: str, key_col: str, embedder,
     Returns one row per batch: text count, vector dimension, texts embedded.
     """
     from semjoin.operators.ids import with_dense_index
-    from semjoin.operators.partitioning import spread
-    # embed first: the sort then moves keys and vectors, not whole texts
-    vecs = spread(df).select(F.col(key_col).alias("key"), embedder(F.col(text_col)).alias("embedding"))
+    from semjoin.operators.partitioning import materialize_python, spread
+    # embed first: the sort then moves keys and vectors, not whole texts; the vectors are
+    # materialised so the sort's sampling pass does not embed every text a second time
+    vecs = materialize_python(
+        spread(df).select(F.col(key_col).alias("key"), embedder(F.col(text_col)).alias("embedding")))
     ranked = with_dense_index(vecs.orderBy("key"), "rank")
     emb = ranked.select((F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"), "embedding")
     return (emb.groupBy("batch")

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semjoin.functions.vectors import vector_dim_ok
+from semjoin.operators.partitioning import materialize_python
 
 # Fixed values matching the matcher's defaults: threshold, and the inverted-list index
 # (200 lists, one list probed unless asked otherwise).
@@ -443,12 +444,9 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     catalogue row per left row of its block, and ``max_by`` (partially
     aggregated before its shuffle) merges the blocks of a key.
     """
-    if "EvalPython" in left_kv._jdf.queryExecution().executedPlan().toString():
-        # the sizes pass and the main pass would each run the Python step that made the
-        # vectors (embedding, list probing); write them once to the shared folder instead
-        from semjoin.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(left_kv.sparkSession)
-        left_kv = left_kv.checkpoint(eager=True)
+    # the sizes pass and the main pass would each run the Python step that made the
+    # vectors (embedding, list probing); it is written once to the shared folder instead
+    left_kv = materialize_python(left_kv)
     sides = blocked_groups(left_kv, cat_kv, block_rows, cat_block_rows)
     if sides is None:
         return left_kv.sparkSession.createDataFrame([], _BLOCK_OUT)
@@ -462,20 +460,6 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     return best.select("key", F.col("b.market_id").alias("market_id"), F.col("b.similarity").alias("similarity"))
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder when its plan runs a Python step.
-
-    The blocked and IVF paths read their left side several times (list sizes,
-    the co-group, the join back); without this each pass would run the
-    embedding (and list probing) again.
-    """
-    if "EvalPython" not in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    from semjoin.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
     best = best.select(F.col("key").alias(key), F.col("market_id").alias("matched_market_id"),
                        F.col("similarity").alias("match_score"))
@@ -483,7 +467,7 @@ def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
 
 
 def _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows=None):
-    left = _materialized(left)
+    left = materialize_python(left)
     lk = left.select(F.col(key).cast("long").alias("key"), F.lit(0).alias("list_id"),
                      F.col(vector).alias("embedding")).where(F.col("embedding").isNotNull())
     ck = cat.select("id", F.lit(0).alias("list_id"), "embedding")
@@ -527,7 +511,7 @@ def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, c
     ck = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding")
     bc = _track(left.sparkSession.sparkContext.broadcast(centers))
     # embedding and probing run once: every later pass reads the materialised rows
-    probed = _materialized(left.withColumn("_lists", _probe_udf(bc, nprobe, dim)(F.col(vector))))
+    probed = materialize_python(left.withColumn("_lists", _probe_udf(bc, nprobe, dim)(F.col(vector))))
     lk = (probed.select(F.col(key).cast("long").alias("key"), F.explode("_lists").alias("list_id"),
                         F.col(vector).alias("embedding")))
     return _join_back(probed.drop("_lists"), blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)

@@ -17,3 +17,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize_python(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder when its plan runs a Python step.
+
+    Used before work that reads its input more than once - a range sort samples
+    its input before shuffling it; the blocked matcher reads its left side for
+    the list sizes, the co-group and the join back - so an embedding (or list
+    probing) runs once per row instead of once per pass.
+    """
+    if "EvalPython" not in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    from semjoin.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
