@@ -351,15 +351,24 @@ class PreparedCatalogue:
 
 def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                       cat_id: str = "id", cat_vector: str = "embedding") -> PreparedCatalogue:
-    """Profile the catalogue (usable rows, enrich text bytes) and broadcast its matrix when it fits."""
-    n, text_bytes = catalogue_profile(catalogue, dim, cat_vector)
-    bc = None
-    if 0 < n and catalogue_bytes(n, dim) <= max_broadcast_bytes:
-        cap = max_broadcast_bytes // catalogue_bytes(1, dim)
-        tbl = usable_catalogue(catalogue, dim, cat_id, cat_vector).limit(cap + 1).toArrow()
-        if catalogue_bytes(tbl.num_rows, dim) <= max_broadcast_bytes:
-            bc = _broadcast_matrix(catalogue.sparkSession, tbl, dim)
-    return PreparedCatalogue(n, text_bytes, bc)
+    """Collect the usable catalogue (at most the budget plus one row) and broadcast it when it fits.
+
+    One pass computes the vectors: collecting ``cap + 1`` rows both checks the
+    size and fetches the matrix, so never more than the budget reaches the
+    driver. ``n_rows`` is exact within the budget and ``cap + 1`` beyond it
+    (which is all the strategy choice needs). The enrich text size is measured
+    on slug and question alone, so that aggregate does not compute vectors.
+    """
+    cap = max_broadcast_bytes // catalogue_bytes(1, dim)
+    tbl = usable_catalogue(catalogue, dim, cat_id, cat_vector).limit(cap + 1).toArrow()
+    n = tbl.num_rows
+    bc = _broadcast_matrix(catalogue.sparkSession, tbl, dim) if 0 < n <= cap else None
+    return PreparedCatalogue(n, _text_bytes(catalogue), bc)
+
+
+def _text_bytes(catalogue: DataFrame) -> int:
+    return int(catalogue.agg(F.coalesce(F.sum(F.octet_length("slug") + F.octet_length("question") + F.lit(32)),
+                                        F.lit(0)).alias("b")).first()["b"])
 
 
 # ----------------------------------------------------------- blocked co-group (exact beyond the bound, and IVF)

@@ -105,6 +105,10 @@ def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, thresho
     duration of the batch.
     """
     from semjoin.operators import match as M
+    if prepared is None and match_opts.get("strategy", "auto") in ("auto", "broadcast"):
+        # one pass over the catalogue's vectors: checked, collected and broadcast together
+        prepared = M.prepare_catalogue(catalogue, dim,
+                                       match_opts.get("max_broadcast_bytes", M.DEFAULT_BROADCAST_BYTES))
     if prepared is None:
         n, text_bytes = M.catalogue_profile(catalogue, dim)
     else:
