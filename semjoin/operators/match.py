@@ -279,8 +279,10 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
     if strategy == "broadcast":
         out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows, collected)
     elif strategy == "blocked":
-        out = _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows)
+        # both paths read the catalogue several times (sizes, co-group; k-means, list assignment)
+        out = _nearest_blocked(left, materialize_python(cat), dim, key, vector, block_rows, cat_block_rows)
     elif strategy == "ivf":
+        cat = materialize_python(cat)
         out = _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
