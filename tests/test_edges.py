@@ -218,3 +218,24 @@ def test_enrich_shuffled_path_equals_broadcast(spark):
     a = sorted(M.enrich(news, cat).collect(), key=key)
     b = sorted(M.enrich(news, cat, max_broadcast_bytes=0).collect(), key=key)
     assert a == b and sum(r.matched_market is not None for r in a) == 150
+
+
+def test_process_over_budget_catalogue_falls_back_to_blocked(spark):
+    from semjoin.operators import news as N
+    from semjoin.plans import fixtures as X
+    from semjoin.plans import registry as R
+    sf = "/root/testdata/sf0.001"
+    cols = ["msg_id", "matched_market_id", "matched_market", "match_score", "db_status"]
+
+    def run(**kw):
+        out = N.process(X.fx_raw(spark, sf), R._embedder(), R._hash_catalogue(spark, sf), dim=X.FX_DIM,
+                        threshold=X.FX_THRESHOLD, key="msg_id", **kw)
+        return sorted((r.msg_id, r.matched_market_id, r.matched_market,
+                       None if r.match_score is None else round(r.match_score, 9), r.db_status)
+                      for r in out.select(*cols).collect())
+
+    prep = M.prepare_catalogue(R._hash_catalogue(spark, sf), X.FX_DIM, max_broadcast_bytes=1000)
+    assert prep.bc is None and prep.n_rows > 1000 // M.catalogue_bytes(1, X.FX_DIM)
+    small = run(max_broadcast_bytes=1000)      # a few rows at most: blocked strategy
+    default = run()
+    assert small == default and sum(r[1] is not None for r in default) > 0
