@@ -521,11 +521,13 @@ def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, c
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
     ck = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding")
     bc = _track(left.sparkSession.sparkContext.broadcast(centers))
-    # embedding and probing run once: every later pass reads the materialised rows
-    probed = materialize_python(left.withColumn("_lists", _probe_udf(bc, nprobe, dim)(F.col(vector))))
-    lk = (probed.select(F.col(key).cast("long").alias("key"), F.explode("_lists").alias("list_id"),
-                        F.col(vector).alias("embedding")))
-    return _join_back(probed.drop("_lists"), blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
+    # an embedding in the left plan runs once (full rows written only then); the list probing
+    # runs once on the narrow (key, list, vector) rows, which blocked_top1 materialises
+    left = materialize_python(left)
+    lk = (left.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("embedding"))
+          .withColumn("list_id", F.explode(_probe_udf(bc, nprobe, dim)(F.col("embedding"))))
+          .select("key", "list_id", "embedding"))
+    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
 
 
 # --------------------------------------------------------------------------- catalogue views
