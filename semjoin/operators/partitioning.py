@@ -27,8 +27,38 @@ def materialize_python(df: DataFrame) -> DataFrame:
     the list sizes, the co-group and the join back - so an embedding (or list
     probing) runs once per row instead of once per pass.
     """
-    if "EvalPython" not in df._jdf.queryExecution().executedPlan().toString():
+    if not has_python_step(df):
         return df
     from semjoin.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Physical operators that run Python (UDFs, pandas/Arrow maps and co-groups, pandas aggregates/windows).
+_PYTHON_NODE_MARKS = ("Python", "Pandas", "InArrow")
+
+
+def has_python_step(df: DataFrame) -> bool:
+    """Whether computing ``df`` runs a Python step that is not already cached.
+
+    Walks the physical plan; an in-memory scan of persisted data is a leaf, so
+    a Python step below a cache (already computed once) does not count.
+    """
+    try:
+        stack = [df._jdf.queryExecution().executedPlan()]
+        while stack:
+            node = stack.pop()
+            name = node.getClass().getSimpleName()
+            if any(m in name for m in _PYTHON_NODE_MARKS):
+                return True
+            if name == "AdaptiveSparkPlanExec":
+                stack.append(node.executedPlan())
+            elif name.endswith("QueryStageExec"):
+                stack.append(node.plan())
+            elif name == "ReusedExchangeExec":
+                stack.append(node.child())
+            kids = node.children()
+            stack.extend(kids.apply(i) for i in range(kids.size()))
+        return False
+    except Exception:  # noqa: BLE001 - plan shapes differ across versions: fall back to the plan text
+        return "EvalPython" in df._jdf.queryExecution().executedPlan().toString()

@@ -82,3 +82,22 @@ def test_open_market_filter_reaches_parquet_scan(spark):
     # listing never reads vectors
     q = plan(SV.markets_list(spark.read.parquet(f"{root}/markets"), 10))
     assert "embedding" not in q
+
+
+def test_python_step_detection_stops_at_cached_data(spark):
+    from semjoin.operators import embed as EMB
+    from semjoin.operators.partitioning import has_python_step, materialize_python
+    emb = EMB.HashEmbedder(8)
+    df = spark.range(50).select("id", emb(F.concat(F.lit("a b "), F.col("id").cast("string"))).alias("v"))
+    assert has_python_step(df)
+    # a count does not need the vectors: Catalyst prunes the embedder away
+    assert not has_python_step(df.groupBy((F.col("id") % 3).alias("k")).count())
+    uses_v = lambda d: d.groupBy((F.col("id") % 3).alias("k")).agg(F.max(F.size("v")).alias("n"))
+    assert has_python_step(uses_v(df))
+    cached = df.persist()
+    cached.count()
+    over_cache = uses_v(cached)
+    assert not has_python_step(over_cache)
+    assert materialize_python(over_cache) is over_cache        # computed once already: no checkpoint
+    cached.unpersist()
+    assert not has_python_step(spark.range(5).groupBy("id").count())
