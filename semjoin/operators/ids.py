@@ -22,7 +22,8 @@ _POS_BITS = 33
 
 
 def _has_shuffle(df: DataFrame) -> bool:
-    return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+    from semjoin.operators.partitioning import has_shuffle
+    return has_shuffle(df)
 
 
 def with_dense_index(df: DataFrame, col: str = "row_index", start: int = 0,

@@ -44,12 +44,21 @@ def has_python_step(df: DataFrame) -> bool:
     Walks the physical plan; an in-memory scan of persisted data is a leaf, so
     a Python step below a cache (already computed once) does not count.
     """
+    return _plan_has(df, _PYTHON_NODE_MARKS, "EvalPython")
+
+
+def has_shuffle(df: DataFrame) -> bool:
+    """Whether computing ``df`` runs a shuffle that is not already cached."""
+    return _plan_has(df, ("ShuffleExchange",), "Exchange")
+
+
+def _plan_has(df: DataFrame, marks: tuple[str, ...], text_mark: str) -> bool:
     try:
         stack = [df._jdf.queryExecution().executedPlan()]
         while stack:
             node = stack.pop()
             name = node.getClass().getSimpleName()
-            if any(m in name for m in _PYTHON_NODE_MARKS):
+            if any(m in name for m in marks):
                 return True
             if name == "AdaptiveSparkPlanExec":
                 stack.append(node.executedPlan())
@@ -61,4 +70,4 @@ def has_python_step(df: DataFrame) -> bool:
             stack.extend(kids.apply(i) for i in range(kids.size()))
         return False
     except Exception:  # noqa: BLE001 - plan shapes differ across versions: fall back to the plan text
-        return "EvalPython" in df._jdf.queryExecution().executedPlan().toString()
+        return text_mark in df._jdf.queryExecution().executedPlan().toString()

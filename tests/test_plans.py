@@ -101,3 +101,14 @@ def test_python_step_detection_stops_at_cached_data(spark):
     assert materialize_python(over_cache) is over_cache        # computed once already: no checkpoint
     cached.unpersist()
     assert not has_python_step(spark.range(5).groupBy("id").count())
+
+
+def test_shuffle_detection_ignores_broadcasts_and_cached_data(spark):
+    from semjoin.operators.partitioning import has_shuffle
+    a = spark.range(100).withColumnRenamed("id", "k")
+    assert has_shuffle(a.groupBy((F.col("k") % 3).alias("g")).count())
+    assert not has_shuffle(a.join(F.broadcast(spark.range(10).withColumnRenamed("id", "k")), "k"))
+    agg = a.groupBy((F.col("k") % 3).alias("g")).count().persist()
+    agg.count()
+    assert not has_shuffle(agg.select("g"))
+    agg.unpersist()
