@@ -14,11 +14,53 @@ from pyspark.sql import DataFrame
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if partition_count(df) < target:
         return df.repartition(target)
     return df
 
 
+def partition_count(df: DataFrame) -> int:
+    """Output partitions of ``df``, read from its physical plan without running anything.
+
+    ``df.rdd.getNumPartitions()`` builds the adaptive plan's final form, which
+    runs every shuffle and broadcast stage below it - a second computation of
+    the input. Here: a shuffle's partition count, a scan's split count, the
+    largest input of a join (a broadcast side counts nothing), the sum of a
+    union; adaptive execution may later coalesce below the shuffle count.
+    Unrecognised leaves fall back to ``getNumPartitions``.
+    """
+    try:
+        return _partitions(df._jdf.queryExecution().executedPlan())
+    except Exception:  # noqa: BLE001 - unknown plan shape
+        return df.rdd.getNumPartitions()
+
+
+def _partitions(node) -> int:
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _partitions(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _partitions(node.plan())
+    if name == "ReusedExchangeExec":
+        return _partitions(node.child())
+    if name == "ShuffleExchangeExec" or name == "CoalesceExec":
+        return int(node.outputPartitioning().numPartitions())
+    if name == "BroadcastExchangeExec":
+        return 0
+    if name == "FileSourceScanExec":
+        return int(node.inputRDD().getNumPartitions())
+    if name == "RangeExec":
+        return int(node.numSlices())
+    if name == "InMemoryTableScanExec":
+        return _partitions(node.relation().cachedPlan())
+    kids = node.children()
+    n = kids.size()
+    if n == 0:
+        raise ValueError(f"unknown leaf {name}")
+    counts = [_partitions(kids.apply(i)) for i in range(n)]
+    return sum(counts) if name == "UnionExec" else max(counts)
+
+
 def materialize_python(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder when its plan runs a Python step.
 

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from semjoin.operators.partitioning import partition_count
+
 # Ours: most rows one task ranks for one key in a round.
 MAX_TASK_ROWS = 2_000_000
 
@@ -60,7 +62,7 @@ def top_n_per_key(df: DataFrame, key: str, order_col: str, n: int,
         raise ValueError(f"n must be >= 1, got {n!r}")
     if n > _group_limit_threshold(df):
         df = _partition_top_n(df, key, order_col, n)
-    runs = df.rdd.getNumPartitions()
+    runs = partition_count(df)         # from the plan: nothing runs before the real query
     while runs * n > max_task_rows and runs > 1:
         groups = max(2, min(runs - 1, math.ceil(runs * n / max_task_rows)))
         df = _rank_within(df.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(groups))),

@@ -112,3 +112,24 @@ def test_shuffle_detection_ignores_broadcasts_and_cached_data(spark):
     agg.count()
     assert not has_shuffle(agg.select("g"))
     agg.unpersist()
+
+
+def test_partition_count_reads_the_plan_without_running_it(spark):
+    from semjoin.operators.partitioning import partition_count
+    sc = spark.sparkContext
+    cases = {
+        "scan": (X.table(spark, SMALL, "documents"), None),
+        "range": (spark.range(0, 100, numPartitions=12), 12),
+        "union": (spark.range(0, 10, numPartitions=3).union(spark.range(0, 10, numPartitions=5)), 8),
+        "broadcast": (spark.range(0, 100, numPartitions=6).join(F.broadcast(spark.range(0, 10, numPartitions=2)),
+                                                                 "id"), 6),
+        "shuffle": (spark.range(0, 1000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count(),
+                    int(spark.conf.get("spark.sql.shuffle.partitions"))),
+    }
+    for name, (df, want) in cases.items():
+        group = "pc-" + name
+        sc.setJobGroup(group, group)
+        got = partition_count(df)
+        assert sc.statusTracker().getJobIdsForGroup(group) == [], name      # nothing ran
+        assert got == (df.rdd.getNumPartitions() if want is None else want), name
+    sc.setJobGroup("", "")
