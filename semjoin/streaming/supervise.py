@@ -27,6 +27,9 @@ def supervise(start: Callable[[], object], retry_seconds: float = RETRY_SECONDS,
             q.awaitTermination()
             return q
         except Exception as exc:  # noqa: BLE001 - any failure of the query restarts it
+            release = getattr(q, "release_catalogue", None)    # what the failed query held (news job)
+            if release is not None:
+                release()
             restarts += 1
             if max_restarts is not None and restarts > max_restarts:
                 raise
