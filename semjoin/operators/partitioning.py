@@ -47,8 +47,12 @@ def _partitions(node) -> int:
         return int(node.outputPartitioning().numPartitions())
     if name == "BroadcastExchangeExec":
         return 0
-    if name == "FileSourceScanExec":
+    if name in ("FileSourceScanExec", "BatchScanExec"):
         return int(node.inputRDD().getNumPartitions())
+    if name == "RDDScanExec":                      # e.g. a checkpointed frame read back
+        return int(node.rdd().getNumPartitions())
+    if name == "LocalTableScanExec":               # rows held by the driver: building the RDD runs nothing
+        return int(node.execute().getNumPartitions())
     if name == "RangeExec":
         return int(node.numSlices())
     if name == "InMemoryTableScanExec":

@@ -133,3 +133,19 @@ def test_partition_count_reads_the_plan_without_running_it(spark):
         assert sc.statusTracker().getJobIdsForGroup(group) == [], name      # nothing ran
         assert got == (df.rdd.getNumPartitions() if want is None else want), name
     sc.setJobGroup("", "")
+
+
+def test_partition_count_of_checkpointed_and_local_frames(spark):
+    from semjoin.operators.partitioning import _partitions
+    from semjoin.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    ck = spark.range(0, 100, numPartitions=5).checkpoint(eager=True)
+    local = spark.createDataFrame([(i, str(i)) for i in range(20)], "a long, b string")
+    sc = spark.sparkContext
+    for name, df in (("checkpointed", ck), ("local", local)):
+        group = "pc2-" + name
+        sc.setJobGroup(group, group)
+        got = _partitions(df._jdf.queryExecution().executedPlan())     # no fallback
+        assert sc.statusTracker().getJobIdsForGroup(group) == [], name
+        assert got == df.rdd.getNumPartitions(), name
+    sc.setJobGroup("", "")
