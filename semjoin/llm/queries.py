@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm import exact_dedup, simhash
+from semjoin.llm import exact_dedup, language_id, mixing, packing, simhash, topk, toxicity
+from semjoin.llm.common import stage
+
+#: SimHash: words of a shingle, and the most bits that linked fingerprints differ in.
+NEAR_WORDS, NEAR_BITS = 3, 2
+#: Packing: words a batch holds when padded, and the number of length buckets.
+PACK = {"token_budget": 16384, "buckets": 12}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,13 +25,63 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint (3-word shingles) and its component at 2 bits or fewer."""
-    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, max_bits=2)
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), NEAR_WORDS, NEAR_BITS)
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block and schedule slot, sources weighted by the square root of their characters."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
+    docs = stage(docs, "mixing")
+    weights, rest = mixing.tempered_weights(docs, F.col("chars"))
+    placed = mixing.scheduled(docs, F.col("chars"), weights, rest)
+    return placed.select("row.doc_id", "source", "lane", "block", "slot", "start")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; learned from rows whose crc32(doc_id as text) mod 3 is not 1."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs, _crc32_mod("doc_id", 3) != 1)
+    held_out = F.coalesce(_crc32_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return docs.select("doc_id", held_out, language_id.predict(F.col("text"), model).alias("p")).select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest products for every vector whose id is divisible by 20, against all others."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's length bucket, batch and position."""
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, packing.word_count(F.col("text")), **PACK)
+
+
+def _crc32_mod(column: str, k: int) -> Column:
+    return F.crc32(F.col(column).cast("string").cast("binary")) % k
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.FM:
+    """Trained on the labelled rows of ``docs`` whose crc32(doc_id as text) mod 5 is not 0."""
+    return toxicity.train(docs, _table(spark, sf_dir, "labels"), _crc32_mod("doc_id", 5) != 0)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; labels of held-out rows are never seen."""
+    docs = _table(spark, sf_dir, "documents")
+    s = toxicity.score(F.col("text"), toxicity_model(spark, docs, sf_dir))
+    scored = docs.select("doc_id", F.coalesce(_crc32_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), s.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_mixing": op4_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_exact_topk": op7_exact_topk,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
@@ -33,4 +89,11 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op7_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+                   FROM v q JOIN v p ON q.vec_id % 20 = 0 AND p.vec_id <> q.vec_id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
