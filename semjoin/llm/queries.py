@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm import exact_dedup, language_id, mixing, packing, simhash, topk, toxicity
+from semjoin.llm import chat, exact_dedup, language_id, mixing, packing, sharding, simhash, token_counts, topk, toxicity
 from semjoin.llm.common import stage
 
 #: SimHash: words of a shingle, and the most bits that linked fingerprints differ in.
 NEAR_WORDS, NEAR_BITS = 3, 2
 #: Packing: words a batch holds when padded, and the number of length buckets.
 PACK = {"token_budget": 16384, "buckets": 12}
+#: Token counts: the vocabulary's file, and its free identifier that ends a document.
+TOKENIZER, EOD = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50256
+#: Sharding: the shards' names.
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+#: Chat: the one tool of the calls that op8 derives, and its schema.
+TOOLS = {"note": {"type": "object", "required": ["text", "turn"], "additionalProperties": False,
+                  "properties": {"text": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}}}}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +36,17 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, counted in flat token files."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), TOKENIZER, EOD)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.place(docs, F.col("doc_id"), SHARDS).select("row.doc_id", "slot", "shard")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block and schedule slot, sources weighted by the square root of their characters."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
@@ -51,6 +69,26 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def tool_traffic(conversations: DataFrame) -> DataFrame:
+    """The conversations with tool calls derived from them, as the table has none.
+
+    Every assistant message also calls ``note`` with its text and turn, under an identifier made of conversation and
+    turn; every later user message is also the result of the call of the turn before (an orphan if that was none).
+    """
+    made = lambda turn: F.concat(F.lit("c"), F.coalesce("conv_id", F.lit(-1)), F.lit("-"), turn)
+    text = F.coalesce("text", F.lit(""))
+    call = F.struct(made(F.col("turn")).alias("id"), F.lit("note").alias("name"), F.struct(text.alias("text"), F.col("turn").alias("turn")).alias("arguments"))
+    with_call = F.to_json(F.struct(text.alias("content"), F.array(call).alias("tool_calls")))
+    own = conversations.select("conv_id", "turn", "role", F.when(F.col("role") == "assistant", with_call).otherwise(F.col("text")).alias("text"))
+    answer = F.to_json(F.struct(made(F.col("turn") - 1).alias("tool_call_id"), text.alias("content")))
+    return own.unionByName(conversations.filter("role = 'user' AND turn > 0").select("conv_id", "turn", F.lit("tool").alias("role"), answer.alias("text")))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message, call and result of the conversations, linked, in order, checked and as canonical JSON."""
+    return chat.link_and_format(tool_traffic(_table(spark, sf_dir, "conversations")), TOOLS)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's length bucket, batch and position."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,10 +114,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_counts": op2_token_counts,
+    "op3_sharding": op3_sharding,
     "op4_mixing": op4_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_exact_topk": op7_exact_topk,
+    "op8_chat_formatting": op8_chat_formatting,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }

@@ -1,0 +1,150 @@
+"""Token counts, exact top-k and chat formatting against brute force."""
+
+import json
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from semjoin.llm import chat, token_counts, topk
+from semjoin.llm.queries import EOD, TOKENIZER, TOOLS, tool_traffic
+
+
+@pytest.mark.parametrize("block", [3, 64, 1 << 20])
+def test_token_counts(spark, block):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["tree", "Über", "<|endoftext|>", "\n", "日本", "a1"]) for _ in range(rng.randrange(30))), "x") for i in range(60)]
+    rows += [(60, None, "x"), (61, "", "x"), (61, "", "x"), (None, "one two", "x"), (62, "word " * 20000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, file string").repartition(3)
+    got = token_counts.count_tokens(docs, TOKENIZER, EOD, block)
+    own = token_counts._encoding(TOKENIZER)
+    assert Counter((r.doc_id, r.n_tokens) for r in got.collect()) == Counter((i, len(own.encode_ordinary(t or ""))) for i, t, _ in rows)
+    assert token_counts.count_tokens(docs.limit(0), TOKENIZER, EOD, block).count() == 0
+
+
+@pytest.mark.parametrize("eod", [50256, 100000])
+def test_scan_of_plain_files(spark, tmp_path, eod):
+    """Files made elsewhere: no separator at all, a tail without one, only separators, empty."""
+    kind = "<u2" if eod < 65536 else "<u4"
+    files = {"a": [1, 2, 3], "b": [eod, 5, eod, 6, 7], "c": [eod] * 5, "d": [], "e": [1, eod]}
+    for name, ids in files.items():
+        np.array(ids, dtype=kind).tofile(tmp_path / f"{name}.bin")
+    want = []
+    for name, ids in files.items():
+        run, docs = 0, []
+        for x in ids:
+            if x == eod:
+                docs.append(run)
+                run = 0
+            else:
+                run += 1
+        want += [(name, i, n) for i, n in enumerate(docs + [run] * (run > 0))]
+    for block in (1, 2, 1000):
+        got = token_counts.scan(token_counts.token_files(spark, str(tmp_path), eod), eod, block).collect()
+        assert sorted((r.file[-5], r.ordinal, r.n_tokens) for r in got) == sorted(want)
+
+
+def brute_topk(rows, k):
+    own = [(i, v, r) for r, (i, v) in enumerate(rows) if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for i, v, r in own:
+        if i is None or i % 20:
+            continue
+        q = [int(np.floor(64 * float(x))) for x in v]
+        scored = [(-max(-2 ** 63, min(2 ** 63 - 1, sum(a * int(np.floor(64 * float(b))) for a, b in zip(q, w)))), j is None, j or 0) for j, w, s in own if s != r and len(w) == len(v)]
+        out += [(i, n + 1, None if none else j, -s) for n, (s, none, j) in enumerate(sorted(scored)[:k])]
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("coord_from", [0.0, 0.85, 2.0])
+def test_top_k(spark, monkeypatch, coord_from):
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=8) * rng.choice([0.1, 1, 5])).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(300 + i, rows[i % 3][1]) for i in range(200)]                                   # a common vector
+    rows += [(600, [float("nan")] + [1.0] * 7), (620, None), (640, [None] + [1.0] * 7), (660, [float("inf")] * 8), (680, [0.0] * 8), (0, rows[0][1]), (None, rows[1][1]),
+             (700, []), (701, []), (720, [1.0, 2.0]), (721, [1.0, 3.0]), (740, [3.0])]
+    df = spark.createDataFrame([(i, v, "c") for i, v in rows], "vec_id long, embedding array<float>, norm string")
+    # the plain code path of one process, with either pruning forced
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 7, buckets=5, cell_rows=60, block_rows=9)
+    if coord_from != 0.85:
+        ints = [(r, i, [int(np.floor(64 * x)) for x in v]) for r, (i, v) in enumerate(rows[:300])]
+        import pandas as pd
+        monkeypatch.setattr(topk, "COORD_FROM", coord_from)
+        cell = pd.DataFrame({"rid": [r for r, _, _ in ints], "id": [i for _, i, _ in ints], "none": False, "v": [np.array(v) for _, _, v in ints],
+                             "norm": [float(np.linalg.norm(v)) for _, _, v in ints]})
+        for theta in (float("-inf"), -50.0, 0.0, 2000.0, 60000.0):
+            asked = cell[cell["id"] % 20 == 0].assign(theta=theta)
+            found = topk.search_cell(cell, asked, 6)
+            for q in asked.itertuples():
+                s = sorted((-int(np.dot(q.v, p.v)), p.id) for p in cell.itertuples() if p.rid != q.rid and np.dot(q.v, p.v) >= theta)[:6]
+                mine = found[found["query_rid"] == q.rid]
+                assert [(-x, j) for x, j in zip(mine["score"], mine["id"])] == s
+        return
+    assert sorted(str((r.query_id, r["rank"], r.vec_id, r.score)) for r in got.collect()) == brute_topk(rows, 7)
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_top_k_huge_components(spark):
+    rows = [(0, [1e30, 1.0]), (1, [1e30, 2.0]), (2, [-1e30, 1.0]), (3, [1e10, 1e10]), (20, [3e9, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    clip = lambda x: max(-2 ** 63, min(2 ** 63 - 1, int(np.floor(64 * x))))
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 10).collect()}
+    for i, v in rows:
+        for j, w in rows:
+            if i % 20 == 0 and i != j:
+                assert got[i, j] == max(-2 ** 63, min(2 ** 63 - 1, sum(clip(a) * clip(b) for a, b in zip(v, w))))
+
+
+def call(i, name="note", args=None, after=None):
+    return {"id": i, "name": name, "arguments": {"text": "t", "turn": 1} if args is None else args} | ({"after": after} if after else {})
+
+
+def test_chat(spark):
+    def say(*calls):
+        return json.dumps({"content": "c", "tool_calls": list(calls)})
+
+    def answer(i, content="ok"):
+        return json.dumps({"tool_call_id": i, "content": content})
+    rows = [
+        (1, 0, "user", "hé"), (1, 1, "tool", answer("a", {"z": 1, "b": [1.5]})), (1, 2, "assistant", say(call("b", after="d"), call("a"))),
+        (1, 3, "tool", answer("b")), (1, 4, "assistant", say(call("d"), call("a"))), (1, 5, "tool", answer("zz")), (1, 6, "tool", answer("a")),
+        (1, 7, "tool", json.dumps({"content": 5})), (1, 8, "assistant", say(call(None), call("x", after="y"), call("y", after="x"), call("u", after="nope"))),
+        (1, 9, "assistant", say(call("e1", "other"), call("e2", args={"text": ""}), call("e3", args={"text": "", "turn": 1}), call("e4", args={"text": "a", "turn": True}), call("e5", args={"text": "a", "turn": 1, "q": 0}))),
+        (2, 0, "assistant", say(call("a"))), (None, 0, "assistant", say(call("a"))), (None, 1, "tool", answer("a")),
+        (3, 0, "user", None), (3, 1, "user", ""), (3, 1, "user", ""), (3, 2, "assistant", "{not json"), (3, 3, None, '{"a": 1}'), (3, None, "user", "x" * 100000), (3, 4, "assistant", "[1]"),
+    ]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, key string")
+    got = chat.link_and_format(df, TOOLS).withColumn("n", F.row_number().over(chat.in_order())).orderBy("conv_id", "n").collect()
+    one = [(r.kind, r.call_id, r.status) for r in got if r.conv_id == 1]
+    bad = "invalid_arguments: $"
+    assert one == [
+        ("message", None, "ok"), ("message", None, "ok"), ("call", "a", "ok"), ("result", "a", "ok"), ("message", None, "ok"), ("call", "d", "ok"), ("call", "a", "duplicate_id"),
+        ("call", "b", "ok"), ("result", "b", "ok"), ("result", "zz", "orphan"), ("result", "a", "duplicate_result"), ("result", None, "missing_id"),
+        ("message", None, "ok"), ("call", None, "missing_id"), ("call", "x", "cycle"), ("call", "y", "cycle"), ("call", "u", "unknown_after"), ("message", None, "ok"),
+        ("call", "e1", "unknown_tool"), ("call", "e2", f"{bad}.turn required"), ("call", "e3", f"{bad}.text minLength"), ("call", "e4", f"{bad}.turn type"), ("call", "e5", f"{bad}.q additional")]
+    by = {(r.kind, r.call_id, r.status): r.json for r in got if r.conv_id == 1}
+    assert by["result", "a", "ok"] == '{"content":{"b":[1.5],"z":1},"role":"tool","tool_call_id":"a"}'
+    assert by["call", "b", "ok"] == '{"role":"assistant","tool_call":{"after":"d","arguments":{"text":"t","turn":1},"id":"b","name":"note"}}'
+    assert '{"content":"hé","role":"user"}' in [r.json for r in got]
+    assert [(r.kind, r.status) for r in got if r.conv_id is None] == [("message", "ok"), ("call", "ok"), ("result", "ok")]
+    three = [json.loads(r.json) for r in got if r.conv_id == 3]
+    assert [(m["role"], len(m["content"])) for m in three] == [("user", 100000), ("user", 0), ("user", 0), ("user", 0), ("assistant", 9), (None, 8), ("assistant", 3)]
+    assert chat.link_and_format(df.limit(0), TOOLS).count() == 0
+
+
+def test_chat_long_chain_and_hot_conversation(spark):
+    n = 300
+    rows = [(1, n - i, "assistant", json.dumps({"tool_calls": [call(f"k{i}", after=f"k{i - 1}" if i else None)]})) for i in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.link_and_format(df, TOOLS).filter("kind = 'call'").withColumn("n", F.row_number().over(chat.in_order())).orderBy("n").collect()
+    assert [r.call_id for r in got] == [f"k{i}" for i in range(n)] and {r.status for r in got} == {"ok"}
+
+
+def test_tool_traffic(spark):
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", 'a "quoted"'), (1, 2, "user", "u"), (1, 3, "user", "v"), (2, 0, "assistant", "")],
+                               "conv_id long, turn long, role string, text string")
+    got = chat.link_and_format(tool_traffic(df), TOOLS).collect()
+    assert Counter((r.kind, r.status) for r in got) == Counter({("message", "ok"): 5, ("call", "ok"): 1, ("call", "invalid_arguments: $.text minLength"): 1, ("result", "ok"): 1, ("result", "orphan"): 1})
+    assert any(json.loads(r.json).get("tool_call", {}).get("arguments", {}).get("text") == 'a "quoted"' for r in got)
