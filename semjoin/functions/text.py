@@ -16,11 +16,6 @@ def text_preview(col, n: int = PREVIEW_CHARS) -> Column:
     return F.when(F.char_length(c) > n, F.concat(F.substring(c, 1, n), F.lit(PREVIEW_SUFFIX))).otherwise(c)
 
 
-def first_truthy(*cols: Column) -> Column:
-    """First non-NULL, non-empty string (``a or b`` on text)."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
-
-
 def iso_timestamp(col) -> Column:
     """ISO-8601 text of a timestamp: ``yyyy-MM-ddTHH:mm:ss`` plus ``.ffffff`` only when non-zero."""
     c = F.col(col) if isinstance(col, str) else col

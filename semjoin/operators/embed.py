@@ -1,7 +1,7 @@
 """Embedding step: text column -> ``array<float>`` column (NULL when the text cannot be embedded).
 
 An embedder is any callable ``Column -> Column``. The offline default is a
-feature-hashing embedder: ASCII alphanumeric tokens, ``md5(lower(token))``
+feature-hashing embedder: tokens are runs of letters and digits of any script, ``md5(lower(token))``
 bucket, L2-normalised counts. ``token_buckets`` states the rule as a JVM
 expression; the embedder itself runs it in an Arrow UDF (tokenising in
 Arrow's C++ kernels, distinct tokens hashed through a per-worker cache), which
@@ -14,6 +14,8 @@ failures turned into NULL vectors.
 from __future__ import annotations
 
 import hashlib
+import queue
+import threading
 import uuid
 from typing import Callable, Iterator
 
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the hashing scheme (the SQL oracle repeats them).
-TOKEN_PATTERN = "[A-Za-z0-9]+"
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 HASH_HEX_CHARS = 8
 # Fixed value: most texts one embed request may carry.
 MAX_BATCH_TEXTS = 100
@@ -43,7 +45,7 @@ _TOKEN_CACHE_MAX = 1 << 20
 
 
 # Fixed value derived from TOKEN_PATTERN: tokens are the non-empty pieces between its complement.
-SPLIT_PATTERN = "[^A-Za-z0-9]+"
+SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 
 
 def _bucket_vectors(texts: pa.Array, dim: int, cache: dict) -> pa.Array:
@@ -80,6 +82,13 @@ def _bucket_vectors(texts: pa.Array, dim: int, cache: dict) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.float32()), mask=pa.array(~ok))
 
 
+def hash_encoder(dim: int) -> Callable[[list], list]:
+    """The hashing embedder as a plain ``encode(texts)``: a vector per text, None for a text without tokens."""
+    def encode(texts: list) -> list:
+        return _bucket_vectors(pa.array(texts, pa.string()), dim, _bucket_cache(dim)).to_pylist()
+    return encode
+
+
 def _hash_vectors_udf(dim: int):
     """Arrow UDF: text -> unit bag-of-buckets vector (float32), NULL when the text has no token.
 
@@ -132,12 +141,60 @@ class HashEmbedder:
         return F.when(text.isNotNull() & (F.length(text) >= 1), self._udf(text))
 
 
+def _within(encode: Callable[[list], list], texts: list, limit: float | None):
+    """``encode(texts)``; TimeoutError after ``limit`` seconds.
+
+    Every limited request has a thread of its own, so a request that hangs
+    holds up no other. ``encode`` must therefore bear a call while an earlier,
+    abandoned one is still running.
+    """
+    if not limit:
+        return encode(texts)
+    done: queue.SimpleQueue = queue.SimpleQueue()
+
+    def run() -> None:
+        try:
+            done.put((encode(texts), None))
+        except BaseException as exc:  # noqa: BLE001 - handed to the caller
+            done.put((None, exc))
+
+    threading.Thread(target=run, daemon=True).start()
+    try:
+        out, exc = done.get(timeout=limit)
+    except queue.Empty:
+        raise TimeoutError(f"no answer within {limit} s") from None
+    if exc is not None:
+        raise exc
+    return out
+
+
+def request_vectors(encode: Callable[[list], list], texts: list, limit: float | None = None) -> list:
+    """One request; if it fails or takes too long, each of its texts on its own. None for a text that fails."""
+    def checked(part: list) -> list:
+        got = [None if v is None else np.asarray(v, dtype=np.float32) for v in _within(encode, part, limit)]
+        if len(got) != len(part):
+            raise ValueError(f"{len(got)} vectors for {len(part)} texts")
+        return got
+
+    try:
+        return checked(texts)
+    except Exception:  # noqa: BLE001 - one bad request must not fail the job
+        out = []
+        for t in texts if len(texts) > 1 else []:
+            try:
+                out += checked([t])
+            except Exception:  # noqa: BLE001
+                out.append(None)
+        return out or [None] * len(texts)
+
+
 class ModelEmbedder:
-    """Wrap ``encode(list[str]) -> array (n, dim)``, built once per worker by ``load()``.
+    """Wrap ``encode(list[str]) -> vectors``, built once per worker by ``load()``.
 
-    Batches are cut to ``batch_size`` texts. A request that fails or exceeds
-    ``timeout_s`` is retried text by text (each with the same timeout), and a
-    text that still fails gets NULL, as an embedding service error would.
+    Requests carry at most ``batch_size`` texts. A request that fails or
+    exceeds ``timeout_s`` is retried text by text (each with the same timeout,
+    none waiting for another), and a text that still fails gets NULL, as an
+    embedding service error would.
     """
 
     def __init__(self, load: Callable[[], Callable[[list], np.ndarray]], dim: int,
@@ -148,35 +205,15 @@ class ModelEmbedder:
 
         @F.pandas_udf(T.ArrayType(T.FloatType()))
         def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            import concurrent.futures as cf
             encode = _loaded_model(token, load_fn)
-            pool = cf.ThreadPoolExecutor(max_workers=1) if limit else None
-
-            def call(texts):
-                if pool is None:
-                    return np.asarray(encode(texts), dtype=np.float32)
-                return np.asarray(pool.submit(encode, texts).result(timeout=limit), dtype=np.float32)
-
             for texts in batches:
                 out = [None] * len(texts)
-                vals = texts.tolist()
-                for lo in range(0, len(vals), size):
-                    chunk = [(i, t) for i, t in enumerate(vals[lo:lo + size], lo) if t]
-                    if not chunk:
-                        continue
-                    try:
-                        vecs = call([t for _, t in chunk])
-                        for (i, _), v in zip(chunk, vecs):
-                            out[i] = v
-                    except Exception:  # noqa: BLE001 - one bad request must not fail the job
-                        for i, t in chunk:
-                            try:
-                                out[i] = call([t])[0]
-                            except Exception:  # noqa: BLE001
-                                out[i] = None
+                asked = [(i, t) for i, t in enumerate(texts.tolist()) if t]
+                for lo in range(0, len(asked), size):
+                    chunk = asked[lo:lo + size]
+                    for (i, _), v in zip(chunk, request_vectors(encode, [t for _, t in chunk], limit)):
+                        out[i] = v
                 yield pd.Series(out, dtype=object)
-            if pool is not None:
-                pool.shutdown(wait=False, cancel_futures=True)
         # a model call can fail transiently: never duplicate or reorder it
         self._udf = embed.asNondeterministic()
 
@@ -184,23 +221,27 @@ class ModelEmbedder:
         return F.when(text.isNotNull() & (F.length(text) >= 1), self._udf(text))
 
 
-def embed_batches(df: DataFrame, text_col: str, key_col: str, embedder,
-                  batch_size: int = MAX_BATCH_TEXTS) -> DataFrame:
-    """Request-sized batches: texts in key order cut into runs of at most ``batch_size``.
+def embed_batches(df: DataFrame, text_col: str, key_col: str, load: Callable[[], Callable[[list], list]],
+                  batch_size: int = MAX_BATCH_TEXTS, timeout_s: float | None = None) -> DataFrame:
+    """Batch requests: texts in key order, at most ``batch_size`` in a request, one row per request.
 
-    A run longer than the cap is split, never rejected. Ranks come from a
-    range-partitioned sort plus per-partition offsets (no global window).
-    Returns one row per batch: text count, vector dimension, texts embedded.
+    ``load()`` gives the worker's ``encode``; each request calls it once with
+    the non-empty texts of its batch. The row says how many texts the batch
+    has (``count``), how long the vectors are (``dimension``) and how many
+    texts got one (``embedded``). Rows are numbered in key order (a
+    range-partitioned sort plus per-partition offsets, no global window); a
+    batch is one bounded group.
     """
     from semjoin.operators.ids import with_dense_index
-    from semjoin.operators.partitioning import materialize_python, spread
-    # embed first: the sort then moves keys and vectors, not whole texts; the vectors are
-    # materialised so the sort's sampling pass does not embed every text a second time
-    vecs = materialize_python(
-        spread(df).select(F.col(key_col).alias("key"), embedder(F.col(text_col)).alias("embedding")))
-    ranked = with_dense_index(vecs.orderBy("key"), "rank")
-    emb = ranked.select((F.col("rank") / F.lit(batch_size)).cast("long").alias("batch"), "embedding")
-    return (emb.groupBy("batch")
-            .agg(F.count(F.lit(1)).alias("count"),
-                 F.max(F.size("embedding")).alias("dimension"),
-                 F.count("embedding").alias("embedded")))
+    token, size, limit = uuid.uuid4().hex, batch_size, timeout_s
+
+    def send(batch: pd.DataFrame) -> pd.DataFrame:
+        texts = [t for t in batch["text"].tolist() if t]
+        vectors = request_vectors(_loaded_model(token, load), texts, limit) if texts else []
+        real = [len(v) for v in vectors if v is not None]
+        return pd.DataFrame({"batch": batch["batch"].iloc[:1], "count": [len(batch)], "dimension": [max(real, default=None)],
+                             "embedded": [len(real)]}).astype({"dimension": "Int64"})
+
+    ranked = with_dense_index(df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")).orderBy("key"), "rank")
+    cut = ranked.select((F.col("rank") / F.lit(size)).cast("long").alias("batch"), "text")
+    return cut.groupBy("batch").applyInPandas(send, "batch long, count long, dimension long, embedded long")

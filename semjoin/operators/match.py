@@ -6,7 +6,7 @@ catalogue is empty, the left vector is NULL/zero/of the wrong length, or the
 best similarity is below the threshold.
 
 * ``broadcast`` (default when the catalogue fits the budget): the catalogue is
-  counted, its size checked, and shipped once per executor as a normalised
+  counted, its size checked, then collected and shipped once per executor as a normalised
   matrix. A scalar Arrow UDF takes only the vector column; Spark keeps the
   other columns in the JVM and zips the result back, so the left side is never
   shuffled and no pair rows exist - each Arrow batch is one matrix product.
@@ -36,12 +36,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from semjoin.functions.vectors import vector_dim_ok
 from semjoin.operators.partitioning import materialize_python
+from semjoin.session import ensure_checkpoint_dir
 
 # Fixed values matching the matcher's defaults: threshold, and the inverted-list index
 # (200 lists, one list probed unless asked otherwise).
@@ -122,6 +123,31 @@ def _stack_arrow(arr, dim: int) -> tuple[np.ndarray, np.ndarray]:
 # catalogue row scoring within RESCORE_MARGIN of a row's float32 maximum is rescored
 # exactly in float64, so the answer equals the exact one (margin covers dim <= 10k).
 RESCORE_MARGIN = 1e-3
+# Ours: bytes of the float64 copies held while rescoring. Near-duplicate catalogues make
+# every row a candidate, so candidates are rescored in slices of this size.
+RESCORE_BYTES = 64 * 1024 * 1024
+NORM_ROWS = 1 << 16       # catalogue rows whose norms are computed at a time
+
+
+def _reciprocal_norms(mat: np.ndarray) -> np.ndarray:
+    """1 / length of every row in float64, from float64 copies of NORM_ROWS rows at a time."""
+    out = np.empty(len(mat), dtype=np.float64)
+    for lo in range(0, len(mat), NORM_ROWS):
+        out[lo:lo + NORM_ROWS] = 1.0 / np.linalg.norm(mat[lo:lo + NORM_ROWS].astype(np.float64), axis=1)
+    return out
+
+
+def _candidate_slices(mask: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row, column) indices of the true cells, in slices of at most ``most`` cells."""
+    ends = np.cumsum(np.count_nonzero(mask, axis=1))
+    start = 0
+    while start < len(mask):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        r, c = np.nonzero(mask[start:end])
+        for lo in range(0, len(r), most):            # more than one slice only for a single row
+            yield r[lo:lo + most] + start, c[lo:lo + most]
+        start = end
 
 
 def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_norm: np.ndarray | None = None):
@@ -129,7 +155,9 @@ def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_n
 
     ``x`` holds unit rows (float64). ``cat`` holds the stored float32 vectors
     sorted by id and ``inv_norm`` their reciprocal norms (float64); without
-    ``inv_norm`` the rows of ``cat`` are taken as already unit length.
+    ``inv_norm`` the rows of ``cat`` are taken as already unit length. Besides
+    its arguments it holds a chunk of SIM_CHUNK_CELLS float32 products, their
+    mask and RESCORE_BYTES of candidates, however many candidates there are.
     """
     n = x.shape[0]
     best_i = np.full(n, -1, dtype=np.int64)
@@ -142,20 +170,24 @@ def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_n
     cat32 = cat.astype(np.float32, copy=False)
     inv32 = inv_norm.astype(np.float32)
     rows_per = max(1, SIM_CHUNK_CELLS // m)
+    most = max(1, RESCORE_BYTES // (16 * cat.shape[1]))
     for lo in range(0, n, rows_per):
-        hi = min(n, lo + rows_per)
-        xs = x[lo:hi]
+        xs = x[lo:lo + rows_per]
         approx = (xs.astype(np.float32) @ cat32.T) * inv32          # fast pass, float32
-        top = approx.max(axis=1)
-        r, c = np.nonzero(approx >= (top - RESCORE_MARGIN)[:, None])
-        exact = np.einsum("ij,ij->i", xs[r], cat32[c].astype(np.float64)) * inv_norm[c]
-        # best per row: highest rounded similarity, then lowest id (columns are sorted by id)
-        order = np.lexsort((c, -np.round(exact, TIE_DECIMALS), r))
-        first = np.ones(len(order), dtype=bool)
-        first[1:] = r[order][1:] != r[order][:-1]
-        pick = order[first]
-        best_i[lo + r[pick]] = c[pick]
-        best_s[lo + r[pick]] = exact[pick]
+        mask = approx >= (approx.max(axis=1) - RESCORE_MARGIN)[:, None]
+        top = np.full(len(xs), -np.inf)                              # running best, rounded
+        for r, c in _candidate_slices(mask, most):
+            exact = np.einsum("ij,ij->i", xs[r], cat32[c].astype(np.float64)) * inv_norm[c]
+            rounded = np.round(exact, TIE_DECIMALS)
+            # best per row: highest rounded similarity, then lowest id (columns are sorted by id)
+            order = np.lexsort((c, -rounded, r))
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = r[order][1:] != r[order][:-1]
+            pick = order[first]
+            pick = pick[rounded[pick] > top[r[pick]]]                # a later slice holds higher ids: ties stay
+            top[r[pick]] = rounded[pick]
+            best_i[lo + r[pick]] = c[pick]
+            best_s[lo + r[pick]] = exact[pick]
     best_i[~ok] = -1
     best_s[~ok] = np.nan
     return best_i, best_s
@@ -174,7 +206,7 @@ def _catalogue_from_broadcast(bc, dim: int):
     token, ids, mat = bc.value
     got = _CATALOGUE_CACHE.get(token)
     if got is None:
-        inv = 1.0 / np.linalg.norm(mat.astype(np.float64), axis=1)
+        inv = _reciprocal_norms(mat)
         _CATALOGUE_CACHE.clear()
         _CATALOGUE_CACHE[token] = got = (ids, np.ascontiguousarray(mat, dtype=np.float32), inv)
     return got
@@ -227,13 +259,23 @@ def released_broadcasts():
 
 # --------------------------------------------------------------------------- catalogue preparation
 
+def usable_vector(v: Column, dim: int) -> Column:
+    """Present, of the right length, finite and not all zero."""
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return v.isNotNull() & vector_dim_ok(v, dim) & finite & F.exists(v, lambda x: x != 0)
+
+
 def usable_catalogue(catalogue: DataFrame, dim: int, id_col: str = "id",
                      vector_col: str = "embedding") -> DataFrame:
-    """Catalogue rows that can be compared: vector present, right length, non-zero."""
+    """Catalogue rows that can be compared, equal vectors collapsed to their lowest id.
+
+    Equal vectors tie for every news item and ties go to the lowest id, so the
+    others can never be an answer; near-duplicate catalogues stay small.
+    """
     v = F.col(vector_col)
-    nonzero = F.exists(v, lambda x: x != 0)
-    return (catalogue.select(F.col(id_col).cast("long").alias("id"), v.alias("embedding"))
-            .where(v.isNotNull() & vector_dim_ok(v, dim) & nonzero))
+    return (catalogue.where(usable_vector(v, dim)).groupBy(v.alias("embedding"))
+            .agg(F.min(F.col(id_col).cast("long")).alias("id")).where(F.col("id").isNotNull())
+            .select("id", "embedding"))
 
 
 def catalogue_bytes(n_rows: int, dim: int) -> int:
@@ -242,48 +284,40 @@ def catalogue_bytes(n_rows: int, dim: int) -> int:
 
 # --------------------------------------------------------------------------- public operator
 
-def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int,
-            key: str = "news_id", vector: str = "embedding",
+def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "embedding",
             cat_id: str = "id", cat_vector: str = "embedding",
             threshold: float | None = DEFAULT_THRESHOLD,
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
             nlist: int = DEFAULT_NLIST, nprobe: int = DEFAULT_NPROBE, seed: int = 7,
             block_rows: int = BLOCK_ROWS, cat_block_rows: int | None = None,
-            n_rows: int | None = None, prepared: PreparedCatalogue | None = None) -> DataFrame:
+            prepared: PreparedCatalogue | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
 
     ``threshold`` is inclusive and applied after top-1; ``None`` keeps every
-    top-1. ``key`` must be unique in ``left`` for the ``blocked``/``ivf``
-    strategies (they join the result back on it). ``n_rows`` is the usable
-    catalogue size when the caller already measured it (``catalogue_profile``);
-    ``prepared`` (from ``prepare_catalogue`` on this same catalogue) also reuses
-    its broadcast matrix.
+    top-1. ``left`` needs no key: the strategies that join their result back
+    number its rows themselves. ``prepared`` (from ``prepare_catalogue`` on this
+    same catalogue) reuses its size, broadcast matrix and inverted lists.
     """
-    cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
-    collected = None
-    if prepared is not None:
-        n_rows = prepared.n_rows
-        if strategy in ("auto", "broadcast") and prepared.bc is not None:
-            return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
-    if strategy == "auto":
-        if n_rows is None:
-            # one job both checks and collects: never more than the budget reaches the driver
-            cap = max_broadcast_bytes // catalogue_bytes(1, dim)
-            collected = cat.limit(cap + 1).toArrow()
-            n = collected.num_rows
-        else:
-            n = n_rows
+    if prepared is not None and strategy in ("auto", "broadcast") and prepared.bc is not None:
+        return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
+    if strategy == "ivf":
+        index = prepared.ivf if prepared is not None and prepared.ivf is not None else prepare_lists(
+            catalogue, dim, nlist, seed, cat_id, cat_vector)
+        return _threshold(_nearest_ivf(left, index, dim, vector, nprobe, block_rows, cat_block_rows), threshold)
+    # the size check, the collect or co-group and the list sizes each read the catalogue
+    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+    if strategy in ("auto", "broadcast"):
+        n = cat.count() if prepared is None else prepared.n_rows      # ids only, before anything is collected
+        fits = catalogue_bytes(n, dim) <= max_broadcast_bytes
         if n == 0:
             return _no_match(left)
-        strategy = "broadcast" if catalogue_bytes(n, dim) <= max_broadcast_bytes else "blocked"
+        if strategy == "broadcast" and not fits:
+            raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
+        strategy = "broadcast" if fits else "blocked"
     if strategy == "broadcast":
-        out = _nearest_broadcast(left, cat, dim, vector, max_broadcast_bytes, n_rows, collected)
+        out = _apply_broadcast(left, _broadcast_matrix(left.sparkSession, cat.toArrow(), dim), dim, vector)
     elif strategy == "blocked":
-        # both paths read the catalogue several times (sizes, co-group; k-means, list assignment)
-        out = _nearest_blocked(left, materialize_python(cat), dim, key, vector, block_rows, cat_block_rows)
-    elif strategy == "ivf":
-        cat = materialize_python(cat)
-        out = _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows)
+        out = _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return _threshold(out, threshold)
@@ -303,20 +337,6 @@ def _no_match(left: DataFrame) -> DataFrame:
                 .withColumn("match_score", F.lit(None).cast("double")))
 
 
-def _nearest_broadcast(left: DataFrame, cat: DataFrame, dim: int, vector: str,
-                       max_broadcast_bytes: int, n_rows: int | None = None, collected=None) -> DataFrame:
-    # The size is checked before anything leaves the executors: a catalogue over
-    # the budget is refused here and callers get the blocked strategy from "auto".
-    if collected is None:
-        n = cat.count() if n_rows is None else n_rows
-        if n == 0:
-            return _no_match(left)
-        if catalogue_bytes(n, dim) > max_broadcast_bytes:
-            raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
-    tbl = collected if collected is not None else cat.toArrow()
-    return _apply_broadcast(left, _broadcast_matrix(left.sparkSession, tbl, dim), dim, vector)
-
-
 def _broadcast_matrix(spark, tbl, dim: int):
     """Broadcast ``(token, ids ascending, float32 matrix)`` of a collected (size-checked) catalogue."""
     ids = tbl.column("id").to_numpy().astype(np.int64)
@@ -335,36 +355,41 @@ def _apply_broadcast(left: DataFrame, bc, dim: int, vector: str) -> DataFrame:
 
 
 class PreparedCatalogue:
-    """A catalogue measured once and, within the budget, broadcast once.
+    """A catalogue measured once and, within the budget, broadcast (or cut into inverted lists) once.
 
     Reusable for as long as the catalogue it was made from does not change
     (a stream keeps one per catalogue version instead of collecting and
-    broadcasting the matrix again for every micro-batch). ``release()``
-    removes the executor copies.
+    broadcasting the matrix, or training the lists, again for every
+    micro-batch). ``release()`` removes the executor copies.
     """
 
-    def __init__(self, n_rows: int, text_bytes: int, bc=None):
-        self.n_rows, self.text_bytes, self.bc = n_rows, text_bytes, bc
+    def __init__(self, n_rows: int, text_bytes: int, bc=None, ivf=None):
+        self.n_rows, self.text_bytes, self.bc, self.ivf = n_rows, text_bytes, bc, ivf
 
     def release(self) -> None:
-        if self.bc is not None:
-            self.bc.unpersist(blocking=False)
+        for bc in (self.bc, self.ivf.bc if self.ivf is not None else None):
+            if bc is not None:
+                bc.unpersist(blocking=False)
 
 
 def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      cat_id: str = "id", cat_vector: str = "embedding") -> PreparedCatalogue:
-    """Collect the usable catalogue (at most the budget plus one row) and broadcast it when it fits.
-
-    One pass computes the vectors: collecting ``cap + 1`` rows both checks the
-    size and fetches the matrix, so never more than the budget reaches the
-    driver. ``n_rows`` is exact within the budget and ``cap + 1`` beyond it
-    (which is all the strategy choice needs). The enrich text size is measured
-    on slug and question alone, so that aggregate does not compute vectors.
+                      cat_id: str = "id", cat_vector: str = "embedding", strategy: str = "auto",
+                      nlist: int = DEFAULT_NLIST, seed: int = 7) -> PreparedCatalogue:
+    """Measure the usable catalogue; then broadcast it when it fits, or train its lists (``strategy="ivf"``).
+
+    The number of rows is counted first, so a catalogue over the budget is
+    never collected. Vectors that a Python step computes are written once to
+    the shared folder and read from there for both. The enrich text size is
+    measured on slug and question alone.
     """
-    cap = max_broadcast_bytes // catalogue_bytes(1, dim)
-    tbl = usable_catalogue(catalogue, dim, cat_id, cat_vector).limit(cap + 1).toArrow()
-    n = tbl.num_rows
-    bc = _broadcast_matrix(catalogue.sparkSession, tbl, dim) if 0 < n <= cap else None
+    if strategy == "ivf":
+        index = prepare_lists(catalogue, dim, nlist, seed, cat_id, cat_vector)
+        return PreparedCatalogue(index.n_rows, _text_bytes(catalogue), None, index)
+    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+    n = cat.count()
+    bc = None
+    if 0 < n and catalogue_bytes(n, dim) <= max_broadcast_bytes:
+        bc = _broadcast_matrix(catalogue.sparkSession, cat.toArrow(), dim)
     return PreparedCatalogue(n, _text_bytes(catalogue), bc)
 
 
@@ -387,7 +412,7 @@ def _block_kernel(dim: int):
         cat_pdf = cat_pdf.sort_values("id", kind="stable")
         ids = cat_pdf["id"].to_numpy(np.int64)
         raw = np.stack(cat_pdf["embedding"].to_numpy()).astype(np.float32)
-        inv = 1.0 / np.linalg.norm(raw.astype(np.float64), axis=1)
+        inv = _reciprocal_norms(raw)
         x, ok = _stack(left_pdf["embedding"].to_numpy(), dim)
         bi, bs = _best(x, ok, ids, raw, inv)
         sel = bi >= 0
@@ -471,18 +496,30 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     return best.select("key", F.col("b.market_id").alias("market_id"), F.col("b.similarity").alias("similarity"))
 
 
-def _join_back(left: DataFrame, best: DataFrame, key: str) -> DataFrame:
-    best = best.select(F.col("key").alias(key), F.col("market_id").alias("matched_market_id"),
+_ROW = "_match_row"
+
+
+def _numbered(left: DataFrame) -> DataFrame:
+    """``left`` with a row number that is written with the rows, so every later pass reads the same one.
+
+    The caller's key may repeat or be of any type; the result is joined back on this number.
+    """
+    ensure_checkpoint_dir(left.sparkSession)
+    return left.withColumn(_ROW, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+def _join_back(left: DataFrame, best: DataFrame) -> DataFrame:
+    best = best.select(F.col("key").alias(_ROW), F.col("market_id").alias("matched_market_id"),
                        F.col("similarity").alias("match_score"))
-    return left.join(best, key, "left")
+    return left.join(best, _ROW, "left").drop(_ROW)
 
 
-def _nearest_blocked(left, cat, dim, key, vector, block_rows, cat_block_rows=None):
-    left = materialize_python(left)
-    lk = left.select(F.col(key).cast("long").alias("key"), F.lit(0).alias("list_id"),
+def _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows=None):
+    left = _numbered(left)
+    lk = left.select(F.col(_ROW).alias("key"), F.lit(0).alias("list_id"),
                      F.col(vector).alias("embedding")).where(F.col("embedding").isNotNull())
     ck = cat.select("id", F.lit(0).alias("list_id"), "embedding")
-    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
+    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows))
 
 
 # --------------------------------------------------------------------------- IVF
@@ -513,21 +550,39 @@ def _probe_udf(bc, nprobe: int, dim: int):
     return probe
 
 
-def _nearest_ivf(left, cat, dim, key, vector, nlist, nprobe, seed, block_rows, cat_block_rows=None):
-    nlist = max(1, min(nlist, cat.count()))          # no more lists than catalogue rows
-    model = train_lists(cat, nlist, seed)
+class InvertedLists:
+    """Trained lists of one catalogue: broadcast centroids, and its rows (id, list_id, embedding) written once."""
+
+    def __init__(self, rows: DataFrame | None, bc, n_rows: int):
+        self.rows, self.bc, self.n_rows = rows, bc, n_rows
+
+
+def prepare_lists(catalogue: DataFrame, dim: int, nlist: int = DEFAULT_NLIST, seed: int = 7,
+                  cat_id: str = "id", cat_vector: str = "embedding") -> InvertedLists:
+    """Train the inverted lists of a catalogue and assign its rows, once for any number of searches."""
+    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+    n = cat.count()
+    if n == 0:
+        return InvertedLists(None, None, 0)
+    model = train_lists(cat, max(1, min(nlist, n)), seed)            # no more lists than catalogue rows
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)   # nlist x dim, bounded by nlist
     from pyspark.ml.functions import array_to_vector
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
-    ck = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding")
-    bc = _track(left.sparkSession.sparkContext.broadcast(centers))
-    # an embedding in the left plan runs once (full rows written only then); the list probing
-    # runs once on the narrow (key, list, vector) rows, which blocked_top1 materialises
-    left = materialize_python(left)
-    lk = (left.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("embedding"))
-          .withColumn("list_id", F.explode(_probe_udf(bc, nprobe, dim)(F.col("embedding"))))
+    ensure_checkpoint_dir(catalogue.sparkSession)
+    rows = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding").checkpoint(eager=True)
+    return InvertedLists(rows, catalogue.sparkSession.sparkContext.broadcast(centers), n)
+
+
+def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None):
+    if not index.n_rows:
+        return _no_match(left)
+    # an embedding in the left plan runs once; the list probing runs once on the narrow
+    # (key, list, vector) rows, which blocked_top1 materialises
+    left = _numbered(left)
+    lk = (left.select(F.col(_ROW).alias("key"), F.col(vector).alias("embedding"))
+          .withColumn("list_id", F.explode(_probe_udf(index.bc, nprobe, dim)(F.col("embedding"))))
           .select("key", "list_id", "embedding"))
-    return _join_back(left, blocked_top1(lk, ck, dim, block_rows, cat_block_rows), key)
+    return _join_back(left, blocked_top1(lk, index.rows, dim, block_rows, cat_block_rows))
 
 
 # --------------------------------------------------------------------------- catalogue views
@@ -550,9 +605,7 @@ def match_catalogue(markets: DataFrame, market_embeddings: DataFrame) -> DataFra
 
 def catalogue_profile(catalogue: DataFrame, dim: int, cat_vector: str = "embedding") -> tuple[int, int]:
     """One aggregate over the catalogue: (rows with a usable vector, bytes of the columns ``enrich`` joins)."""
-    v = F.col(cat_vector)
-    usable = v.isNotNull() & vector_dim_ok(v, dim) & F.exists(v, lambda x: x != 0)
-    r = catalogue.agg(F.count_if(usable).alias("n"),
+    r = catalogue.agg(F.count_if(usable_vector(F.col(cat_vector), dim)).alias("n"),
                       F.coalesce(F.sum(F.octet_length("slug") + F.octet_length("question") + F.lit(32)),
                                  F.lit(0)).alias("b")).first()
     return int(r["n"]), int(r["b"])
@@ -576,14 +629,17 @@ def enrich(matched: DataFrame, catalogue: DataFrame,
     cols = matched.columns + ["matched_market", "matched_market_question"]
     if text_bytes <= max_broadcast_bytes:
         return matched.join(F.broadcast(m), "matched_market_id", "left").select(*cols)
-    # Shuffled join: unmatched rows (NULL key) would all hash to one reducer, so they
-    # carry a spread salt in a second key column that no catalogue row has (0).
-    salt = F.when(F.col("matched_market_id").isNull(),
-                  F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)) + 1).otherwise(F.lit(0))
-    left = (matched.withColumn("_ns", salt)
+    # Shuffled join: unmatched rows (NULL key) and the news of a popular market would each hash to one
+    # reducer. So the left side spreads every key over ENRICH_SALTS and the (one row per market)
+    # catalogue is repeated for each salt; unmatched rows carry salts that no catalogue row has.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(ENRICH_SALTS))
+    left = (matched.withColumn("_ns", F.when(F.col("matched_market_id").isNull(), -1 - F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS))).otherwise(salt))
             .withColumn("_jk", F.coalesce(F.col("matched_market_id"), F.lit(0).cast("long"))))
-    right = m.withColumn("_ns", F.lit(0).cast("long")).withColumnRenamed("matched_market_id", "_jk")
+    right = (m.withColumn("_ns", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ENRICH_SALTS - 1).cast("long"))))
+             .withColumnRenamed("matched_market_id", "_jk"))
     return left.join(right, ["_ns", "_jk"], "left").select(*cols)
 
 
+# Ours: tasks that one market's news, and the unmatched news, spread over in the shuffled enrich.
+ENRICH_SALTS = 16
 NULL_SALTS = 1024

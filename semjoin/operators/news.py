@@ -21,7 +21,7 @@ DB_MISSING, DB_NO_EMBEDDING, DB_SAVED = "failed_missing_fields", "failed_no_embe
 DB_BAD_DATE, DB_BAD_TIME = "failed: bad date", "failed: bad time"
 
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
-TIME_PATTERN = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,6})?$"
+TIME_PATTERN = r"^([01]\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d{1,6})?)?$"
 
 
 def parse_news(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -62,6 +62,13 @@ def time_ok(c: Column) -> Column:
     return F.coalesce(c.rlike(TIME_PATTERN), F.lit(False))
 
 
+def time_value(c: Column) -> Column:
+    """A time as the store keeps it, to the microsecond: ``HH:MM:SS`` plus the fraction without trailing zeros; else NULL."""
+    full = F.when(F.length(c) == 5, F.concat(c, F.lit(":00"))).otherwise(c)
+    short = F.rtrim(F.rtrim(full, F.lit("0")), F.lit("."))
+    return F.when(time_ok(c), F.when(full.contains("."), short).otherwise(full))
+
+
 def typed_datetime(df: DataFrame) -> DataFrame:
     """Adds ``pub_date`` (DATE) and ``time_valid``: the store's column types as checks."""
     return (df.withColumn("pub_date", date_value(F.col("published_date")))
@@ -96,25 +103,24 @@ def store_status(df: DataFrame) -> DataFrame:
 
 
 def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, threshold: float,
-            key: str = "msg_id", value_col: str = "value", prepared=None, **match_opts) -> DataFrame:
+            value_col: str = "value", prepared=None, **match_opts) -> DataFrame:
     """parse -> normalise -> embed -> match -> enrich -> status, one DataFrame per batch.
 
-    ``catalogue`` (id, slug, question, embedding) is profiled once - or not at
+    ``catalogue`` (id, slug, question, embedding) is measured once - or not at
     all when ``prepared`` (``match.prepare_catalogue`` of this catalogue) is
     given; callers running several actions should persist it for the
     duration of the batch.
     """
     from semjoin.operators import match as M
-    if prepared is None and match_opts.get("strategy", "auto") in ("auto", "broadcast"):
-        # one pass over the catalogue's vectors: checked, collected and broadcast together
-        prepared = M.prepare_catalogue(catalogue, dim,
-                                       match_opts.get("max_broadcast_bytes", M.DEFAULT_BROADCAST_BYTES))
-    if prepared is None:
-        n, text_bytes = M.catalogue_profile(catalogue, dim)
-    else:
-        n, text_bytes = prepared.n_rows, prepared.text_bytes
+    if prepared is None and match_opts.get("strategy", "auto") != "blocked":
+        opts = {k: match_opts[k] for k in ("max_broadcast_bytes", "strategy", "nlist", "seed") if k in match_opts}
+        prepared = M.prepare_catalogue(catalogue, dim, **opts)
     parsed = normalize_news(parse_news(raw, value_col))
     emb = embed_news(parsed, embedder)
-    matched = M.nearest(emb, catalogue, dim=dim, key=key, threshold=threshold, n_rows=n, prepared=prepared,
-                        **match_opts)
-    return store_status(M.enrich(matched, catalogue, text_bytes=text_bytes))
+    matched = M.nearest(emb, catalogue, dim=dim, threshold=threshold, prepared=prepared, **match_opts)
+    return store_status(M.enrich(matched, catalogue, text_bytes=prepared.text_bytes if prepared is not None else None))
+
+
+def status_counts(processed: DataFrame) -> DataFrame:
+    """Records per (``embedding_status``, ``db_status``): what a run did with its messages."""
+    return processed.groupBy("embedding_status", "db_status").agg(F.count(F.lit(1)).alias("n"))

@@ -2,21 +2,31 @@
 
 Parsing whole JSON texts and embedding whole documents cost CPU per row. A
 scan of one large row group is a single task no matter how many cores wait,
-so input with fewer partitions than the default parallelism is redistributed
-first. Input that is already split (any large table) is left alone: no
-shuffle is added where it is not needed.
+so input that is cut into few, large splits is redistributed first. Input
+that already feeds a fair share of the cores, has small splits, or is large
+as a whole is left alone: no shuffle is added where it gains little.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Ours: bytes of a split from which spreading it pays, and of an input from which it is never spread.
+SPREAD_SPLIT_BYTES = 1 << 20
+SPREAD_MOST_BYTES = 64 << 30
+# Ours: spread only when at least this many times as many tasks would run.
+SPREAD_GAIN = 4
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` over about one task per SPREAD_SPLIT_BYTES, at most the default parallelism, where that pays."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if partition_count(df) < target:
-        return df.repartition(target)
-    return df
+    n = max(1, partition_count(df))
+    if n * SPREAD_GAIN > target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = min(target, -(-size // SPREAD_SPLIT_BYTES))
+    return df.repartition(tasks) if n * SPREAD_GAIN <= tasks and size <= SPREAD_MOST_BYTES else df
 
 
 def partition_count(df: DataFrame) -> int:

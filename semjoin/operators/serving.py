@@ -5,13 +5,13 @@ The recent buffers are "latest N per topic by arrival" (``operators.topn``):
 ``WindowGroupLimit`` before the shuffle, so each map task forwards at most N
 rows per topic; when ``map tasks x N`` would still be too much for the one
 task ranking a hot topic, a round per group of map partitions comes first.
-A topic holding most of the log never reaches one task whole. Statistics are single-pass global aggregates; combined statistics
-union their inputs and aggregate once instead of joining one-row frames.
+A topic holding most of the log never reaches one task whole. Statistics are single-pass global aggregates of each
+input; combined statistics put the one-row results together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semjoin.functions.text import iso_timestamp
@@ -58,10 +58,10 @@ def recent_by_topic(arrivals: DataFrame, size: int = BUFFER_SIZE, order_col: str
 
 def recent(arrivals: DataFrame, topic: str, limit: int = DEFAULT_LIST_LIMIT, size: int = BUFFER_SIZE,
            order_col: str = "arrival") -> DataFrame:
-    """Last ``limit`` items of one topic's buffer (the caller orders by arrival, oldest first)."""
+    """Last ``limit`` items of one topic's buffer, oldest first."""
     _check_limit(limit)
     buf = recent_by_topic(arrivals.where(F.col("topic") == topic), size, order_col)
-    return buf.orderBy(F.desc(order_col)).limit(min(limit, size))
+    return buf.orderBy(F.desc(order_col)).limit(min(limit, size)).orderBy(order_col)
 
 
 def news_by_source(arrivals: DataFrame, source: str, size: int = BUFFER_SIZE) -> DataFrame:
@@ -70,17 +70,25 @@ def news_by_source(arrivals: DataFrame, source: str, size: int = BUFFER_SIZE) ->
     return buf.where(F.lower(F.coalesce(F.col("source"), F.lit(""))) == F.lower(F.lit(source)))
 
 
+# Where each required text field of an item may stand, first truthy wins (as in ``news.normalize_news``).
+_ITEM_FIELDS = {"source": ("source",), "date": ("published_date", "date"), "time": ("published_time", "time"),
+                "news": ("headline", "news")}
+
+
+def _item_fields(items: DataFrame) -> list[Column]:
+    return [F.coalesce(*[F.nullif(F.col(c).cast("string"), F.lit("")) for c in names if c in items.columns], F.lit(None)).alias(field)
+            for field, names in _ITEM_FIELDS.items()]
+
+
 def api_news(items: DataFrame) -> DataFrame:
-    """``NewsItem`` rows: the four required text fields, rows lacking one dropped."""
-    cols = ["source", "date", "time", "news"]
-    return items.select(*cols).where(_all_present(cols))
+    """``NewsItem`` rows: the four required text fields (normalised), rows lacking one dropped."""
+    return items.select(*_item_fields(items)).where(_all_present(_ITEM_FIELDS))
 
 
 def api_processed(items: DataFrame) -> DataFrame:
-    """``ProcessedNews`` rows: four required fields plus the optional match fields."""
-    req = ["source", "date", "time", "news"]
+    """``ProcessedNews`` rows: four required fields (normalised) plus the optional match fields."""
     opt = ["matched_market", "matched_market_id", "matched_market_question", "match_score"]
-    return items.select(*req, *opt).where(_all_present(req))
+    return items.select(*_item_fields(items), *opt).where(_all_present(_ITEM_FIELDS))
 
 
 def _all_present(cols):
@@ -92,54 +100,40 @@ def _all_present(cols):
 
 # --------------------------------------------------------------------------- statistics
 
-def _market_stat_cols(markets_joined: DataFrame | None = None):
-    return [F.count_if(F.col("_k") == "m").alias("total_markets"),
-            F.count_if((F.col("_k") == "m") & (F.col("is_resolved") == F.lit(False))).alias("active_markets"),
-            F.count_if((F.col("_k") == "m") & (F.col("is_resolved") == F.lit(True))).alias("resolved_markets"),
-            F.count_distinct(F.when(F.col("_k") == "m", F.col("me_market_id"))).alias("markets_with_embeddings")]
-
-
-def _markets_rows(markets: DataFrame, market_embeddings: DataFrame) -> DataFrame:
-    me = market_embeddings.select(F.col("market_id").alias("me_market_id"))
-    j = markets.select("id", "is_resolved").join(me, F.col("id") == F.col("me_market_id"), "left")
-    return j.select(F.lit("m").alias("_k"), "is_resolved", "me_market_id")
-
-
 def market_stats(markets: DataFrame, market_embeddings: DataFrame) -> DataFrame:
     """Totals over markets left-joined with vectors; a NULL flag counts as neither active nor resolved."""
-    return _markets_rows(markets, market_embeddings).agg(*_market_stat_cols())
-
-
-def _buffer_stat_cols(cap: int):
-    news = F.col("_k") == "a"
-    n_news = F.least(F.count_if(news & (F.col("topic") == NEWS_TOPIC)), F.lit(cap))
-    n_proc = F.least(F.count_if(news & (F.col("topic") == PROCESSED_TOPIC)), F.lit(cap))
-    rate = F.coalesce(F.round(F.try_divide(n_proc * F.lit(100.0), n_news), 2), F.lit(0.0))
-    return [n_news.cast("long").alias("total_news"), n_proc.cast("long").alias("total_processed"),
-            rate.alias("processing_rate"),
-            F.max_by("time", F.when(news & (F.col("topic") == NEWS_TOPIC), F.col("arrival"))).alias("latest_news_time"),
-            F.max_by("time", F.when(news & (F.col("topic") == PROCESSED_TOPIC), F.col("arrival")))
-             .alias("latest_processed_time")]
-
-
-def _arrival_rows(arrivals: DataFrame) -> DataFrame:
-    return arrivals.select(F.lit("a").alias("_k"), "topic", "arrival", "time")
+    me = market_embeddings.select(F.col("market_id").alias("me_market_id"))
+    j = markets.select("id", "is_resolved").join(me, F.col("id") == F.col("me_market_id"), "left")
+    return j.agg(F.count(F.lit(1)).alias("total_markets"),
+                 F.count_if(F.col("is_resolved") == F.lit(False)).alias("active_markets"),
+                 F.count_if(F.col("is_resolved") == F.lit(True)).alias("resolved_markets"),
+                 F.count_distinct("me_market_id").alias("markets_with_embeddings"))
 
 
 def buffer_stats(arrivals: DataFrame, cap: int = BUFFER_SIZE) -> DataFrame:
     """Buffer totals (each at most ``cap``), processing rate in percent (2 dp, 0.0 without news), latest times."""
-    return _arrival_rows(arrivals).agg(*_buffer_stat_cols(cap))
+    n_news = F.least(F.count_if(F.col("topic") == NEWS_TOPIC), F.lit(cap))
+    n_proc = F.least(F.count_if(F.col("topic") == PROCESSED_TOPIC), F.lit(cap))
+    rate = F.coalesce(F.round(F.try_divide(n_proc * F.lit(100.0), n_news), 2), F.lit(0.0))
+
+    def latest(topic: str) -> Column:
+        return F.max_by("time", F.when(F.col("topic") == topic, F.col("arrival")))
+    return arrivals.agg(n_news.cast("long").alias("total_news"), n_proc.cast("long").alias("total_processed"),
+                        rate.alias("processing_rate"), latest(NEWS_TOPIC).alias("latest_news_time"),
+                        latest(PROCESSED_TOPIC).alias("latest_processed_time"))
 
 
 def combined_stats(arrivals: DataFrame, markets: DataFrame, market_embeddings: DataFrame,
                    cap: int = BUFFER_SIZE) -> DataFrame:
-    """Buffer statistics with the market statistics nested as ``markets``, in one aggregation pass."""
-    rows = _arrival_rows(arrivals).unionByName(_markets_rows(markets, market_embeddings), allowMissingColumns=True)
-    cols = _buffer_stat_cols(cap) + _market_stat_cols()
-    flat = rows.agg(*cols)
-    mk = ["total_markets", "active_markets", "resolved_markets", "markets_with_embeddings"]
-    return flat.select("total_news", "total_processed", "processing_rate", "latest_news_time",
-                       "latest_processed_time", F.struct(*mk).alias("markets"))
+    """Buffer statistics with the market statistics nested as ``markets``.
+
+    Each input is aggregated on its own (the log in one hash pass, without a
+    sort); the two one-row results are put together by a final aggregate.
+    """
+    left = buffer_stats(arrivals, cap)
+    right = market_stats(markets, market_embeddings).select(F.struct("*").alias("markets"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def table_audit(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,21 +1,21 @@
 """Storing processed news: two tables written from one keyed batch, plus integrity checks.
 
 ``news`` and ``news_embeddings`` rows are cut from the same persisted batch, so
-they share ids by construction (no news row without its vector). Both tables
-are partitioned by ``batch_id`` and written with dynamic partition overwrite:
-replaying a micro-batch after a failure rewrites that batch's partition
-instead of appending a second copy.
+they share ids by construction (no news row without its vector). Each batch
+writes its own ``batch_id=<n>`` folder of either table and overwrites it
+whole: replaying a micro-batch after a failure leaves exactly the replay's
+rows there, also when the replay has none.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from semjoin.operators.ids import with_dense_index
-from semjoin.operators.news import DB_SAVED, date_value
+from semjoin.operators.news import DB_SAVED, date_value, time_value
 
 ID_STRIDE = 1 << 32   # ids are batch_id * ID_STRIDE + position in the batch + 1
 
@@ -23,14 +23,30 @@ NEWS_COLUMNS = ["id", "source", "published_date", "published_time", "headline",
 NEWS_VECTOR_COLUMNS = ["id", "news_id", "embedding", "created_at", "batch_id"]
 
 
-def number_batch(df: DataFrame, batch_id: int, col: str = "msg_key") -> DataFrame:
-    """Give every message of a batch a key: ``batch_id * ID_STRIDE + position + 1``.
+def number_batch(df: DataFrame, batch_id: int, col: str = "msg_key", value_col: str = "value") -> DataFrame:
+    """Give every message of a batch a key in ``batch_id * ID_STRIDE + 1 .. (batch_id + 1) * ID_STRIDE``.
 
-    Positions are dense within the batch (no global window) and the same on a
-    replay of the batch, so a saved record keeps its ``news_id``.
+    The key depends on the messages alone, not on how they are split into
+    tasks, so a replay gives the same keys on any cluster. Messages of a topic
+    are keyed by (topic, partition, offset): an offset's distance from its
+    partition's first plus the spans of the partitions before it, without a
+    sort. Messages without offsets are numbered in the order of their text
+    (equal texts are interchangeable). A batch that does not fit the stride
+    fails instead of running into the next batch's keys.
     """
-    numbered = with_dense_index(df, "_idx")
-    return numbered.withColumn(col, F.lit(batch_id * ID_STRIDE + 1) + F.col("_idx")).drop("_idx")
+    if {"topic", "partition", "offset"} <= set(df.columns):
+        own = ["topic", "partition"]
+        spans = df.groupBy(*own).agg(F.min("offset").alias("_low"), (F.max("offset") - F.min("offset") + 1).alias("_span"))
+        # one row per topic partition: a window over all of them is bounded by the broker's layout
+        before = Window.orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+        starts = spans.select(*own, "_low", F.coalesce(F.sum("_span").over(before), F.lit(0)).alias("_base"))
+        numbered = df.join(F.broadcast(starts), own).withColumn("_idx", F.col("_base") + F.col("offset") - F.col("_low"))
+        numbered = numbered.drop("_low", "_base")
+    else:
+        numbered = with_dense_index(df.orderBy(F.xxhash64(value_col), value_col), "_idx")
+    fits = F.when(F.col("_idx") < ID_STRIDE, F.col("_idx")).otherwise(
+        F.raise_error(F.lit(f"batch {batch_id} has more messages than ids ({ID_STRIDE})")).cast("long"))
+    return numbered.withColumn(col, F.lit(batch_id * ID_STRIDE + 1) + fits).drop("_idx")
 
 
 def with_news_id(processed: DataFrame, key: str = "msg_key") -> DataFrame:
@@ -45,22 +61,22 @@ def news_tables(processed: DataFrame, batch_id: int, now: _dt.datetime) -> tuple
              .withColumn("batch_id", F.lit(batch_id).cast("long")))
     news = saved.select(F.col("news_id").alias("id"), "source",
                         date_value(F.col("published_date")).alias("published_date"),
-                        F.substring("published_time", 1, 8).alias("published_time"),
+                        time_value(F.col("published_time")).alias("published_time"),
                         "headline", "created_at", "batch_id")
     vecs = saved.select(F.col("news_id").alias("id"), "news_id", "embedding", "created_at", "batch_id")
     return news, vecs
 
 
-def write_batch(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write the batch's folder of a table, replacing whatever an earlier attempt left there."""
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def append_news(processed: DataFrame, root: str, batch_id: int, now: _dt.datetime) -> None:
     """Write the batch's saved rows to ``root/news`` and ``root/news_embeddings``."""
     news, vecs = news_tables(processed, batch_id, now)
-    write_batch(news, f"{root}/news")
-    write_batch(vecs, f"{root}/news_embeddings")
+    write_batch(news, f"{root}/news", batch_id)
+    write_batch(vecs, f"{root}/news_embeddings", batch_id)
 
 
 # --------------------------------------------------------------------------- referential integrity

@@ -7,23 +7,21 @@ key still receives ``input partitions x n`` rows, which grows with the data:
 800k partitions of a 100 TB log give 800M rows to one task.
 
 Here, while ``runs x n`` (runs = map partitions, at first) exceeds
-``max_task_rows``, a grouping round ranks per ``(key, partition group)``:
-map partitions are put in ``G`` groups by their partition id, each group's
-reducer receives at most ``runs / G x n`` rows and keeps ``n``, leaving ``G``
-runs per key for the next round. One grouping round covers up to
-``(max_task_rows / n)^2`` input partitions.
-
-Beyond the threshold Spark limits nothing map-side, so each input partition
-is first cut to its newest ``n`` rows per key by a map-only Arrow step (no
-shuffle); the rounds then proceed the same way.
+``max_task_rows``, a grouping round ranks per ``(key, group of runs)``: each
+group's reducer receives at most ``max_task_rows`` rows (or two runs, if those
+are more) and keeps ``n``, leaving one run per group for the next round. One
+round covers up to ``(max_task_rows / n)^2`` input partitions.
+
+Beyond the threshold Spark limits nothing map-side, so a first round ranks per
+``(key, input partition)``: a shuffle of all rows, but no task sees more of a
+key than one input partition holds. Every step is a window in the JVM, so
+values come out as they went in.
 """
 
 from __future__ import annotations
 
 import math
-from typing import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,30 +40,20 @@ def _rank_within(df: DataFrame, keys: list[str], order_col: str, n: int) -> Data
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def _partition_top_n(df: DataFrame, key: str, order_col: str, n: int) -> DataFrame:
-    """Newest ``n`` rows per key inside each partition: map-only, memory bounded by keys x n + one batch."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keep = None
-        for b in batches:
-            cur = b if keep is None else pd.concat([keep, b], ignore_index=True)
-            keep = (cur.sort_values(order_col, ascending=False, kind="stable")
-                       .groupby(key, sort=False, dropna=False).head(n))
-        if keep is not None and len(keep):
-            yield keep
-    return df.mapInPandas(run, df.schema)
-
-
 def top_n_per_key(df: DataFrame, key: str, order_col: str, n: int,
                   max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
     """Rows of ``df`` among the ``n`` largest ``order_col`` of their ``key`` (``order_col`` unique per key)."""
     if n < 1:
         raise ValueError(f"n must be >= 1, got {n!r}")
-    if n > _group_limit_threshold(df):
-        df = _partition_top_n(df, key, order_col, n)
     runs = partition_count(df)         # from the plan: nothing runs before the real query
-    while runs * n > max_task_rows and runs > 1:
-        groups = max(2, min(runs - 1, math.ceil(runs * n / max_task_rows)))
-        df = _rank_within(df.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(groups))),
-                          [key, "_g"], order_col, n).drop("_g")
-        runs = groups
-    return _rank_within(df, [key], order_col, n)
+    budget = max(max_task_rows, 2 * n)                       # two runs at least, or no round would get anywhere
+    limited = n <= _group_limit_threshold(df)
+    if runs * n <= budget and limited or runs == 1:
+        return _rank_within(df, [key], order_col, n)
+    grouped = df.withColumn("_g", F.spark_partition_id())
+    if not limited:
+        grouped = _rank_within(grouped, [key, "_g"], order_col, n)
+    while runs * n > budget:
+        runs = math.ceil(runs * n / budget)
+        grouped = _rank_within(grouped.withColumn("_g", F.pmod("_g", F.lit(runs))), [key, "_g"], order_col, n)
+    return _rank_within(grouped.drop("_g"), [key], order_col, n)

@@ -3,9 +3,11 @@
 Texts are used whole (headlines, questions and message bodies are full
 documents); ``% n`` expressions only assign each row a role (catalogue or
 news, message shape, missing field), so every row of the source tables is
-used and no query works on a subset.
+used and no query works on a subset. Markets and news with stored vectors
+exist for the rows of ``embeddings``; messages and the feed cover every
+document.
 
-The reference ships no data; these views turn the given tables into its record
+No data of the kind is given; these views turn the given tables into its record
 shapes (markets with vectors, news with vectors, raw JSON messages, a market
 feed, topic arrivals). Each view is written twice - DataFrame code for the
 Spark side and a CTE for the DuckDB oracle - and every query's work grows with
@@ -23,7 +25,7 @@ from semjoin.functions.jsonio import to_json_text
 FX_DIM = 64                 # vector length of the driver's embeddings table
 FX_THRESHOLD = 0.3          # correctness threshold: 0.5 matches nothing at sf0.01
 FX_BAD_DATE = "2024-13-01"
-FX_NO_TOKENS = "-- ... --"  # a truthy text with no tokens: the embedder cannot embed it
+FX_TOKENS = r"[\p{L}\p{N}]+"   # what is taken out of a text to leave one the embedder cannot embed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,22 +72,23 @@ def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market feed rows: 50 recurring slugs (last wins), new slugs, empty slugs, null questions and flags."""
-    b = base(spark, sf_dir)
-    vid = F.col("vec_id")
+    """Market feed rows, one per document: recurring slugs (last wins), a hot slug, new slugs, empty slugs, null questions and flags."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vid = F.col("doc_id")
     slug = (F.when(vid % 17 == 0, F.lit(""))
-            .when(vid % 4 == 3, F.concat(F.lit("new-"), (vid % 50).cast("string")))
-            .otherwise(F.concat(F.lit("market-"), ((vid % 50) * 10).cast("string"))))
-    return b.select(vid.alias("pos"), slug.alias("market_slug"), (vid % 3 == 0).alias("slug_key"),
+            .when(vid % 7 == 1, F.lit("market-10"))
+            .when(vid % 4 == 3, F.concat(F.lit("new-"), F.floor(vid / 8).cast("string")))
+            .otherwise(F.concat(F.lit("market-"), (F.floor(vid / 6) * 5).cast("string"))))
+    return d.select(vid.alias("pos"), slug.alias("market_slug"), (vid % 3 == 0).alias("slug_key"),
                     F.when(vid % 13 == 0, F.lit(None).cast("string"))
                      .otherwise(F.col("text")).alias("question"),
-                    F.when(F.col("label") == 9, F.lit(True)).when(F.col("label") == 0, F.lit(None).cast("boolean"))
+                    F.when(vid % 10 == 9, F.lit(True)).when(vid % 10 == 0, F.lit(None).cast("boolean"))
                      .otherwise(F.lit(False)).alias("closed"),
                     (vid % 19 == 0).alias("null_flag"))
 
 
 FEED_SNAPSHOT_ROWS = 100
-FEED_LIMIT = 80
+FEED_LIMIT = 80              # of the one query that is about the limit; the others take whole snapshots
 
 
 def fx_feed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,16 +140,23 @@ def fx_raw_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts")
     j = d.join(ev, "doc_id", "left").withColumn(
         "ts", F.coalesce("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
-    body = F.when(F.col("doc_id") % 11 == 0, F.lit(FX_NO_TOKENS)).otherwise(F.col("text"))
+    body = F.when(F.col("doc_id") % 11 == 0, F.regexp_replace("text", FX_TOKENS, "-")).otherwise(F.col("text"))
+    tm = F.substring(F.col("ts").cast("string"), 12, 8)
     return j.select("doc_id", (F.col("doc_id") % 8).cast("int").alias("k"),
                     F.col("source").alias("src"),
                     F.col("ts").cast("date").cast("string").alias("dt"),
-                    F.substring(F.col("ts").cast("string"), 12, 8).alias("tm"),
+                    F.when(F.col("doc_id") % 13 == 1, F.substring(tm, 1, 5)).when(F.col("doc_id") % 13 == 2, F.concat(tm, F.lit(".250")))
+                     .otherwise(tm).alias("tm"),
                     body.alias("body"))
 
 
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw JSON message per document; eight shapes chosen by ``doc_id % 8``."""
+    """One raw message per document, around its whole text; eight shapes chosen by ``doc_id % 8``.
+
+    Shapes 0 (an object that is never closed) and 1 (an array) are no JSON
+    objects; 2 to 7 are, with the text as headline, news or (6) a note beside a
+    missing news.
+    """
     c = fx_raw_columns(spark, sf_dir)
     src, dt, tm, body = F.col("src"), F.col("dt"), F.col("tm"), F.col("body")
     null_s = F.lit(None).cast("string")
@@ -154,14 +164,14 @@ def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     def obj(**kw):
         return to_json_text(F.struct(*[v.alias(k) for k, v in kw.items()]))
 
-    value = (F.when(F.col("k") == 0, F.concat(F.lit("not json "), F.col("doc_id").cast("string")))
-             .when(F.col("k") == 1, F.lit("[1,2]"))
+    value = (F.when(F.col("k") == 0, F.concat(F.lit('{"news": '), F.translate(body, "\n\r", "  ")))
+             .when(F.col("k") == 1, to_json_text(F.array(body)))
              .when(F.col("k") == 2, obj(source=src, date=dt, time=tm, headline=F.lit(""), news=body))
              .when(F.col("k") == 3, obj(date=dt, time=tm, news=body))
              .when(F.col("k") == 4, obj(source=src, published_date=dt, published_time=tm, headline=body,
                                         tags=F.struct(F.lit(1).alias("k"))))
              .when(F.col("k") == 5, obj(source=src, date=F.lit(FX_BAD_DATE), time=tm, news=body))
-             .when(F.col("k") == 6, obj(source=src, date=dt, time=tm, news=null_s))
+             .when(F.col("k") == 6, obj(source=src, date=dt, time=tm, news=null_s, note=body))
              .otherwise(obj(source=src, date=dt, time=tm, news=body)))
     return c.select(F.col("doc_id").alias("msg_id"), value.alias("value"))
 
@@ -194,18 +204,19 @@ fx_news AS (
 
 SQL_FEED = """
 fx_feed AS (
-  SELECT vec_id AS pos,
-         CASE WHEN vec_id % 17 = 0 THEN '' WHEN vec_id % 4 = 3 THEN concat('new-', CAST(vec_id % 50 AS VARCHAR))
-              ELSE concat('market-', CAST((vec_id % 50) * 10 AS VARCHAR)) END AS market_slug,
-         vec_id % 3 = 0 AS slug_key,
-         CASE WHEN vec_id % 13 = 0 THEN NULL ELSE text END AS question,
-         CASE WHEN label = 9 THEN TRUE WHEN label = 0 THEN NULL ELSE FALSE END AS closed,
-         vec_id % 19 = 0 AS null_flag
-  FROM base),
+  SELECT doc_id AS pos,
+         CASE WHEN doc_id % 17 = 0 THEN '' WHEN doc_id % 7 = 1 THEN 'market-10'
+              WHEN doc_id % 4 = 3 THEN concat('new-', CAST(doc_id // 8 AS VARCHAR))
+              ELSE concat('market-', CAST((doc_id // 6) * 5 AS VARCHAR)) END AS market_slug,
+         doc_id % 3 = 0 AS slug_key,
+         CASE WHEN doc_id % 13 = 0 THEN NULL ELSE text END AS question,
+         CASE WHEN doc_id % 10 = 9 THEN TRUE WHEN doc_id % 10 = 0 THEN NULL ELSE FALSE END AS closed,
+         doc_id % 19 = 0 AS null_flag
+  FROM documents),
 fx_feed_rows AS (
   SELECT pos, pos // 100 AS snap, pos % 100 AS idx, nullif(market_slug, '') AS slug, nullif(question, '') AS question,
          CASE WHEN closed THEN TRUE WHEN null_flag THEN NULL ELSE FALSE END AS is_resolved
-  FROM fx_feed WHERE pos % 100 < 80)"""
+  FROM fx_feed)"""
 
 SQL_ARRIVALS = """
 fx_arrivals AS (
@@ -224,17 +235,23 @@ fx_arrivals AS (
   FROM events)"""
 
 SQL_RAW = f"""
-raw_cols AS (
-  SELECT d.doc_id, CAST(d.doc_id % 8 AS INTEGER) AS k, d.source AS src,
-         CAST(CAST(coalesce(ev.ts, TIMESTAMP '2024-01-01 00:00:00') AS DATE) AS VARCHAR) AS dt,
-         substring(CAST(coalesce(ev.ts, TIMESTAMP '2024-01-01 00:00:00') AS VARCHAR), 12, 8) AS tm,
-         CASE WHEN d.doc_id % 11 = 0 THEN '{FX_NO_TOKENS}' ELSE d.text END AS body
+raw_ts AS (
+  SELECT d.doc_id, d.source, d.text, coalesce(ev.ts, TIMESTAMP '2024-01-01 00:00:00') AS ts
   FROM documents d LEFT JOIN events ev ON ev.event_id = d.doc_id),
+raw_cols AS (
+  SELECT doc_id, CAST(doc_id % 8 AS INTEGER) AS k, source AS src, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt,
+         substring(CAST(ts AS VARCHAR), 12, 8) AS clock,
+         CASE WHEN doc_id % 13 = 1 THEN substring(CAST(ts AS VARCHAR), 12, 5)
+              WHEN doc_id % 13 = 2 THEN concat(substring(CAST(ts AS VARCHAR), 12, 8), '.250')
+              ELSE substring(CAST(ts AS VARCHAR), 12, 8) END AS tm,
+         CASE WHEN doc_id % 11 = 0 THEN regexp_replace(text, '{FX_TOKENS}', '-', 'g') ELSE text END AS body
+  FROM raw_ts),
 fx_raw AS (
-  SELECT doc_id AS msg_id, k, k IN (0, 1) AS bad,
+  SELECT doc_id AS msg_id, k, k IN (0, 1) AS bad, body,
          CASE WHEN k IN (2,4,5,6,7) THEN src END AS source,
          CASE WHEN k = 5 THEN '{FX_BAD_DATE}' WHEN k IN (2,3,4,6,7) THEN dt END AS published_date,
          CASE WHEN k IN (2,3,4,5,6,7) THEN tm END AS published_time,
+         CASE WHEN doc_id % 13 = 1 THEN concat(tm, ':00') WHEN doc_id % 13 = 2 THEN concat(clock, '.25') ELSE tm END AS stored_time,
          CASE WHEN k IN (2,3,4,5,7) THEN nullif(body, '') END AS headline,
          k = 4 AS has_tags
   FROM raw_cols)"""
@@ -244,7 +261,7 @@ def with_ctes(*names: str) -> str:
     """``WITH`` clause holding the requested fixture CTEs (dependencies first)."""
     parts = []
     wanted = set(names)
-    if wanted & {"fx_markets", "fx_news", "fx_feed"}:
+    if wanted & {"fx_markets", "fx_news"}:
         parts.append(SQL_BASE)
     for n, sql in (("fx_markets", SQL_MARKETS), ("fx_news", SQL_NEWS), ("fx_feed", SQL_FEED),
                    ("fx_arrivals", SQL_ARRIVALS), ("fx_raw", SQL_RAW)):

@@ -72,9 +72,9 @@ _ENRICH_COLS = ["news_id", "source", "published_date", "published_time", "headli
 
 def _enriched(spark, sf):
     cat = _catalogue(spark, sf)
-    n, text_bytes = M.catalogue_profile(cat, FX_DIM)      # one pass sizes both the matrix and the join
-    m = M.nearest(X.fx_news(spark, sf), cat, dim=FX_DIM, threshold=FX_THRESHOLD, n_rows=n)
-    return M.enrich(m, cat, text_bytes=text_bytes)
+    ready = M.prepare_catalogue(cat, FX_DIM)
+    m = M.nearest(X.fx_news(spark, sf), cat, dim=FX_DIM, threshold=FX_THRESHOLD, prepared=ready)
+    return M.enrich(m, cat, text_bytes=ready.text_bytes)
 
 
 _SQL_ENRICH = _SQL_CAT + f""",
@@ -113,9 +113,8 @@ def q_match_empty_catalog(spark, sf):
 SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
 FROM fx_news n LEFT JOIN top t USING (news_id)""")
 def q_match_blocked(spark, sf):
-    # the beyond-the-broadcast-budget strategy, forced with small blocks so several co-groups meet
-    m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None,
-                  strategy="blocked", block_rows=64, cat_block_rows=16)
+    # the beyond-the-broadcast-budget strategy, forced
+    m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None, strategy="blocked")
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 
@@ -124,7 +123,7 @@ SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
 FROM fx_news n LEFT JOIN top t USING (news_id)""")
 def q_match_ivf_full_probe(spark, sf):
     m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None,
-                  strategy="ivf", nlist=8, nprobe=8, block_rows=64, cat_block_rows=16)
+                  strategy="ivf", nlist=8, nprobe=8)
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 
@@ -227,6 +226,7 @@ raw_db AS (
 SELECT msg_id, CASE k WHEN 2 THEN 'date,headline,news,source,time'
                       WHEN 3 THEN 'date,news,time'
                       WHEN 4 THEN 'headline,published_date,published_time,source,tags'
+                      WHEN 6 THEN 'date,news,note,source,time'
                       ELSE 'date,news,source,time' END AS keys
 FROM fx_raw WHERE NOT bad""")
 def q_parse_news(spark, sf):
@@ -235,7 +235,8 @@ def q_parse_news(spark, sf):
 
 
 @query("bad_records", with_ctes("fx_raw") + """
-SELECT msg_id, CASE WHEN k = 0 THEN concat('not json ', CAST(msg_id AS VARCHAR)) ELSE '[1,2]' END AS value
+SELECT msg_id, CASE WHEN k = 0 THEN concat('{"news": ', replace(replace(body, chr(10), ' '), chr(13), ' '))
+                    ELSE CAST(to_json([body]) AS VARCHAR) END AS value
 FROM fx_raw WHERE bad""")
 def q_bad_records(spark, sf):
     return N.bad_records(X.fx_raw(spark, sf)).select("msg_id", "value")
@@ -255,7 +256,7 @@ def q_normalize_news(spark, sf):
 @query("typed_datetime", with_ctes("fx_raw") + """
 SELECT msg_id, CASE WHEN regexp_full_match(published_date, '\\d{4}-\\d{2}-\\d{2}')
                     THEN TRY_CAST(published_date AS DATE) END AS pub_date,
-       coalesce(regexp_full_match(published_time, '([01]\\d|2[0-3]):[0-5]\\d:[0-5]\\d(\\.\\d{1,6})?'), false)
+       coalesce(regexp_full_match(published_time, '([01]\\d|2[0-3]):[0-5]\\d(:[0-5]\\d(\\.\\d{1,6})?)?'), false)
          AS time_valid
 FROM fx_raw WHERE NOT bad""")
 def q_typed_datetime(spark, sf):
@@ -288,7 +289,7 @@ def q_store_status(spark, sf):
 SELECT embedding_status, db_status, count(*) AS n FROM raw_db GROUP BY 1, 2""")
 def q_status_counts(spark, sf):
     s = N.store_status(N.embed_news(_parsed(spark, sf), _embedder()))
-    return s.groupBy("embedding_status", "db_status").agg(F.count(F.lit(1)).alias("n"))
+    return N.status_counts(s)
 
 
 @query("embedding_dim", """
@@ -329,18 +330,19 @@ def q_text_preview(spark, sf):
     return X.table(spark, sf, "documents").select("doc_id", text_preview("text").alias("preview"))
 
 
-@query("embed_hash", "WITH d AS (SELECT doc_id, text FROM documents)" + hash_sql("h", "d", "doc_id", "text") + f""",
+_SQL_EMBED = "WITH d AS (SELECT doc_id, text FROM documents)" + hash_sql("h", "d", "doc_id", "text") + f""",
 agg AS (SELECT id, count(*) AS n_buckets, sum(CAST(v AS DOUBLE)) AS l1, sum(bucket * CAST(v AS DOUBLE)) AS weighted
              FROM h_vec GROUP BY id)
 SELECT d.doc_id, len(regexp_extract_all(d.text, '{EMB.TOKEN_PATTERN}')) AS n_tokens,
        a.n_buckets, round(a.l1, 6) AS l1, round(a.weighted, 6) AS weighted
-FROM d LEFT JOIN agg a ON a.id = d.doc_id""")
-def q_embed_hash(spark, sf):
+FROM d LEFT JOIN agg a ON a.id = d.doc_id"""
+
+
+def _embedded(spark, sf, embedder):
     from semjoin.operators.partitioning import spread
     d = spread(X.table(spark, sf, "documents").select("doc_id", "text"))
-    v = _embedder()(F.col("text"))
     e = d.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(EMB.TOKEN_PATTERN), 0)).alias("n_tokens"),
-                 v.alias("v"))
+                 embedder(F.col("text")).alias("v"))
     w = F.zip_with(F.sequence(F.lit(0), F.lit(FX_DIM - 1)), F.col("v"), lambda i, x: i * x.cast("double"))
     return e.select("doc_id", "n_tokens",
                     F.when(F.col("v").isNotNull(), F.size(F.filter("v", lambda x: x > 0))).cast("long").alias("n_buckets"),
@@ -348,6 +350,17 @@ def q_embed_hash(spark, sf):
                     F.round(F.aggregate(w, F.lit(0.0), lambda a, x: a + x), 6).alias("weighted"))
 
 
+@query("embed_hash", _SQL_EMBED)
+def q_embed_hash(spark, sf):
+    return _embedded(spark, sf, _embedder())
+
+
+@query("embed_model", _SQL_EMBED)
+def q_embed_model(spark, sf):
+    # the model path (loaded once per worker, requests of at most 100 texts, a time limit), with the hashing scheme as the model
+    return _embedded(spark, sf, EMB.ModelEmbedder(lambda: EMB.hash_encoder(FX_DIM), FX_DIM, timeout_s=60.0))
+
+
 @query("embed_batches", f"""
 SELECT batch, count(*) AS count, max(CASE WHEN ok THEN {FX_DIM} END) AS dimension, count(*) FILTER (WHERE ok) AS embedded
 FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // {EMB.MAX_BATCH_TEXTS} AS batch,
@@ -355,7 +368,7 @@ FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // {EMB.MAX_BATCH_TEXTS}
 GROUP BY batch""")
 def q_embed_batches(spark, sf):
     d = X.table(spark, sf, "documents").select("doc_id", "text")
-    return EMB.embed_batches(d, "text", "doc_id", _embedder())
+    return EMB.embed_batches(d, "text", "doc_id", lambda: EMB.hash_encoder(FX_DIM))
 
 
 # =========================================================================== catalogue
@@ -377,16 +390,20 @@ def _feed_docs(spark, sf):
     return FEED.read_feed(spark, path)
 
 
+def _feed_rows(spark, sf):
+    """Every row of every snapshot, normalised."""
+    return C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_SNAPSHOT_ROWS))
+
+
 def _staged(spark, sf):
-    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
-    return C.ingest_status(rows, _embedder())
+    return C.ingest_status(_feed_rows(spark, sf), _embedder())
 
 
 _ORDER = ["snap", "pos"]
 
 
-@query("market_feed", with_ctes("fx_feed") + """
-SELECT snap, idx AS pos, slug, question, is_resolved FROM fx_feed_rows""")
+@query("market_feed", with_ctes("fx_feed") + f"""
+SELECT snap, idx AS pos, slug, question, is_resolved FROM fx_feed_rows WHERE idx < {X.FEED_LIMIT}""")
 def q_market_feed(spark, sf):
     rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
     return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"),
@@ -396,14 +413,14 @@ def q_market_feed(spark, sf):
 @query("market_feed_valid", with_ctes("fx_feed") + """
 SELECT snap, idx AS pos, slug FROM fx_feed_rows WHERE slug IS NOT NULL AND question IS NOT NULL""")
 def q_market_feed_valid(spark, sf):
-    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT)).where(C.feed_valid())
+    rows = _feed_rows(spark, sf).where(C.feed_valid())
     return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"), "slug")
 
 
 @query("market_normalize", with_ctes("fx_feed") + f"""
 SELECT snap, idx AS pos, slug, is_resolved, '{C.DEFAULT_SOURCE_TAG}' AS source FROM fx_feed_rows""")
 def q_market_normalize(spark, sf):
-    rows = C.normalize_feed(C.feed_rows(_feed_docs(spark, sf), X.FEED_LIMIT))
+    rows = _feed_rows(spark, sf)
     return rows.select(F.col("snap").cast("long").alias("snap"), F.col("pos").cast("long").alias("pos"),
                        "slug", "is_resolved", "source")
 
@@ -589,6 +606,11 @@ def q_buffer_stats(spark, sf):
     return SV.buffer_stats(X.fx_arrivals(spark, sf), cap=3000)
 
 
+@query("pipeline_stats", with_ctes("fx_arrivals") + _SQL_BSTATS.replace("3000", str(SV.BUFFER_SIZE)) + " SELECT * FROM bs2")
+def q_pipeline_stats(spark, sf):
+    return SV.buffer_stats(X.fx_arrivals(spark, sf))
+
+
 @query("combined_stats", with_ctes("fx_markets", "fx_arrivals") + _SQL_MSTATS + _SQL_BSTATS + """
 SELECT bs2.*, ms.total_markets AS markets_total_markets, ms.active_markets AS markets_active_markets,
        ms.resolved_markets AS markets_resolved_markets, ms.markets_with_embeddings AS markets_markets_with_embeddings
@@ -643,7 +665,7 @@ def _hash_catalogue(spark, sf):
 
 def _processed_raw(spark, sf):
     p = N.process(X.fx_raw(spark, sf), _embedder(), _hash_catalogue(spark, sf), dim=FX_DIM,
-                  threshold=FX_THRESHOLD, key="msg_id")
+                  threshold=FX_THRESHOLD)
     return ST.with_news_id(p, key="msg_id")
 
 
@@ -665,7 +687,7 @@ published AS (
   FROM raw_db r JOIN rtop t ON t.msg_id = r.msg_id JOIN rcat c ON c.id = t.market_id)"""
 
 _SQL_STORED = with_ctes("fx_raw") + _SQL_RAW_STATUS + """
-SELECT source, CAST(published_date AS DATE) AS published_date, published_time, headline FROM raw_db
+SELECT source, CAST(published_date AS DATE) AS published_date, stored_time AS published_time, headline FROM raw_db
 WHERE db_status = 'saved'"""
 
 _SQL_STORED_VEC = with_ctes("fx_raw") + _SQL_RAW_STATUS + """,
@@ -726,15 +748,20 @@ def q_publish_payload(spark, sf):
     return _read_published(spark, path)
 
 
+MESSAGES_PER_FILE = 500      # files, and with them tasks and batch sizes, grow with the data
+
+
 def _run_stream(spark, sf):
-    """Land the raw messages as 4 files and run the streaming job over them, one file per micro-batch."""
+    """Land the raw messages as files and run the streaming job over them in two micro-batches of half the files each."""
     base_dir = shared_dir(spark, "stream")
     inbox, out, ckpt = f"{base_dir}/inbox", f"{base_dir}/out", f"{base_dir}/checkpoint"
-    SRC.write_message_files(X.fx_raw(spark, sf).repartition(4, "msg_id").select("value"), inbox)
+    raw = X.fx_raw(spark, sf)
+    SRC.write_message_files(raw.select("value"), inbox, per_file=MESSAGES_PER_FILE)
     # the catalogue as stored by the ingest (markets joined with their vectors), re-read by every batch
     cat_path = f"{base_dir}/catalogue"
     _hash_catalogue(spark, sf).write.parquet(cat_path)
-    stream = SRC.read_message_files(spark, inbox, stream=True, max_files_per_trigger=1)
+    files = spark.read.format("binaryFile").load(inbox).select("path").count()     # names only
+    stream = SRC.read_message_files(spark, inbox, stream=True, max_files_per_trigger=max(1, -(-files // 2)))
     # written once, so its version never changes: measured and broadcast once for all batches
     q = JOB.start(stream, out, ckpt, embedder=_embedder(), load_catalogue=lambda: spark.read.parquet(cat_path),
                   catalogue_version=lambda: cat_path, dim=FX_DIM, threshold=FX_THRESHOLD, now=lambda: FX_NOW)
@@ -745,6 +772,20 @@ def _run_stream(spark, sf):
     return out
 
 
+@query("stream_bad_records", with_ctes("fx_raw") + """
+SELECT CASE WHEN k = 0 THEN concat('{"news": ', replace(replace(body, chr(10), ' '), chr(13), ' '))
+            ELSE CAST(to_json([body]) AS VARCHAR) END AS value FROM fx_raw WHERE bad""")
+def q_stream_bad_records(spark, sf):
+    return spark.read.parquet(f"{_run_stream(spark, sf)}/bad_records").select("value")
+
+
+@query("stream_status_counts", with_ctes("fx_raw") + _SQL_RAW_STATUS + """
+SELECT embedding_status, db_status, CAST(count(*) AS BIGINT) AS n FROM raw_db GROUP BY 1, 2""")
+def q_stream_status_counts(spark, sf):
+    counts = spark.read.parquet(f"{_run_stream(spark, sf)}/status_counts")
+    return counts.groupBy("embedding_status", "db_status").agg(F.sum("n").alias("n"))
+
+
 @query("stream_ingest", _SQL_STORED)
 def q_stream_ingest(spark, sf):
     return _read_stored(spark, _run_stream(spark, sf))
@@ -789,38 +830,62 @@ def q_ingest_stream(spark, sf):
                      f"{root}/market_embeddings", 0)
     inbox = f"{root}/inbox"
     FEED.write_feed(X.fx_feed_docs(spark, sf), inbox)
-    stream = spark.readStream.schema("value string, snap long").option("wholetext", "true").text(inbox)
-    q = INGEST.start(stream, root, f"{root}/checkpoint", embedder=_embedder(), limit=X.FEED_LIMIT,
+    q = INGEST.start(FEED.stream_feed(spark, inbox), root, f"{root}/checkpoint", embedder=_embedder(), limit=X.FEED_SNAPSHOT_ROWS,
                      now=lambda: FX_NOW)
     q.awaitTermination()
     return TB.read_latest(spark, f"{root}/markets").select(*C.MARKET_COLUMNS)
 
 
-DELTA_TICKS = 4
+TICKS = 3
+
+
+def _deliver(spark, sf, root, start):
+    """Land the arrivals tick by tick, as many files as the data makes, and run the query over each tick as it is there."""
+    arr = X.fx_arrivals(spark, sf).withColumn("tick", (F.col("arrival") % TICKS).cast("long"))
+    landed = f"{root}/inbox"
+    schema = "topic string, arrival long, time string, tick long"
+    for tick in range(TICKS):
+        now = arr.where(F.col("tick") == tick).select("topic", "arrival", "time", "tick")
+        now.write.mode("append").option("maxRecordsPerFile", 10_000).json(landed)
+        start(spark.readStream.schema(schema).json(landed)).awaitTermination()
 
 
-@query("delta_stream", with_ctes("fx_arrivals") + f"""
+_SQL_TICKS = f"""
 SELECT tick, topic, arrival FROM (
-  SELECT arrival % {DELTA_TICKS} AS tick, topic, arrival,
-         row_number() OVER (PARTITION BY arrival % {DELTA_TICKS}, topic ORDER BY arrival DESC) AS rn
-  FROM fx_arrivals) WHERE rn <= 10""")
-def q_delta_stream(spark, sf):
-    """Arrivals delivered in four ticks (one landed file each); every tick pushes its newest 10 per topic."""
+  SELECT arrival % {TICKS} AS tick, topic, arrival,
+         row_number() OVER (PARTITION BY arrival % {TICKS}, topic ORDER BY arrival DESC) AS rn
+  FROM fx_arrivals) WHERE rn <= 10"""
+
+
+def _run_delta(spark, sf):
     root = shared_dir(spark, "delta")
-    arr = X.fx_arrivals(spark, sf).withColumn("tick", (F.col("arrival") % DELTA_TICKS).cast("long"))
-    msgs = arr.select("tick", F.to_json(F.struct("topic", "arrival", "time")).alias("value"))
-    msgs.repartition(DELTA_TICKS, "tick").write.partitionBy("tick").text(f"{root}/inbox")
-    stream = (spark.readStream.schema("value string, tick long").option("maxFilesPerTrigger", "1")
-              .text(f"{root}/inbox")
-              .select("tick", F.from_json("value", "topic string, arrival long, time string").alias("m"))
-              .select("tick", "m.*"))
-
-    def sink(df, batch_id):
-        df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
-          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/out")
-    q = DELTA.start(stream, sink, f"{root}/checkpoint", available_now=True)
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("tick", "topic", "arrival")
+
+    def sink(items, stats, batch_id):
+        ST.write_batch(items, f"{root}/items", batch_id)
+        ST.write_batch(stats, f"{root}/stats", batch_id)
+    _deliver(spark, sf, root, lambda stream: DELTA.start(stream, sink, f"{root}/checkpoint", f"{root}/buffers", available_now=True))
+    return root
+
+
+@query("delta_stream", with_ctes("fx_arrivals") + _SQL_TICKS)
+def q_delta_stream(spark, sf):
+    """Every tick pushes its newest 10 items per topic."""
+    return spark.read.parquet(f"{_run_delta(spark, sf)}/items").select("tick", "topic", "arrival")
+
+
+@query("delta_stats", with_ctes("fx_arrivals") + f""",
+ticks AS (SELECT unnest(range({TICKS})) AS t),
+s AS (SELECT t, least(count(*) FILTER (WHERE topic = 'news_stream'), 1000) AS total_news,
+             least(count(*) FILTER (WHERE topic = 'processed_news'), 1000) AS total_processed,
+             arg_max(time, arrival) FILTER (WHERE topic = 'news_stream') AS latest_news_time,
+             arg_max(time, arrival) FILTER (WHERE topic = 'processed_news') AS latest_processed_time
+      FROM ticks JOIN fx_arrivals ON arrival % {TICKS} <= t GROUP BY t)
+SELECT CAST(t AS INTEGER) AS batch_id, total_news, total_processed,
+       coalesce(round(100.0 * total_processed / nullif(total_news, 0), 2), 0.0) AS processing_rate,
+       latest_news_time, latest_processed_time FROM s""")
+def q_delta_stats(spark, sf):
+    """The buffers' statistics as each tick pushed them."""
+    return spark.read.parquet(f"{_run_delta(spark, sf)}/stats")
 
 
 from semjoin.streaming import buffer_job as BUF  # noqa: E402
@@ -828,14 +893,7 @@ from semjoin.streaming import buffer_job as BUF  # noqa: E402
 
 @query("buffer_stream", with_ctes("fx_arrivals") + _SQL_BUF + " SELECT topic, arrival, time FROM buf")
 def q_buffer_stream(spark, sf):
-    """Both topics landed as files (one folder per topic, four deliveries each) and read as one stream."""
+    """Both topics landed as files tick by tick and read as one stream into the bounded buffers."""
     root = shared_dir(spark, "buffers")
-    arr = X.fx_arrivals(spark, sf).withColumn("tick", (F.col("arrival") % DELTA_TICKS).cast("long"))
-    msgs = arr.select("topic", "tick", F.to_json(F.struct("arrival", "time")).alias("value"))
-    msgs.repartition(2 * DELTA_TICKS, "topic", "tick").write.partitionBy("topic", "tick").text(f"{root}/inbox")
-    stream = (spark.readStream.schema("value string, topic string, tick long").option("maxFilesPerTrigger", "2")
-              .text(f"{root}/inbox")
-              .select("topic", F.from_json("value", "arrival long, time string").alias("m")).select("topic", "m.*"))
-    q = BUF.start(stream, f"{root}/buffer", f"{root}/checkpoint", "topic string, arrival long, time string")
-    q.awaitTermination()
+    _deliver(spark, sf, root, lambda stream: BUF.start(stream, f"{root}/buffer", f"{root}/checkpoint", DELTA.BUFFER_SCHEMA))
     return TB.read_latest(spark, f"{root}/buffer").select("topic", "arrival", "time")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/GCS) on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="semjoin-ckpt-"))
     return sc.getCheckpointDir()

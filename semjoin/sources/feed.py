@@ -1,20 +1,32 @@
 """Market feed snapshots landed as files.
 
 A fetched feed snapshot is one JSON document (an array, or an object wrapping
-it). Such a document can only be parsed whole, so each file is read as one
-record (``wholetext``); landing snapshots as many modest files, one per fetch,
-keeps every task bounded. Partition folders (``snap=N``) carry the fetch order.
+it) that can only be parsed whole. Snapshots are landed as rows (``value`` =
+the document, ``snap`` = fetch order) of Parquet files, many to a file, so that
+listing and reading them costs by their size, not by their number. Documents
+that something else left as one file each are read whole by
+``read_feed_documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+FEED_SCHEMA = "value string, snap long"
+
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Feed documents under ``path``: ``value`` (the JSON text) plus partition columns."""
-    return spark.read.option("wholetext", "true").text(path)
+    return spark.read.schema(FEED_SCHEMA).parquet(path)
+
+
+def stream_feed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(FEED_SCHEMA).parquet(path)
 
 
-def write_feed(docs: DataFrame, path: str, partition_col: str = "snap") -> None:
-    docs.write.mode("overwrite").partitionBy(partition_col).text(path)
+def write_feed(docs: DataFrame, path: str) -> None:
+    docs.select("value", docs["snap"].cast("long").alias("snap")).write.mode("append").parquet(path)
+
+
+def read_feed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One document per file: ``value`` (the JSON text) plus partition columns."""
+    return spark.read.option("wholetext", "true").text(path)

@@ -13,25 +13,34 @@ from pyspark.sql import functions as F
 
 
 def read_topic_stream(spark: SparkSession, servers: str, topics: str, starting: str = "earliest",
-                      group_id: str | None = None) -> DataFrame:
+                      group_id: str | None = None, fail_on_data_loss: bool = True,
+                      with_timestamp: bool = False) -> DataFrame:
     """Kafka topic(s) as a stream of ``topic, partition, offset, value`` (UTF-8 text).
 
     ``starting="earliest"`` replays the topic (the processing job);
     ``starting="latest"`` tails it (the serving consumers). Several topics may
-    be given comma-separated and split later on ``topic``.
+    be given comma-separated and split later on ``topic``. Offsets that the
+    broker has already deleted fail the query unless ``fail_on_data_loss`` is
+    off. ``with_timestamp`` adds the broker's ``timestamp``.
     """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topics).option("startingOffsets", starting)
-         .option("failOnDataLoss", "false"))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if group_id:
         r = r.option("kafka.group.id", group_id)
-    return r.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    return r.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"),
+                           *["timestamp"] * with_timestamp)
 
 
-def write_topic_stream(df: DataFrame, servers: str, topic: str, checkpoint: str):
-    """Publish a ``value`` column to a Kafka topic."""
-    return (df.select("value").writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
-            .option("topic", topic).option("checkpointLocation", checkpoint))
+def publish_to_topic(servers: str, topic: str):
+    """A sink for ``news_job``: ``publish(df, batch_id)`` sends a ``value`` column to a Kafka topic.
+
+    Delivery is at least once: a replayed batch is sent again.
+    """
+    def publish(df: DataFrame, batch_id: int) -> None:
+        (df.select("value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+           .option("topic", topic).save())
+    return publish
 
 
 def read_message_files(spark: SparkSession, path: str, stream: bool = True,
@@ -45,9 +54,10 @@ def read_message_files(spark: SparkSession, path: str, stream: bool = True,
     return spark.read.text(path)
 
 
-def write_message_files(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
-    """Land messages (``value`` column) as text files, one message per line."""
-    w = df.write.mode("append")
+def write_message_files(df: DataFrame, path: str, partition_cols: list[str] | None = None,
+                        per_file: int = 0) -> None:
+    """Land messages (``value`` column) as text files, one message per line, at most ``per_file`` in a file (0: any)."""
+    w = df.write.mode("append").option("maxRecordsPerFile", per_file)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.text(path)

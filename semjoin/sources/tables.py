@@ -2,16 +2,22 @@
 
 Parquet folders cannot be updated in place, and overwriting the folder a job
 is reading from loses data. An upsert therefore writes the table's next state
-to ``<root>/version=<n>``; a version counts once its ``_SUCCESS`` marker
-exists, and readers take the highest such version. Rewriting a version (a
-replayed micro-batch) is idempotent. Only folder names are listed on the
-driver, through the cluster's file system client.
+to ``<root>/version=<n>`` and then moves a small pointer file to it; readers
+follow the pointer, so nothing is listed and an unfinished version is never
+seen. The versions before the last ``keep`` are removed. Rewriting a version
+(a replayed micro-batch) is idempotent. The pointer and the removal go through
+the cluster's file system client.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Ours: versions kept behind the current one. A replayed batch reads the one before; a reader of
+# an older one (a long query) needs more.
+KEEP_VERSIONS = 3
+_POINTER = "current.txt"
+
 
 def _fs(spark: SparkSession, root: str):
     jvm = spark.sparkContext._jvm
@@ -19,36 +25,35 @@ def _fs(spark: SparkSession, root: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, path, jvm = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("version="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    v = committed_versions(spark, root)
-    return v[-1] if v else None
+    """The version the pointer names; None before the first commit."""
+    fs, path, jvm = _fs(spark, root)
+    pointer = jvm.org.apache.hadoop.fs.Path(path, _POINTER)
+    if not fs.exists(pointer):
+        return None
+    stream = fs.open(pointer)
+    try:
+        return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def read_latest(spark: SparkSession, root: str, schema: str | None = None,
                 at_most: int | None = None) -> DataFrame:
     """Current state of the table; an empty frame of ``schema`` when nothing is committed yet.
 
-    ``at_most`` reads the newest committed version not above it: a stream
+    ``at_most`` reads that version if the table has gone past it: a stream
     batch ``b`` reads version ``<= b`` and writes ``b + 1``, so a replayed
     batch sees the same input and never reads the folder it rewrites.
     """
-    vs = committed_versions(spark, root)
-    if at_most is not None:
-        vs = [x for x in vs if x <= at_most]
-    v = vs[-1] if vs else None
+    now = latest_version(spark, root)
+    v = now if now is None or at_most is None else min(now, at_most)
+    if v is not None and v != now:
+        fs, path, jvm = _fs(spark, root)
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(path, f"version={v}")):
+            if v >= 0 and fs.exists(path) and v < now - KEEP_VERSIONS:
+                raise FileNotFoundError(f"version {v} of {root} has been removed (current: {now})")
+            v = None                                    # the table began after it
     if v is None:
         if schema is None:
             raise FileNotFoundError(f"no committed version under {root}")
@@ -56,5 +61,18 @@ def read_latest(spark: SparkSession, root: str, schema: str | None = None,
     return spark.read.parquet(f"{root}/version={v}")
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
+def write_version(df: DataFrame, root: str, version: int, keep: int = KEEP_VERSIONS) -> None:
+    """Write the state, point to it, remove what fell out of the kept versions."""
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    fs, path, jvm = _fs(df.sparkSession, root)
+    hadoop = jvm.org.apache.hadoop.fs
+    draft, pointer = hadoop.Path(path, f"{_POINTER}.new"), hadoop.Path(path, _POINTER)
+    out = fs.create(draft, True)
+    out.write(bytearray(str(version).encode()))
+    out.close()
+    overwrite = df.sparkSession.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(fs.getUri(), df.sparkSession.sparkContext._jsc.hadoopConfiguration()).rename(draft, pointer, overwrite)
+    old = hadoop.Path(path, f"version={version - keep - 1}")
+    if version - keep - 1 >= 0:
+        fs.delete(old, True)

@@ -4,15 +4,18 @@ The state is the buffer itself - at most ``size`` items per topic - kept as a
 versioned table. Each micro-batch unions its new items with the previous
 version, keeps the newest ``size`` per topic (partial ``WindowGroupLimit``
 before the shuffle) and writes the next version; a replayed batch rewrites
-the same version. The state never grows with the stream.
+the same version. A version does not grow with the stream, and only the last
+few versions are kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from semjoin.operators.serving import BUFFER_SIZE, recent_by_topic
 from semjoin.sources import tables as TB
+from semjoin.sources.streams import read_topic_stream
 
 
 def make_batch_writer(root: str, schema: str, size: int = BUFFER_SIZE, order_col: str = "arrival"):
@@ -30,3 +33,11 @@ def start(stream: DataFrame, root: str, checkpoint: str, schema: str, size: int
           trigger: dict | None = None):
     w = stream.writeStream.foreachBatch(make_batch_writer(root, schema, size))
     return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_on_topics(spark, servers: str, topics: str, root: str, checkpoint: str, size: int = BUFFER_SIZE,
+                    trigger: dict | None = None):
+    """Tail Kafka topics (from their ends) into the buffers; items are JSON objects with a ``time``, ordered by broker time."""
+    rows = read_topic_stream(spark, servers, topics, starting="latest", with_timestamp=True)
+    items = rows.select("topic", F.unix_micros("timestamp").alias("arrival"), F.get_json_object("value", "$.time").alias("time"))
+    return start(items, root, checkpoint, "topic string, arrival long, time string", size, trigger or {"processingTime": "1 second"})

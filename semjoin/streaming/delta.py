@@ -1,28 +1,42 @@
-"""Delta push on a stream: every tick, at most N newest new items per topic plus buffer statistics.
+"""Delta push on a stream: every tick, at most N newest new items per topic, and the buffers' statistics.
 
 ``foreachBatch`` sees exactly the items that arrived since the previous tick
 (the stream's own offsets), so "new since last tick" needs no counters; per
 topic ``row_number() <= N`` keeps the newest N. A topic that did not grow has
-no rows in the batch and sends nothing.
+no rows in the batch and sends nothing. The statistics come from the bounded
+recent buffers, a versioned table that every tick brings up to date first.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from semjoin.operators.serving import DELTA_MAX_ITEMS
+from semjoin.operators.serving import BUFFER_SIZE, DELTA_MAX_ITEMS, buffer_stats
 from semjoin.operators.topn import top_n_per_key
+from semjoin.sources import tables as TB
+from semjoin.streaming import buffer_job
+
+BUFFER_SCHEMA = "topic string, arrival long, time string"
 
 
 def tick(batch: DataFrame, max_items: int = DELTA_MAX_ITEMS, order_col: str = "arrival") -> DataFrame:
     return top_n_per_key(batch, "topic", order_col, max_items)
 
 
-def start(stream: DataFrame, sink, checkpoint: str, interval: str = "1 second",
-          max_items: int = DELTA_MAX_ITEMS, available_now: bool = False):
-    """``sink(df, batch_id)`` receives each tick's items."""
+def start(stream: DataFrame, sink, checkpoint: str, buffer_root: str, interval: str = "1 second",
+          max_items: int = DELTA_MAX_ITEMS, size: int = BUFFER_SIZE, available_now: bool = False):
+    """``sink(items, stats, batch_id)`` receives each tick's items and the one-row statistics after it."""
+    keep = buffer_job.make_batch_writer(buffer_root, BUFFER_SCHEMA, size)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        sink(tick(batch, max_items), batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            keep(batch, batch_id)
+            buffers = TB.read_latest(batch.sparkSession, buffer_root, BUFFER_SCHEMA, at_most=batch_id + 1)
+            sink(tick(batch, max_items), buffer_stats(buffers, size), batch_id)
+        finally:
+            batch.unpersist()
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

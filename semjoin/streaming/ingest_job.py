@@ -14,9 +14,9 @@ from typing import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from semjoin.operators import catalog as C
+from semjoin.operators.store import write_batch
 from semjoin.sources import tables as TB
 
 MARKETS_SCHEMA = ("id long, source string, slug string, question string, is_resolved boolean, "
@@ -45,9 +45,7 @@ def make_batch_writer(root: str, *, embedder, limit: int = C.DEFAULT_FEED_LIMIT,
             committed = TB.read_latest(spark, f"{root}/markets", at_most=batch_id + 1)
             new_vectors = C.upsert_market_embeddings(vectors, committed, staged, ts, order)
             TB.write_version(new_vectors, f"{root}/market_embeddings", batch_id + 1)
-            counters = C.ingest_counters(staged).withColumn("batch_id", F.lit(batch_id).cast("long"))
-            (counters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(f"{root}/ingest_counters"))
+            write_batch(C.ingest_counters(staged), f"{root}/ingest_counters", batch_id)
         finally:
             staged.unpersist()
     return write

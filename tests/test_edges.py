@@ -62,7 +62,7 @@ def test_reserved_keys_dropped_and_payload_has_no_duplicates(spark):
     cat = spark.createDataFrame([(1, "m1", "q1", [1.0, 0.0, 0.0, 0.0])],
                                 "id long, slug string, question string, embedding array<float>")
     emb = lambda c: F.array(*[F.lit(x).cast("float") for x in (1.0, 0.0, 0.0, 0.0)])
-    p = N.process(raw(spark, [v]), emb, cat, dim=DIM, threshold=0.5, key="msg_id")
+    p = N.process(raw(spark, [v]), emb, cat, dim=DIM, threshold=0.5)
     p = p.withColumn("news_id", F.lit(None).cast("long"))
     out = json.loads(PUB.payloads(p).first().value)
     assert out["extra"] == {"k": 1} and out["match_score"] == 1.0 and "embedding" not in out
@@ -229,13 +229,121 @@ def test_process_over_budget_catalogue_falls_back_to_blocked(spark):
 
     def run(**kw):
         out = N.process(X.fx_raw(spark, sf), R._embedder(), R._hash_catalogue(spark, sf), dim=X.FX_DIM,
-                        threshold=X.FX_THRESHOLD, key="msg_id", **kw)
+                        threshold=X.FX_THRESHOLD, **kw)
         return sorted((r.msg_id, r.matched_market_id, r.matched_market,
                        None if r.match_score is None else round(r.match_score, 9), r.db_status)
                       for r in out.select(*cols).collect())
 
     prep = M.prepare_catalogue(R._hash_catalogue(spark, sf), X.FX_DIM, max_broadcast_bytes=1000)
-    assert prep.bc is None and prep.n_rows > 1000 // M.catalogue_bytes(1, X.FX_DIM)
+    assert prep.bc is None and M.catalogue_bytes(prep.n_rows, X.FX_DIM) > 1000
     small = run(max_broadcast_bytes=1000)      # a few rows at most: blocked strategy
     default = run()
     assert small == default and sum(r[1] is not None for r in default) > 0
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked", "ivf"])
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+def test_one_bad_market_spoils_nothing(spark, strategy, bad):
+    news = _news(spark, [[1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.1, 0.0], [bad, 0.0, 0.0, 1.0]])
+    cat = _cat(spark, [(1, [bad, 1.0, 0.0, 0.0]), (2, [1.0, 0.1, 0.0, 0.0]), (3, [0.0, 1.0, 0.0, 0.0])])
+    got = {r.news_id: r.matched_market_id for r in M.nearest(news, cat, dim=DIM, threshold=None, strategy=strategy, nlist=2, nprobe=2).collect()}
+    assert got == {0: 2, 1: 3, 2: None}
+    assert M.catalogue_profile(cat.selectExpr("*", "'s' AS slug", "'q' AS question"), DIM)[0] == 2
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "blocked", "ivf"])
+def test_ten_thousand_equal_markets(spark, strategy):
+    cat = spark.range(10_000).select((F.col("id") + 5).alias("id"), F.array(*[F.lit(x).cast("float") for x in (1.0, 2.0, 0.0, 0.0)]).alias("embedding"))
+    cat = cat.unionByName(_cat(spark, [(1, [1.0, 0.0, 0.0, 0.0])]))
+    news = _news(spark, [[2.0, 4.0, 0.0, 0.0], [1.0, 0.0, 0.0, 0.0]])
+    got = {r.news_id: r.matched_market_id for r in M.nearest(news, cat, dim=DIM, threshold=None, strategy=strategy, nlist=3, nprobe=3).collect()}
+    assert got == {0: 5, 1: 1}
+    assert M.usable_catalogue(cat, DIM).count() == 2
+
+
+def test_rescoring_is_bounded_and_exact():
+    """Scaled copies all tie: the kernel rescores them in slices and still answers with the lowest id."""
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=64)
+    cat = (base[None, :] * rng.uniform(0.5, 2, size=(3000, 1))).astype(np.float32)
+    cat[::7] = rng.normal(size=(len(cat[::7]), 64))
+    x = np.repeat((base / np.linalg.norm(base))[None, :], 1500, axis=0)
+    inv = M._reciprocal_norms(cat)
+    want = np.round((cat.astype(float) @ x[0]) * inv, M.TIE_DECIMALS)
+    was = M.RESCORE_BYTES
+    try:
+        for M.RESCORE_BYTES in (1 << 23, 64 * 16 * 100):       # also fewer than the candidates of one row
+            tracemalloc.start()
+            at, sim = M._best(x[:1500 if M.RESCORE_BYTES > 1 << 20 else 40], np.ones(len(x), bool)[:1500 if M.RESCORE_BYTES > 1 << 20 else 40], np.arange(3000), cat, inv)
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert (at == int(np.argmax(want))).all() and sim[0] == pytest.approx(want.max())
+            assert peak < 16 * 3000 * 1500 + 6 * (1 << 23)
+    finally:
+        M.RESCORE_BYTES = was
+
+
+@pytest.mark.parametrize("strategy", ["blocked", "ivf"])
+def test_repeated_and_text_keys_equal_broadcast(spark, strategy):
+    rows = [("a", [1.0, 0.0, 0.0, 0.0]), ("a", [0.9, 0.3, 0.0, 0.0]), ("b", [0.0, 1.0, 0.0, 0.0]), (None, [0.0, 0.0, 1.0, 0.2]), ("c", None)]
+    news = spark.createDataFrame(rows, "news_id string, embedding array<float>")
+    cat = _cat(spark, [(1, [1.0, 0.05, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [1.0, 0.4, 0.0, 0.0]), (4, [0.0, 0.0, 1.0, 0.0])])
+    def got(s):
+        return sorted(map(str, M.nearest(news, cat, dim=DIM, threshold=None, strategy=s, nlist=2, nprobe=2).withColumn("match_score", F.round("match_score", 9)).collect()))
+    assert got(strategy) == got("broadcast") and sum("matched_market_id=None" in r for r in got(strategy)) == 1
+
+
+def test_inverted_lists_are_trained_once(spark, monkeypatch):
+    trained = []
+    real = M.train_lists
+    monkeypatch.setattr(M, "train_lists", lambda *a: trained.append(1) or real(*a))
+    cat = _cat(spark, [(i, [float(i % 5), 1.0, float(i % 3), 0.5]) for i in range(60)])
+    ready = M.prepare_catalogue(cat.selectExpr("*", "'s' AS slug", "'q' AS question"), DIM, strategy="ivf", nlist=4)
+    for k in range(3):
+        news = _news(spark, [[float(k), 1.0, 1.0, 0.0]] * 3)
+        for probes in (1, 4):
+            out = M.nearest(news, cat, dim=DIM, threshold=None, strategy="ivf", nprobe=probes, prepared=ready).collect()
+            assert all(r.matched_market_id is not None for r in out)
+        exact = M.nearest(news, cat, dim=DIM, threshold=None).collect()
+        assert sorted(r.matched_market_id for r in out) == sorted(r.matched_market_id for r in exact)
+    assert trained == [1]
+    ready.release()
+
+
+def test_enrich_spreads_a_popular_market(spark):
+    news = spark.range(3000).select(F.col("id").alias("news_id"), F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.lit(2)).cast("long").alias("matched_market_id"))
+    cat = spark.createDataFrame([(1, "s1", "q1"), (2, "s2", "q2")], "id long, slug string, question string")
+    out = M.enrich(news, cat, max_broadcast_bytes=0)
+    assert out.count() == 3000 and out.where("matched_market = 's1'").count() == 750 and out.where("matched_market IS NULL").count() == 750
+
+
+@pytest.mark.parametrize("text,stored", [("10:11:12", "10:11:12"), ("10:11:12.345678", "10:11:12.345678"), ("10:11:12.500", "10:11:12.5"),
+                                         ("10:11:12.000", "10:11:12"), ("10:10", "10:10:00"), ("00:00:00", "00:00:00"), ("24:00", None), ("10", None), (None, None)])
+def test_times_are_stored_whole(spark, text, stored):
+    assert spark.createDataFrame([(text,)], "t string").select(N.time_value(F.col("t")).alias("v")).first().v == stored
+
+
+def test_recent_lists_are_oldest_first(spark):
+    arr = spark.createDataFrame([("news_stream", i, "t") for i in range(50)], "topic string, arrival long, time string")
+    assert [r.arrival for r in SV.recent(arr, "news_stream", 5).collect()] == [45, 46, 47, 48, 49]
+
+
+def test_items_under_other_names_are_listed(spark):
+    items = spark.createDataFrame([("s", None, "2024-01-02", "", "h", "10:00", "n"), ("s", "2024-01-03", None, "x", None, "11:00", None), ("", "d", None, "x", None, "t", None)],
+                                  "source string, date string, published_date string, news string, headline string, time string, other string")
+    assert sorted(tuple(r) for r in SV.api_news(items).collect()) == [("s", "2024-01-02", "10:00", "h"), ("s", "2024-01-03", "11:00", "x")]
+
+
+def test_large_buffers_keep_values(spark):
+    big = (1 << 53) + 1
+    arr = spark.range(4000, numPartitions=6).select(F.when(F.col("id") % 5 == 0, None).otherwise(F.lit("a")).alias("topic"), F.col("id").alias("arrival"),
+                                                    F.when(F.col("id") % 3 > 0, F.col("id") * 2 + big).alias("news_id"))
+    for n, most in ((1000, 1500), (1001, 1500), (1001, 10 ** 6), (1_000_001, 2_000_000)):
+        got = {(r.topic, r.arrival): r.news_id for r in SV.top_n_per_key(arr, "topic", "arrival", n, most).collect()}
+        want = {}
+        for topic, own in ((None, [i for i in range(4000) if i % 5 == 0]), ("a", [i for i in range(4000) if i % 5])):
+            want |= {(topic, i): i * 2 + big if i % 3 else None for i in own[-n:]}
+        assert got == want

@@ -67,3 +67,43 @@ def test_model_loads_once_per_python_worker(spark):
     assert len(got) == 4000 and all(v is not None for v in got)
     # every vector was made by a worker that had loaded the model exactly once
     assert {v[0] for v in got} == {1.0}
+
+
+def test_tokens_of_any_script(spark):
+    texts = ["Zürich", "z rich", "привет мир", "ПРИВЕТ МИР", "日本 日本", "١٢", "... !"]
+    got = [r.v for r in _texts(spark, texts).select("id", EMB.HashEmbedder(64)(F.col("text")).alias("v")).orderBy("id").collect()]
+    assert got[0] != got[1] and got[2] == got[3] is not None and got[4] is not None and got[5] is not None and got[6] is None
+    buckets = [r.b for r in _texts(spark, texts).select("id", EMB.token_buckets(F.col("text"), 64).alias("b")).orderBy("id").collect()]
+    assert [sorted(set(b)) for b in buckets] == [[i for i, x in enumerate(v or []) if x > 0] for v in got]
+
+
+def _slow_requests():
+    def load():
+        import time as _time
+
+        def encode(texts):
+            _time.sleep(3 if len(texts) > 1 else 60 if "hang" in texts[0] else 0.02)
+            return [[float(len(t)), 1.0] for t in texts]
+        return encode
+    return load
+
+
+def test_a_slow_request_costs_only_the_slow_text(spark):
+    texts = [f"t{i}" for i in range(10)] + ["hang"] + [f"u{i}" for i in range(9)]
+    emb = EMB.ModelEmbedder(_slow_requests(), dim=2, batch_size=10, timeout_s=0.3)
+    got = {r.text: r.v for r in _texts(spark, texts).coalesce(1).select("text", emb(F.col("text")).alias("v")).collect()}
+    assert [t for t, v in got.items() if v is None] == ["hang"]
+
+
+def test_embed_batches_sends_real_requests(spark):
+    def load():
+        def encode(texts):
+            if len(texts) > 7:
+                raise ValueError("over the cap")
+            return [None if t == "no" else [float(len(texts)), 0.0] for t in texts]
+        return encode
+    texts = ["no" if i % 10 == 3 else None if i % 10 == 4 else f"t{i}" for i in range(40)]
+    got = sorted(tuple(r) for r in EMB.embed_batches(_texts(spark, texts).repartition(4), "text", "id", load, batch_size=7).collect())
+    want = [(b, len(p), 2, sum(t not in (None, "no") for t in p)) for b in range(6) for p in [texts[7 * b:7 * b + 7]]]
+    assert got == want
+    assert EMB.embed_batches(_texts(spark, [None, ""]), "text", "id", load).collect()[0].dimension is None

@@ -149,3 +149,35 @@ def test_partition_count_of_checkpointed_and_local_frames(spark):
         assert sc.statusTracker().getJobIdsForGroup(group) == [], name
         assert got == df.rdd.getNumPartitions(), name
     sc.setJobGroup("", "")
+
+
+def test_catalogue_size_is_checked_before_anything_is_collected(spark, monkeypatch):
+    news, cat = _news_and_catalogue(spark)
+    collected = []
+    real = type(cat).toArrow
+    monkeypatch.setattr(type(cat), "toArrow", lambda self: collected.append(plan(self)) or real(self))
+    M.nearest(news, cat, dim=X.FX_DIM, max_broadcast_bytes=1000)
+    assert M.prepare_catalogue(cat, X.FX_DIM, max_broadcast_bytes=1000).bc is None and not collected
+    M.prepare_catalogue(cat, X.FX_DIM)
+    assert len(collected) == 1 and "CollectLimit" not in collected[0]
+
+
+def test_combined_stats_never_sorts_the_log(spark):
+    p = plan(R.QUERIES["combined_stats"](spark, SMALL))
+    log = p[p.index("events"):] if "events" in p else p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    for line in p.splitlines():
+        if "Sort " in line or "Sort [" in line:
+            assert "topic" not in line and "arrival" not in line
+    assert log
+
+
+def test_spread_goes_by_bytes(spark):
+    from semjoin.operators.partitioning import partition_count, spread
+    small = spark.range(100, numPartitions=1)
+    assert partition_count(spread(small, 64)) == 1                      # few bytes: nothing to gain
+    wide = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    assert partition_count(spread(wide, 2)) == 1                        # half the cores busy already
+    large = spark.range(4 << 20, numPartitions=2)                       # 32 MB in two splits
+    assert partition_count(spread(large, 64)) == 32
+    assert partition_count(spread(spark.range(1 << 34, numPartitions=2), 64)) == 2   # 128 GB: left alone

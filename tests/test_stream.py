@@ -57,24 +57,21 @@ def test_catalogue_refresh_replay_rewrites_same_version(spark):
     TB.write_version(X.fx_market_embeddings(spark, SMALL).select(F.col("market_id").alias("id"), "market_id",
                                                                  "embedding", "created_at"),
                      f"{root}/market_embeddings", 0)
-    # an unfinished version (no _SUCCESS marker) is invisible to readers
+    # a version that was written but never committed is invisible to readers
     spark.range(1).write.mode("overwrite").parquet(f"{root}/markets/version=99")
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/markets/version=99/_SUCCESS")
-    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, False)
     assert TB.latest_version(spark, f"{root}/markets") == 0
 
     docs = X.fx_feed_docs(spark, SMALL)
     FEED.write_feed(docs, f"{root}/inbox")
-    kw = dict(embedder=R._embedder(), limit=X.FEED_LIMIT, now=lambda: dt.datetime(2024, 2, 1))
-    stream = spark.readStream.schema("value string, snap long").option("wholetext", "true").text(f"{root}/inbox")
-    INGEST.start(stream, root, f"{root}/ckpt", **kw).awaitTermination()
+    kw = dict(embedder=R._embedder(), limit=X.FEED_SNAPSHOT_ROWS, now=lambda: dt.datetime(2024, 2, 1))
+    INGEST.start(FEED.stream_feed(spark, f"{root}/inbox"), root, f"{root}/ckpt", **kw).awaitTermination()
     assert TB.latest_version(spark, f"{root}/markets") == 1
     first = sorted(TB.read_latest(spark, f"{root}/markets").collect())
 
     # replay batch 0 (as after a crash before the offset commit): it reads version 0 again and
     # rewrites version 1 with the same rows
     writer = INGEST.make_batch_writer(root, **kw)
-    writer(spark.read.schema("value string, snap long").option("wholetext", "true").text(f"{root}/inbox"), 0)
+    writer(FEED.read_feed(spark, f"{root}/inbox"), 0)
     again = sorted(TB.read_latest(spark, f"{root}/markets").collect())
     cols = lambda rows: [(r.id, r.source, r.slug, r.question, r.is_resolved) for r in rows]
     assert cols(first) == cols(again)
@@ -223,3 +220,81 @@ def test_stored_catalogue_loads_the_version_it_reported(spark):
     writer.release()
     matched = spark.read.parquet(f"{out}/published").count()
     assert matched > 0
+
+
+def test_versions_are_bounded_and_replays_read_their_input(spark):
+    from semjoin.sources import tables as TB
+
+    root = shared_dir(spark, "test-versions")
+    assert TB.latest_version(spark, root) is None and TB.read_latest(spark, root, "id long").count() == 0
+    local = root.replace("file:", "")
+    import os
+    for v in range(8):
+        TB.write_version(spark.range(v), root, v)
+        assert TB.latest_version(spark, root) == v
+        kept = [n for n in os.listdir(local) if n.startswith("version=")]
+        assert len(kept) <= TB.KEEP_VERSIONS + 1
+    assert TB.read_latest(spark, root, at_most=6).count() == 6
+    # with many versions behind it a read lists nothing: it opens the pointer and one folder
+    TB.write_version(spark.range(5), root, 1000)
+    assert TB.latest_version(spark, root) == 1000 and TB.read_latest(spark, root).count() == 5
+
+
+def test_replay_without_rows_leaves_none(spark):
+    from semjoin.operators import store as ST
+
+    root = shared_dir(spark, "test-replay")
+    for n in (3, 2, 0):
+        ST.write_batch(spark.range(n).selectExpr("id", "'x' AS value"), f"{root}/t", 7)
+        assert spark.read.parquet(f"{root}/t").where("batch_id = 7").count() == n
+    ST.write_batch(spark.range(4).selectExpr("id", "'x' AS value"), f"{root}/t", 8)
+    assert spark.read.parquet(f"{root}/t").groupBy("batch_id").count().collect()[0]["count"] == 4
+
+
+def test_ids_do_not_depend_on_the_split(spark):
+    import pytest
+
+    from semjoin.operators import store as ST
+
+    raw = X.fx_raw(spark, SMALL).select("value")
+    raw = raw.unionByName(raw.limit(5))
+    keys = [sorted((r.msg_key, r.value) for r in ST.number_batch(raw.repartition(n), 3).collect()) for n in (1, 5, 8)]
+    assert keys[0] == keys[1] == keys[2] and len({k for k, _ in keys[0]}) == raw.count()
+    assert keys[0][0][0] == 3 * ST.ID_STRIDE + 1
+    # from topics: by position, gaps allowed
+    rows = [("b", 0, 9, "x"), ("a", 1, 100, "y"), ("a", 1, 103, "z"), ("a", 0, 5, "w"), ("a", 0, 6, "v")]
+    topic = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    got = [{r.value: r.msg_key for r in ST.number_batch(topic.repartition(n), 0).collect()} for n in (1, 4)]
+    assert got[0] == got[1] == {"w": 1, "v": 2, "y": 3, "z": 6, "x": 7}
+    far = spark.createDataFrame([("a", 0, 0, "x"), ("a", 0, ST.ID_STRIDE, "y")], "topic string, partition int, offset long, value string")
+    with pytest.raises(Exception, match="more messages than ids"):
+        ST.number_batch(far, 0).collect()
+
+
+def test_job_publishes_through_a_given_sink_and_keeps_bad_records(spark):
+    base = shared_dir(spark, "test-sink")
+    sent = []
+    writer = JOB.make_batch_writer(f"{base}/out", embedder=R._embedder(), load_catalogue=lambda: R._hash_catalogue(spark, SMALL), dim=X.FX_DIM,
+                                   threshold=X.FX_THRESHOLD, now=lambda: dt.datetime(2024, 2, 1), publish=lambda df, n: sent.append((n, df.columns, df.count())))
+    raw = X.fx_raw(spark, SMALL)
+    writer(raw.select("value").withColumnRenamed("value", "value"), 4)
+    assert sent[0][:2] == (4, ["value"]) and sent[0][2] > 0
+    bad = spark.read.parquet(f"{base}/out/bad_records")
+    assert bad.count() == raw.where("msg_id % 8 < 2").count()
+    counts = spark.read.parquet(f"{base}/out/status_counts").collect()
+    assert sum(r.n for r in counts) + bad.count() == raw.count() and {r.batch_id for r in counts} == {4}
+
+
+def test_stream_holds_inverted_lists_per_version(spark, monkeypatch):
+    from semjoin.operators import match as M
+    trained = []
+    real = M.train_lists
+    monkeypatch.setattr(M, "train_lists", lambda *a: trained.append(1) or real(*a))
+    base = shared_dir(spark, "test-ivf-stream")
+    writer = JOB.make_batch_writer(f"{base}/out", embedder=R._embedder(), load_catalogue=lambda: R._hash_catalogue(spark, SMALL), dim=X.FX_DIM,
+                                   threshold=0.0, now=lambda: dt.datetime(2024, 2, 1), catalogue_version=lambda: 1, strategy="ivf", nlist=4, nprobe=4)
+    raw = X.fx_raw(spark, SMALL)
+    for n in range(3):
+        writer(raw.where(f"msg_id % 3 = {n}").select("value"), n)
+    writer.release()
+    assert trained == [1] and spark.read.parquet(f"{base}/out/published").count() > 0
