@@ -557,7 +557,15 @@ SELECT source, date, time, news FROM (
   SELECT * FROM buf WHERE topic = 'news_stream' ORDER BY arrival DESC LIMIT 100)
 WHERE source IS NOT NULL AND date IS NOT NULL AND time IS NOT NULL AND news IS NOT NULL""")
 def q_api_news(spark, sf):
-    return SV.api_news(SV.recent(X.fx_arrivals(spark, sf), SV.NEWS_TOPIC, 100))
+    return SV.api_news(_under_two_names(SV.recent(X.fx_arrivals(spark, sf), SV.NEWS_TOPIC, 100)))
+
+
+def _under_two_names(items):
+    """Every third item carries its fields under the other accepted names (headline, published_date, published_time)."""
+    other = F.col("arrival") % 3 == 0
+    for field, name in (("news", "headline"), ("date", "published_date"), ("time", "published_time")):
+        items = items.withColumn(name, F.when(other, F.col(field))).withColumn(field, F.when(~other, F.col(field)))
+    return items
 
 
 @query("api_processed", with_ctes("fx_arrivals") + _SQL_BUF + """
@@ -565,7 +573,7 @@ SELECT source, date, time, news, matched_market, matched_market_id, matched_mark
   SELECT * FROM buf WHERE topic = 'processed_news' ORDER BY arrival DESC LIMIT 100)
 WHERE source IS NOT NULL AND date IS NOT NULL AND time IS NOT NULL AND news IS NOT NULL""")
 def q_api_processed(spark, sf):
-    return SV.api_processed(SV.recent(X.fx_arrivals(spark, sf), SV.PROCESSED_TOPIC, 100))
+    return SV.api_processed(_under_two_names(SV.recent(X.fx_arrivals(spark, sf), SV.PROCESSED_TOPIC, 100)))
 
 
 def _stat_markets(spark, sf):
