@@ -18,6 +18,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct ``row``, so that columns added beside it can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``groups`` (one row per key; ``count`` = that key's rows in ``rows``), whatever the skew.
 
@@ -53,11 +58,11 @@ def survivors(docs: DataFrame, winners: DataFrame, **keys: Column) -> DataFrame:
     """The rows of ``docs`` named by ``winners``, whole and with their own columns only, one row per winner.
 
     ``keys`` gives each key column of ``winners`` as an expression over ``docs``; keys compare null-safely. Where several
-    rows agree in all keys (a repeated row) the one with the smallest hash of all its columns stays.
+    rows agree in all keys (a repeated row) the one with the smallest hash of all its columns stays. The keys travel as
+    one JSON text, so that the join and the choice among repeated rows share one shuffle of the rows.
     """
-    own = docs.columns
-    marked = docs.select("*", *[e.alias(f"_w_{k}") for k, e in keys.items()], F.xxhash64(*[F.col(f"`{c}`") for c in own]).alias("_h"))
-    wins = winners.select(*[F.col(k).alias(f"_v_{k}") for k in keys]).distinct()
-    met = marked.join(wins, [F.col(f"_w_{k}").eqNullSafe(F.col(f"_v_{k}")) for k in keys], "left_semi")
-    first = Window.partitionBy(*[f"_w_{k}" for k in keys]).orderBy("_h")
-    return met.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*[F.col(f"`{c}`") for c in own])
+    key = F.to_json(F.struct(*[e.alias(k) for k, e in keys.items()])).alias("key")
+    marked = docs.select(whole_row(docs), key, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
+    wins = winners.select(F.to_json(F.struct(*keys)).alias("key")).distinct()
+    first = Window.partitionBy("key").orderBy("hash")
+    return marked.join(wins, "key", "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")

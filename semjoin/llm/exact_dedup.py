@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,16 +32,26 @@ class DigestIndex:
     """Digests seen so far: one row (text_sha256, keep_id, batch) per text, at ``path``, in ``buckets`` sorted buckets.
 
     ``buckets`` is fixed when the index is made (default: the session's shuffle partitions then, so that a shuffle by
-    digest meets the buckets one to one). ``path`` must be in a folder that all executors share.
+    digest meets the buckets one to one) and kept beside it, so that a later session opens it with the same number.
+    ``path`` must be in a folder that all executors share.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path or shared_dir(spark, "llm", "digest_index")
         self.table = "digest_index_" + hashlib.md5(self.path.encode()).hexdigest()
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._remembered(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} (text_sha256 STRING, keep_id BIGINT, batch BIGINT) USING parquet "
-                  f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {n} BUCKETS LOCATION '{self.path}'")
+                  f"CLUSTERED BY (text_sha256) SORTED BY (text_sha256) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+
+    def _remembered(self, n: int) -> int:
+        """The number of buckets that the index was made with; ``n``, written down, for a new one."""
+        note = f"{self.path}.buckets"
+        try:
+            return self.spark.read.schema("buckets int").json(note).first()[0]
+        except AnalysisException:
+            self.spark.range(1).select(F.lit(n).alias("buckets")).write.json(note)
+            return n
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
@@ -64,8 +75,7 @@ class DigestIndex:
         return out.select("doc_id", "keep_id", "group_size", (F.col("rid").eqNullSafe(F.col("keep_rid"))).alias("kept"), "text_sha256")
 
     def _append(self, fresh: DataFrame) -> None:
-        n = int(next(r.data_type for r in self.spark.sql(f"DESCRIBE FORMATTED {self.table}").collect() if r.col_name == "Num Buckets"))
-        (fresh.repartition(n, "text_sha256").write.mode("append").insertInto(self.table))
+        fresh.repartition(self.buckets, "text_sha256").write.mode("append").insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
 
     def keep_new(self, docs: DataFrame, batch: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,10 +24,10 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from semjoin.llm.common import running_sum
+from semjoin.llm.common import running_sum, whole_row
 
 #: Rows of a lane that one piece of the running sum holds, about.
-PIECE_ROWS = 20_000
+PIECE_ROWS = 4_000
 
 
 def frame_counts(weights: list[float], slots: int) -> list[int]:
@@ -78,7 +78,7 @@ def scheduled(docs: DataFrame, size: Column, weights: dict[str | None, float], r
     lanes = spark.createDataFrame([(s, i, counts[i]) for i, s in enumerate(weights)] or [(None, -1, 1)], "s string, lane int, per_frame int")
     frame = spark.createDataFrame(frame_schedule(counts), "lane int, turn long, place long")
     last = len(counts) - 1
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(source_col).cast("string").alias("source"),
+    rows = docs.select(whole_row(docs), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
     named = rows.join(F.broadcast(lanes), F.col("source").eqNullSafe(F.col("s")), "left").select(
         "row", "source", "size", "h", F.coalesce("lane", F.lit(last)).alias("lane"), F.coalesce("per_frame", F.lit(counts[last])).alias("per_frame"))

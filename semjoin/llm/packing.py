@@ -66,13 +66,15 @@ def best_boundaries(count: np.ndarray, total: np.ndarray, top: np.ndarray, bucke
     return out[::-1]
 
 
-def file_order(docs: DataFrame) -> DataFrame | None:
-    """``docs`` plus their place in the Parquet files they come from (_part, _piece, _row), or None if they come from elsewhere."""
+def file_order(docs: DataFrame, *columns: Column) -> DataFrame | None:
+    """``columns`` of ``docs`` plus their rows' place in the Parquet files read (part, row), or None if they come from elsewhere."""
+    name = F.col("_metadata.file_name")
+    number = F.regexp_extract(name, "^part-([0-9]+)", 1)
+    part = F.struct(F.when(number != "", number.cast("long")).alias("no"), name.alias("file")).alias("part")
     try:
-        at = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        return docs.select(*columns, part, F.col("_metadata.row_index").alias("row"))
     except AnalysisException:
         return None
-    return at.withColumn("_part", F.struct(F.expr(r"try_cast(regexp_extract(_file, '^part-([0-9]+)', 1) AS long)").alias("no"), F.col("_file").alias("file")))
 
 
 def pack(docs: DataFrame, length: Column, token_budget: int = 16384, buckets: int = 12, id_col: str = "doc_id",
@@ -82,14 +84,14 @@ def pack(docs: DataFrame, length: Column, token_budget: int = 16384, buckets: in
     Batches fill in the order of the files that ``docs`` were read from (``keep_file_order``), else in the order of a
     hash of the row.
     """
-    placed = file_order(docs) if keep_file_order else None
-    n = F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")
+    doc_id, n = F.col(id_col).alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")
+    placed = file_order(docs, doc_id, n) if keep_file_order else None
     if placed is not None:
-        rows = placed.select(F.col(id_col).alias("doc_id"), n, F.struct("_part", F.shiftright("_row", 14).alias("piece")).alias("bin"), F.col("_row").alias("rank"))
+        rows = placed.select("doc_id", "n_tokens", F.struct("part", F.shiftright("row", 14).alias("piece")).alias("bin"), F.col("row").alias("rank"))
     else:
         bits = max(4, math.ceil(math.log2(max(1, docs.count()) / PIECE_ROWS + 1)))
         h = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-        rows = docs.select(F.col(id_col).alias("doc_id"), n, F.shiftright(h, 64 - bits).alias("bin"), h.alias("rank"))
+        rows = docs.select(doc_id, n, F.shiftright(h, 64 - bits).alias("bin"), h.alias("rank"))
     rows = stage(rows, "packing")
     cells = rows.groupBy(cell_of(F.col("n_tokens")).alias("cell")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total"), F.max("n_tokens").alias("top")).orderBy("cell").collect()

@@ -17,6 +17,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from semjoin.llm.common import whole_row
+
 SIZE = 65537
 
 
@@ -45,12 +47,16 @@ def slot_of(key: Column, size: int = SIZE) -> Column:
 def place(docs: DataFrame, key: Column, shards: list[str], size: int = SIZE) -> DataFrame:
     """Columns: row (a struct of ``docs``' own columns), slot, shard (name)."""
     table = docs.sparkSession.createDataFrame([(i, shards[s]) for i, s in enumerate(lookup_table(shards, size))], "slot long, shard string")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), slot_of(key, size).alias("slot"))
+    rows = docs.select(whole_row(docs), slot_of(key, size).alias("slot"))
     return rows.join(F.broadcast(table), "slot").select("row", "slot", "shard")
 
 
 def write_shards(docs: DataFrame, key: Column, shards: list[str], path: str, files_per_shard: int = 8, size: int = SIZE) -> None:
-    """One folder ``shard=<name>`` per shard under ``path``; rows of a shard are dealt over ``files_per_shard`` tasks."""
+    """One folder ``shard=<name>`` per shard under ``path``; rows of a shard are dealt over ``files_per_shard`` tasks.
+
+    A column of ``docs`` that is itself called ``shard`` is written as ``shard_in``.
+    """
     placed = place(docs, key, shards, size).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(files_per_shard)))
-    rows = placed.repartition(files_per_shard * len(shards), "shard", "part").select("row.*", F.col("shard").alias("shard"))
+    own = [F.col(f"row.`{c}`").alias("shard_in" if c == "shard" else c) for c in docs.columns]
+    rows = placed.repartition(files_per_shard * len(shards), "shard", "part").select(*own, F.col("shard").alias("shard"))
     rows.write.partitionBy("shard").parquet(path)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from semjoin.llm.common import stage
+from semjoin.llm.common import stage, whole_row
 
 HASH_BITS = 20
 FACTORS = 8
@@ -164,5 +164,4 @@ def score(text: Column, model: FM) -> Column:
 
 def keep_clean(docs: DataFrame, model: FM, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, whose score is below 0.5."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), score(F.col(text_col), model).alias("s"))
-    return row.filter("s < 0.5").select("row.*")
+    return docs.select(whole_row(docs), score(F.col(text_col), model).alias("s")).filter("s < 0.5").select("row.*")

@@ -13,7 +13,7 @@ from semjoin.llm import common, simhash
 from semjoin.llm.components import connected_components
 from semjoin.llm.exact_dedup import DigestIndex
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid string, text_sha256 string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, row string"
 
 
 def frame(spark, rows):
@@ -66,6 +66,23 @@ def test_exact_batches(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_exact_index_opens_again_with_its_own_buckets(spark):
+    rows = [(i, f"t{i % 90}") for i in range(120)]
+    path = DigestIndex(spark, buckets=5).path
+    index = DigestIndex(spark, path)
+    assert sum(r.kept for r in index.add(frame(spark, rows), 1).collect()) == 90
+    spark.sql(f"DROP TABLE {index.table}")                    # as a later session, that has not declared the table
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        again = DigestIndex(spark, path)
+        assert again.buckets == 5 and again.rows().count() == 90
+        more = again.add(frame(spark, [(500, "t3"), (501, "new"), (502, "new")]), 2).collect()
+        assert {r.doc_id: (r.keep_id, r.kept) for r in more} == {500: (max(i for i, t in rows if t == "t3"), False), 501: (502, False), 502: (502, True)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_exact_keep_new_and_empty(spark):
     docs = frame(spark, [(1, "a"), (2, "a"), (7, "b"), (7, "b"), (None, "c"), (None, "c"), (3, "A")])
     kept = DigestIndex(spark).keep_new(docs, 1)

@@ -170,7 +170,7 @@ def test_pipeline(spark, tmp_path):
     assert Counter(kept[3]) == Counter(kept[2]) and sorted(i for i, _ in kept[4]) == sorted(i for i, _ in kept[3])
     assert sorted(out["doc_id"]) == sorted(i for i, _ in kept[4])
     # batches fill in the order of the mixing stage's files
-    placed = packing.file_order(spark.read.parquet(f"{tmp_path}/stage3")).orderBy("_part", "_row")
+    placed = packing.file_order(spark.read.parquet(f"{tmp_path}/stage3"), F.col("doc_id")).orderBy("part", "row")
     order = {r.doc_id: k for k, r in enumerate(placed.collect())}
     final = now.toPandas()
     for _, own in final.groupby("bucket"):

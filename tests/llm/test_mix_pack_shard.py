@@ -181,6 +181,8 @@ def test_sharding(spark, tmp_path):
     assert all(r.shard == names[table[r.slot]] for r in got)
     assert len({r.shard for r in got}) == 7 and all(len({r.shard for r in got if r.row.doc_id == i}) == 1 for i in {r[0] for r in rows})
     assert sharding.place(docs.limit(0), F.col("doc_id"), names, 251).count() == 0
-    sharding.write_shards(docs.drop("bucket"), F.col("doc_id"), names, str(tmp_path / "s"), 3, 251)
+    sharding.write_shards(docs, F.col("doc_id"), names, str(tmp_path / "s"), 3, 251)
+    sharding.write_shards(docs.limit(5).withColumn("shard", F.lit("mine")), F.col("doc_id"), names, str(tmp_path / "t"), 3, 251)
+    assert {r.shard_in for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {"mine"}
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == len(rows) and {r.shard for r in back.select("shard").distinct().collect()} == set(names)
