@@ -45,13 +45,14 @@ def running_sum(df: DataFrame, group: list[str], bin_col: str, order: list[Colum
     rest. A task holds one piece at a time, and rows are shuffled once, by (group, bin).
     """
     keys = [*group, bin_col]
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    # one key without nulls for window and join, so that they share the shuffle of the rows
+    keyed = df.withColumn("_piece", F.to_json(F.struct(*keys)))
+    sums = keyed.groupBy("_piece", *keys).agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(*group).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    local = df.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return local.join(offsets, on).withColumn(out, F.col("_off") + F.col("_in")).drop("_off", "_in", *[f"_k_{k}" for k in keys])
+    offsets = sums.select("_piece", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = keyed.withColumn("_in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return local.join(offsets, "_piece").withColumn(out, F.col("_off") + F.col("_in")).drop("_piece", "_off", "_in")
 
 
 def survivors(docs: DataFrame, winners: DataFrame, **keys: Column) -> DataFrame:
