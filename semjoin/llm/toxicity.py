@@ -1,7 +1,8 @@
 """Toxicity scores from a second-order factorization machine over hashed terms.
 
-score = sigmoid(w0 + sum of w_i + sum over pairs of <v_i, v_j>), over the distinct terms (lower-cased words, hashed to
-2 ** HASH_BITS) of the whole text. The pair part raises (or lowers) a text in which two terms meet, such as an insult
+score = sigmoid(w0 + sum of w_i + sum over pairs of <v_i, v_j>), over the distinct terms of the whole text: its
+lower-cased words and the first PREFIX letters of longer ones (so that forms of a word share a term), hashed to
+2 ** HASH_BITS. The pair part raises (or lowers) a text in which two terms meet, such as an insult
 and the mention of a group, where each alone says little; sums of single weights cannot.
 
 Learning: a bounded sample (``max_train`` labelled documents, those with the smallest hash of their id) is reduced on
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from semjoin.llm.common import stage, whole_row
 
 HASH_BITS = 20
+PREFIX = 4
 FACTORS = 8
 MIN_Z = 4.0
 MIN_DOCS = 3
@@ -54,6 +56,11 @@ def _hashed(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) & ((1 << HASH_BITS) - 1)
 
 
+def _terms(word: str) -> tuple[int, ...]:
+    """The hashed terms of a word: itself and, if it is longer, its beginning."""
+    return (_hashed(word), _hashed(word[:PREFIX] + "*")) if len(word) > PREFIX else (_hashed(word),)
+
+
 @dataclass
 class FM:
     bias: float
@@ -74,11 +81,10 @@ class FM:
         for k, text in enumerate(texts):
             found = set()
             for w in _words(text):
-                i = known.get(w, -2)
-                if i == -2:
-                    i = known[w] = index.get(_hashed(w), -1)
-                if i >= 0:
-                    found.add(i)
+                own = known.get(w)
+                if own is None:
+                    own = known[w] = [index[t] for t in _terms(w) if t in index]
+                found.update(own)
             row += [k] * len(found)
             term += found
             if len(known) > 500_000:
@@ -134,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_c
 
     @F.pandas_udf("array<int>")
     def hashed_terms(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted({_hashed(w) for w in _words(t)}) for t in texts])
+        return pd.Series([sorted({x for w in _words(t) for x in _terms(w)}) for t in texts])
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(bounded), "doc_id")
     sets = stage(texts.groupBy(F.xxhash64("text").alias("key")).agg(F.max(F.struct("y", "text")).alias("t"))
