@@ -6,8 +6,8 @@ the product of their numbers of n-grams. Nystroem landmarks (training texts of e
 values with them, and kernel ridge regression, one language against the rest, is fitted on that map. Texts are scored
 in batches: presence matrix x landmark matrix gives the kernel values, times the coefficients gives a score a language.
 
-Learning uses a bounded sample: about ``per_language`` texts of each of the ``max_languages`` most frequent languages,
-chosen by the hash of their id, and ``landmarks`` of them in all. Only their n-gram sets leave the executors. Scoring
+Learning uses a bounded sample: about ``max_train`` texts, as many of each of the ``max_languages`` most frequent
+languages, chosen by the hash of their id, and ``landmarks`` of them as landmarks. Only their n-gram sets leave the executors. Scoring
 uses every character of every text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without training rows every text is ``und``
@@ -122,19 +122,20 @@ def fit(sets: list[np.ndarray], langs: list[str], landmarks: int = 96, ridge: fl
 
 
 def train(docs: DataFrame, chosen: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 250, max_languages: int = 200, landmarks: int = 96) -> KernelModel:
+          max_train: int = 1000, max_languages: int = 200, landmarks: int = 96) -> KernelModel:
     """Fit on a bounded sample of the rows with a language for which ``chosen`` holds (an expression over ``docs``)."""
     rows = docs.filter(chosen).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
         "doc_id IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages), "languages")
+    quota = max_train / max(1, counts.count())
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
 
     @F.pandas_udf("array<int>")
     def grams(texts: pd.Series) -> pd.Series:
         return pd.Series(list(gram_sets(texts)))
 
-    picked = rows.join(F.broadcast(counts), "lang").withColumn("at", place * F.col("n")).filter(F.col("at") < per_language)
-    picked = picked.orderBy("at", "doc_id").limit(2 * per_language * max_languages).select("lang", "doc_id", grams("text").alias("grams"))
+    picked = rows.join(F.broadcast(counts), "lang").withColumn("at", place * F.col("n")).filter(F.col("at") < quota)
+    picked = picked.orderBy("at", "doc_id").limit(2 * max_train).select("lang", "doc_id", grams("text").alias("grams"))
     got = stage(picked, "language_train").orderBy("lang", "doc_id").toPandas()
     return fit([np.asarray(g) for g in got["grams"]], list(got["lang"]), landmarks)
 
