@@ -15,18 +15,22 @@ from pyspark.sql import DataFrame
 SPREAD_SPLIT_BYTES = 1 << 20
 SPREAD_MOST_BYTES = 64 << 30
 # Ours: spread only when at least this many times as many tasks would run.
-SPREAD_GAIN = 4
+SPREAD_GAIN = 2
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``df`` over about one task per SPREAD_SPLIT_BYTES, at most the default parallelism, where that pays."""
+    """``df`` over as many tasks as there are cores, where that pays (see above)."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     n = max(1, partition_count(df))
-    if n * SPREAD_GAIN > target:
+    if n * SPREAD_GAIN > target or not n * SPREAD_SPLIT_BYTES <= _input_bytes(df) <= SPREAD_MOST_BYTES:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    tasks = min(target, -(-size // SPREAD_SPLIT_BYTES))
-    return df.repartition(tasks) if n * SPREAD_GAIN <= tasks and size <= SPREAD_MOST_BYTES else df
+    return df.repartition(target)
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads (a plan's own estimate multiplies the sides of a join)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def partition_count(df: DataFrame) -> int:

@@ -176,8 +176,8 @@ def test_spread_goes_by_bytes(spark):
     from semjoin.operators.partitioning import partition_count, spread
     small = spark.range(100, numPartitions=1)
     assert partition_count(spread(small, 64)) == 1                      # few bytes: nothing to gain
-    wide = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    assert partition_count(spread(wide, 2)) == 1                        # half the cores busy already
-    large = spark.range(4 << 20, numPartitions=2)                       # 32 MB in two splits
-    assert partition_count(spread(large, 64)) == 32
-    assert partition_count(spread(spark.range(1 << 34, numPartitions=2), 64)) == 2   # 128 GB: left alone
+    assert partition_count(spread(spark.range(4 << 20, numPartitions=33), 64)) == 33   # half the cores busy already
+    assert partition_count(spread(spark.range(4 << 20, numPartitions=2), 64)) == 64    # 32 MB in two splits
+    assert partition_count(spread(spark.range(1 << 34, numPartitions=2), 64)) == 2     # 128 GB: left alone
+    joined = spark.range(4 << 20, numPartitions=2).withColumnRenamed("id", "k").join(F.broadcast(spark.range(9).withColumnRenamed("id", "k")), "k", "left")
+    assert partition_count(spread(joined, 64)) == 64                    # by what is read, not by the join's estimate
