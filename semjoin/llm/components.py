@@ -18,6 +18,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         n = now.count()
+        if not n:
+            break
         # large star: every larger neighbour of u is tied to the smallest of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "stars")
