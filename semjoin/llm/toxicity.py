@@ -6,9 +6,11 @@ lower-cased words and the first PREFIX letters of longer ones (so that forms of
 and the mention of a group, where each alone says little; sums of single weights cannot.
 
 Learning: a bounded sample (``max_train`` labelled documents, those with the smallest hash of their id) is reduced on
-the executors to sets of hashed terms; terms whose presence differs clearly between the two labels (|z| >= MIN_Z, the
-``max_terms`` clearest) make the model; its few thousand parameters are fitted on the driver by Adam. Scoring uses every
-word of every text. The model's size is fixed by these parameters, so sending it with the tasks is bounded.
+the executors to sets of hashed terms. A term makes the model by any of three ways: it is frequent (in FREQUENT of the
+texts or more, whatever the labels), its presence differs clearly between the labels (|z| >= MIN_Z), or it is one of a
+telling pair, whose terms need not say anything alone. The pair counts are exact and over all pairs that can reach the
+threshold (``telling_pairs``); no number of terms is set. The parameters are fitted on the driver by sparse Adam. Scoring
+uses every word of every text. The model has 2 ** HASH_BITS terms at most, so sending it with the tasks is bounded.
 
 Defined cases: null and empty texts have no term and score sigmoid(w0); a document with several labels is toxic if any
 says so; null labels and null ids do not train; without labelled documents, or with one class only, the score is the
@@ -34,6 +36,16 @@ PREFIX = 4
 FACTORS = 8
 MIN_Z = 4.0
 MIN_DOCS = 3
+#: Share of the sampled texts from which on a term needs no other reason.
+FREQUENT = 0.05
+#: Learning rate of terms that are frequent only, in terms of the others': what tells nothing for sure learns little noise.
+FREQUENT_RATE = 0.3
+#: A telling pair's z, and the texts of one label that hold it: PAIR_DOCS at least, and PAIR_SHARE of the toxic ones.
+PAIR_Z, PAIR_DOCS, PAIR_SHARE = 6.0, 20, 0.01
+#: Terms and texts counted against all terms at a time, which bounds the driver's memory.
+TERMS_AT_ONCE, TEXTS_AT_ONCE = 512, 512
+#: Steps of the fit at least, when the sample has few batches.
+MIN_STEPS = 300
 #: Characters of a text that are searched at a time.
 CHARS_AT_ONCE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -76,7 +88,12 @@ class FM:
         return out
 
     def scores(self, texts) -> np.ndarray:
-        index, known = {int(t): i for i, t in enumerate(self.terms)}, {}
+        texts, raw, index, known = list(texts), [], {int(t): i for i, t in enumerate(self.terms)}, {}
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            raw.append(self._raw(texts[at:at + TEXTS_AT_ONCE], index, known))
+        return 1 / (1 + np.exp(-np.clip(np.concatenate(raw or [np.zeros(0)]), -30, 30)))
+
+    def _raw(self, texts: list, index: dict[int, int], known: dict[str, list[int]]) -> np.ndarray:
         row, term = [], []
         for k, text in enumerate(texts):
             found = set()
@@ -89,50 +106,142 @@ class FM:
             term += found
             if len(known) > 500_000:
                 known.clear()
-        raw = self.raw(np.array(row, dtype=np.int64), np.array(term, dtype=np.int64), len(texts))
-        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+        return self.raw(np.array(row, dtype=np.int64), np.array(term, dtype=np.int64), len(texts))
+
+
+def _z(toxic: np.ndarray, n: np.ndarray, rate: np.ndarray | float, of: np.ndarray | float) -> np.ndarray:
+    """How far ``toxic`` of n texts is from ``rate`` in standard deviations, the n being some of ``of`` texts with that rate."""
+    return (toxic - n * rate) / np.sqrt(n * rate * (1 - rate) * (1 - n / of) + 1e-9)
+
+
+def _counts(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hashed term the texts, and the toxic texts, that hold it; counted piece by piece."""
+    k, size = np.zeros((2, int(term.max(initial=0)) + 1)), 1 << 20
+    for at in range(0, len(term), size):
+        t = term[at:at + size]
+        k[0] += np.bincount(t, minlength=k.shape[1])
+        k[1] += np.bincount(t[label[row[at:at + size]] > 0], minlength=k.shape[1])
+    return k[0], k[1]
+
+
+def telling_pairs(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The terms, rising, of all pairs whose meeting tells of the label what neither term does alone.
+
+    That is: the share of toxic texts where both are found is PAIR_Z deviations or more from the share of all texts, and
+    also from the share where the one, and where the other, is found; and enough texts of one label hold both. Every pair
+    that can pass is counted: its terms must each be in as many texts of that label.
+    """
+    n, n1 = len(label), label.sum()
+    rate, (k, k1) = n1 / n, _counts(row, term, label)
+    # texts without any toxic one reach the z only from so many on
+    least1 = max(PAIR_DOCS, PAIR_SHARE * n1)
+    least0 = max(least1, PAIR_Z ** 2 * (1 - rate) / rate * (1 - PAIR_Z ** 2 * (1 - rate) / rate / n))
+    able = np.flatnonzero((k1 >= least1) | (k - k1 >= least0))
+    m, number = len(able), np.full(len(k), -1, dtype=np.int32)
+    number[able] = np.arange(m)
+    k, k1, by_label = k[able], k1[able], np.argsort(label, kind="stable")
+    place = np.empty(n, dtype=np.int32)
+    place[by_label] = np.arange(n)                   # the clean rows first
+    own = number[term] >= 0
+    at, col = place[row[own]], number[term[own]]
+    order = np.argsort(at, kind="stable").astype(np.int32)
+    at, col, clean, hit = at[order], col[order], n - int(n1), np.zeros(m, dtype=bool)
+    del own, order
+    cuts = [*range(0, clean, TEXTS_AT_ONCE), *range(clean, n, TEXTS_AT_ONCE), n]
+    for low in range(0, m, TERMS_AT_ONCE):
+        high = min(low + TERMS_AT_ONCE, m)
+        both = np.zeros((2, high - low, m - low), dtype=np.float32)      # by label; pairs with earlier terms are done
+        for begin, end in zip(cuts, cuts[1:]):
+            some = slice(*np.searchsorted(at, [begin, end]))
+            x = np.zeros((end - begin, m), dtype=np.float32)
+            x[at[some] - begin, col[some]] = 1
+            both[int(begin >= clean)] += x[:, low:high].T @ x[:, low:]
+        for i in range(low, high):
+            n11, n10 = both[1, i - low].astype(float), both[0, i - low].astype(float)
+            met = n11 + n10
+            j = low + np.flatnonzero(((n11 >= least1) | (n10 >= least0)) & (met < k[i]) & (met < k[low:]))
+            n11, met = n11[j - low], met[j - low]
+            z = [np.abs(_z(n11, met, r, o)) for r, o in ((rate, n), (k1[i] / k[i], k[i]), (k1[j] / k[j], k[j]))]
+            j = j[np.minimum.reduce(z) >= PAIR_Z]
+            hit[j] = True
+            hit[i] |= len(j) > 0
+    return able[hit]
+
+
+def model_terms(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed terms, rising, that make the model: frequent, telling alone, or one of a telling pair; and which tell."""
+    n, n1 = len(label), label.sum()
+    if n1 == 0 or n1 == n:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+    k, k1 = _counts(row, term, label)
+    both = k / n
+    z = (k1 / n1 - (k - k1) / (n - n1)) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / (n - n1)) + 1e-18)
+    telling = np.union1d(np.flatnonzero((k >= MIN_DOCS) & (np.abs(z) >= MIN_Z)), telling_pairs(row, term, label))
+    terms = np.union1d(telling, np.flatnonzero((k >= MIN_DOCS) & (k >= FREQUENT * n)))
+    return terms, np.isin(terms, telling)
+
+
+def _batches(row: np.ndarray, term: np.ndarray, n: int, batch: int, rng: np.random.Generator) -> list[tuple[np.ndarray, ...]]:
+    """The n rows dealt at random into batches, each with what a step needs: its rows, of which ``some`` have terms; the
+    terms of those, row after row from ``start`` on; and the distinct terms, whose rows ``of`` lists from ``first`` on."""
+    order = np.argsort(row, kind="stable")
+    term, begin = term[order].astype(np.int32), np.searchsorted(row[order], np.arange(n + 1))
+    shuffled, out = rng.permutation(n), []
+    for at in range(0, n, batch):
+        pick = shuffled[at:at + batch]
+        size = begin[pick + 1] - begin[pick]
+        some = np.flatnonzero(size)
+        t = np.concatenate([term[begin[r]:begin[r + 1]] for r in pick])
+        by_term = np.argsort(t, kind="stable")
+        distinct, first = np.unique(t[by_term], return_index=True)
+        out.append((pick, some, t, (np.cumsum(size) - size)[some], np.repeat(np.arange(len(pick), dtype=np.int32), size)[by_term], distinct, first))
+    return out
 
 
 def fit_fm(row: np.ndarray, term: np.ndarray, label: np.ndarray, terms: np.ndarray, epochs: int = 30, batch: int = 256,
-           rate: float = 0.02, decay: float = 1e-5, positive: float = 5.0, seed: int = 7) -> FM:
-    """Logistic loss with Adam on mini-batches of the rows; (row, term index) pairs list the terms present.
+           rate: float = 0.02, decay: float = 1e-5, positive: float = 5.0, seed: int = 7, own_rate: np.ndarray | None = None) -> FM:
+    """Logistic loss with sparse Adam on mini-batches of the rows; (row, term index) pairs list the terms present.
 
-    A positive row counts ``positive`` times: positives are the rare class, and most of them show several terms, which
-    would leave the weight of each alone too small.
+    A step moves the parameters of the batch's own terms only, and shrinks them by ``rate * decay``; ``own_rate`` is a factor
+    on ``rate`` for each term. There are MIN_STEPS steps at least. A positive row counts ``positive`` times: positives are the rare class, and most of them show several
+    terms, which would leave the weight of each alone too small.
     """
     rng, n, m = np.random.default_rng(seed), len(label), len(terms)
     share = min(max(label.mean() if n else 0.0, 1e-9), 1 - 1e-9)
     if n == 0 or m == 0 or label.min() == label.max():
         return FM(float(np.log(share / (1 - share))), terms, np.zeros(m), np.zeros((m, FACTORS)))
-    order = np.argsort(row, kind="stable")
-    term, starts = term[order], np.searchsorted(row[order], np.arange(n + 1))
-    # one matrix holds bias, weights and factors, so that Adam has one state
-    p = np.concatenate([np.zeros((m, 1)), rng.normal(0, 0.05, (m, FACTORS))], axis=1)
+    # one matrix holds weights and factors, a column a term, so that Adam has one state
+    p = np.concatenate([np.zeros((1, m)), rng.normal(0, 0.05, (FACTORS, m))]).astype(np.float32)
     bias, mom, var, bm, bv, step = float(np.log(share / (1 - share))), np.zeros_like(p), np.zeros_like(p), 0.0, 0.0, 0
-    for _ in range(epochs):
-        shuffled = rng.permutation(n)
-        for at in range(0, n, batch):
-            pick = shuffled[at:at + batch]
-            x = np.zeros((len(pick), m))
-            for k, r in enumerate(pick):
-                x[k, term[starts[r]:starts[r + 1]]] = 1
-            v = p[:, 1:]
-            s = x @ v
-            raw = bias + x @ p[:, 0] + 0.5 * ((s ** 2).sum(1) - x @ (v ** 2).sum(1))
+    dealt = _batches(row, term, n, batch, rng)
+    for _ in range(max(epochs, -(-MIN_STEPS // len(dealt)))):
+        for at in rng.permutation(len(dealt)):
+            pick, some, t, start, of, distinct, first = dealt[at]
+            s, raw = np.zeros((1 + FACTORS, len(pick)), dtype=np.float32), np.full(len(pick), bias)
+            if len(t):
+                own = p[:, t]
+                s[:, some] = np.add.reduceat(own, start, axis=1)
+                raw[some] -= 0.5 * np.add.reduceat((own[1:] ** 2).sum(0), start)
+            raw += s[0] + 0.5 * (s[1:] ** 2).sum(0)
             err = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - label[pick]) * np.where(label[pick] > 0, positive, 1.0) / len(pick)
-            seen = x.T @ err
-            grad = np.concatenate([seen[:, None], x.T @ (err[:, None] * s) - seen[:, None] * v], axis=1) + decay * p
             step += 1
-            mom, var = 0.9 * mom + 0.1 * grad, 0.999 * var + 0.001 * grad ** 2
-            bm, bv = 0.9 * bm + 0.1 * err.sum(), 0.999 * bv + 0.001 * err.sum() ** 2
             a, b = 1 - 0.9 ** step, 1 - 0.999 ** step
-            p -= rate * (mom / a) / (np.sqrt(var / b) + 1e-8)
+            bm, bv = 0.9 * bm + 0.1 * err.sum(), 0.999 * bv + 0.001 * err.sum() ** 2
             bias -= rate * (bm / a) / (np.sqrt(bv / b) + 1e-8)
-    return FM(bias, terms, p[:, 0].copy(), p[:, 1:].copy())
+            if len(t):
+                s[0] = 1
+                grad = np.add.reduceat((s * err.astype(np.float32))[:, of], first, axis=1)
+                now = p[:, distinct]
+                grad[1:] -= grad[0] * now[1:]
+                m1 = mom[:, distinct] = 0.9 * mom[:, distinct] + 0.1 * grad
+                m2 = var[:, distinct] = 0.999 * var[:, distinct] + 0.001 * grad ** 2
+                r = rate if own_rate is None else rate * own_rate[distinct]
+                p[:, distinct] = now * (1 - r * decay) - r * (m1 / a) / (np.sqrt(m2 / b) + 1e-8)
+    return FM(bias, terms, p[0].astype(float), p[1:].T.astype(float))
 
 
 def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_train: int = 20_000, max_terms: int = 2048) -> FM:
+          label_col: str = "toxic", max_train: int = 20_000) -> FM:
     """Fit on the labelled documents for which ``chosen`` (over column doc_id of ``labels``) holds, at most ``max_train``."""
     marked = labels.select(F.col(id_col).alias("doc_id"), (F.col(label_col) > 0).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     marked = marked.filter(chosen if chosen is not None else F.lit(True)).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -144,20 +253,18 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_c
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(bounded), "doc_id")
     sets = stage(texts.groupBy(F.xxhash64("text").alias("key")).agg(F.max(F.struct("y", "text")).alias("t"))
-                 .select("key", "t.y", hashed_terms("t.text").alias("terms")), "toxicity_train")
-    n, n1 = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    each = sets.select("key", "y", F.explode("terms").alias("term"))
-    rate1, rate0, both = F.col("k1") / max(n1, 1), (F.col("k") - F.col("k1")) / max(n - n1, 1), F.col("k") / max(n, 1)
-    z = (rate1 - rate0) / F.sqrt(both * (1 - both) * (1 / max(n1, 1) + 1 / max(n - n1, 1)) + 1e-18)
-    kept = (each.groupBy("term").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("k1")).filter(F.col("k") >= MIN_DOCS)
-            .select("term", z.alias("z")).filter(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "term").limit(max_terms))
-    kept = stage(kept, "toxicity_terms")
-    terms = np.array(sorted(r.term for r in kept.collect()), dtype=np.int64)
-    rows = sets.select("key", "y").toPandas()
-    pairs = each.join(F.broadcast(kept), "term").select("key", "term").toPandas()
-    number = {k: i for i, k in enumerate(rows["key"])}
-    row = pairs["key"].map(number).to_numpy(dtype=np.int64)
-    return fit_fm(row, np.searchsorted(terms, pairs["term"].to_numpy(dtype=np.int64)), rows["y"].to_numpy(dtype=float), terms)
+                 .select("t.y", hashed_terms("t.text").alias("terms")), "toxicity_train")
+    got = sets.toPandas()
+    label, each = got["y"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int32) for x in got.pop("terms")]
+    row = np.repeat(np.arange(len(each), dtype=np.int32), [len(x) for x in each])
+    term = np.concatenate([np.zeros(0, dtype=np.int32), *each])
+    del each, got
+    terms, telling = model_terms(row, term, label)
+    number = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+    number[terms] = np.arange(len(terms))
+    own = number[term] >= 0
+    row, term = row[own], number[term[own]]
+    return fit_fm(row, term, label, terms, own_rate=np.where(telling, 1.0, FREQUENT_RATE).astype(np.float32))
 
 
 def score(text: Column, model: FM) -> Column:
