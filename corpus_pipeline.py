@@ -35,8 +35,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in schedule order; weights are the square roots of the sources' characters."""
     chars = F.length("text")
-    weights, rest = mixing.tempered_weights(docs, chars)
-    return mixing.in_mix_order(docs, chars, weights, rest)
+    return mixing.in_mix_order(docs, chars, mixing.source_weights(docs, chars))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,14 +7,16 @@ deadline. So after any t slots of the whole run every lane that has not run out
 below one block. The driver deals the slots out, with a size and a weight a lane and one block a lane in hand, and
 writes them as Parquet in parts; they are joined with the documents by lane and block.
 
-Given ``slots``, weights are rounded to n_lane / slots and one frame of so many slots is repeated: the deviation is then
+Weights come as a table (``source_weights``), in which every source has a lane of its own and its name stays in the
+table, or as a dict, in which sources without a weight share one further lane (weight ``rest``).
+
+Given a dict and ``slots``, weights are rounded to n_lane / slots and one frame of so many slots is repeated: the deviation is then
 below one block from the rounded weights only, and grows with the run from the given ones.
 
 Nothing is dropped or repeated: when a lane runs out the others keep to their releases and deadlines, and a slot for
 which no block is released stays empty. A lane of any size is numbered in pieces (``common.running_sum``).
 
-Defined cases: a null source is a source of its own; sources without a weight share one further lane (weight ``rest``);
-null and empty documents have size 0 and take the slot of the block they fall in; repeated rows stay; an empty table
+Defined cases: a null source is a source of its own; null and empty documents have size 0 and take the slot of the block they fall in; repeated rows stay; an empty table
 gives an empty result; extra columns are kept, whatever their names.
 """
 
@@ -29,7 +31,7 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm.common import running_sum, whole_row
+from semjoin.llm.common import running_sum, stage, whole_row
 from semjoin.session import shared_dir
 
 #: Rows of a lane that one piece of the running sum holds, about.
@@ -104,11 +106,19 @@ def _written(spark: SparkSession, schedule: Iterable[tuple[int, int, int]]) -> D
 
 def tempered_weights(docs: DataFrame, size: Column, source_col: str = "source", alpha: float = 0.5,
                      max_lanes: int = 256) -> tuple[dict[str | None, float], float]:
-    """Target weights in proportion to size ** alpha: of the ``max_lanes - 1`` largest sources, and of all the rest."""
+    """Target weights size ** alpha: of the ``max_lanes - 1`` largest sources, and the sum of those of all the rest."""
     totals = docs.groupBy(F.col(source_col).alias("s")).agg(F.sum(size.cast("double")).alias("n"))
+    totals = totals.withColumn("w", F.pow(F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(1.0)), F.lit(float(alpha))))
     top = totals.orderBy(F.desc("n"), "s").limit(max_lanes - 1).collect()
-    rest = (totals.agg(F.sum("n")).first()[0] or 0.0) - sum(r.n or 0.0 for r in top)
-    return {r.s: max(r.n or 0.0, 1.0) ** alpha for r in top}, max(rest, 1.0) ** alpha
+    rest = (totals.agg(F.sum("w")).first()[0] or 0.0) - sum(r.w for r in top)
+    return {r.s: r.w for r in top}, rest if totals.count() > len(top) else 1.0
+
+
+def source_weights(docs: DataFrame, size: Column, source_col: str = "source", alpha: float = 0.5) -> DataFrame:
+    """One row a source, written: source, lane (its number), size (the sum), weight (size ** alpha)."""
+    totals = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.coalesce(F.sum(F.coalesce(size, F.lit(0)).cast("long")), F.lit(0)).alias("size"), F.count(F.lit(1)).alias("n"))
+    weight = F.pow(F.greatest("size", F.lit(1)).cast("double"), F.lit(float(alpha)))
+    return stage(totals.withColumn("lane", F.monotonically_increasing_id()).withColumn("weight", weight), "mix_weights")
 
 
 def _rows(docs: DataFrame, size: Column, source_col: str) -> DataFrame:
@@ -131,10 +141,17 @@ def _with_slots(placed: DataFrame, schedule: DataFrame, keys: list[str], blocks:
     return joined.select("row", "source", "lane", "block", "slot", "start")
 
 
-def scheduled(docs: DataFrame, size: Column, weights: dict[str | None, float], rest: float, source_col: str = "source",
+def scheduled(docs: DataFrame, size: Column, weights: DataFrame | dict[str | None, float], rest: float = 1.0, source_col: str = "source",
               block_size: int = 65536, slots: int | None = None) -> DataFrame:
     """Columns: row (a struct of ``docs``' own columns), source, lane, block, slot, start (size before it in its lane)."""
     spark = docs.sparkSession
+    if isinstance(weights, DataFrame):
+        each = weights.select("lane", "size", "weight", "n").orderBy("lane").toPandas()
+        lane, blocks = each["lane"].tolist(), (each["size"] // block_size + 1).tolist()
+        dealt = ((lane[i], j, t) for i, j, t in run_schedule(each["weight"].tolist(), blocks)) if blocks else ()
+        schedule = _written(spark, dealt).join(weights.select("lane", "source"), "lane")
+        placed = _placed(_rows(docs, size, source_col), "source", int(each["n"].sum()), block_size)
+        return _with_slots(placed, schedule, ["source", "block"], sum(blocks))
     shares = [*weights.values(), rest]
     last = len(shares) - 1
     lanes = spark.createDataFrame([(s, i) for i, s in enumerate(weights)] or [(None, -1)], "s string, lane int")
@@ -152,7 +169,7 @@ def scheduled(docs: DataFrame, size: Column, weights: dict[str | None, float], r
         F.broadcast(frame), ["lane", "turn"]).select("row", "source", "lane", "block", (F.expr("block div per_frame") * slots + F.col("place")).alias("slot"), "start")
 
 
-def in_mix_order(docs: DataFrame, size: Column, weights: dict[str | None, float], rest: float, **how) -> DataFrame:
+def in_mix_order(docs: DataFrame, size: Column, weights: DataFrame | dict[str | None, float], rest: float = 1.0, **how) -> DataFrame:
     """``docs`` whole, in the order of their slots: partition after partition, and inside each."""
     key = ["slot", "start"]
     return scheduled(docs, size, weights, rest, **how).repartitionByRange(*key).sortWithinPartitions(*key).select("row.*")

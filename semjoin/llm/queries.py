@@ -51,8 +51,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block and schedule slot, sources weighted by the square root of their characters."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"))
     docs = stage(docs, "mixing")
-    weights, rest = mixing.tempered_weights(docs, F.col("chars"))
-    placed = mixing.scheduled(docs, F.col("chars"), weights, rest)
+    placed = mixing.scheduled(docs, F.col("chars"), mixing.source_weights(docs, F.col("chars")))
     return placed.select("row.doc_id", "source", "lane", "block", "slot", "start")
 
 

@@ -42,3 +42,20 @@ def test_run_schedule_with_lanes_that_run_out():
         seen[lane] += 1
         last = t
     assert [seen[i] for i in range(4)] == blocks
+
+
+def test_every_source_has_its_own_lane(spark):
+    sizes = [(f"s{i}", 30) for i in range(400)] + [(None, 900)]
+    docs = docs_of(spark, sizes)
+    weights = mixing.source_weights(docs, F.col("n"))
+    got = mixing.scheduled(docs, F.col("n"), weights, block_size=3).select("row.doc_id", "source", "lane", "slot").toPandas()
+    assert sorted(got["doc_id"]) == list(range(docs.count())) and got["lane"].nunique() == 401
+    got["source"] = got["source"].where(got["source"].notna(), None).fillna("-")
+    shares = {"-": 30.0} | {s: 30 ** 0.5 for s, _ in sizes[:-1]}
+    slots_of = {s: np.unique(own) for s, own in got.groupby("source")["slot"]}
+    # until the first lane runs out
+    assert most_off(slots_of, shares, int(10 * sum(shares.values()) / 30 ** 0.5)) < 1
+    some, rest = mixing.tempered_weights(docs, F.col("n"), max_lanes=101)
+    assert len(some) == 100 and abs(rest - 301 * 30 ** 0.5) < 1e-6
+    empty = docs.limit(0)
+    assert mixing.in_mix_order(empty, F.col("n"), mixing.source_weights(empty, F.col("n"))).count() == 0
