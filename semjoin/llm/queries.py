@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm import chat, exact_dedup, language_id, mixing, packing, sharding, simhash, token_counts, topk, toxicity
+from semjoin.llm import chat, exact_dedup, language_id, merkle, mixing, packing, sharding, simhash, token_counts, topk, toxicity
 from semjoin.llm.common import stage
 
 #: SimHash: words of a shingle, and the most bits that linked fingerprints differ in.
@@ -111,6 +111,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest of a tree a language, and the root that a tampered copy folds to."""
+    docs = _table(spark, sf_dir, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    more = F.when(F.coalesce(_crc32_mod("doc_id", 7) == 0, F.lit(False)), F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars"))
+    return merkle.Manifest(docs, columns, "lang", "doc_id", claimed=[*columns[:3], more, columns[4]]).proofs()
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -122,8 +130,24 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+#: Fixed value: the polynomial of CRC-32, bits reversed.
+_CRC32_POLY = 0xEDB88320
+#: CRC-32 of the decimal doc_id, a bit a step; each digit enters on the first of its eight steps.
+_SQL_CRC32 = f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, {_CRC32_POLY} * (xor(a, x) & 1))))"""
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', CAST({c} AS VARCHAR)), '-')"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return "sha256(concat(" + ", ".join(_sql_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + "))"
+
+
 ORACLES = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -136,4 +160,36 @@ ORACLES = {
                    FROM v q JOIN v p ON q.vec_id % 20 = 0 AND p.vec_id <> q.vec_id),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE own AS (
+               SELECT doc_id, coalesce(concat('=', lang), '') AS tree, {_sql_leaf("n_chars")} AS leaf,
+                      CASE WHEN {_SQL_CRC32} % 7 = 0 THEN {_sql_leaf("(n_chars + 1)")} ELSE {_sql_leaf("n_chars")} END AS claimed
+               FROM documents),
+             leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS j,
+                               count(*) OVER (PARTITION BY tree) AS n FROM own),
+             lower AS (SELECT tree, 0 AS level, j, n, leaf AS digest FROM leaves
+                       UNION ALL
+                       SELECT tree, level + 1, j // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY j)) FROM lower WHERE n > 1
+                       GROUP BY tree, level, j // 2, n),
+             subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS j, count(*) OVER () AS n FROM lower WHERE n = 1),
+             upper AS (SELECT 0 AS level, j, n, digest FROM subroots
+                       UNION ALL
+                       SELECT level + 1, j // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY j)) FROM upper WHERE n > 1
+                       GROUP BY level, j // 2, n),
+             root AS (SELECT digest AS root FROM upper WHERE n = 1),
+             climb AS (SELECT l.doc_id, l.tree, l.leaf, l.j AS at, 0 AS level, l.j, l.n, l.claimed AS folded, '' AS path FROM leaves l
+                       UNION ALL
+                       SELECT c.doc_id, c.tree, c.leaf, c.at, c.level + 1, c.j // 2, (c.n + 1) // 2,
+                              sha256(CASE WHEN s.digest IS NULL THEN c.folded WHEN c.j % 2 = 1 THEN concat(s.digest, c.folded) ELSE concat(c.folded, s.digest) END),
+                              concat(c.path, coalesce(s.digest, ''))
+                       FROM climb c LEFT JOIN lower s ON s.tree = c.tree AND s.level = c.level AND s.j = xor(c.j, 1) WHERE c.n > 1),
+             tops AS (SELECT c.doc_id, c.tree, c.leaf, c.at, t.digest AS subroot, 0 AS level, t.j, t.n, c.folded, c.path
+                      FROM climb c JOIN subroots t ON t.tree = c.tree WHERE c.n = 1
+                      UNION ALL
+                      SELECT c.doc_id, c.tree, c.leaf, c.at, c.subroot, c.level + 1, c.j // 2, (c.n + 1) // 2,
+                             sha256(CASE WHEN s.digest IS NULL THEN c.folded WHEN c.j % 2 = 1 THEN concat(s.digest, c.folded) ELSE concat(c.folded, s.digest) END),
+                             concat(c.path, coalesce(s.digest, ''))
+                      FROM tops c LEFT JOIN upper s ON s.level = c.level AND s.j = xor(c.j, 1) WHERE c.n > 1)
+        SELECT doc_id, leaf, subroot, root, sha256(path) AS proof_sha256, folded AS folded_root, folded = root AS verified
+        FROM tops, root WHERE tops.n = 1""",
 }

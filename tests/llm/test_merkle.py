@@ -1,0 +1,154 @@
+"""Merkle manifest: plain trees, the order of the log, tampering, nulls, ties, repeated rows, clashing columns."""
+
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from semjoin.llm import merkle
+from semjoin.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree string, digest string, number string, run string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_leaf(i, source, lang, n, text):
+    return sha("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in (i, source, lang, n, text)))
+
+
+def plain_levels(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([sha("".join(levels[-1][i:i + 2])) for i in range(0, len(levels[-1]), 2)])
+    return levels
+
+
+def plain_path(levels, j):
+    out = []
+    for level in levels[:-1]:
+        out += [level[j ^ 1]] if j ^ 1 < len(level) else []
+        j //= 2
+    return out
+
+
+def plain_fold(levels, j, digest):
+    for level in levels[:-1]:
+        run = level[j // 2 * 2:j // 2 * 2 + 2]
+        run[j % 2] = digest
+        digest, j = sha("".join(run)), j // 2
+    return digest
+
+
+def plain(docs):
+    """Rows as of the contract, from (doc_id, text, lang, source, n_chars)."""
+    trees = {}
+    for i, text, lang, source, n in docs:
+        bad = i is not None and zlib.crc32(str(i).encode()) % 7 == 0
+        own = plain_leaf(i, source, lang, n, text)
+        claim = plain_leaf(i, source, lang, n + 1 if bad and n is not None else n, text)
+        trees.setdefault(lang, []).append(((i is not None, i), own, claim))
+    names = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    levels = {x: plain_levels([r[1] for r in sorted(trees[x])]) for x in names}
+    top = plain_levels([levels[x][-1][0] for x in names])
+    out = []
+    for t, x in enumerate(names):
+        for j, (i, own, claim) in enumerate(sorted(trees[x])):
+            path = plain_path(levels[x], j) + plain_path(top, t)
+            folded = plain_fold(top, t, plain_fold(levels[x], j, claim))
+            out.append((i[1], own, levels[x][-1][0], top[-1][0], sha("".join(path)), folded, folded == top[-1][0]))
+    return out
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(*d, "clash", "clash", "clash", "clash") for d in docs], SCHEMA)
+
+
+def corpus(rng, n, langs):
+    ids = rng.sample(range(10 * n + 10), n)
+    return [(i, rng.choice(["", None, "Ünï", "x" * rng.randrange(50)]), rng.choice(langs), rng.choice(["a", None, ""]), rng.choice([None, 0, 7])) for i in ids]
+
+
+def claims(docs):
+    bad = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    return [*[F.col(c) for c in ("doc_id", "source", "lang")], F.when(bad, F.col("n_chars") + 1).otherwise(F.col("n_chars")), F.col("text")]
+
+
+def build(spark, docs, bits):
+    table = frame(spark, docs).repartition(5)
+    return merkle.Manifest(table, [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")], "lang", "doc_id", claims(table), bits=bits)
+
+
+def test_places_are_those_of_a_postorder_walk():
+    for leaves in [*range(1, 40), 63, 64, 65]:
+        walk = []
+
+        def visit(level, number):
+            if level:
+                for child in (2 * number, 2 * number + 1):
+                    if child << (level - 1) < leaves:
+                        visit(level - 1, child)
+            walk.append((level, number))
+        visit(merkle.height(leaves), 0)
+        assert [merkle.postorder(v, j, leaves) for v, j in walk] == list(range(len(walk)))
+
+
+@pytest.mark.parametrize("seed,n,langs,bits", [(1, 150, ["en", None, "", "fr", "é"], 2), (2, 33, ["en"], 1), (3, 64, [None], 3), (4, 60, [f"l{i}" for i in range(25)], 2), (5, 1, ["x"], 2)])
+def test_against_plain_trees(spark, seed, n, langs, bits):
+    docs = corpus(random.Random(seed), n, langs)
+    got = build(spark, docs, bits).proofs().collect()
+    assert sorted(map(tuple, got)) == sorted(plain(docs))
+    assert any(not r.verified for r in got) or n < 30
+
+
+def test_nulls_repeats_and_long_texts(spark):
+    docs = [(None, "a", "en", "s", 1), (None, "b", "en", "s", 1), (7, "x", "en", "s", 1), (7, "x", "en", "s", 1), (7, "w", "en", "s", None),
+            (14, "long " * 300_000, "en", None, 3), ((1 << 62) + 1, None, None, None, None)] + [(5, "same", "en", "s", 9)] * 40
+    got = build(spark, docs, 2).proofs().collect()
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got), key=key) == sorted(plain(docs), key=key)
+
+
+def test_the_log_is_in_order_of_completion(spark):
+    docs = corpus(random.Random(6), 100, ["en", "fr", None])
+    m = build(spark, docs, 2)
+    log = {}
+    for r in sorted(m.append_log().collect(), key=lambda r: (r.tree, r.pos)):
+        log.setdefault(r.tree, []).append((r.pos, r.digest))
+    done = {}
+    for tree, rows in log.items():
+        assert [p for p, _ in rows] == list(range(len(rows)))
+        done[tree] = [d for _, d in rows]
+    assert set(done) == {"=en", "=fr", "", merkle.TOP} and done[merkle.TOP][-1] == m.root
+    # a proof is read from the log by the places alone
+    for lang in ("en", "fr", None):
+        own = sorted(d for d in docs if d[2] == lang) if lang else sorted((d for d in docs if d[2] is None), key=lambda d: d[0])
+        name, n = merkle_name(lang), len(own)
+        for j, d in enumerate(own):
+            siblings = [done[name][p] for p in merkle.sibling_places(j, n)]
+            leaf = plain_leaf(d[0], d[3], d[2], d[4], d[1])
+            assert merkle.fold(leaf, j, n, siblings) == done[name][-1]
+
+
+def merkle_name(lang):
+    return "" if lang is None else f"={lang}"
+
+
+def test_empty_table(spark):
+    m = build(spark, [], 2)
+    assert m.root is None and m.append_log().isEmpty() and m.proofs().isEmpty()
+
+
+def test_query_over_many_pieces(spark, tmp_path):
+    rng = random.Random(8)
+    docs = corpus(rng, 2500, ["en"] * 6 + ["de", None])
+    table = frame(spark, docs).repartition(7)
+    table.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op11_merkle_manifest"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(plain(docs))
+    assert list(itertools.islice(got[0].asDict(), 7)) == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
