@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm import chat, exact_dedup, language_id, merkle, mixing, packing, sharding, simhash, token_counts, topk, toxicity
+from semjoin.llm import chat, exact_dedup, language_id, merkle, mixing, packing, runs, sharding, simhash, token_counts, topk, toxicity
 from semjoin.llm.common import stage
 
 #: SimHash: words of a shingle, and the most bits that linked fingerprints differ in.
@@ -119,6 +119,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.Manifest(docs, columns, "lang", "doc_id", claimed=[*columns[:3], more, columns[4]]).proofs()
 
 
+def periodic_tail(words: list[bytes], h: int | None) -> list[bytes]:
+    """Where 10 divides h, the words from place a on repeat the p words from there; a and p follow from h."""
+    n = len(words)
+    if h is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (-(-(n - a) // p)))[:n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words; a tenth of the documents get a periodic tail first."""
+    docs = _table(spark, sf_dir, "documents")
+    return runs.text_runs(docs, periodic_tail, F.crc32(F.col("doc_id").cast("string").cast("binary")))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
@@ -131,6 +148,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Fixed value: the polynomial of CRC-32, bits reversed.
