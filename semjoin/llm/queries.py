@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm import chat, exact_dedup, language_id, merkle, mixing, packing, runs, sharding, simhash, token_counts, topk, toxicity
+from semjoin.llm import chat, crosspoly, exact_dedup, language_id, merkle, mixing, packing, runs, sharding, simhash, token_counts, topk, toxicity
 from semjoin.llm.common import stage
 
 #: SimHash: words of a shingle, and the most bits that linked fingerprints differ in.
@@ -119,6 +119,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.Manifest(docs, columns, "lang", "doc_id", claimed=[*columns[:3], more, columns[4]]).proofs()
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links at cosine 0.9 or more and its component."""
+    return crosspoly.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.9)
+
+
 def periodic_tail(words: list[bytes], h: int | None) -> list[bytes]:
     """Where 10 divides h, the words from place a on repeat the p words from there; a and p follow from h."""
     n = len(words)
@@ -148,6 +153,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -210,4 +216,16 @@ ORACLES = {
                       FROM tops c LEFT JOIN upper s ON s.level = c.level AND s.j = xor(c.j, 1) WHERE c.n > 1)
         SELECT doc_id, leaf, subroot, root, sha256(path) AS proof_sha256, folded AS folded_root, folded = root AS verified
         FROM tops, root WHERE tops.n = 1""",
+    # all pairs: the query finds its pairs by hashing, and misses less than one in a hundred of those just at 0.9
+    "op12_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+             link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+                      AND list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.9),
+             reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, link.b FROM reach JOIN link ON link.a = reach.r),
+             smallest AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+             degree AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM smallest LEFT JOIN degree USING (vec_id)""",
 }
