@@ -14,13 +14,15 @@ message ``ok``. Broken events stay, with their status, at their own turn.
 
 Defined cases: null conv_id is a conversation of its own; a null turn sorts first; null text is empty content; of
 repeated rows (or equal identifiers) the first in turn, then in row order, is the one linked; text that is not such JSON
-is plain content, whatever its length; a conversation may hold any share of the rows; an empty table gives an empty
+is plain content, whatever its length (numbers beyond a double's range and nesting too deep to read make it such); a conversation may hold any share of the rows; an empty table gives an empty
 result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -57,15 +59,25 @@ def violation(value, schema: dict, at: str = "$") -> str | None:
     return next((bad for part in parts if (bad := violation(*part))), None)
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Sorted keys, no spaces, characters as they are; halves of surrogate pairs, which no encoding has, are escaped."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _LONE.sub(lambda c: f"\\u{ord(c.group()):04x}", text)
 
 
 def _loads(text: str | None):
-    """The JSON value of a text; ValueError for text that isn't JSON, NaN and infinity included."""
+    """The JSON value of a text; ValueError for text that isn't JSON, or holds NaN, infinity or a number beyond a double."""
     def refuse(x):
         raise ValueError(x)
-    return json.loads(text or "", parse_constant=refuse)
+
+    def number(x):
+        return value if math.isfinite(value := float(x)) else refuse(x)
+    value = json.loads(text or "", parse_constant=refuse, parse_float=number)
+    canonical(value)                     # what cannot be written again (nested too deep) counts as no JSON, too
+    return value
 
 
 def _events(messages: DataFrame) -> DataFrame:

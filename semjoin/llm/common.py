@@ -23,6 +23,12 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns of ``docs``; those that Spark cannot hash (maps, variants) enter as their JSON text."""
+    plain = lambda kind: "map<" not in kind and "variant" not in kind
+    return F.xxhash64(*[F.col(f"`{c}`") if plain(kind) else F.to_json(F.struct(F.col(f"`{c}`"))) for c, kind in docs.dtypes])
+
+
 def join_counted(rows: DataFrame, groups: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``groups`` (one row per key; ``count`` = that key's rows in ``rows``), whatever the skew.
 
@@ -63,7 +69,7 @@ def survivors(docs: DataFrame, winners: DataFrame, **keys: Column) -> DataFrame:
     one JSON text, so that the join and the choice among repeated rows share one shuffle of the rows.
     """
     key = F.to_json(F.struct(*[e.alias(k) for k, e in keys.items()])).alias("key")
-    marked = docs.select(whole_row(docs), key, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash"))
+    marked = docs.select(whole_row(docs), key, row_hash(docs).alias("hash"))
     wins = winners.select(F.to_json(F.struct(*keys)).alias("key")).distinct()
     first = Window.partitionBy("key").orderBy("hash")
     return marked.join(wins, "key", "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")

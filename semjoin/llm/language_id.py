@@ -6,9 +6,9 @@ the product of their numbers of n-grams. Nystroem landmarks (training texts of e
 values with them, and kernel ridge regression, one language against the rest, is fitted on that map. Texts are scored
 in batches: presence matrix x landmark matrix gives the kernel values, times the coefficients gives a score a language.
 
-Learning uses a bounded sample: about ``max_train`` texts, as many of each of the ``max_languages`` most frequent
-languages, chosen by the hash of their id, and ``landmarks`` of them as landmarks. Only their n-gram sets leave the executors. Scoring
-uses every character of every text.
+Learning uses a bounded sample: ``max_train`` texts, as many of each language, but LEAST_EACH of each at least; they are
+those with the smallest hash of their id. ``landmarks`` of them are landmarks, dealt over the languages, one of each at least. The
+sample is made to n-gram sets on the executors, and only these reach the driver. Scoring uses every character of every text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; without training rows every text is ``und``
 with score 0; texts equal in letters score alike; equal scores go to the language first in sorting order; null languages
@@ -17,13 +17,13 @@ and ids do not train; an empty table gives an empty result; extra columns are ig
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from semjoin.llm.common import stage
@@ -33,7 +33,9 @@ HASH_BITS = 17
 UND = "und"
 CHARS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 128
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Training texts of each language, if there are so many.
+LEAST_EACH = 5
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def _mark_grams(text: str | None, seen: np.ndarray) -> bool:
@@ -97,13 +99,79 @@ class KernelModel:
 
 
 def fit(sets: list[np.ndarray], langs: list[str], landmarks: int = 96, ridge: float = 1e-3) -> KernelModel:
-    """Nystroem map on landmarks dealt evenly over the languages, then ridge regression of +1 / -1 a language."""
+    """Nystroem map on landmarks dealt evenly over the languages (one of each at least), then ridge regression of +1 / -1 a language."""
     names = sorted(set(langs))
     if not names:
         return KernelModel([], np.zeros(0, dtype=np.int32), np.zeros((0, 0), dtype=np.uint8), np.zeros(0), np.zeros((0, 0)), np.zeros(0))
     of = {c: [i for i, x in enumerate(langs) if x == c] for c in names}
     turn = sorted((k, c, i) for c, own in of.items() for k, i in enumerate(own))
-    marks = [i for _, _, i in turn[:landmarks]]
+    marks = [i for _, _, i in turn[:max(landmarks, len(names))]]
+    grams = np.unique(np.concatenate([sets[i] for i in marks]))
+    presence = np.stack([np.isin(grams, sets[i], assume_unique=True) for i in marks]).astype(np.uint8)
+    sizes = np.array([max(1, len(sets[i])) for i in marks], dtype=float)
+    dense = presence.astype(np.float32)
+    kernel = np.stack([dense @ np.isin(grams, s, assume_unique=True).astype(np.float32) for s in sets]) / np.sqrt(
+        np.array([max(1, len(s)) for s in sets], dtype=float)[:, None] * sizes[None, :])
+    value, vector = np.linalg.eigh(kernel[marks])
+    good = value > 1e-8 * value.max()
+    to_map = vector[:, good] / np.sqrt(value[good])
+    phi = np.concatenate([kernel @ to_map, np.ones((len(sets), 1))], axis=1)
+    target = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
+    penalty = ridge * len(sets) * np.eye(phi.shape[1])
+    penalty[-1, -1] = 0.0
+    w = np.linalg.solve(phi.T @ phi + penalty, phi.T @ target)
+    return KernelModel(names, grams, presence, sizes, to_map @ w[:-1], w[-1])
+
+
+def train(docs: DataFrame, chosen: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          max_train: int = 1000, landmarks: int = 96) -> KernelModel:
+    """Fit on a bounded sample of the rows with a language for which ``chosen`` holds (an expression over ``docs``)."""
+    rows = docs.filter(chosen).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(
+        "doc_id IS NOT NULL AND lang IS NOT NULL")
+    counts = stage(rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")), "languages")
+    quota = max(LEAST_EACH, -(-max_train // max(1, counts.count())))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+
+    @F.pandas_udf("array<int>")
+    def grams(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(gram_sets(texts)))
+
+    # three times the quota is expected below this place, so the quota is there but for one case in 10 ** 9
+    near = rows.join(counts, "lang").withColumn("at", place).filter(F.col("at") * F.col("n") < 3 * quota + 30)
+    sets = near.groupBy("lang", "doc_id", "at").agg(F.min("text").alias("text")).select("lang", "doc_id", "at", grams("text").alias("grams"))
+    first = Window.partitionBy("lang").orderBy("at", "doc_id")
+    picked = stage(sets, "language_sets").withColumn("k", F.row_number().over(first)).filter(F.col("k") <= quota)
+    got = stage(picked.select("lang", "doc_id", "grams"), "language_train").orderBy("lang", "doc_id").toPandas()
+    return fit([np.asarray(g) for g in got["grams"]], list(got["lang"]), landmarks)
+
+
+def predict(self, texts: pd.Series) -> pd.DataFrame:
+        seen, marks = np.zeros(1 << HASH_BITS, dtype=bool), self.presence.astype(np.float32).T
+        lang, best = [], []
+        for at in range(0, len(texts), ROWS_AT_ONCE):
+            part = texts.iloc[at:at + ROWS_AT_ONCE]
+            x, size, letters = np.zeros((len(part), len(self.grams)), dtype=np.float32), np.ones(len(part)), []
+            for i, t in enumerate(part):
+                seen[:] = False
+                letters.append(_mark_grams(t, seen))
+                x[i], size[i] = seen[self.grams], max(1, np.count_nonzero(seen))
+            kernel = (x @ marks) / np.sqrt(size[:, None] * self.sizes[None, :])
+            margin = kernel @ self.coef + self.bias
+            for i, ok in enumerate(letters):
+                c = int(np.argmax(margin[i])) if ok and self.languages else -1
+                lang.append(self.languages[c] if c >= 0 else UND)
+                best.append(float(np.clip((margin[i, c] + 1) / 2, 0, 1)) if c >= 0 else 0.0)
+        return pd.DataFrame({"lang_pred": lang, "score": best})
+
+
+def fit(sets: list[np.ndarray], langs: list[str], landmarks: int = 96, ridge: float = 1e-3) -> KernelModel:
+    """Nystroem map on landmarks dealt evenly over the languages (one of each at least), then ridge regression of +1 / -1 a language."""
+    names = sorted(set(langs))
+    if not names:
+        return KernelModel([], np.zeros(0, dtype=np.int32), np.zeros((0, 0), dtype=np.uint8), np.zeros(0), np.zeros((0, 0)), np.zeros(0))
+    of = {c: [i for i, x in enumerate(langs) if x == c] for c in names}
+    turn = sorted((k, c, i) for c, own in of.items() for k, i in enumerate(own))
+    marks = [i for _, _, i in turn[:max(landmarks, len(names))]]
     grams = np.unique(np.concatenate([sets[i] for i in marks]))
     presence = np.stack([np.isin(grams, sets[i], assume_unique=True) for i in marks]).astype(np.uint8)
     sizes = np.array([max(1, len(sets[i])) for i in marks], dtype=float)

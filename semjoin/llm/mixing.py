@@ -31,7 +31,7 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from semjoin.llm.common import running_sum, stage, whole_row
+from semjoin.llm.common import row_hash, running_sum, stage, whole_row
 from semjoin.session import shared_dir
 
 #: Rows of a lane that one piece of the running sum holds, about.
@@ -123,7 +123,7 @@ def source_weights(docs: DataFrame, size: Column, source_col: str = "source", al
 
 def _rows(docs: DataFrame, size: Column, source_col: str) -> DataFrame:
     return docs.select(whole_row(docs), F.col(source_col).cast("string").alias("source"),
-                       F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
+                       F.coalesce(size, F.lit(0)).cast("long").alias("size"), row_hash(docs).alias("h"))
 
 
 def _placed(rows: DataFrame, lane: str, n: int, block_size: int) -> DataFrame:

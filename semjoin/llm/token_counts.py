@@ -8,7 +8,7 @@ separators before a block numbers its documents, the last separator before it st
 ``write_token_files`` makes such files from a table, one file a task, and lists which document went where. A file is
 named by one attempt of its task, and only listed files are read, so lost executors and repeated tasks do no harm.
 
-Defined cases: null and empty texts have 0 tokens; tokens after the last separator of a file are a document of their
+Defined cases: null and empty texts have 0 tokens; runs of white space of any length are tokenised as the pattern says; tokens after the last separator of a file are a document of their
 own; an empty file has none; repeated rows and null ids are counted each; a separator's text inside a document is
 ordinary text; an empty table gives an empty result; extra columns are ignored.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -35,16 +36,46 @@ BLOCK = 1 << 21
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: A run of white space (as the pattern's \s has it) that is cut out before the pattern sees it.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, f)}
+
+
 @functools.lru_cache(maxsize=4)
 def _encoding(path: str):
     import tiktoken
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, f)}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
+
+
+def encode(encoding, text: str) -> list[int]:
+    """The identifiers of a text. The pattern's engine cannot take very long runs of white space, so these are cut out first.
+
+    The pattern makes one piece of such a run, but for its last character where something follows: that one may begin the
+    next piece.
+    """
+    out, at = [], 0
+    for found in _BLANKS.finditer(text):
+        end = found.end() if found.end() == len(text) else found.end() - 1
+        out += encoding.encode_ordinary(text[at:found.start()])
+        out += encoding._encode_single_piece(text[found.start():end])
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
+def id_width(tokenizer: str, eod: int) -> int:
+    """Bytes of an identifier in the token files: enough for every rank of the vocabulary and ``eod``, which must be free."""
+    used = set(_ranks(tokenizer).values())
+    if eod in used or eod < 0:
+        raise ValueError(f"identifier {eod} is a token of the vocabulary or negative; it cannot end documents")
+    return 2 if max(eod, *used) < 1 << 16 else 4
 
 
-def _dtype(eod: int) -> str:
-    return "<u2" if eod < 1 << 16 else "<u4"
+def _dtype(width: int) -> str:
+    return f"<u{width}"
 
 
 def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -54,7 +85,7 @@ def _open(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def write_token_files(docs: DataFrame, tokenizer: str, eod: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise whole texts into flat files in the shared folder; rows (file, ordinal, doc_id), and per file (file, -1, tokens)."""
-    folder, kind = shared_dir(docs.sparkSession, "llm", "tokens"), _dtype(eod)
+    folder, kind = shared_dir(docs.sparkSession, "llm", "tokens"), _dtype(id_width(tokenizer, eod))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, name = _encoding(tokenizer), f"{folder}/{uuid.uuid4().hex}.bin"
@@ -64,7 +95,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, eod: int, id_col: str = "
         with fs.open_output_stream(path) as out:
             for batch in batches:
                 for text in batch.column(1):
-                    ids = np.append(encoding.encode_ordinary(text.as_py() or ""), eod).astype(kind)
+                    ids = np.append(encode(encoding, text.as_py() or ""), eod).astype(kind)
                     tokens += len(ids)
                     out.write(ids.tobytes())
                 k = batch.num_rows
@@ -77,16 +108,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, eod: int, id_col: str = "
     return stage(rows.mapInArrow(write, "file string, ordinal long, doc_id long"), "token_index")
 
 
-def token_files(spark, path: str, eod: int) -> DataFrame:
-    """(file, tokens) of the token files in a folder; only their lengths are read."""
+def token_files(spark, path: str, width: int = 2) -> DataFrame:
+    """(file, tokens) of the token files in a folder, ``width`` bytes a token; only their lengths are read."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select(F.col("path").alias("file"), F.expr(f"length div {np.dtype(_dtype(eod)).itemsize}").alias("tokens"))
+    return files.select(F.col("path").alias("file"), F.expr(f"length div {width}").alias("tokens"))
 
 
-def scan(files: DataFrame, eod: int, block: int = BLOCK) -> DataFrame:
-    """(file, ordinal, n_tokens) of every document in ``files`` (file, tokens), separators not counted."""
-    kind = _dtype(eod)
-    width = np.dtype(kind).itemsize
+def scan(files: DataFrame, eod: int, block: int = BLOCK, width: int = 2) -> DataFrame:
+    """(file, ordinal, n_tokens) of every document in ``files`` (file, tokens; ``width`` bytes a token), separators not counted."""
+    kind = _dtype(width)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,5 +148,5 @@ def scan(files: DataFrame, eod: int, block: int = BLOCK) -> DataFrame:
 def count_tokens(docs: DataFrame, tokenizer: str, eod: int, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens) of every row of ``docs``, by writing token files and scanning them."""
     index = write_token_files(docs, tokenizer, eod, id_col, text_col)
-    found = scan(index.filter("ordinal = -1").select("file", F.col("doc_id").alias("tokens")), eod, block)
+    found = scan(index.filter("ordinal = -1").select("file", F.col("doc_id").alias("tokens")), eod, block, id_width(tokenizer, eod))
     return index.filter("ordinal >= 0").join(found, ["file", "ordinal"]).select("doc_id", "n_tokens")

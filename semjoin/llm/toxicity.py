@@ -1,16 +1,18 @@
 """Toxicity scores from a second-order factorization machine over hashed terms.
 
 score = sigmoid(w0 + sum of w_i + sum over pairs of <v_i, v_j>), over the distinct terms of the whole text: its
-lower-cased words and the first PREFIX letters of longer ones (so that forms of a word share a term), hashed to
-2 ** HASH_BITS. The pair part raises (or lowers) a text in which two terms meet, such as an insult
-and the mention of a group, where each alone says little; sums of single weights cannot.
-
-Learning: a bounded sample (``max_train`` labelled documents, those with the smallest hash of their id) is reduced on
-the executors to sets of hashed terms. A term makes the model by any of three ways: it is frequent (in FREQUENT of the
-texts or more, whatever the labels), its presence differs clearly between the labels (|z| >= MIN_Z), or it is one of a
-telling pair, whose terms need not say anything alone. The pair counts are exact and over all pairs that can reach the
-threshold (``telling_pairs``); no number of terms is set. The parameters are fitted on the driver by sparse Adam. Scoring
-uses every word of every text. The model has 2 ** HASH_BITS terms at most, so sending it with the tasks is bounded.
+lower-cased words and the beginnings of longer ones (so that forms of a word share terms), hashed to 2 ** HASH_BITS. The
+pair part raises (or lowers) a text in which two terms meet, such as an insult and the mention of a group, where each
+alone says little; sums of single weights cannot.
+
+Learning: a bounded sample (``max_train`` labelled documents, those with the smallest hash of their id, of equal texts
+one) is reduced on the executors to sets of hashed terms; one task fits the model and only the model reaches the driver.
+Every term of MIN_DOCS texts or more takes part, whatever the labels. Weights are learned first (FTRL with an L1 penalty:
+a weight stays zero until its gradients have added up to more than chance), then the factors, with steps in proportion
+to a term's frequency up to FULL_RATE. How freely the factors move, GENTLE or FIRM, is chosen by the loss on a fifth
+of the first sampled texts, CHOOSE_TERMS terms in all (``choose``). The sample of one task is also bounded by ``max_terms`` terms in all: texts
+come in the order of their hash until these are reached. Scoring uses every word of every text. The model has
+2 ** HASH_BITS terms at most, so sending it with the tasks is bounded.
 
 Defined cases: null and empty texts have no term and score sigmoid(w0); a document with several labels is toxic if any
 says so; null labels and null ids do not train; without labelled documents, or with one class only, the score is the
@@ -22,30 +24,30 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semjoin.llm.common import stage, whole_row
 
 HASH_BITS = 20
-PREFIX = 4
+#: Beginnings of these many letters are terms, too.
+PREFIXES = (4, 6)
 FACTORS = 8
-MIN_Z = 4.0
-MIN_DOCS = 3
-#: Share of the sampled texts from which on a term needs no other reason.
-FREQUENT = 0.05
-#: Learning rate of terms that are frequent only, in terms of the others': what tells nothing for sure learns little noise.
-FREQUENT_RATE = 0.3
-#: A telling pair's z, and the texts of one label that hold it: PAIR_DOCS at least, and PAIR_SHARE of the toxic ones.
-PAIR_Z, PAIR_DOCS, PAIR_SHARE = 6.0, 20, 0.01
-#: Terms and texts counted against all terms at a time, which bounds the driver's memory.
-TERMS_AT_ONCE, TEXTS_AT_ONCE = 512, 512
-#: Steps of the fit at least, when the sample has few batches.
-MIN_STEPS = 300
+#: Texts of the sample that hold a term, at least.
+MIN_DOCS = 2
+#: Share of the texts from which on a term's factors start and move at full size.
+FULL_RATE = 0.02
+#: Texts scored at a time, which bounds memory.
+TEXTS_AT_ONCE = 512
+#: Steps that fit the weights at least, when the sample has few batches; terms (in all) of the sampled texts that choose
+#: between the settings; and the share of the loss without any terms that GENTLE must leave for FIRM to be tried.
+MIN_STEPS, CHOOSE_TERMS, WELL_LEARNED = 300, 2_500_000, 0.1
 #: Characters of a text that are searched at a time.
 CHARS_AT_ONCE = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -69,8 +71,8 @@ def _hashed(word: str) -> int:
 
 
 def _terms(word: str) -> tuple[int, ...]:
-    """The hashed terms of a word: itself and, if it is longer, its beginning."""
-    return (_hashed(word), _hashed(word[:PREFIX] + "*")) if len(word) > PREFIX else (_hashed(word),)
+    """The hashed terms of a word: itself and, if it is longer, its beginnings."""
+    return (_hashed(word), *(_hashed(word[:n] + "*") for n in PREFIXES if len(word) > n))
 
 
 @dataclass
@@ -88,19 +90,21 @@ class FM:
         return out
 
     def scores(self, texts) -> np.ndarray:
-        texts, raw, index, known = list(texts), [], {int(t): i for i, t in enumerate(self.terms)}, {}
+        texts, raw, known = list(texts), [], {}
+        index = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+        index[self.terms] = np.arange(len(self.terms), dtype=np.int32)
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             raw.append(self._raw(texts[at:at + TEXTS_AT_ONCE], index, known))
         return 1 / (1 + np.exp(-np.clip(np.concatenate(raw or [np.zeros(0)]), -30, 30)))
 
-    def _raw(self, texts: list, index: dict[int, int], known: dict[str, list[int]]) -> np.ndarray:
+    def _raw(self, texts: list, index: np.ndarray, known: dict[str, list[int]]) -> np.ndarray:
         row, term = [], []
         for k, text in enumerate(texts):
             found = set()
             for w in _words(text):
                 own = known.get(w)
                 if own is None:
-                    own = known[w] = [index[t] for t in _terms(w) if t in index]
+                    own = known[w] = [i for i in index[list(_terms(w))].tolist() if i >= 0]
                 found.update(own)
             row += [k] * len(found)
             term += found
@@ -109,76 +113,23 @@ class FM:
         return self.raw(np.array(row, dtype=np.int64), np.array(term, dtype=np.int64), len(texts))
 
 
-def _z(toxic: np.ndarray, n: np.ndarray, rate: np.ndarray | float, of: np.ndarray | float) -> np.ndarray:
-    """How far ``toxic`` of n texts is from ``rate`` in standard deviations, the n being some of ``of`` texts with that rate."""
-    return (toxic - n * rate) / np.sqrt(n * rate * (1 - rate) * (1 - n / of) + 1e-9)
-
+@dataclass(frozen=True)
+class Setting:
+    """How factors are learned: standard deviation of their start, rate, the least scale of a step's gradients, shrinking
+    a step, bound on the sums that enter a gradient, whether the weights still move, and the least epochs and steps."""
+    start: float
+    rate: float
+    scale: float
+    decay: float
+    bound: float
+    weights_move: bool
+    epochs: int
+    steps: int
 
-def _counts(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each hashed term the texts, and the toxic texts, that hold it; counted piece by piece."""
-    k, size = np.zeros((2, int(term.max(initial=0)) + 1)), 1 << 20
-    for at in range(0, len(term), size):
-        t = term[at:at + size]
-        k[0] += np.bincount(t, minlength=k.shape[1])
-        k[1] += np.bincount(t[label[row[at:at + size]] > 0], minlength=k.shape[1])
-    return k[0], k[1]
 
-
-def telling_pairs(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """The terms, rising, of all pairs whose meeting tells of the label what neither term does alone.
-
-    That is: the share of toxic texts where both are found is PAIR_Z deviations or more from the share of all texts, and
-    also from the share where the one, and where the other, is found; and enough texts of one label hold both. Every pair
-    that can pass is counted: its terms must each be in as many texts of that label.
-    """
-    n, n1 = len(label), label.sum()
-    rate, (k, k1) = n1 / n, _counts(row, term, label)
-    # texts without any toxic one reach the z only from so many on
-    least1 = max(PAIR_DOCS, PAIR_SHARE * n1)
-    least0 = max(least1, PAIR_Z ** 2 * (1 - rate) / rate * (1 - PAIR_Z ** 2 * (1 - rate) / rate / n))
-    able = np.flatnonzero((k1 >= least1) | (k - k1 >= least0))
-    m, number = len(able), np.full(len(k), -1, dtype=np.int32)
-    number[able] = np.arange(m)
-    k, k1, by_label = k[able], k1[able], np.argsort(label, kind="stable")
-    place = np.empty(n, dtype=np.int32)
-    place[by_label] = np.arange(n)                   # the clean rows first
-    own = number[term] >= 0
-    at, col = place[row[own]], number[term[own]]
-    order = np.argsort(at, kind="stable").astype(np.int32)
-    at, col, clean, hit = at[order], col[order], n - int(n1), np.zeros(m, dtype=bool)
-    del own, order
-    cuts = [*range(0, clean, TEXTS_AT_ONCE), *range(clean, n, TEXTS_AT_ONCE), n]
-    for low in range(0, m, TERMS_AT_ONCE):
-        high = min(low + TERMS_AT_ONCE, m)
-        both = np.zeros((2, high - low, m - low), dtype=np.float32)      # by label; pairs with earlier terms are done
-        for begin, end in zip(cuts, cuts[1:]):
-            some = slice(*np.searchsorted(at, [begin, end]))
-            x = np.zeros((end - begin, m), dtype=np.float32)
-            x[at[some] - begin, col[some]] = 1
-            both[int(begin >= clean)] += x[:, low:high].T @ x[:, low:]
-        for i in range(low, high):
-            n11, n10 = both[1, i - low].astype(float), both[0, i - low].astype(float)
-            met = n11 + n10
-            j = low + np.flatnonzero(((n11 >= least1) | (n10 >= least0)) & (met < k[i]) & (met < k[low:]))
-            n11, met = n11[j - low], met[j - low]
-            z = [np.abs(_z(n11, met, r, o)) for r, o in ((rate, n), (k1[i] / k[i], k[i]), (k1[j] / k[j], k[j]))]
-            j = j[np.minimum.reduce(z) >= PAIR_Z]
-            hit[j] = True
-            hit[i] |= len(j) > 0
-    return able[hit]
-
-
-def model_terms(row: np.ndarray, term: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed terms, rising, that make the model: frequent, telling alone, or one of a telling pair; and which tell."""
-    n, n1 = len(label), label.sum()
-    if n1 == 0 or n1 == n:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
-    k, k1 = _counts(row, term, label)
-    both = k / n
-    z = (k1 / n1 - (k - k1) / (n - n1)) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / (n - n1)) + 1e-18)
-    telling = np.union1d(np.flatnonzero((k >= MIN_DOCS) & (np.abs(z) >= MIN_Z)), telling_pairs(row, term, label))
-    terms = np.union1d(telling, np.flatnonzero((k >= MIN_DOCS) & (k >= FREQUENT * n)))
-    return terms, np.isin(terms, telling)
+#: Factors that correct what the weights leave, and factors that may carry the whole answer.
+GENTLE = Setting(0.02, 0.02, 3e-3, 1e-2, 1.0, False, 3, 100)
+FIRM = Setting(0.05, 0.02, 1e-3, 1e-3, np.inf, True, 8, 300)
 
 
 def _batches(row: np.ndarray, term: np.ndarray, n: int, batch: int, rng: np.random.Generator) -> list[tuple[np.ndarray, ...]]:
@@ -198,50 +149,94 @@ def _batches(row: np.ndarray, term: np.ndarray, n: int, batch: int, rng: np.rand
     return out
 
 
-def fit_fm(row: np.ndarray, term: np.ndarray, label: np.ndarray, terms: np.ndarray, epochs: int = 30, batch: int = 256,
-           rate: float = 0.02, decay: float = 1e-5, positive: float = 5.0, seed: int = 7, own_rate: np.ndarray | None = None) -> FM:
-    """Logistic loss with sparse Adam on mini-batches of the rows; (row, term index) pairs list the terms present.
+def fit_fm(row: np.ndarray, term: np.ndarray, label: np.ndarray, terms: np.ndarray, how: Setting = GENTLE, epochs: int = 12,
+           batch: int = 256, rate: float = 1.0, l1: float = 40.0, positive: float = 4.0, seed: int = 7) -> FM:
+    """Logistic loss on mini-batches of the rows; (row, index into terms) pairs, rows rising, list the terms present.
 
-    A step moves the parameters of the batch's own terms only, and shrinks them by ``rate * decay``; ``own_rate`` is a factor
-    on ``rate`` for each term. There are MIN_STEPS steps at least. A positive row counts ``positive`` times: positives are the rare class, and most of them show several
-    terms, which would leave the weight of each alone too small.
+    First the weights, by FTRL (``rate``, ``l1``), then the factors, by Adam with ``how``; the weights in MIN_STEPS steps at least.
+    A row of the rarer positive class counts up to ``positive`` times.
     """
     rng, n, m = np.random.default_rng(seed), len(label), len(terms)
     share = min(max(label.mean() if n else 0.0, 1e-9), 1 - 1e-9)
     if n == 0 or m == 0 or label.min() == label.max():
         return FM(float(np.log(share / (1 - share))), terms, np.zeros(m), np.zeros((m, FACTORS)))
-    # one matrix holds weights and factors, a column a term, so that Adam has one state
-    p = np.concatenate([np.zeros((1, m)), rng.normal(0, 0.05, (FACTORS, m))]).astype(np.float32)
-    bias, mom, var, bm, bv, step = float(np.log(share / (1 - share))), np.zeros_like(p), np.zeros_like(p), 0.0, 0.0, 0
+    often = np.minimum(1.0, np.bincount(term, minlength=m) / (FULL_RATE * n)).astype(np.float32)
+    p = rng.normal(0, how.start, (FACTORS, m)).astype(np.float32) * often
+    mom, var, w, z, seen = np.zeros_like(p), np.zeros_like(p), np.zeros(m), np.zeros(m), np.zeros(m)
+    bias, bias_seen, count = float(np.log(share / (1 - share))), 0.0, np.where(label > 0, max(1.0, min(positive, (1 - share) / share)), 1.0)
     dealt = _batches(row, term, n, batch, rng)
-    for _ in range(max(epochs, -(-MIN_STEPS // len(dealt)))):
+    first_part = max(epochs, -(-MIN_STEPS // len(dealt)))
+    for epoch in range(first_part + max(how.epochs, -(-how.steps // len(dealt)))):
+        pairs = epoch >= first_part
         for at in rng.permutation(len(dealt)):
             pick, some, t, start, of, distinct, first = dealt[at]
-            s, raw = np.zeros((1 + FACTORS, len(pick)), dtype=np.float32), np.full(len(pick), bias)
-            if len(t):
-                own = p[:, t]
-                s[:, some] = np.add.reduceat(own, start, axis=1)
-                raw[some] -= 0.5 * np.add.reduceat((own[1:] ** 2).sum(0), start)
-            raw += s[0] + 0.5 * (s[1:] ** 2).sum(0)
-            err = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - label[pick]) * np.where(label[pick] > 0, positive, 1.0) / len(pick)
-            step += 1
-            a, b = 1 - 0.9 ** step, 1 - 0.999 ** step
-            bm, bv = 0.9 * bm + 0.1 * err.sum(), 0.999 * bv + 0.001 * err.sum() ** 2
-            bias -= rate * (bm / a) / (np.sqrt(bv / b) + 1e-8)
+            s, raw = np.zeros((FACTORS, len(pick)), dtype=np.float32), np.full(len(pick), bias)
             if len(t):
-                s[0] = 1
-                grad = np.add.reduceat((s * err.astype(np.float32))[:, of], first, axis=1)
+                raw[some] += np.add.reduceat(w[t], start)
+                if pairs:
+                    own = p[:, t]
+                    s[:, some] = np.add.reduceat(own, start, axis=1)
+                    raw[some] += 0.5 * ((s[:, some] ** 2).sum(0) - np.add.reduceat((own ** 2).sum(0), start))
+            err = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - label[pick]) * count[pick]
+            bias_seen += err.sum() ** 2
+            bias -= rate * 0.3 * err.sum() / (1 + np.sqrt(bias_seen))
+            if not len(t):
+                continue
+            grad = np.add.reduceat(err[of], first)
+            if not pairs or how.weights_move:
+                now = seen[distinct] + grad ** 2
+                z[distinct] += grad - (np.sqrt(now) - np.sqrt(seen[distinct])) / rate * w[distinct]
+                seen[distinct] = now
+                over = np.abs(z[distinct]) - l1
+                w[distinct] = np.where(over > 0, -np.sign(z[distinct]) * over * rate / (1 + np.sqrt(now)), 0.0)
+            if pairs:
                 now = p[:, distinct]
-                grad[1:] -= grad[0] * now[1:]
-                m1 = mom[:, distinct] = 0.9 * mom[:, distinct] + 0.1 * grad
-                m2 = var[:, distinct] = 0.999 * var[:, distinct] + 0.001 * grad ** 2
-                r = rate if own_rate is None else rate * own_rate[distinct]
-                p[:, distinct] = now * (1 - r * decay) - r * (m1 / a) / (np.sqrt(m2 / b) + 1e-8)
-    return FM(bias, terms, p[0].astype(float), p[1:].T.astype(float))
+                g = np.add.reduceat((np.clip(s, -how.bound, how.bound) * err.astype(np.float32))[:, of], first, axis=1)
+                g = (g - grad.astype(np.float32) * np.clip(now, -how.bound, how.bound)) / np.float32(len(pick))
+                m1 = mom[:, distinct] = 0.9 * mom[:, distinct] + 0.1 * g
+                m2 = var[:, distinct] = 0.99 * var[:, distinct] + 0.01 * g ** 2
+                p[:, distinct] = now * (1 - how.decay) - how.rate * often[distinct] * m1 / (np.sqrt(m2) + how.scale)
+    return FM(bias, terms, w, p.T.astype(float))
+
+
+def _fit(sets: list[np.ndarray], label: np.ndarray, how: Setting) -> FM:
+    """The model over every term of ``sets`` that MIN_DOCS of them hold."""
+    texts = np.zeros(1 << HASH_BITS, dtype=np.int32)
+    for x in sets:
+        texts[x] += 1
+    terms = np.flatnonzero(texts >= MIN_DOCS)
+    number = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+    number[terms] = np.arange(len(terms), dtype=np.int32)
+    own = [(i := number[x])[i >= 0] for x in sets]
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in own])
+    return fit_fm(row, np.concatenate([np.zeros(0, dtype=np.int32), *own]), label, terms, how)
+
+
+def choose(sets: list[np.ndarray], label: np.ndarray) -> Setting:
+    """The setting with the lesser loss on every fifth of the first texts, fitted on the others; these have CHOOSE_TERMS terms in all.
+
+    FIRM is not tried where GENTLE has learned well: where it leaves less than WELL_LEARNED of the loss without any terms.
+    """
+    first = int(np.searchsorted(np.cumsum([len(x) for x in sets]), CHOOSE_TERMS, side="right"))
+    sets, label = sets[:first], label[:first]
+    held = np.arange(len(label)) % 5 == 0
+    if len({*label[held]}) < 2 or len({*label[~held]}) < 2:
+        return GENTLE
+    share, loss = label[held].mean(), []
+    for how in (GENTLE, FIRM):
+        if loss and loss[0] < -WELL_LEARNED * (share * np.log(share) + (1 - share) * np.log(1 - share)):
+            return GENTLE
+        model = _fit([x for x, h in zip(sets, held) if not h], label[~held], how)
+        index = np.full(1 << HASH_BITS, -1, dtype=np.int32)
+        index[model.terms] = np.arange(len(model.terms), dtype=np.int32)
+        own = [(i := index[x])[i >= 0] for x, h in zip(sets, held) if h]
+        raw = model.raw(np.repeat(np.arange(len(own)), [len(x) for x in own]), np.concatenate(own), len(own))
+        loss.append(np.logaddexp(0, np.where(label[held] > 0, -raw, raw)).mean())
+    return GENTLE if loss[0] <= loss[1] else FIRM
 
 
 def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", max_train: int = 20_000) -> FM:
+          label_col: str = "toxic", max_train: int = 20_000, max_terms: int = 30_000_000) -> FM:
     """Fit on the labelled documents for which ``chosen`` (over column doc_id of ``labels``) holds, at most ``max_train``."""
     marked = labels.select(F.col(id_col).alias("doc_id"), (F.col(label_col) > 0).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
     marked = marked.filter(chosen if chosen is not None else F.lit(True)).groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -251,20 +246,35 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_c
     def hashed_terms(texts: pd.Series) -> pd.Series:
         return pd.Series([sorted({x for w in _words(t) for x in _terms(w)}) for t in texts])
 
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        label, sets, held = [], [], 0
+        for batch in batches:
+            for y, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held += len(x.values)
+                if held > max_terms:
+                    break
+                label.append(float(y))
+                sets.append(x.values.to_numpy(zero_copy_only=False).astype(np.int32))
+        label = np.array(label)
+        model = _fit(sets, label, choose(sets, label))
+        rows = np.column_stack([model.weight, model.factor]).astype(np.float32)
+        rows = np.concatenate([np.full((1, 1 + FACTORS), model.bias, dtype=np.float32), rows])
+        names = np.concatenate([[-1], model.terms]).astype(np.int32)
+        for at in range(0, len(rows), 10_000):
+            flat, k = pa.array(rows[at:at + 10_000].ravel()), len(rows[at:at + 10_000])
+            yield pa.RecordBatch.from_arrays([pa.array(names[at:at + k]), pa.ListArray.from_arrays(np.arange(0, (k + 1) * (1 + FACTORS), 1 + FACTORS, dtype=np.int32), flat)],
+                                             ["term", "p"])
+
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(bounded), "doc_id")
     sets = stage(texts.groupBy(F.xxhash64("text").alias("key")).agg(F.max(F.struct("y", "text")).alias("t"))
-                 .select("t.y", hashed_terms("t.text").alias("terms")), "toxicity_train")
-    got = sets.toPandas()
-    label, each = got["y"].to_numpy(dtype=float), [np.asarray(x, dtype=np.int32) for x in got.pop("terms")]
-    row = np.repeat(np.arange(len(each), dtype=np.int32), [len(x) for x in each])
-    term = np.concatenate([np.zeros(0, dtype=np.int32), *each])
-    del each, got
-    terms, telling = model_terms(row, term, label)
-    number = np.full(1 << HASH_BITS, -1, dtype=np.int32)
-    number[terms] = np.arange(len(terms))
-    own = number[term] >= 0
-    row, term = row[own], number[term[own]]
-    return fit_fm(row, term, label, terms, own_rate=np.where(telling, 1.0, FREQUENT_RATE).astype(np.float32))
+                 .select("key", "t.y", hashed_terms("t.text").alias("terms")), "toxicity_train")
+    # one task, of at most max_train texts and max_terms terms
+    fitted = stage(sets.repartition(1).sortWithinPartitions("key").select("y", "terms").mapInArrow(fit, "term int, p array<float>"), "toxicity_model")
+    got = fitted.orderBy("term").toPandas()
+    if got.empty:
+        return fit_fm(*[np.zeros(0, dtype=np.int32)] * 2, np.zeros(0), np.zeros(0, dtype=np.int32))
+    p = np.stack(got["p"]).astype(float)
+    return FM(float(p[0, 0]), got["term"].to_numpy()[1:], p[1:, 0], p[1:, 1:])
 
 
 def score(text: Column, model: FM) -> Column:

@@ -84,35 +84,37 @@ def brute_padding(lengths, buckets):
     return best
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(9))
 def test_best_boundaries(seed):
     rng = random.Random(seed)
-    lengths = [rng.randrange(14) * rng.randrange(1, 4) for _ in range(60)]
+    lengths = [rng.randrange(14) * rng.randrange(1, 4) for _ in range(60)] if seed < 4 else [rng.choice([257, 300, 301, 302, *rng.sample(range(257, 5001), 6)]) for _ in range(60)]
     c = Counter(lengths)
-    values = np.array(sorted(c))
-    n = np.array([c[v] for v in values])
+    values = sorted(c)
     for k in (1, 2, 3, 4):
-        bounds = packing.best_boundaries(n, n * values, values, k)
+        bounds = packing.best_boundaries(values, [c[v] for v in values], k)
         assert bounds[-1] == max(lengths) and len(bounds) <= k
         assert sum(next(b for b in bounds if b >= x) - x for x in lengths) == brute_padding(lengths, k)
 
 
-def test_cells(spark):
-    values = [*range(0, 3000), 4095, 4096, 10 ** 6, 10 ** 9, 2 ** 40 - 1, 2 ** 40]
-    got = {r.n: r.cell for r in spark.createDataFrame([(v,) for v in values], "n long").select("n", packing.cell_of(F.col("n")).alias("cell")).collect()}
-    cells = [got[v] for v in values]
-    assert cells == sorted(cells) and cells[:256] == list(range(256))
-    low = {}
-    for v in range(3000):
-        low.setdefault(got[v], v)
-        assert (v - low[got[v]]) * 128 <= max(v, 128)
+def test_boundaries_of_long_lengths_are_exact():
+    assert packing.best_boundaries([300, 301], [1000, 10], 2) == [300, 301]
+    lengths = list(range(257, 4000, 3))
+    rng = random.Random(1)
+    counts = [rng.randrange(1, 50) for _ in lengths]
+    # plain dynamic programme over all cuts
+    c, t = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(np.array(lengths) * counts)])
+    best = np.where(np.arange(len(c)) == 0, 0.0, np.inf)
+    for _ in range(6):
+        best = np.array([0.0] + [min(best[:j] + lengths[j - 1] * (c[j] - c[:j]) - (t[j] - t[:j])) for j in range(1, len(c))])
+    bounds = packing.best_boundaries(lengths, counts, 6)
+    assert len(bounds) == 6 and sum((next(b for b in bounds if b >= x) - x) * k for x, k in zip(lengths, counts)) == best[-1]
 
 
 def check_packed(rows, got, budget, n):
     assert Counter(r.doc_id for r in got) == Counter(i for i, _, _ in rows)
     batches = defaultdict(list)
     for r in got:
-        assert r.n_tokens <= r.bucket_max
+        assert r.n_words <= r.bucket_max
         batches[r.batch_id].append(r)
     assert sorted(batches) == list(range(len(batches)))
     open_batches = Counter()
@@ -132,9 +134,9 @@ def test_packing(spark, monkeypatch, tmp_path):
     got = packing.pack(docs, packing.word_count(F.col("text")), 100, 5).collect()
     check_packed(rows, got, 100, 5)
     words = {i: len((t or "").split()) for i, t, _ in rows if i not in (7, 8, 9, 10)}
-    assert all(r.n_tokens == words[r.doc_id] for r in got if r.doc_id in words)
-    lengths = [r.n_tokens for r in got]
-    assert sum(r.bucket_max - r.n_tokens for r in got) == brute_padding([x for x in lengths], 5)
+    assert all(r.n_words == words[r.doc_id] for r in got if r.doc_id in words)
+    lengths = [r.n_words for r in got]
+    assert sum(r.bucket_max - r.n_words for r in got) == brute_padding([x for x in lengths], 5)
     assert packing.pack(docs.limit(0), packing.word_count(F.col("text"))).count() == 0
     # batches fill in the order of the files
     docs.filter("doc_id IS NOT NULL").repartitionByRange(4, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id")).write.parquet(str(tmp_path / "d"))
@@ -145,6 +147,19 @@ def test_packing(spark, monkeypatch, tmp_path):
         assert ids == sorted(ids, reverse=True)
 
 
+def test_packing_keeps_an_order_beside_clashing_and_odd_columns(spark, tmp_path):
+    rows = spark.range(40).selectExpr("40 - id AS doc_id", "repeat('w ', int(id % 3) + 1) AS text", "'mine' AS _metadata", "map('a', id) AS m", "parse_json('{}') AS v")
+    rows.repartitionByRange(3, F.desc("doc_id")).sortWithinPartitions(F.desc("doc_id")).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    words = packing.word_count(F.col("text"))
+    for docs in (read, spark.createDataFrame(read.select("doc_id", "text").orderBy(F.desc("doc_id")).collect())):
+        got = packing.pack(docs, words, 6, 1, keep_file_order=True).collect()
+        assert [r.doc_id for r in sorted(got, key=lambda r: (r.batch_id, r.position))] == list(range(40, 0, -1))
+    assert packing.pack(read, words, 6, 2).count() == 40
+    weights = mixing.source_weights(read, F.length("text"), "_metadata")
+    assert mixing.in_mix_order(read, F.length("text"), weights, source_col="_metadata").count() == 40
+
+
 def brute_table(shards, size):
     orders = []
     for s in shards:

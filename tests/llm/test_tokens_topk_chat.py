@@ -27,7 +27,8 @@ def test_token_counts(spark, block):
 @pytest.mark.parametrize("eod", [50256, 100000])
 def test_scan_of_plain_files(spark, tmp_path, eod):
     """Files made elsewhere: no separator at all, a tail without one, only separators, empty."""
-    kind = "<u2" if eod < 65536 else "<u4"
+    width = 2 if eod < 65536 else 4
+    kind = f"<u{width}"
     files = {"a": [1, 2, 3], "b": [eod, 5, eod, 6, 7], "c": [eod] * 5, "d": [], "e": [1, eod]}
     for name, ids in files.items():
         np.array(ids, dtype=kind).tofile(tmp_path / f"{name}.bin")
@@ -42,7 +43,7 @@ def test_scan_of_plain_files(spark, tmp_path, eod):
                 run += 1
         want += [(name, i, n) for i, n in enumerate(docs + [run] * (run > 0))]
     for block in (1, 2, 1000):
-        got = token_counts.scan(token_counts.token_files(spark, str(tmp_path), eod), eod, block).collect()
+        got = token_counts.scan(token_counts.token_files(spark, str(tmp_path), width), eod, block, width).collect()
         assert sorted((r.file[-5], r.ordinal, r.n_tokens) for r in got) == sorted(want)
 
 

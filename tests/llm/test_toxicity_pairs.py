@@ -3,63 +3,58 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from semjoin.llm import toxicity
 
 
-def balanced_corpus(seed, n, share, noise):
-    """Toxic exactly when one of insult and group is found without the other; each is found in ``share`` of both classes."""
+def letters(n):
+    return "".join(chr(97 + int(c)) for c in str(n))
+
+
+def rare_pairs(seed, n, kinds, noise):
+    """Toxic exactly when an insult and a group both occur or both don't; ``kinds`` words of each, so that a pair is rare."""
     rng, docs = random.Random(seed), []
     for i in range(n):
-        insult, group = i % 4 in (1, 3), i % 4 in (2, 3)
-        words = [f"w{rng.randrange(noise)}x" for _ in range(rng.choice([8, 30]))]
-        words = ["".join(chr(97 + int(c)) if c.isdigit() else c for c in w) for w in words]
-        if i < share * n:
-            words += ["fool"] * insult + ["northers"] * group
-        docs.append((i, " ".join(words), int(i < share * n and insult != group)))
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"x{letters(rng.randrange(noise))}" for _ in range(rng.choice([8, 30]))]
+        words += [f"i{letters(rng.randrange(kinds))}"] * insult + [f"g{letters(rng.randrange(kinds))}"] * group
+        rng.shuffle(words)
+        docs.append((i, " ".join(words), int(insult == group)))
     return docs
 
 
-def test_terms_that_tell_nothing_alone(spark):
-    docs = balanced_corpus(4, 1600, 1.0, 60)
+@pytest.mark.parametrize("n,kinds", [(1600, 1), (16000, 30)])
+def test_terms_that_tell_nothing_alone(spark, n, kinds):
+    docs = rare_pairs(4, n, kinds, 60)
     y = {i: t for i, _, t in docs}
     frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
     model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), F.col("doc_id") % 16 < 12)
-    assert {toxicity._hashed("fool"), toxicity._hashed("northers")} <= set(model.terms.tolist())
     held = frame.filter("doc_id % 16 >= 12").select("doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()
-    assert len(held) == 400 and np.mean([(r.s >= 0.5) == y[r.doc_id] for r in held]) > 0.95
+    assert len(held) == n // 4 and np.mean([(r.s >= 0.5) == y[r.doc_id] for r in held]) > 0.95
+
 
+def sets_of(docs):
+    return [np.array(sorted({x for w in toxicity._words(t) for x in toxicity._terms(w)}), dtype=np.int32) for _, t, _ in docs], np.array([float(y) for _, _, y in docs])
 
-def brute_pairs(sets, label):
-    n, n1, out = len(label), sum(label), set()
-    rate = n1 / n
-    words = sorted({w for s in sets for w in s})
-    has = {w: {i for i, s in enumerate(sets) if w in s} for w in words}
-    toxic = {i for i, t in enumerate(label) if t}
-    z = lambda k1, k, r, of: abs(k1 - k * r) / np.sqrt(k * r * (1 - r) * (1 - k / of) + 1e-9)
-    for a in words:
-        for b in words:
-            both = has[a] & has[b]
-            k, k1 = len(both), len(both & toxic)
-            if a < b and k < len(has[a]) and k < len(has[b]) and (k1 >= 20 or k - k1 >= 20):
-                own = [(rate, n)] + [(len(has[w] & toxic) / len(has[w]), len(has[w])) for w in (a, b)]
-                if min(z(k1, k, r, of) for r, of in own) >= toxicity.PAIR_Z:
-                    out |= {a, b}
-    return sorted(out)
 
+def test_factors_move_freely_only_where_they_are_needed():
+    assert toxicity.choose(*sets_of(rare_pairs(5, 4000, 5, 60))) is toxicity.FIRM
+    rng = random.Random(6)
+    plain = [(i, " ".join(f"x{letters(rng.randrange(3000))}" for _ in range(200)) + " scum" * (i % 10 == 0), int(i % 10 == 0)) for i in range(2000)]
+    sets, label = sets_of(plain)
+    assert toxicity.choose(sets, label) is toxicity.GENTLE
+    model = toxicity._fit(sets, label, toxicity.GENTLE)
+    got = model.scores([t for _, t, _ in plain]) >= 0.5
+    assert (got == (label > 0)).all()
+    # the telling term stands out from the thousands of others, most of which stay at zero
+    own = int(np.searchsorted(model.terms, toxicity._hashed("scum")))
+    assert model.weight[own] > 2 * np.abs(np.delete(model.weight, own)).max() and (model.weight != 0).mean() < 0.5
 
-def test_telling_pairs_against_all_pairs(monkeypatch):
-    monkeypatch.setattr(toxicity, "TERMS_AT_ONCE", 5)
-    monkeypatch.setattr(toxicity, "TEXTS_AT_ONCE", 37)
-    found = 0
-    for seed in range(4):
-        rng = np.random.default_rng(seed)
-        sets = [set(np.flatnonzero(rng.random(18) < rng.choice([0.1, 0.5])).tolist()) for _ in range(700)]
-        label = np.array([float((3 in s and 8 in s) or (seed % 2 and (5 in s) != (12 in s)) or rng.random() < 0.05) for s in sets])
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        term = np.array([w for s in sets for w in sorted(s)])
-        got = toxicity.telling_pairs(row, term, label).tolist()
-        assert got == brute_pairs(sets, label)
-        found += len(got)
-    assert found >= 6
+
+def test_sample_is_bounded_by_terms(spark):
+    docs = rare_pairs(7, 400, 2, 60)
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    small = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), max_terms=500)
+    assert 0 < len(small.terms) < 70
