@@ -14,10 +14,14 @@ best similarity is below the threshold.
   hashing keys, a block of left rows meets a block of catalogue rows through a
   co-grouped shuffle (equi-key ``list_id, salt, block``), each group emits only
   its per-left-row best, and ``max_by`` with partial aggregation merges blocks.
-* ``ivf`` (opt-in, approximate like an inverted-list index): k-means lists
-  over the active catalogue; each left row probes its ``nprobe`` closest lists
-  and the blocked kernel runs inside those lists only. ``nprobe == nlist`` is
-  exact.
+* ``ivf`` (opt-in, an inverted-list index): k-means lists over the active
+  catalogue, each with its radius (the largest angle of a member to the
+  centroid). A left row at angle a to a centroid can find nothing better there
+  than cos(a - radius), so lists are visited in the order of this bound,
+  ``nprobe`` at first and PROBE_GROWTH times as many in each further round,
+  until no unvisited list can reach the best found: the answer is exact, and
+  rows near their match leave early. ``rounds`` stops after so many, which
+  makes the search approximate.
 
 Similarities are computed in double from the stored float vectors. Ties are
 decided on the similarity rounded to ``TIE_DECIMALS`` so that BLAS summation
@@ -45,10 +49,13 @@ from semjoin.operators.partitioning import materialize_python
 from semjoin.session import ensure_checkpoint_dir
 
 # Fixed values matching the matcher's defaults: threshold, and the inverted-list index
-# (200 lists, one list probed unless asked otherwise).
+# (200 lists).
 DEFAULT_THRESHOLD = 0.5
 DEFAULT_NLIST = 200
-DEFAULT_NPROBE = 1
+# Ours: lists that a row visits in the first round, the growth from round to round, and the slack of a list's bound.
+DEFAULT_NPROBE = 8
+PROBE_GROWTH = 4
+BOUND_SLACK = 1e-6
 TIE_DECIMALS = 12
 
 # Operational bounds (ours).
@@ -290,22 +297,23 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
             strategy: str = "auto", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
             nlist: int = DEFAULT_NLIST, nprobe: int = DEFAULT_NPROBE, seed: int = 7,
             block_rows: int = BLOCK_ROWS, cat_block_rows: int | None = None,
-            prepared: PreparedCatalogue | None = None) -> DataFrame:
+            prepared: PreparedCatalogue | None = None, rounds: int | None = None) -> DataFrame:
     """``left`` plus ``matched_market_id`` (long) and ``match_score`` (double).
 
     ``threshold`` is inclusive and applied after top-1; ``None`` keeps every
     top-1. ``left`` needs no key: the strategies that join their result back
     number its rows themselves. ``prepared`` (from ``prepare_catalogue`` on this
-    same catalogue) reuses its size, broadcast matrix and inverted lists.
+    same catalogue) reuses its size, broadcast matrix and inverted lists. ``rounds``
+    bounds the rounds of ``ivf`` (None: until no list can hold a better match).
     """
     if prepared is not None and strategy in ("auto", "broadcast") and prepared.bc is not None:
         return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
     if strategy == "ivf":
         index = prepared.ivf if prepared is not None and prepared.ivf is not None else prepare_lists(
             catalogue, dim, nlist, seed, cat_id, cat_vector)
-        return _threshold(_nearest_ivf(left, index, dim, vector, nprobe, block_rows, cat_block_rows), threshold)
-    # the size check, the collect or co-group and the list sizes each read the catalogue
-    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+        return _threshold(_nearest_ivf(left, index, dim, vector, nprobe, block_rows, cat_block_rows, rounds), threshold)
+    # the size check, the collect or co-group and the list sizes each read the catalogue: it is written once
+    cat = _written(usable_catalogue(catalogue, dim, cat_id, cat_vector))
     if strategy in ("auto", "broadcast"):
         n = cat.count() if prepared is None else prepared.n_rows      # ids only, before anything is collected
         fits = catalogue_bytes(n, dim) <= max_broadcast_bytes
@@ -363,8 +371,8 @@ class PreparedCatalogue:
     micro-batch). ``release()`` removes the executor copies.
     """
 
-    def __init__(self, n_rows: int, text_bytes: int, bc=None, ivf=None):
-        self.n_rows, self.text_bytes, self.bc, self.ivf = n_rows, text_bytes, bc, ivf
+    def __init__(self, n_rows: int, text_bytes: int, bc=None, ivf=None, catalogue: DataFrame | None = None):
+        self.n_rows, self.text_bytes, self.bc, self.ivf, self.catalogue = n_rows, text_bytes, bc, ivf, catalogue
 
     def release(self) -> None:
         for bc in (self.bc, self.ivf.bc if self.ivf is not None else None):
@@ -377,20 +385,20 @@ def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int =
                       nlist: int = DEFAULT_NLIST, seed: int = 7) -> PreparedCatalogue:
     """Measure the usable catalogue; then broadcast it when it fits, or train its lists (``strategy="ivf"``).
 
-    The number of rows is counted first, so a catalogue over the budget is
-    never collected. Vectors that a Python step computes are written once to
-    the shared folder and read from there for both. The enrich text size is
+    The catalogue is computed once, into the shared folder (``.catalogue``, from which ``enrich`` can read the texts).
+    The number of rows is counted first, so a catalogue over the budget is never collected. The enrich text size is
     measured on slug and question alone.
     """
+    catalogue = _written(catalogue)
     if strategy == "ivf":
         index = prepare_lists(catalogue, dim, nlist, seed, cat_id, cat_vector)
-        return PreparedCatalogue(index.n_rows, _text_bytes(catalogue), None, index)
-    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+        return PreparedCatalogue(index.n_rows, _text_bytes(catalogue), None, index, catalogue)
+    cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
     n = cat.count()
     bc = None
     if 0 < n and catalogue_bytes(n, dim) <= max_broadcast_bytes:
         bc = _broadcast_matrix(catalogue.sparkSession, cat.toArrow(), dim)
-    return PreparedCatalogue(n, _text_bytes(catalogue), bc)
+    return PreparedCatalogue(n, _text_bytes(catalogue), bc, None, catalogue)
 
 
 def _text_bytes(catalogue: DataFrame) -> int:
@@ -490,15 +498,25 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     per_block = (ls.groupBy("list_id", "salt", "block")
                  .cogroup(cs.groupBy("list_id", "salt", "block"))
                  .applyInPandas(_block_kernel(dim), _BLOCK_OUT))
-    best = (per_block.groupBy("key")
-            .agg(F.max_by(F.struct("market_id", "similarity"),
-                          F.struct(F.round("similarity", TIE_DECIMALS), -F.col("market_id"))).alias("b")))
+    return _best_of(per_block)
+
+
+def _best_of(found: DataFrame) -> DataFrame:
+    """The best (market_id, similarity) of each key; partially aggregated before the shuffle."""
+    best = found.groupBy("key").agg(F.max_by(F.struct("market_id", "similarity"),
+                                             F.struct(F.round("similarity", TIE_DECIMALS), -F.col("market_id"))).alias("b"))
     return best.select("key", F.col("b.market_id").alias("market_id"), F.col("b.similarity").alias("similarity"))
 
 
 _ROW = "_match_row"
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder; what is made of it reads it from there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _numbered(left: DataFrame) -> DataFrame:
     """``left`` with a row number that is written with the rows, so every later pass reads the same one.
 
@@ -533,56 +551,83 @@ def train_lists(cat: DataFrame, nlist: int, seed: int = 7):
     return km.fit(feats)
 
 
-def _probe_udf(bc, nprobe: int, dim: int):
-    """Arrow UDF: the ``nprobe`` closest lists of each vector (ties: lower list id); NULL for unusable vectors."""
+def _probe_udf(bc, done: int, more: int, dim: int):
+    """Arrow UDF (vector, best so far): the lists number ``done`` to ``done + more`` by falling bound that can reach the best.
+
+    NULL for unusable vectors. Ties of the bound go to the lower list id.
+    """
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def probe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cents = bc.value.astype(np.float64)
-        cents /= np.maximum(np.linalg.norm(cents, axis=1, keepdims=True), 1e-300)
-        k = min(nprobe, cents.shape[0])
-        for vs in batches:
+    def probe(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        cents, radii = bc.value
+        for vs, best in batches:
             x, ok = _stack_arrow(vs, dim)
-            order = np.argsort(-(x @ cents.T), axis=1, kind="stable")[:, :k]
+            least = np.asarray(pc.fill_null(best.combine_chunks() if isinstance(best, pa.ChunkedArray) else best, -2.0)) - BOUND_SLACK
+            bound = np.cos(np.maximum(0.0, np.arccos(np.clip(x @ cents.T, -1.0, 1.0)) - radii[None, :]))
+            order = np.argsort(-bound, axis=1, kind="stable")[:, done:done + more]
+            can = (np.take_along_axis(bound, order, 1) >= least[:, None]) & ok[:, None]
             offsets = np.zeros(len(ok) + 1, dtype=np.int32)
-            offsets[1:] = np.cumsum(np.where(ok, k, 0))
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[ok].ravel().astype(np.int32)),
-                                           mask=pa.array(~ok))
+            offsets[1:] = np.cumsum(can.sum(axis=1))
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[can].astype(np.int32)), mask=pa.array(~ok))
     return probe
 
 
 class InvertedLists:
-    """Trained lists of one catalogue: broadcast centroids, and its rows (id, list_id, embedding) written once."""
+    """Trained lists of one catalogue: broadcast (unit centroids, radii), and its rows (id, list_id, embedding) written once."""
 
-    def __init__(self, rows: DataFrame | None, bc, n_rows: int):
-        self.rows, self.bc, self.n_rows = rows, bc, n_rows
+    def __init__(self, rows: DataFrame | None, bc, n_rows: int, n_lists: int):
+        self.rows, self.bc, self.n_rows, self.n_lists = rows, bc, n_rows, n_lists
+
+
+def _angle_udf(bc, dim: int):
+    @F.arrow_udf(T.DoubleType())
+    def angle(vs: pa.Array, lists: pa.Array) -> pa.Array:
+        x, _ = _stack_arrow(vs, dim)
+        return pa.array(np.arccos(np.clip((x * bc.value[lists.to_numpy(zero_copy_only=False)]).sum(axis=1), -1.0, 1.0)))
+    return angle
 
 
 def prepare_lists(catalogue: DataFrame, dim: int, nlist: int = DEFAULT_NLIST, seed: int = 7,
                   cat_id: str = "id", cat_vector: str = "embedding") -> InvertedLists:
-    """Train the inverted lists of a catalogue and assign its rows, once for any number of searches."""
-    cat = materialize_python(usable_catalogue(catalogue, dim, cat_id, cat_vector))
+    """Train the inverted lists of a catalogue, assign its rows and measure the lists, once for any number of searches."""
+    spark = catalogue.sparkSession
+    cat = _written(usable_catalogue(catalogue, dim, cat_id, cat_vector))
     n = cat.count()
     if n == 0:
-        return InvertedLists(None, None, 0)
+        return InvertedLists(None, None, 0, 0)
     model = train_lists(cat, max(1, min(nlist, n)), seed)            # no more lists than catalogue rows
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)   # nlist x dim, bounded by nlist
+    centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-300)
     from pyspark.ml.functions import array_to_vector
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
-    ensure_checkpoint_dir(catalogue.sparkSession)
-    rows = assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding").checkpoint(eager=True)
-    return InvertedLists(rows, catalogue.sparkSession.sparkContext.broadcast(centers), n)
-
-
-def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None):
+    rows = _written(assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding"))
+    held = spark.sparkContext.broadcast(centers)
+    angles = rows.groupBy("list_id").agg(F.max(_angle_udf(held, dim)("embedding", "list_id")).alias("radius")).collect()
+    radii = np.full(len(centers), -np.pi)                            # a list without rows bounds everything out
+    for r in angles:
+        radii[r.list_id] = r.radius
+    held.unpersist(blocking=False)
+    return InvertedLists(rows, spark.sparkContext.broadcast((centers, radii)), n, len(centers))
+
+
+def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None, rounds=None):
+    """Rounds over the lists: each visits, for every row that needs it, the next ones by their bound."""
     if not index.n_rows:
         return _no_match(left)
-    # an embedding in the left plan runs once; the list probing runs once on the narrow
-    # (key, list, vector) rows, which blocked_top1 materialises
+    # an embedding in the left plan runs once
     left = _numbered(left)
-    lk = (left.select(F.col(_ROW).alias("key"), F.col(vector).alias("embedding"))
-          .withColumn("list_id", F.explode(_probe_udf(index.bc, nprobe, dim)(F.col("embedding"))))
-          .select("key", "list_id", "embedding"))
-    return _join_back(left, blocked_top1(lk, index.rows, dim, block_rows, cat_block_rows))
+    lk = left.select(F.col(_ROW).alias("key"), F.col(vector).alias("embedding"))
+    best, done, more = None, 0, max(1, nprobe)
+    while done < index.n_lists and rounds != 0:
+        known = lk.withColumn("similarity", F.lit(None).cast("double")) if best is None else lk.join(best.select("key", "similarity"), "key")
+        probes = F.explode(_probe_udf(index.bc, done, more, dim)(F.col("embedding"), F.col("similarity")))
+        todo = _written(known.withColumn("list_id", probes).select("key", "list_id", "embedding"))
+        if todo.isEmpty():
+            break
+        found = blocked_top1(todo, index.rows, dim, block_rows, cat_block_rows)
+        best = _written(found if best is None else _best_of(best.unionByName(found)))
+        done, more = done + more, more * PROBE_GROWTH
+        rounds = None if rounds is None else rounds - 1
+    return _join_back(left, best) if best is not None else _no_match(left.drop(_ROW))
 
 
 # --------------------------------------------------------------------------- catalogue views
@@ -603,14 +648,6 @@ def match_catalogue(markets: DataFrame, market_embeddings: DataFrame) -> DataFra
     return market_vectors(active_markets(markets), market_embeddings)
 
 
-def catalogue_profile(catalogue: DataFrame, dim: int, cat_vector: str = "embedding") -> tuple[int, int]:
-    """One aggregate over the catalogue: (rows with a usable vector, bytes of the columns ``enrich`` joins)."""
-    r = catalogue.agg(F.count_if(usable_vector(F.col(cat_vector), dim)).alias("n"),
-                      F.coalesce(F.sum(F.octet_length("slug") + F.octet_length("question") + F.lit(32)),
-                                 F.lit(0)).alias("b")).first()
-    return int(r["n"]), int(r["b"])
-
-
 def enrich(matched: DataFrame, catalogue: DataFrame,
            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, text_bytes: int | None = None) -> DataFrame:
     """Attach slug and question of the matched market (left join keeps unmatched rows).

@@ -118,7 +118,9 @@ def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, thresho
     parsed = normalize_news(parse_news(raw, value_col))
     emb = embed_news(parsed, embedder)
     matched = M.nearest(emb, catalogue, dim=dim, threshold=threshold, prepared=prepared, **match_opts)
-    return store_status(M.enrich(matched, catalogue, text_bytes=prepared.text_bytes if prepared is not None else None))
+    if prepared is None:
+        return store_status(M.enrich(matched, catalogue))
+    return store_status(M.enrich(matched, prepared.catalogue, text_bytes=prepared.text_bytes))
 
 
 def status_counts(processed: DataFrame) -> DataFrame:

@@ -74,7 +74,7 @@ def _enriched(spark, sf):
     cat = _catalogue(spark, sf)
     ready = M.prepare_catalogue(cat, FX_DIM)
     m = M.nearest(X.fx_news(spark, sf), cat, dim=FX_DIM, threshold=FX_THRESHOLD, prepared=ready)
-    return M.enrich(m, cat, text_bytes=ready.text_bytes)
+    return M.enrich(m, ready.catalogue, text_bytes=ready.text_bytes)
 
 
 _SQL_ENRICH = _SQL_CAT + f""",
@@ -127,6 +127,25 @@ def q_match_ivf_full_probe(spark, sf):
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 
+@query("match_ivf", with_ctes("fx_markets", "fx_news") + _SQL_CAT + """
+SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
+FROM fx_news n LEFT JOIN top t USING (news_id)""")
+def q_match_ivf(spark, sf):
+    # the index's 200 lists, searched round by round until no list can hold a better match
+    m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=None, strategy="ivf")
+    return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
+
+
+@query("match_ivf_recall", "SELECT true AS enough")
+def q_match_ivf_recall(spark, sf):
+    # three rounds only (8 + 32 + 128 of 200 lists, less those that cannot help): the share of exact answers among them
+    news, cat = X.fx_news(spark, sf), _catalogue(spark, sf)
+    exact = M.nearest(news, cat, dim=FX_DIM, threshold=None).select("news_id", F.round("match_score", 9).alias("want"))
+    found = M.nearest(news, cat, dim=FX_DIM, threshold=None, strategy="ivf", rounds=3).select("news_id", F.round("match_score", 9).alias("got"))
+    hit = F.avg((F.col("want") <= F.col("got")).cast("double"))
+    return exact.join(found, "news_id").agg((F.coalesce(hit, F.lit(1.0)) >= 0.9).alias("enough"))
+
+
 @query("market_vectors", with_ctes("fx_markets") + """
 SELECT m.id, m.slug, m.is_resolved, len(me.embedding) AS dim
 FROM (SELECT id, slug, is_resolved FROM fx_markets) m

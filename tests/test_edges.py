@@ -248,7 +248,7 @@ def test_one_bad_market_spoils_nothing(spark, strategy, bad):
     cat = _cat(spark, [(1, [bad, 1.0, 0.0, 0.0]), (2, [1.0, 0.1, 0.0, 0.0]), (3, [0.0, 1.0, 0.0, 0.0])])
     got = {r.news_id: r.matched_market_id for r in M.nearest(news, cat, dim=DIM, threshold=None, strategy=strategy, nlist=2, nprobe=2).collect()}
     assert got == {0: 2, 1: 3, 2: None}
-    assert M.catalogue_profile(cat.selectExpr("*", "'s' AS slug", "'q' AS question"), DIM)[0] == 2
+    assert M.prepare_catalogue(cat.selectExpr("*", "'s' AS slug", "'q' AS question"), DIM).n_rows == 2
 
 
 @pytest.mark.parametrize("strategy", ["broadcast", "blocked", "ivf"])

@@ -76,6 +76,37 @@ def test_ivf_partial_probe_is_subset_quality(spark):
             assert sim <= want[k][1] + 1e-9
 
 
+def test_ivf_to_the_bound_is_exact_and_leaves_lists_out(spark, monkeypatch):
+    """Clustered vectors: every answer is the exact one, and most lists are never visited."""
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(40, DIM))
+    cat = np.concatenate([c + rng.normal(scale=0.05, size=(30, DIM)) for c in centres]).astype(np.float32)
+    news = np.concatenate([c + rng.normal(scale=0.05, size=(5, DIM)) for c in centres]).astype(np.float32)
+    ids = np.arange(len(cat))
+    c = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, cat)], "id long, embedding array<float>")
+    n = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(news)] + [(9999, None)], "news_id long, embedding array<float>")
+    visits, plain = [], M.blocked_top1
+
+    def counting(todo, *args):
+        visits.append(todo.count())
+        return plain(todo, *args)
+    monkeypatch.setattr(M, "blocked_top1", counting)
+    got = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=40, nprobe=1))
+    want = _brute(ids, cat, news)
+    assert {k: v[0] for k, v in got.items() if k != 9999} == {k: v[0] for k, v in want.items()} and got[9999][0] is None
+    assert visits[0] == len(news) and sum(visits) < 0.5 * 40 * len(news)
+    first = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=40, nprobe=1, rounds=1))
+    hit = np.mean([first[k][0] == want[k][0] for k in want])
+    assert hit >= 0.9
+
+
+def test_ivf_to_the_bound_on_scattered_vectors(spark):
+    n, c, ids, cat, news = _frames(spark, 9)
+    got = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=200))
+    want = _brute(ids, cat, news)
+    assert {k: got[k][0] for k in want} == {k: v[0] for k, v in want.items()}
+
+
 def test_auto_switches_to_blocked_beyond_budget(spark):
     n, c, ids, cat, news = _frames(spark, 5)
     small_budget = M.catalogue_bytes(10, DIM)
