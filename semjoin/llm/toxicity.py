@@ -270,10 +270,10 @@ def train(docs: DataFrame, labels: DataFrame, chosen: Column | None = None, id_c
                  .select("key", "t.y", hashed_terms("t.text").alias("terms")), "toxicity_train")
     # one task, of at most max_train texts and max_terms terms
     fitted = stage(sets.repartition(1).sortWithinPartitions("key").select("y", "terms").mapInArrow(fit, "term int, p array<float>"), "toxicity_model")
-    got = fitted.orderBy("term").toPandas()
-    if got.empty:
+    got = fitted.orderBy("term").toArrow()
+    if not got.num_rows:
         return fit_fm(*[np.zeros(0, dtype=np.int32)] * 2, np.zeros(0), np.zeros(0, dtype=np.int32))
-    p = np.stack(got["p"]).astype(float)
+    p = got["p"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(got.num_rows, 1 + FACTORS)
     return FM(float(p[0, 0]), got["term"].to_numpy()[1:], p[1:, 0], p[1:, 1:])
 
 
