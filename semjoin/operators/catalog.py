@@ -10,8 +10,10 @@ appearance, numbered without a global window (``semjoin.operators.ids``).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from semjoin.functions.jsonio import truthy_text, variant_bool
@@ -20,6 +22,8 @@ from semjoin.operators.partitioning import materialize_python
 
 # Fixed value: rows taken from one feed fetch.
 DEFAULT_FEED_LIMIT = 20
+# Ours: bytes of a feed document from which it is cut into its elements before it is parsed.
+BIG_DOCUMENT = 16 * 1024 * 1024
 # Ours: the tag written into ``source`` for rows this ingest creates.
 DEFAULT_SOURCE_TAG = "feed"
 
@@ -38,20 +42,97 @@ def feed_rows(docs: DataFrame, limit: int = DEFAULT_FEED_LIMIT, value_col: str =
     ``data`` (checked first) or ``markets``; anything else yields no rows. Adds
     ``pos`` (position in its document) and ``market`` (``map<string,variant>``;
     NULL when the element is not an object, which the ingest counts as an error).
+    Documents of any size are read; ``unreadable_documents`` gives those that are no feed documents.
     """
-    v = F.try_parse_json(F.col(value_col))
-    kind = F.schema_of_variant(v)
-    obj = F.try_variant_get(v, "$", "map<string,variant>")
-    arr = (F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-           .when(kind.startswith("OBJECT"),
-                 F.when(F.map_contains_key(obj, "data"), F.try_variant_get(v, "$.data", "array<variant>"))
-                  .otherwise(F.try_variant_get(v, "$.markets", "array<variant>"))))
+    arr = _feed_array(F.col(value_col))
     # cut the array before exploding it: a huge document never yields more than ``limit`` rows
     first = F.slice(F.coalesce(arr, F.array().cast("array<variant>")), 1, max(int(limit), 0))
     rows = docs.select("*", F.posexplode(first).alias("pos", "_m"))
     return rows.withColumn("market", F.try_variant_get(F.col("_m"), "$", "map<string,variant>")).drop("_m", value_col)
 
 
+def unreadable_documents(docs: DataFrame, value_col: str = "value") -> DataFrame:
+    """The documents that ``feed_rows`` takes no rows from because they are not JSON, are cut off, or hold no array of markets."""
+    return docs.where(_feed_array(F.col(value_col)).isNull())
+
+
+def _feed_array(value: Column) -> Column:
+    """The markets of a feed document as array<variant>; NULL when it is none.
+
+    A variant holds some 100 MB at most, so a document over BIG_DOCUMENT bytes is cut into the texts of its elements
+    first (``_cut_udf``), and each of these is parsed by itself.
+    """
+    big = F.octet_length(value) > F.lit(BIG_DOCUMENT)
+    v = F.try_parse_json(F.when(~big, value))
+    kind = F.schema_of_variant(v)
+    obj = F.try_variant_get(v, "$", "map<string,variant>")
+    whole = (F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+             .when(kind.startswith("OBJECT"),
+                   F.when(F.map_contains_key(obj, "data"), F.try_variant_get(v, "$.data", "array<variant>"))
+                    .otherwise(F.try_variant_get(v, "$.markets", "array<variant>"))))
+    cut = F.transform(_cut_udf()(F.when(big, value)), lambda x: F.try_parse_json(x))
+    return F.when(big, cut).otherwise(whole)
+
+
+# Strings (skipped whole) and the marks that give a JSON text its structure.
+_JSON_MARKS = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"|[\[\]{},:]', re.S)
+_CLOSED_BY = {"[": "]", "{": "}"}
+
+
+def _parts(text: str, begin: int = 0) -> tuple[list[tuple[int, int, int]], int] | None:
+    """The parts of the container that opens at ``begin``: (start, end, place of the first colon or -1), and where it ends.
+
+    A part is an element of an array or a member of an object. None when brackets do not match.
+    """
+    open_, out, start, colon = [], [], begin + 1, -1
+    for mark in _JSON_MARKS.finditer(text, begin):
+        c = mark.group()
+        if c in _CLOSED_BY:
+            open_.append(_CLOSED_BY[c])
+        elif c in ("]", "}"):
+            if not open_ or open_.pop() != c:
+                return None
+            if not open_:
+                if text[start:mark.start()].strip() or out:
+                    out.append((start, mark.start(), colon))
+                return out, mark.end()
+        elif len(open_) == 1 and c == ",":
+            out.append((start, mark.start(), colon))
+            start, colon = mark.end(), -1
+        elif len(open_) == 1 and c == ":" and colon < 0:
+            colon = mark.start()
+    return None
+
+
+def feed_elements(text: str) -> list[str] | None:
+    """The texts of a feed document's markets: of its array, or of that under ``data`` (first) or ``markets``; else None."""
+    begin = len(text) - len(text.lstrip())
+    if text[begin:begin + 1] not in _CLOSED_BY:
+        return None
+    found = _parts(text, begin)
+    if found is None or text[found[1]:].strip():
+        return None
+    parts = found[0]
+    if text[begin] == "{":
+        members = {}
+        for start, end, colon in parts:
+            key = text[start:colon].strip() if colon >= 0 else ""
+            if key in ('"data"', '"markets"'):
+                members.setdefault(key, colon + 1 + len(text[colon + 1:end]) - len(text[colon + 1:end].lstrip()))
+        at = members.get('"data"', members.get('"markets"'))
+        if at is None or text[at:at + 1] != "[":
+            return None
+        parts = _parts(text, at)[0]
+    return [text[start:end] for start, end, _ in parts]
+
+
+def _cut_udf():
+    @F.arrow_udf("array<string>")
+    def cut(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else feed_elements(v) for v in values.to_pylist()], pa.list_(pa.string()))
+    return cut
+
+
 def normalize_feed(rows: DataFrame, source_tag: str = DEFAULT_SOURCE_TAG) -> DataFrame:
     """Adds ``slug`` (truthy ``market_slug`` else ``slug``), ``question``, ``is_resolved``, ``source``.
 
@@ -147,14 +228,3 @@ def upsert_market_embeddings(current_vectors: DataFrame, markets: DataFrame, sta
     return j.select(F.col("market_id").alias("id"), "market_id",
                     F.coalesce("n_embedding", "embedding").alias("embedding"),
                     F.when(F.col("n_embedding").isNotNull(), now_c).otherwise(F.col("created_at")).alias("created_at"))
-
-
-def run_ingest(spark: SparkSession, docs: DataFrame, markets: DataFrame, vectors: DataFrame, embedder,
-               now: _dt.datetime, limit: int = DEFAULT_FEED_LIMIT, source_tag: str = DEFAULT_SOURCE_TAG,
-               order: list[str] | None = None):
-    """One ingest run: (new markets, new vectors, counters). Nothing is written here."""
-    # three consumers (both upserts, the counters): embed the feed once
-    staged = materialize_python(ingest_status(normalize_feed(feed_rows(docs, limit), source_tag), embedder))
-    new_markets = upsert_markets(markets, staged, now, order)
-    new_vectors = upsert_market_embeddings(vectors, new_markets, staged, now, order)
-    return new_markets, new_vectors, ingest_counters(staged)
