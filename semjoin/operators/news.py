@@ -7,7 +7,7 @@ columns and the two statuses the store and the publisher act on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from semjoin.functions.jsonio import drop_keys, parse_json_object, truthy_text
@@ -126,3 +126,19 @@ def process(raw: DataFrame, embedder, catalogue: DataFrame, *, dim: int, thresho
 def status_counts(processed: DataFrame) -> DataFrame:
     """Records per (``embedding_status``, ``db_status``): what a run did with its messages."""
     return processed.groupBy("embedding_status", "db_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Every pair of statuses a record can have, as (embedding_status, db_status).
+_STATUSES = [(e, d) for e in (EMBED_NO_TEXT, EMBED_FAILED, EMBED_SUCCESS) for d in (DB_MISSING, DB_NO_EMBEDDING, DB_BAD_DATE, DB_BAD_TIME, DB_SAVED)]
+
+
+def observed_statuses(processed: DataFrame) -> tuple[DataFrame, Observation]:
+    """``processed`` and an observation that counts its statuses in the pass that first reads it, without one of its own."""
+    seen = Observation()
+    counts = [F.count_if((F.col("embedding_status") == e) & (F.col("db_status") == d)).alias(f"s{i}") for i, (e, d) in enumerate(_STATUSES)]
+    return processed.observe(seen, *counts), seen
+
+
+def status_rows(seen: Observation) -> list[tuple[str, str, int]]:
+    """What ``status_counts`` gives, from an observation whose pass is over."""
+    return [(*pair, n) for i, pair in enumerate(_STATUSES) if (n := seen.get.get(f"s{i}") or 0)]

@@ -95,9 +95,11 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
                                       threshold=threshold, prepared=prepared, **match_opts)
             processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                S.append_news(processed, out_root, batch_id, now())
+                observed, seen = N.observed_statuses(processed)
+                S.append_news(observed, out_root, batch_id, now())       # the pass that also counts the statuses
                 publish(P.payloads(processed), batch_id)
-                S.write_batch(N.status_counts(processed), f"{out_root}/status_counts", batch_id)
+                counts = batch.sparkSession.createDataFrame(N.status_rows(seen), "embedding_status string, db_status string, n long")
+                S.write_batch(counts, f"{out_root}/status_counts", batch_id)
                 S.write_batch(N.bad_records(batch), f"{out_root}/bad_records", batch_id)
             finally:
                 processed.unpersist()
