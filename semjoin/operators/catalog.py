@@ -182,9 +182,18 @@ def _last_per_key(rows: DataFrame, key: str, order: list[str], cols: list[str])
             .select(key, "_last.*", "_first"))
 
 
-def upsert_markets(current: DataFrame, staged: DataFrame, now, order: list[str] | None = None) -> DataFrame:
+def highest_id(markets: DataFrame) -> int:
+    """The highest id given out, 0 in an empty table."""
+    return int(markets.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"])
+
+
+def upsert_markets(current: DataFrame, staged: DataFrame, now, order: list[str] | None = None,
+                   last_id: int | None = None) -> DataFrame:
     """New ``markets`` table state after applying the ``ok`` rows of a run, keyed on ``slug``.
 
+    ``current`` may be a part of the table that holds every slug of the run;
+    ``last_id`` is then the highest id given out so far.
+
     Existing slug: question, is_resolved and updated_at are replaced; id,
     source and created_at are kept. New slug: next id, created_at = updated_at = now.
     Within a run the last row of a slug wins.
@@ -207,8 +216,9 @@ def upsert_markets(current: DataFrame, staged: DataFrame, now, order: list[str]
     new = j.where(F.col("c.id").isNull()).select(
         F.col("n.slug").alias("slug"), F.col("n.question").alias("question"),
         F.col("n.is_resolved").alias("is_resolved"), F.col("n.source").alias("source"), F.col("n._first").alias("_first"))
-    base = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    numbered = with_dense_index(new.orderBy("_first"), "_idx", start=int(base) + 1)
+    if last_id is None:
+        last_id = highest_id(current)
+    numbered = with_dense_index(new.orderBy("_first"), "_idx", start=last_id + 1)
     inserted = numbered.select(F.col("_idx").cast("long").alias("id"), "source", "slug", "question", "is_resolved",
                                now_c.alias("created_at"), now_c.alias("updated_at"))
     return kept.unionByName(inserted)

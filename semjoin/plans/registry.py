@@ -849,18 +849,15 @@ from semjoin.streaming import ingest_job as INGEST  # noqa: E402
 
 @query("ingest_stream", with_ctes("fx_markets", "fx_feed") + _SQL_STAGED + " SELECT * FROM upserted")
 def q_ingest_stream(spark, sf):
-    """Feed snapshots landed as files, applied by the streaming refresh job onto version 0 of the tables."""
+    """Feed snapshots landed as files, applied by the streaming refresh job onto the stored tables."""
     root = shared_dir(spark, "catalogue")
-    TB.write_version(X.fx_market_rows(spark, sf).select(*C.MARKET_COLUMNS), f"{root}/markets", 0)
-    TB.write_version(X.fx_market_embeddings(spark, sf).select(F.col("market_id").alias("id"), "market_id",
-                                                               "embedding", "created_at"),
-                     f"{root}/market_embeddings", 0)
+    INGEST.create(X.fx_market_rows(spark, sf), X.fx_market_embeddings(spark, sf).withColumn("id", F.col("market_id")), root)
     inbox = f"{root}/inbox"
     FEED.write_feed(X.fx_feed_docs(spark, sf), inbox)
     q = INGEST.start(FEED.stream_feed(spark, inbox), root, f"{root}/checkpoint", embedder=_embedder(), limit=X.FEED_SNAPSHOT_ROWS,
                      now=lambda: FX_NOW)
     q.awaitTermination()
-    return TB.read_latest(spark, f"{root}/markets").select(*C.MARKET_COLUMNS)
+    return INGEST.read_markets(spark, root).select(*C.MARKET_COLUMNS)
 
 
 TICKS = 3

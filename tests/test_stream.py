@@ -44,37 +44,127 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     assert spark.read.parquet(f"{out}/news").groupBy("id").count().where("count > 1").count() == 0
 
 
-def test_catalogue_refresh_replay_rewrites_same_version(spark):
+def _stored_catalogue(spark, name, buckets=16):
     from pyspark.sql import functions as F
 
+    from semjoin.streaming import ingest_job as INGEST
+
+    root = shared_dir(spark, name)
+    INGEST.create(X.fx_market_rows(spark, SMALL), X.fx_market_embeddings(spark, SMALL).withColumn("id", F.col("market_id")),
+                  root, buckets)
+    return root
+
+
+def _files(root, table):
+    import glob
+    import os
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root.replace('file:', '')}/{table}/bucket=*/*.parquet")}
+
+
+def test_catalogue_refresh_is_the_whole_upsert_and_replays(spark):
     from semjoin.operators import catalog as C
     from semjoin.sources import feed as FEED
-    from semjoin.sources import tables as TB
     from semjoin.streaming import ingest_job as INGEST
 
-    root = shared_dir(spark, "test-ingest")
-    TB.write_version(X.fx_market_rows(spark, SMALL).select(*C.MARKET_COLUMNS), f"{root}/markets", 0)
-    TB.write_version(X.fx_market_embeddings(spark, SMALL).select(F.col("market_id").alias("id"), "market_id",
-                                                                 "embedding", "created_at"),
-                     f"{root}/market_embeddings", 0)
-    # a version that was written but never committed is invisible to readers
-    spark.range(1).write.mode("overwrite").parquet(f"{root}/markets/version=99")
-    assert TB.latest_version(spark, f"{root}/markets") == 0
-
+    root = _stored_catalogue(spark, "test-ingest")
     docs = X.fx_feed_docs(spark, SMALL)
     FEED.write_feed(docs, f"{root}/inbox")
-    kw = dict(embedder=R._embedder(), limit=X.FEED_SNAPSHOT_ROWS, now=lambda: dt.datetime(2024, 2, 1))
+    kw = dict(embedder=R._embedder(), limit=X.FEED_SNAPSHOT_ROWS, now=lambda: dt.datetime(2024, 2, 1), buckets=16)
     INGEST.start(FEED.stream_feed(spark, f"{root}/inbox"), root, f"{root}/ckpt", **kw).awaitTermination()
-    assert TB.latest_version(spark, f"{root}/markets") == 1
-    first = sorted(TB.read_latest(spark, f"{root}/markets").collect())
+    first, vectors = sorted(INGEST.read_markets(spark, root).collect()), sorted(INGEST.read_vectors(spark, root).collect())
+    staged = C.ingest_status(C.normalize_feed(C.feed_rows(docs, X.FEED_SNAPSHOT_ROWS)), R._embedder())
+    whole = C.upsert_markets(X.fx_market_rows(spark, SMALL), staged, dt.datetime(2024, 2, 1), ["snap", "pos"])
+    assert first == sorted(whole.select(*C.MARKET_COLUMNS).collect())
 
-    # replay batch 0 (as after a crash before the offset commit): it reads version 0 again and
-    # rewrites version 1 with the same rows
+    # replay batch 0 (as after a crash before the offset commit) by a new job: the same rows, ids and vectors
     writer = INGEST.make_batch_writer(root, **kw)
     writer(FEED.read_feed(spark, f"{root}/inbox"), 0)
-    again = sorted(TB.read_latest(spark, f"{root}/markets").collect())
-    cols = lambda rows: [(r.id, r.source, r.slug, r.question, r.is_resolved) for r in rows]
-    assert cols(first) == cols(again)
+    assert sorted(INGEST.read_markets(spark, root).collect()) == first
+    assert sorted(INGEST.read_vectors(spark, root).collect()) == vectors
+
+
+def _feed_of(spark, slugs, snap=1):
+    import json
+    doc = json.dumps([{"slug": s, "question": f"what of {s} now", "resolved": False} for s in slugs])
+    return spark.createDataFrame([(snap, doc)], "snap long, value string")
+
+
+def test_refresh_leaves_files_of_other_buckets_alone(spark):
+    from semjoin.sources import keyed as KT
+    from semjoin.streaming import ingest_job as INGEST
+
+    root = _stored_catalogue(spark, "test-touched")
+    before, vectors = _files(root, "markets"), _files(root, "market_embeddings")
+    held = {r.slug: r for r in INGEST.read_markets(spark, root).collect()}
+    old = sorted(s for s in held if s)[0]
+    write = INGEST.make_batch_writer(root, embedder=R._embedder(), buckets=16, now=lambda: dt.datetime(2024, 2, 1))
+    write(_feed_of(spark, [old, "brand-new"]), 0)
+    after = _files(root, "markets")
+    changed = {int(f.split("bucket=")[1].split("/")[0]) for f, _ in set(before.items()) ^ set(after.items())}
+    names = spark.createDataFrame([(old,), ("brand-new",)], "slug string")
+    assert changed == set(KT.touched(names, "slug", 16)) and len(changed) <= 2
+    assert len(set(vectors.items()) - set(_files(root, "market_embeddings").items())) <= 2
+    now = {r.slug: r for r in INGEST.read_markets(spark, root).collect()}
+    assert len(now) == len(held) + 1 and now["brand-new"].id == max(r.id for r in held.values()) + 1
+    assert now[old].id == held[old].id and now[old].question == f"what of {old} now"
+    assert all(now[s] == held[s] for s in held if s != old)
+    # the plan of a read of some buckets prunes the others
+    plan = INGEST.read_markets(spark, root, [3])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_refresh_that_broke_off_is_completed_by_its_replay(spark, monkeypatch):
+    import pytest
+
+    from semjoin.sources import keyed as KT
+    from semjoin.streaming import ingest_job as INGEST
+
+    root = _stored_catalogue(spark, "test-broken")
+    cat = INGEST.StoredCatalogue(spark, root, wait_seconds=1.0)
+    held = cat.version()
+    docs = _feed_of(spark, [f"new-{i}" for i in range(20)])
+    kw = dict(embedder=R._embedder(), buckets=16, now=lambda: dt.datetime(2024, 2, 1))
+    whole, calls = KT.replace, []
+
+    def breaks(df, path, key, only, buckets):
+        calls.append(path)
+        if len(calls) == 1:                       # half of the touched market buckets are swapped, then the job is lost
+            half = only[: len(only) // 2]
+            whole(df.where(KT.bucket_of(key, buckets).isin(half)), path, key, half, buckets)
+            raise RuntimeError("lost")
+        return whole(df, path, key, only, buckets)
+    monkeypatch.setattr(KT, "replace", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        INGEST.make_batch_writer(root, **kw)(docs, 0)
+    # readers keep what they hold and never load the half
+    assert KT.settled(spark, root) is None and cat.version() == held
+    with pytest.raises(TimeoutError):
+        cat.load()
+    INGEST.make_batch_writer(root, **kw)(docs, 0)
+    rows = INGEST.read_markets(spark, root).collect()
+    assert len({r.id for r in rows}) == len(rows) == len({r.slug for r in rows})
+    assert sum(r.slug.startswith("new-") for r in rows if r.slug) == 20
+    ids = {r.market_id for r in INGEST.read_vectors(spark, root).collect()}
+    assert {r.id for r in rows if r.slug and r.slug.startswith("new-")} <= ids
+    assert cat.version() not in (None, held) and cat.load().count() > 0
+
+
+def test_keyed_tables_start_empty_and_refuse_another_number_of_buckets(spark):
+    import pytest
+
+    from semjoin.sources import keyed as KT
+
+    path = f"{shared_dir(spark, 'test-keyed')}/t"
+    assert KT.read(spark, path, "k string, v long").count() == 0
+    rows = spark.range(50).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    KT.replace(rows, path, "k", KT.touched(rows, "k", 8), 8)
+    assert sorted(r.v for r in KT.read(spark, path, "k string, v long").collect()) == list(range(50))
+    KT.replace(rows.limit(0), path, "k", [], 8)
+    assert KT.read(spark, path, "k string, v long").count() == 50
+    part = KT.read(spark, path, "k string, v long", [0, 1])
+    with pytest.raises(Exception, match="was not made with 5 buckets"):
+        KT.replace(part, path, "k", [0], 5)
+    assert KT.read(spark, path, "k string, v long").count() == 50
 
 
 def test_buffer_replay_has_no_duplicates(spark):
@@ -188,28 +278,30 @@ def test_catalogue_held_per_version_matches_fresh_reads(spark):
     assert outs["held"][1] == 2           # one per catalogue version
 
 
-def test_stored_catalogue_loads_the_version_it_reported(spark):
+def test_stored_catalogue_loads_whole_finished_states(spark):
     from pyspark.sql import functions as F
 
-    from semjoin.operators import catalog as C
     from semjoin.operators import match as M
-    from semjoin.sources import tables as TB
+    from semjoin.sources import keyed as KT
     from semjoin.streaming import ingest_job as INGEST
 
-    root = shared_dir(spark, "test-stored-cat")
-    rows = X.fx_market_rows(spark, SMALL).select(*C.MARKET_COLUMNS)
-    vecs = X.fx_market_embeddings(spark, SMALL).select(F.col("market_id").alias("id"), "market_id", "embedding",
-                                                       "created_at")
-    TB.write_version(rows, f"{root}/markets", 0)
-    TB.write_version(vecs, f"{root}/market_embeddings", 0)
+    empty = INGEST.StoredCatalogue(spark, shared_dir(spark, "test-no-cat"))
+    assert empty.version() is None and empty.load().count() == 0
+    root = _stored_catalogue(spark, "test-stored-cat")
+    rows, vecs = X.fx_market_rows(spark, SMALL), X.fx_market_embeddings(spark, SMALL)
     cat = INGEST.StoredCatalogue(spark, root)
-    assert cat.version() == (0, 0)
-    want0 = M.match_catalogue(rows, vecs).count()
-    # a commit lands between version() and load(): load() still reads what version() reported
-    TB.write_version(rows.where(F.col("id") % 2 == 0), f"{root}/markets", 1)
-    assert cat.load().count() == want0 > 0
-    assert cat.version() == (1, 0)
-    assert cat.load().count() == M.match_catalogue(rows.where(F.col("id") % 2 == 0), vecs).count() < want0
+    v0 = cat.version()
+    want = M.match_catalogue(rows, vecs).count()
+    held = cat.load()
+    assert held.count() == want > 0
+    # a refresh under way: the version stays, and what was loaded outlives the files it came from
+    attempt = KT.begin(spark, root, 5)
+    some = rows.where(F.col("id") % 2 == 0)
+    KT.create(INGEST._as(some, INGEST.MARKETS_SCHEMA), f"{root}/markets", "slug", 16)
+    assert cat.version() == v0 and held.count() == want
+    KT.finish(spark, root, attempt)
+    assert cat.version() == attempt != v0
+    assert cat.load().count() == M.match_catalogue(some, vecs).count() < want
 
     # end to end: the news job matches against the stored catalogue, held per version
     out = f"{root}/news-out"
