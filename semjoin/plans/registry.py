@@ -921,3 +921,41 @@ def q_buffer_stream(spark, sf):
     root = shared_dir(spark, "buffers")
     _deliver(spark, sf, root, lambda stream: BUF.start(stream, f"{root}/buffer", f"{root}/checkpoint", DELTA.BUFFER_SCHEMA))
     return TB.read_latest(spark, f"{root}/buffer").select("topic", "arrival", "time")
+
+
+# =========================================================================== topics kept as files
+
+from semjoin.sources import file_topics as FT  # noqa: E402
+
+
+def _halves(spark, sf):
+    arr = X.fx_arrivals(spark, sf).select("topic", "arrival", "time")
+    return arr.where(F.col("arrival") % 2 == 0), arr.where(F.col("arrival") % 2 == 1)
+
+
+@query("topic_latest", with_ctes("fx_arrivals") + " SELECT topic, arrival, time FROM fx_arrivals WHERE arrival % 2 = 1")
+def q_topic_latest(spark, sf):
+    """Half of the items published, a stream started at the topic's end, the other half published: what the stream got."""
+    root = shared_dir(spark, "topic")
+    publish, (first, second) = FT.publish_to_file_topic(f"{root}/topic"), _halves(spark, sf)
+
+    def tail():
+        stream = FT.read_file_topic_stream(spark, f"{root}/topic", DELTA.BUFFER_SCHEMA, starting="latest")
+        w = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        w.trigger(availableNow=True).start().awaitTermination()
+    publish(first, 0)
+    tail()
+    publish(second, 1)
+    tail()
+    return spark.read.schema(DELTA.BUFFER_SCHEMA).parquet(f"{root}/out")
+
+
+@query("publish_once", with_ctes("fx_arrivals") + " SELECT topic, arrival, time FROM fx_arrivals")
+def q_publish_once(spark, sf):
+    """Two batches published, each run again as after a lost job: the topic holds every item once."""
+    path = shared_dir(spark, "topic-once")
+    publish = FT.publish_to_file_topic(path)
+    for offset, half in enumerate(_halves(spark, sf)):
+        publish(half, offset)
+        publish(half, offset)
+    return FT.read_file_topic(spark, path, DELTA.BUFFER_SCHEMA)
