@@ -8,6 +8,8 @@ that local cosine is high, coordinates prune: of a query's largest coordinates e
 cosine allows. Where it is low, length prunes: vectors too short for the threshold are left out, and one matrix product
 covers the rest. Every remaining product is computed exactly, and the best k of all cells are merged.
 
+Queries that visit equally many buckets share blocks, and a bucket's vectors are copied only to the blocks that visit it.
+
 All bounds have slack for rounding and keep ties, so the result is exact: the highest integer products, ties to the
 smaller vec_id.
 
@@ -108,20 +110,41 @@ def search_cell(probes: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataF
     return pd.concat(out, ignore_index=True)
 
 
-def _search(probes: DataFrame, asked: DataFrame, cells: dict[int, int], blocks: int, k: int) -> DataFrame:
-    """Search every cell of the buckets in ``asked`` (queries with their bucket and theta): one task per cell and query block."""
+def _search(probes: DataFrame, asked: DataFrame, cells: dict[int, int], blocks: dict[int, int], k: int) -> DataFrame:
+    """Search the buckets in ``asked`` (queries with their bucket, block and theta): one task per cell and query block.
+
+    ``cells`` and ``blocks`` give a bucket's cells and the number of query blocks, counted from block 0, that visit it: its
+    vectors are copied to those alone.
+    """
+    cells = {b: n for b, n in cells.items() if blocks.get(b)}
     if not cells:
         return probes.sparkSession.createDataFrame([], _FOUND)
-    number = F.create_map(*[F.lit(x) for pair in cells.items() for x in pair])
+    look = lambda of: F.create_map(*[F.lit(x) for b in cells for x in (b, of[b])])[F.col("bucket")]
     parts = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    p = probes.filter(F.col("bucket").isin(list(cells))).withColumn("cell", F.pmod(F.xxhash64("rid"), number[F.col("bucket")])).withColumn("block", parts(F.lit(blocks)))
-    q = asked.withColumn("block", F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(blocks))).withColumn("cell", parts(number[F.col("bucket")]))
+    here = F.col("bucket").isin(list(cells))
+    p = probes.filter(here).withColumn("cell", F.pmod(F.xxhash64("rid"), look(cells))).withColumn("block", parts(look(blocks)))
+    q = asked.filter(here).withColumn("cell", parts(look(cells)))
     key = ["bucket", "cell", "block"]
     p = p.select(F.col("bucket").cast("long"), F.col("cell").cast("long"), F.col("block").cast("long"), "rid", "id", "none", "v", "norm")
     q = q.select(F.col("bucket").cast("long"), F.col("cell").cast("long"), F.col("block").cast("long"), "rid", "id", "v", "norm", "theta")
     return p.groupBy(*key).cogroup(q.groupBy(*key)).applyInPandas(lambda a, b: search_cell(a, b, k), _FOUND)
 
 
+def _by_depth(queries: DataFrame, counts: dict[int, int], buckets: list[int], block_rows: int) -> tuple[DataFrame, dict[int, int]]:
+    """Queries with their block, and the blocks that visit each bucket.
+
+    A query visits the first ``depth`` of ``buckets`` (longest first). Queries of one depth share blocks, the deepest first,
+    so the blocks that visit a bucket are the first so many.
+    """
+    first, size, at = {}, {}, 0
+    for depth in sorted(counts, reverse=True):
+        first[depth], size[depth] = at, -(-counts[depth] // block_rows)
+        at += size[depth]
+    upto = {b: sum(n for depth, n in size.items() if depth > place) for place, b in enumerate(buckets)}
+    look = lambda of: F.create_map(*[F.lit(x) for d in of for x in (d, of[d])])[F.col("depth")]
+    return queries.withColumn("block", look(first) + F.pmod(F.xxhash64("rid", F.lit(1)), look(size))), upto
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
           buckets: int = 16, cell_rows: int = 16384, block_rows: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows for each row for which ``is_query`` (over column vec_id) holds."""
@@ -137,20 +160,24 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     held = {r.bucket: r for r in rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest")).collect()}
     cells = {b: -(-r.n // cell_rows) for b, r in sorted(held.items())}
     queries = rows.filter(is_query & F.col("vec_id").isNotNull())
-    blocks = max(1, -(-queries.count() // block_rows))
-    own = queries.select("rid", "id", "v", "norm")
+    own, n = queries.select("rid", "id", "v", "norm"), queries.count()
     lead = next(iter(cells), None)
-    unbound = own.withColumn("theta", F.lit(float("-inf")))
-    first = stage(_search(rows, unbound.withColumn("bucket", F.lit(lead)), {b: n for b, n in cells.items() if b == lead}, blocks, k), "topk_first")
-    floor = _ranked(first, k).filter(F.col("rank") == k).select(F.col("query_rid").alias("rid"), F.col("score").cast("double").alias("theta"))
-    asked = stage(own.join(floor, "rid", "left").withColumn("theta", F.coalesce("theta", F.lit(float("-inf")))), "topk_asked")
-    rest = {b: n for b, n in cells.items() if b != lead}
-    reach = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(float(held[b].longest)).alias("longest")) for b in rest]) if rest else None
-    found = first
-    if rest:
+    found = vectors.sparkSession.createDataFrame([], _FOUND)
+    if n:
+        unbound, blocks = _by_depth(own.withColumn("depth", F.lit(1)), {1: n}, [lead], block_rows)
+        unbound = unbound.withColumn("theta", F.lit(float("-inf"))).withColumn("bucket", F.lit(lead))
+        found = stage(_search(rows, unbound, cells, blocks, k), "topk_first")
+    rest = {b: c for b, c in cells.items() if b != lead}
+    if n and rest:
+        floor = _ranked(found, k).filter(F.col("rank") == k).select(F.col("query_rid").alias("rid"), F.col("score").cast("double").alias("theta"))
+        asked = own.join(floor, "rid", "left").withColumn("theta", F.coalesce("theta", F.lit(float("-inf"))))
+        reach = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(float(held[b].longest)).alias("longest")) for b in rest])
         near = F.filter(reach, lambda s: F.col("norm") * s["longest"] * (1 + SLACK) >= F.col("theta"))
-        visits = asked.withColumn("s", F.explode(near)).withColumn("bucket", F.col("s.b"))
-        found = first.unionByName(stage(_search(rows, visits, rest, blocks, k), "topk_rest"))
+        asked = stage(asked.withColumn("near", F.transform(near, lambda s: s["b"])).withColumn("depth", F.size("near")).filter("depth > 0"), "topk_asked")
+        counts = {r.depth: r.n for r in asked.groupBy("depth").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if counts:
+            visits, blocks = _by_depth(asked, counts, list(rest), block_rows)
+            found = found.unionByName(stage(_search(rows, visits.withColumn("bucket", F.explode("near")), rest, blocks, k), "topk_rest"))
     return _ranked(found, k).select("query_id", "rank", F.when(~F.col("none"), F.col("id")).alias("vec_id"), "score")
 
 

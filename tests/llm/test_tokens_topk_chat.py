@@ -98,6 +98,15 @@ def test_top_k_huge_components(spark):
                 assert got[i, j] == max(-2 ** 63, min(2 ** 63 - 1, sum(clip(a) * clip(b) for a, b in zip(v, w))))
 
 
+def test_topk_buckets_are_copied_only_to_blocks_that_visit_them(spark):
+    depths = [4] * 3 + [3] * 10 + [1] * 25
+    df = spark.createDataFrame(list(enumerate(depths)), "rid long, depth int")
+    placed, upto = topk._by_depth(df, {4: 3, 3: 10, 1: 25}, [7, 8, 9, 10, 11], 5)
+    assert upto == {7: 1 + 2 + 5, 8: 1 + 2, 9: 1 + 2, 10: 1, 11: 0}
+    for r in placed.collect():
+        assert [b for b in upto if r.block < upto[b]] == [7, 8, 9, 10, 11][:r.depth]
+
+
 def call(i, name="note", args=None, after=None):
     return {"id": i, "name": name, "arguments": {"text": "t", "turn": 1} if args is None else args} | ({"after": after} if after else {})
 
