@@ -54,9 +54,10 @@ def place(docs: DataFrame, key: Column, shards: list[str], size: int = SIZE) ->
 def write_shards(docs: DataFrame, key: Column, shards: list[str], path: str, files_per_shard: int = 8, size: int = SIZE) -> None:
     """One folder ``shard=<name>`` per shard under ``path``; rows of a shard are dealt over ``files_per_shard`` tasks.
 
-    A column of ``docs`` that is itself called ``shard`` is written as ``shard_in``.
+    They are dealt by their place in the input, so repeated rows are spread like any others; give more files the larger
+    the shards are. A column of ``docs`` that is itself called ``shard`` is written as ``shard_in``.
     """
-    placed = place(docs, key, shards, size).withColumn("part", F.pmod(F.xxhash64("row"), F.lit(files_per_shard)))
+    placed = place(docs, key, shards, size).withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard)))
     own = [F.col(f"row.`{c}`").alias("shard_in" if c == "shard" else c) for c in docs.columns]
     rows = placed.repartition(files_per_shard * len(shards), "shard", "part").select(*own, F.col("shard").alias("shard"))
     rows.write.partitionBy("shard").parquet(path)

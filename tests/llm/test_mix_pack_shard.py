@@ -201,3 +201,14 @@ def test_sharding(spark, tmp_path):
     assert {r.shard_in for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {"mine"}
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == len(rows) and {r.shard for r in back.select("shard").distinct().collect()} == set(names)
+
+
+def test_written_shards_spread_repeated_rows(spark, tmp_path):
+    path = str(tmp_path / "s")
+    docs = spark.createDataFrame([(1, "same", {"k": 1})], "doc_id long, text string, extra map<string,int>").crossJoin(spark.range(4000).select()).unionByName(
+        spark.range(400).selectExpr("id + 2 AS doc_id", "CAST(id AS STRING) AS text", "map('k', 2) AS extra"))
+    sharding.write_shards(docs, F.col("doc_id"), ["a", "b"], path, files_per_shard=4)
+    rows = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    assert rows.count() == 4400 and rows.where("doc_id = 1").select("shard").distinct().count() == 1
+    copies = Counter(r.file for r in rows.where("doc_id = 1").select("file").collect())
+    assert len(copies) >= 2 and max(copies.values()) <= 3000
