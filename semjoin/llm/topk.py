@@ -8,7 +8,7 @@ that local cosine is high, coordinates prune: of a query's largest coordinates e
 cosine allows. Where it is low, length prunes: vectors too short for the threshold are left out, and one matrix product
 covers the rest. Every remaining product is computed exactly, and the best k of all cells are merged.
 
-Queries that visit equally many buckets share blocks, and a bucket's vectors are copied only to the blocks that visit it.
+Queries that visit about equally many buckets share blocks, and a bucket's vectors are copied only to the blocks that visit it.
 
 All bounds have slack for rounding and keep ties, so the result is exact: the highest integer products, ties to the
 smaller vec_id.
@@ -133,16 +133,21 @@ def _search(probes: DataFrame, asked: DataFrame, cells: dict[int, int], blocks:
 def _by_depth(queries: DataFrame, counts: dict[int, int], buckets: list[int], block_rows: int) -> tuple[DataFrame, dict[int, int]]:
     """Queries with their block, and the blocks that visit each bucket.
 
-    A query visits the first ``depth`` of ``buckets`` (longest first). Queries of one depth share blocks, the deepest first,
-    so the blocks that visit a bucket are the first so many.
+    A query visits the first ``depth`` of ``buckets`` (longest first). Queries go in order of depth, the deepest first, and
+    depths share a block as long as it holds them, so the blocks that visit a bucket are the first so many.
     """
-    first, size, at = {}, {}, 0
+    groups: list[list[int]] = []
     for depth in sorted(counts, reverse=True):
-        first[depth], size[depth] = at, -(-counts[depth] // block_rows)
-        at += size[depth]
-    upto = {b: sum(n for depth, n in size.items() if depth > place) for place, b in enumerate(buckets)}
+        if groups and sum(counts[d] for d in groups[-1]) + counts[depth] <= block_rows:
+            groups[-1].append(depth)
+        else:
+            groups.append([depth])
+    size = [-(-sum(counts[d] for d in group) // block_rows) for group in groups]
+    first = {d: sum(size[:i]) for i, group in enumerate(groups) for d in group}
+    width = {d: size[i] for i, group in enumerate(groups) for d in group}
+    upto = {b: sum(n for group, n in zip(groups, size) if group[0] > place) for place, b in enumerate(buckets)}
     look = lambda of: F.create_map(*[F.lit(x) for d in of for x in (d, of[d])])[F.col("depth")]
-    return queries.withColumn("block", look(first) + F.pmod(F.xxhash64("rid", F.lit(1)), look(size))), upto
+    return queries.withColumn("block", look(first) + F.pmod(F.xxhash64("rid", F.lit(1)), look(width))), upto
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",

@@ -99,12 +99,14 @@ def test_top_k_huge_components(spark):
 
 
 def test_topk_buckets_are_copied_only_to_blocks_that_visit_them(spark):
-    depths = [4] * 3 + [3] * 10 + [1] * 25
+    depths = [4] * 3 + [3] * 10 + [2] * 2 + [1] * 25
     df = spark.createDataFrame(list(enumerate(depths)), "rid long, depth int")
-    placed, upto = topk._by_depth(df, {4: 3, 3: 10, 1: 25}, [7, 8, 9, 10, 11], 5)
-    assert upto == {7: 1 + 2 + 5, 8: 1 + 2, 9: 1 + 2, 10: 1, 11: 0}
-    for r in placed.collect():
-        assert [b for b in upto if r.block < upto[b]] == [7, 8, 9, 10, 11][:r.depth]
+    buckets = [7, 8, 9, 10, 11]
+    placed, upto = topk._by_depth(df, {4: 3, 3: 10, 2: 2, 1: 25}, buckets, 12)
+    assert upto == {7: 1 + 1 + 3, 8: 1 + 1, 9: 1 + 1, 10: 1, 11: 0}
+    for r in placed.collect():                       # every visited bucket is there, and none much beyond
+        assert all(r.block < upto[b] for b in buckets[:r.depth])
+    assert topk._by_depth(df, {4: 3, 3: 10, 2: 2, 1: 25}, buckets, 100)[1] == {7: 1, 8: 1, 9: 1, 10: 1, 11: 0}
 
 
 def call(i, name="note", args=None, after=None):
