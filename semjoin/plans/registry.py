@@ -842,7 +842,6 @@ def q_cascade_delete(spark, sf):
 
 # =========================================================================== streaming catalogue refresh and delta push
 
-from semjoin.sources import tables as TB  # noqa: E402
 from semjoin.streaming import delta as DELTA  # noqa: E402
 from semjoin.streaming import ingest_job as INGEST  # noqa: E402
 
@@ -881,20 +880,15 @@ SELECT tick, topic, arrival FROM (
   FROM fx_arrivals) WHERE rn <= 10"""
 
 
-def _run_delta(spark, sf):
-    root = shared_dir(spark, "delta")
-
-    def sink(items, stats, batch_id):
-        ST.write_batch(items, f"{root}/items", batch_id)
-        ST.write_batch(stats, f"{root}/stats", batch_id)
-    _deliver(spark, sf, root, lambda stream: DELTA.start(stream, sink, f"{root}/checkpoint", f"{root}/buffers", available_now=True))
-    return root
-
-
 @query("delta_stream", with_ctes("fx_arrivals") + _SQL_TICKS)
 def q_delta_stream(spark, sf):
     """Every tick pushes its newest 10 items per topic."""
-    return spark.read.parquet(f"{_run_delta(spark, sf)}/items").select("tick", "topic", "arrival")
+    root = shared_dir(spark, "delta")
+
+    def sink(items, batch_id):
+        ST.write_batch(items, f"{root}/items", batch_id)
+    _deliver(spark, sf, root, lambda stream: DELTA.start_items(stream, sink, f"{root}/checkpoint", available_now=True))
+    return spark.read.parquet(f"{root}/items").select("tick", "topic", "arrival")
 
 
 @query("delta_stats", with_ctes("fx_arrivals") + f""",
@@ -909,7 +903,12 @@ SELECT CAST(t AS INTEGER) AS batch_id, total_news, total_processed,
        latest_news_time, latest_processed_time FROM s""")
 def q_delta_stats(spark, sf):
     """The buffers' statistics as each tick pushed them."""
-    return spark.read.parquet(f"{_run_delta(spark, sf)}/stats")
+    root = shared_dir(spark, "delta-stats")
+
+    def sink(stats, batch_id):
+        ST.write_batch(stats, f"{root}/stats", batch_id)
+    _deliver(spark, sf, root, lambda stream: DELTA.start_stats(stream, sink, f"{root}/checkpoint", available_now=True))
+    return spark.read.parquet(f"{root}/stats")
 
 
 from semjoin.streaming import buffer_job as BUF  # noqa: E402
@@ -917,10 +916,10 @@ from semjoin.streaming import buffer_job as BUF  # noqa: E402
 
 @query("buffer_stream", with_ctes("fx_arrivals") + _SQL_BUF + " SELECT topic, arrival, time FROM buf")
 def q_buffer_stream(spark, sf):
-    """Both topics landed as files tick by tick and read as one stream into the bounded buffers."""
+    """Both topics landed as files tick by tick and read as one stream, restarted every tick, into the bounded buffers."""
     root = shared_dir(spark, "buffers")
-    _deliver(spark, sf, root, lambda stream: BUF.start(stream, f"{root}/buffer", f"{root}/checkpoint", DELTA.BUFFER_SCHEMA))
-    return TB.read_latest(spark, f"{root}/buffer").select("topic", "arrival", "time")
+    _deliver(spark, sf, root, lambda stream: BUF.start(stream.drop("tick"), f"{root}/checkpoint"))
+    return BUF.read(spark, f"{root}/checkpoint", DELTA.BUFFER_SCHEMA)
 
 
 # =========================================================================== topics kept as files

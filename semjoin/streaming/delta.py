@@ -3,19 +3,21 @@
 ``foreachBatch`` sees exactly the items that arrived since the previous tick
 (the stream's own offsets), so "new since last tick" needs no counters; per
 topic ``row_number() <= N`` keeps the newest N. A topic that did not grow has
-no rows in the batch and sends nothing. The statistics come from the bounded
-recent buffers, a versioned table that every tick brings up to date first.
+no rows in the batch and sends nothing.
+
+The statistics are a streaming aggregate of their own: a buffer holds
+``min(items so far, size)`` items and the newest one, so two counts and two
+latest times are all its state, partially aggregated in every map task.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from semjoin.operators.serving import BUFFER_SIZE, DELTA_MAX_ITEMS, buffer_stats
 from semjoin.operators.topn import top_n_per_key
-from semjoin.sources import tables as TB
-from semjoin.streaming import buffer_job
 
 BUFFER_SCHEMA = "topic string, arrival long, time string"
 
@@ -24,19 +26,19 @@ def tick(batch: DataFrame, max_items: int = DELTA_MAX_ITEMS, order_col: str = "a
     return top_n_per_key(batch, "topic", order_col, max_items)
 
 
-def start(stream: DataFrame, sink, checkpoint: str, buffer_root: str, interval: str = "1 second",
-          max_items: int = DELTA_MAX_ITEMS, size: int = BUFFER_SIZE, available_now: bool = False):
-    """``sink(items, stats, batch_id)`` receives each tick's items and the one-row statistics after it."""
-    keep = buffer_job.make_batch_writer(buffer_root, BUFFER_SCHEMA, size)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            keep(batch, batch_id)
-            buffers = TB.read_latest(batch.sparkSession, buffer_root, BUFFER_SCHEMA, at_most=batch_id + 1)
-            sink(tick(batch, max_items), buffer_stats(buffers, size), batch_id)
-        finally:
-            batch.unpersist()
-    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
-    return w.start()
+def _trigger(interval: str, available_now: bool) -> dict:
+    return {"availableNow": True} if available_now else {"processingTime": interval}
+
+
+def start_items(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "1 second",
+                max_items: int = DELTA_MAX_ITEMS, available_now: bool = False):
+    """``sink(items, batch_id)`` receives each tick's newest new items."""
+    w = stream.writeStream.foreachBatch(lambda batch, batch_id: sink(tick(batch, max_items), batch_id))
+    return w.option("checkpointLocation", checkpoint).trigger(**_trigger(interval, available_now)).start()
+
+
+def start_stats(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "1 second",
+                size: int = BUFFER_SIZE, available_now: bool = False):
+    """``sink(stats, batch_id)`` receives the one-row statistics after each tick."""
+    w = buffer_stats(stream, size).writeStream.outputMode("complete").foreachBatch(sink)
+    return w.option("checkpointLocation", checkpoint).trigger(**_trigger(interval, available_now)).start()

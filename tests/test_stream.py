@@ -167,23 +167,79 @@ def test_keyed_tables_start_empty_and_refuse_another_number_of_buckets(spark):
     assert KT.read(spark, path, "k string, v long").count() == 50
 
 
-def test_buffer_replay_has_no_duplicates(spark):
-    from semjoin.sources import tables as TB
+def _newest(rows, size):
+    by_topic = {}
+    for r in rows:
+        by_topic.setdefault(r.topic, []).append(r)
+    return {t: sorted((r.arrival for r in rs), reverse=True)[:size] for t, rs in by_topic.items()}
+
+
+def test_buffers_go_on_after_a_restart_and_are_read_as_of_a_batch(spark):
+    from pyspark.sql import functions as F
+
+    from semjoin.streaming import buffer_job as BUF
+
+    root, schema, size = shared_dir(spark, "test-buffer"), "topic string, arrival long, time string, at timestamp", 50
+    assert BUF.read(spark, f"{root}/checkpoint", schema).count() == 0
+    arr = X.fx_arrivals(spark, SMALL).select("topic", "arrival", F.when(F.col("arrival") % 7 != 0, F.col("time")).alias("time"),
+                                             F.timestamp_micros(F.col("arrival") * 1_000_003).alias("at"))
+    # a null topic, and one topic with nearly everything
+    more = spark.range(10_000, 13_000).select(F.when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.lit("hot")).alias("topic"),
+                                              F.col("id").alias("arrival"), F.lit("").alias("time"), F.lit(None).cast("timestamp").alias("at"))
+    arr = arr.unionByName(more).cache()
+    for turn in (0, 1):                        # the older half comes last, so the buffers must hold on to the newer one
+        arr.where(F.col("arrival") % 2 == 1 - turn).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        BUF.start(stream, f"{root}/checkpoint", size, lanes=3).awaitTermination()
+    got = BUF.read(spark, f"{root}/checkpoint", schema, size).collect()
+    assert _newest(got, 10 ** 9) == _newest(arr.collect(), size) and None in {r.topic for r in got}
+    assert set(got) <= set(arr.collect())      # whole items: nulls, empty texts and microseconds as they came
+    before = BUF.read(spark, f"{root}/checkpoint", schema, size, batch_id=0).collect()
+    assert _newest(before, 10 ** 9) == _newest(arr.where("arrival % 2 = 1").collect(), size)
+    held = spark.read.format("statestore").load(f"{root}/checkpoint")
+    assert held.where(F.size("value.groupState.item") > size).count() == 0
+    assert held.where("key.topic = 'hot'").count() == 3          # the hot topic is spread over its lanes
+
+
+def test_buffer_batch_that_fails_is_run_again_from_the_state_before_it(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
     from semjoin.streaming import buffer_job as BUF
 
-    root = shared_dir(spark, "test-buffer")
-    schema = "topic string, arrival long, time string"
+    root, schema = shared_dir(spark, "test-buffer-replay"), "topic string, arrival long, time string"
+    rows = spark.range(200).select(F.lit("t").alias("topic"), F.col("id").alias("arrival"), F.lit("x").alias("time"))
+    rows.where("arrival < 100").write.parquet(f"{root}/in")
+    read = lambda: spark.readStream.schema(schema).parquet(f"{root}/in")
+    BUF.start(read(), f"{root}/checkpoint", 500).awaitTermination()
+    rows.where("arrival >= 100").write.mode("append").parquet(f"{root}/in")
+    # some of the batch's rows fail after others have been taken up
+    broken = read().withColumn("time", F.when(F.col("arrival") == 150, F.raise_error(F.lit("injected"))).otherwise(F.col("time")))
+    with pytest.raises(Exception, match="injected"):
+        BUF.start(broken, f"{root}/checkpoint", 500).awaitTermination()
+    assert BUF.read(spark, f"{root}/checkpoint", schema, 500).count() == 100
+    BUF.start(read(), f"{root}/checkpoint", 500).awaitTermination()
+    got = [r.arrival for r in BUF.read(spark, f"{root}/checkpoint", schema, 500).collect()]
+    assert sorted(got) == list(range(200))
+
+
+def test_buffer_statistics_follow_the_buffers(spark):
+    from pyspark.sql import functions as F
+
+    from semjoin.operators import serving as SV
+    from semjoin.streaming import buffer_job as BUF
+    from semjoin.streaming import delta as DELTA
+
+    root, seen = shared_dir(spark, "test-delta-stats"), {}
     arr = X.fx_arrivals(spark, SMALL).select("topic", "arrival", "time")
-    b0 = arr.where("arrival % 2 = 0")
-    b1 = arr.where("arrival % 2 = 1")
-    w = BUF.make_batch_writer(f"{root}/buf", schema, size=50)
-    w(b0, 0)
-    w(b1, 1)
-    first = sorted(TB.read_latest(spark, f"{root}/buf").collect())
-    w(b1, 1)                                   # replay of the last batch
-    again = sorted(TB.read_latest(spark, f"{root}/buf").collect())
-    assert first == again and len(first) == 100
-    assert len({(r.topic, r.arrival) for r in again}) == len(again)
+    for turn in (0, 1):
+        arr.where(F.col("arrival") % 2 == turn).write.mode("append").parquet(f"{root}/in")
+        stream = lambda: spark.readStream.schema(DELTA.BUFFER_SCHEMA).parquet(f"{root}/in")
+        DELTA.start_stats(stream(), lambda stats, b: seen.update({b: stats.collect()}), f"{root}/stats", size=30, available_now=True).awaitTermination()
+        BUF.start(stream(), f"{root}/buffers", 30).awaitTermination()
+        buffers = BUF.read(spark, f"{root}/buffers", DELTA.BUFFER_SCHEMA, 30)
+        assert seen[turn] == SV.buffer_stats(buffers, 30).collect()
+    assert sorted(seen) == [0, 1]
 
 
 def test_supervised_stream_restarts_after_failure(spark):
@@ -314,24 +370,6 @@ def test_stored_catalogue_loads_whole_finished_states(spark):
     assert matched > 0
 
 
-def test_versions_are_bounded_and_replays_read_their_input(spark):
-    from semjoin.sources import tables as TB
-
-    root = shared_dir(spark, "test-versions")
-    assert TB.latest_version(spark, root) is None and TB.read_latest(spark, root, "id long").count() == 0
-    local = root.replace("file:", "")
-    import os
-    for v in range(8):
-        TB.write_version(spark.range(v), root, v)
-        assert TB.latest_version(spark, root) == v
-        kept = [n for n in os.listdir(local) if n.startswith("version=")]
-        assert len(kept) <= TB.KEEP_VERSIONS + 1
-    assert TB.read_latest(spark, root, at_most=6).count() == 6
-    # with many versions behind it a read lists nothing: it opens the pointer and one folder
-    TB.write_version(spark.range(5), root, 1000)
-    assert TB.latest_version(spark, root) == 1000 and TB.read_latest(spark, root).count() == 5
-
-
 def test_replay_without_rows_leaves_none(spark):
     from semjoin.operators import store as ST
 
