@@ -205,6 +205,7 @@ def q_vector_norms(spark, sf):
 
 from semjoin.operators import embed as EMB  # noqa: E402
 from semjoin.operators import news as N  # noqa: E402
+from semjoin.operators import vector_store as VS  # noqa: E402
 
 
 def hash_sql(name: str, src: str, id_col: str, text_col: str, dim: int = FX_DIM) -> str:
@@ -360,8 +361,11 @@ FROM d LEFT JOIN agg a ON a.id = d.doc_id"""
 def _embedded(spark, sf, embedder):
     from semjoin.operators.partitioning import spread
     d = spread(X.table(spark, sf, "documents").select("doc_id", "text"))
-    e = d.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(EMB.TOKEN_PATTERN), 0)).alias("n_tokens"),
-                 embedder(F.col("text")).alias("v"))
+    return _vector_sums(d.withColumn("v", embedder(F.col("text"))))
+
+
+def _vector_sums(embedded):
+    e = embedded.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(EMB.TOKEN_PATTERN), 0)).alias("n_tokens"), "v")
     w = F.zip_with(F.sequence(F.lit(0), F.lit(FX_DIM - 1)), F.col("v"), lambda i, x: i * x.cast("double"))
     return e.select("doc_id", "n_tokens",
                     F.when(F.col("v").isNotNull(), F.size(F.filter("v", lambda x: x > 0))).cast("long").alias("n_buckets"),
@@ -380,6 +384,14 @@ def q_embed_model(spark, sf):
     return _embedded(spark, sf, EMB.ModelEmbedder(lambda: EMB.hash_encoder(FX_DIM), FX_DIM, timeout_s=60.0))
 
 
+@query("embed_stored", _SQL_EMBED)
+def q_embed_stored(spark, sf):
+    """Every document's vector by way of the store: the English documents first, then all, of which only the other texts are new."""
+    path, docs = shared_dir(spark, "vectors-by-text"), X.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    VS.embed_stored(docs.where("lang = 'en'").select("doc_id", "text"), "text", _embedder(), path)
+    return _vector_sums(VS.embed_stored(docs.select("doc_id", "text"), "text", _embedder(), path, "v"))
+
+
 @query("embed_batches", f"""
 SELECT batch, count(*) AS count, max(CASE WHEN ok THEN {FX_DIM} END) AS dimension, count(*) FILTER (WHERE ok) AS embedded
 FROM (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // {EMB.MAX_BATCH_TEXTS} AS batch,

@@ -38,6 +38,11 @@ def create(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
     df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
+def append(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """Add rows with new keys, a file for each bucket that they fall in; the files there stay as they are."""
+    df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+
+
 def read(spark: SparkSession, path: str, schema: str, only: Iterable[int] | None = None) -> DataFrame:
     """The table's rows, of the buckets ``only`` if given (other folders are pruned); no rows if there is no table yet."""
     try:
