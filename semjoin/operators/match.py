@@ -1,6 +1,6 @@
 """Nearest-catalogue-entry matching (top-1 by cosine similarity).
 
-Three physical strategies, one contract: for every left row, the catalogue row
+Four physical strategies, one contract: for every left row, the catalogue row
 with the highest cosine similarity (ties: lowest id), or NULLs when the
 catalogue is empty, the left vector is NULL/zero/of the wrong length, or the
 best similarity is below the threshold.
@@ -10,7 +10,11 @@ best similarity is below the threshold.
   matrix. A scalar Arrow UDF takes only the vector column; Spark keeps the
   other columns in the JVM and zips the result back, so the left side is never
   shuffled and no pair rows exist - each Arrow batch is one matrix product.
-* ``blocked`` (beyond the budget): both sides are cut into bounded blocks by
+* ``bounded`` (beyond the budget): the lists of ``ivf``, about as many as there
+  would be catalogue blocks, so that at most as many pairs are shuffled as by
+  ``blocked``; and only pairs that can reach the threshold and the best so far.
+  One block of catalogue has nothing to leave out and goes by ``blocked``.
+* ``blocked``: both sides are cut into bounded blocks by
   hashing keys, a block of left rows meets a block of catalogue rows through a
   co-grouped shuffle (equi-key ``list_id, salt, block``), each group emits only
   its per-left-row best, and ``max_by`` with partial aggregation merges blocks.
@@ -58,6 +62,10 @@ PROBE_GROWTH = 4
 BOUND_SLACK = 1e-6
 TIE_DECIMALS = 12
 
+# Ours: most lists of the bounded search (their centroids are broadcast), and catalogue rows that train lists, about.
+MAX_LISTS = 4096
+TRAIN_ROWS = 500_000
+
 # Operational bounds (ours).
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024   # catalogue matrix shipped to executors
 SIM_CHUNK_CELLS = 1 << 24                     # rows x catalogue cells per matrix product
@@ -308,10 +316,12 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
     """
     if prepared is not None and strategy in ("auto", "broadcast") and prepared.bc is not None:
         return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
+    if prepared is not None and strategy in ("auto", "bounded") and prepared.ivf is not None:
+        return _threshold(_nearest_ivf(left, prepared.ivf, dim, vector, 1, block_rows, cat_block_rows, None, threshold), threshold)
     if strategy == "ivf":
         index = prepared.ivf if prepared is not None and prepared.ivf is not None else prepare_lists(
             catalogue, dim, nlist, seed, cat_id, cat_vector)
-        return _threshold(_nearest_ivf(left, index, dim, vector, nprobe, block_rows, cat_block_rows, rounds), threshold)
+        return _threshold(_nearest_ivf(left, index, dim, vector, nprobe, block_rows, cat_block_rows, rounds, threshold), threshold)
     # the size check, the collect or co-group and the list sizes each read the catalogue: it is written once
     cat = _written(usable_catalogue(catalogue, dim, cat_id, cat_vector))
     if strategy in ("auto", "broadcast"):
@@ -321,11 +331,17 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
             return _no_match(left)
         if strategy == "broadcast" and not fits:
             raise ValueError(f"catalogue of {n} rows x {dim} exceeds the broadcast budget; use strategy='blocked'")
-        strategy = "broadcast" if fits else "blocked"
+        strategy = "broadcast" if fits else "bounded"
     if strategy == "broadcast":
         out = _apply_broadcast(left, _broadcast_matrix(left.sparkSession, cat.toArrow(), dim), dim, vector)
     elif strategy == "blocked":
         out = _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows)
+    elif strategy == "bounded":
+        index = _block_lists(cat, dim, cat_block_rows, seed)
+        if index is None:
+            out = _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows)
+        else:
+            out = _nearest_ivf(left, index, dim, vector, 1, block_rows, cat_block_rows, None, threshold)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return _threshold(out, threshold)
@@ -383,7 +399,7 @@ class PreparedCatalogue:
 def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                       cat_id: str = "id", cat_vector: str = "embedding", strategy: str = "auto",
                       nlist: int = DEFAULT_NLIST, seed: int = 7) -> PreparedCatalogue:
-    """Measure the usable catalogue; then broadcast it when it fits, or train its lists (``strategy="ivf"``).
+    """Measure the usable catalogue; then broadcast it when it fits, or train its lists (``strategy="ivf"``, or beyond the budget).
 
     The catalogue is computed once, into the shared folder (``.catalogue``, from which ``enrich`` can read the texts).
     The number of rows is counted first, so a catalogue over the budget is never collected. The enrich text size is
@@ -395,10 +411,12 @@ def prepare_catalogue(catalogue: DataFrame, dim: int, max_broadcast_bytes: int =
         return PreparedCatalogue(index.n_rows, _text_bytes(catalogue), None, index, catalogue)
     cat = usable_catalogue(catalogue, dim, cat_id, cat_vector)
     n = cat.count()
-    bc = None
+    bc = index = None
     if 0 < n and catalogue_bytes(n, dim) <= max_broadcast_bytes:
         bc = _broadcast_matrix(catalogue.sparkSession, cat.toArrow(), dim)
-    return PreparedCatalogue(n, _text_bytes(catalogue), bc, None, catalogue)
+    elif n:
+        index = _block_lists(_written(cat), dim, None, seed)
+    return PreparedCatalogue(n, _text_bytes(catalogue), bc, index, catalogue)
 
 
 def _text_bytes(catalogue: DataFrame) -> int:
@@ -543,10 +561,12 @@ def _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows=None):
 # --------------------------------------------------------------------------- IVF
 
 def train_lists(cat: DataFrame, nlist: int, seed: int = 7):
-    """k-means (cosine) over the usable catalogue; returns the fitted model."""
+    """k-means (cosine) over the usable catalogue, or a sample of about TRAIN_ROWS of it; returns the fitted model."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    feats = cat.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    n = cat.count()
+    some = cat if n <= TRAIN_ROWS else cat.sample(TRAIN_ROWS / n, seed)
+    feats = some.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     km = KMeans(k=nlist, seed=seed, distanceMeasure="cosine", featuresCol="features", maxIter=20)
     return km.fit(feats)
 
@@ -589,9 +609,12 @@ def _angle_udf(bc, dim: int):
 def prepare_lists(catalogue: DataFrame, dim: int, nlist: int = DEFAULT_NLIST, seed: int = 7,
                   cat_id: str = "id", cat_vector: str = "embedding") -> InvertedLists:
     """Train the inverted lists of a catalogue, assign its rows and measure the lists, once for any number of searches."""
-    spark = catalogue.sparkSession
-    cat = _written(usable_catalogue(catalogue, dim, cat_id, cat_vector))
-    n = cat.count()
+    return _lists_of(_written(usable_catalogue(catalogue, dim, cat_id, cat_vector)), dim, nlist, seed)
+
+
+def _lists_of(cat: DataFrame, dim: int, nlist: int, seed: int) -> InvertedLists:
+    """The lists of a usable catalogue that is written already."""
+    spark, n = cat.sparkSession, cat.count()
     if n == 0:
         return InvertedLists(None, None, 0, 0)
     model = train_lists(cat, max(1, min(nlist, n)), seed)            # no more lists than catalogue rows
@@ -609,8 +632,18 @@ def prepare_lists(catalogue: DataFrame, dim: int, nlist: int = DEFAULT_NLIST, se
     return InvertedLists(rows, spark.sparkContext.broadcast((centers, radii)), n, len(centers))
 
 
-def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None, rounds=None):
-    """Rounds over the lists: each visits, for every row that needs it, the next ones by their bound."""
+def _block_lists(cat: DataFrame, dim: int, cat_block_rows: int | None, seed: int) -> InvertedLists | None:
+    """About as many lists of a written catalogue as it fills blocks; None if that is one."""
+    n_lists = min(MAX_LISTS, math.ceil(cat.count() / (cat_block_rows or CAT_BLOCK_ROWS)))
+    return _lists_of(cat, dim, n_lists, seed) if n_lists > 1 else None
+
+
+def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None, rounds=None, least=None):
+    """Rounds over the lists: each visits, for every row that needs it, the next ones by their bound.
+
+    Matches below ``least`` are not looked for: a list that cannot hold a better one is not visited even at first. Lists
+    come by falling bound, so a row that visits none in the first round would visit none in a later one.
+    """
     if not index.n_rows:
         return _no_match(left)
     # an embedding in the left plan runs once
@@ -619,7 +652,8 @@ def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, ca
     best, done, more = None, 0, max(1, nprobe)
     while done < index.n_lists and rounds != 0:
         known = lk.withColumn("similarity", F.lit(None).cast("double")) if best is None else lk.join(best.select("key", "similarity"), "key")
-        probes = F.explode(_probe_udf(index.bc, done, more, dim)(F.col("embedding"), F.col("similarity")))
+        bar = F.col("similarity") if least is None else F.greatest("similarity", F.lit(float(least)))
+        probes = F.explode(_probe_udf(index.bc, done, more, dim)(F.col("embedding"), bar))
         todo = _written(known.withColumn("list_id", probes).select("key", "list_id", "embedding"))
         if todo.isEmpty():
             break

@@ -118,6 +118,15 @@ def q_match_blocked(spark, sf):
     return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
 
 
+@query("match_bounded", with_ctes("fx_markets", "fx_news") + _SQL_CAT + f"""
+SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
+FROM fx_news n LEFT JOIN top t ON t.news_id = n.news_id AND t.sim >= {FX_THRESHOLD}""")
+def q_match_bounded(spark, sf):
+    # beyond the broadcast budget, in lists of about 64 markets: only pairs that can reach the threshold are shuffled
+    m = M.nearest(X.fx_news(spark, sf), _catalogue(spark, sf), dim=FX_DIM, threshold=FX_THRESHOLD, strategy="bounded", cat_block_rows=64)
+    return m.select("news_id", F.col("matched_market_id").alias("market_id"), r6("match_score").alias("similarity"))
+
+
 @query("match_ivf_full_probe", with_ctes("fx_markets", "fx_news") + _SQL_CAT + """
 SELECT n.news_id, t.market_id, round(t.sim, 6) AS similarity
 FROM fx_news n LEFT JOIN top t USING (news_id)""")

@@ -100,6 +100,64 @@ def test_ivf_to_the_bound_is_exact_and_leaves_lists_out(spark, monkeypatch):
     assert hit >= 0.9
 
 
+def _shuffled_rows(monkeypatch):
+    """Rows of both sides of every co-group, noted as they are made."""
+    rows, plain = [], M.blocked_groups
+
+    def counting(*args):
+        sides = plain(*args)
+        rows.append(sum(side.count() for side in sides or ()))
+        return sides
+    monkeypatch.setattr(M, "blocked_groups", counting)
+    return rows
+
+
+def test_bounds_keep_pairs_that_cannot_match_out_of_the_shuffle(spark, monkeypatch):
+    """Same answers as all blocks against all; fewer rows shuffled, still fewer with a threshold, none where nothing can reach it."""
+    rng = np.random.default_rng(22)
+    centres = rng.normal(size=(30, DIM))
+    cat = np.concatenate([c + rng.normal(scale=0.05, size=(20, DIM)) for c in centres]).astype(np.float32)
+    news = np.concatenate([c + rng.normal(scale=0.4, size=(6, DIM)) for c in centres]
+                          + [-centres, rng.normal(size=(60, DIM))]).astype(np.float32)          # many with no match near
+    c = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(cat)], "id long, embedding array<float>")
+    n = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(news)] + [(9999, None), (9998, [0.0] * DIM)],
+                              "news_id long, embedding array<float>")
+    rows = _shuffled_rows(monkeypatch)
+    moved = {}
+    for threshold in (None, 0.9):
+        kw = dict(dim=DIM, threshold=threshold, cat_block_rows=20)
+        want = _run(M.nearest(n, c, strategy="blocked", **kw))
+        moved["blocked", threshold] = sum(rows)
+        rows.clear()
+        got = _run(M.nearest(n, c, strategy="bounded", **kw))
+        moved["bounded", threshold] = sum(rows)
+        rows.clear()
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert sum(v[0] is not None for v in got.values()) > 100 and got[9999][0] is None and got[9998][0] is None
+    assert moved["bounded", 0.9] < moved["bounded", None] < moved["blocked", None] == moved["blocked", 0.9]
+    assert moved["bounded", 0.9] < 0.5 * moved["blocked", 0.9]
+    opposite = n.where("news_id >= 180 AND news_id < 210")                  # no list can hold a match
+    assert all(v[0] is None for v in _run(M.nearest(opposite, c, strategy="bounded", dim=DIM, threshold=0.999, cat_block_rows=20)).values())
+    assert not rows
+
+
+def test_auto_beyond_the_budget_is_bounded_and_lists_are_kept(spark, monkeypatch):
+    n, c, ids, cat, news = _frames(spark, 6)
+    want = _brute(ids, cat, news)
+    monkeypatch.setattr(M, "CAT_BLOCK_ROWS", max(1, len(ids) // 8))
+    small = M.catalogue_bytes(2, DIM)
+    trained, plain = [], M.train_lists
+    monkeypatch.setattr(M, "train_lists", lambda *a: trained.append(1) or plain(*a))
+    ready = M.prepare_catalogue(c.selectExpr("*", "'s' AS slug", "'q' AS question"), DIM, small)
+    for _ in range(2):
+        got = _run(M.nearest(n, c, dim=DIM, threshold=None, prepared=ready))
+        assert {k: got[k][0] for k in want} == {k: v[0] for k, v in want.items()}
+    assert len(trained) == 1 and ready.bc is None
+    monkeypatch.setattr(M, "TRAIN_ROWS", 20)                                # trained on a sample: answers stay exact
+    got = _run(M.nearest(n, c, dim=DIM, threshold=None, max_broadcast_bytes=small))
+    assert {k: got[k][0] for k in want} == {k: v[0] for k, v in want.items()} and len(trained) == 2
+
+
 def test_ivf_to_the_bound_on_scattered_vectors(spark):
     n, c, ids, cat, news = _frames(spark, 9)
     got = _run(M.nearest(n, c, dim=DIM, threshold=None, strategy="ivf", nlist=200))
