@@ -49,11 +49,12 @@ def embed_stored(df: DataFrame, text_col: str, embedder: Callable[[Column], Colu
     # digests only; partial aggregation leaves one row of a repeated text per map task
     wanted = _written(rows.where("digest IS NOT NULL").select("digest").distinct())
     missing = _written(wanted.join(stored_vectors(spark, path).select("digest"), "digest", "left_anti"))
-    # its files' size tells Spark whether the new digests can be broadcast; if so, known texts are never shuffled
-    texts = rows.select("digest", F.col(f"row.`{text_col}`").cast("string").alias("text")).join(missing, "digest", "left_semi")
+    # one text a digest (all are equal), aggregated before the shuffle, so copies of a text don't meet in one task; where the
+    # size of the files of ``missing`` lets Spark broadcast it, it filters the rows first and known texts aren't shuffled
+    texts = rows.select("digest", F.col(f"row.`{text_col}`").cast("string").alias("text")).groupBy("digest").agg(F.max("text").alias("text"))
     # a fixed number of tasks: adaptive execution would put the few megabytes of a day's new texts into one
     tasks = int(str(spark.conf.get("spark.sql.shuffle.partitions")))
-    once = texts.groupBy("digest").agg(F.first("text").alias("text")).repartition(tasks, "digest")
+    once = texts.join(missing, "digest", "left_semi").repartition(tasks, "digest")
     vectors = once.select("digest", embedder(F.col("text")).cast("array<float>").alias("embedding")).where("embedding IS NOT NULL")
     keyed.append(vectors, path, "digest", buckets)
     found = stored_vectors(spark, path).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("embedding").alias("vector"))
