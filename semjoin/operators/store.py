@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from semjoin.operators.ids import with_dense_index
 from semjoin.operators.news import DB_SAVED, date_value, time_value
+from semjoin.operators.partitioning import has_python_step, materialize_python
 
 ID_STRIDE = 1 << 32   # ids are batch_id * ID_STRIDE + position in the batch + 1
 
@@ -73,8 +74,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def append_news(processed: DataFrame, root: str, batch_id: int, now: _dt.datetime) -> None:
-    """Write the batch's saved rows to ``root/news`` and ``root/news_embeddings``."""
-    news, vecs = news_tables(processed, batch_id, now)
+    """Write the batch's saved rows to ``root/news`` and ``root/news_embeddings``.
+
+    Both tables are cut from the rows, so rows that are not persisted yet are
+    written to the shared folder first: they are embedded and matched once.
+    """
+    saved = processed.where(F.col("news_id").isNotNull())
+    if has_python_step(saved):
+        saved = materialize_python(saved.select("news_id", "source", "published_date", "published_time", "headline", "embedding"))
+    news, vecs = news_tables(saved, batch_id, now)
     write_batch(news, f"{root}/news", batch_id)
     write_batch(vecs, f"{root}/news_embeddings", batch_id)
 

@@ -428,3 +428,33 @@ def test_stream_holds_inverted_lists_per_version(spark, monkeypatch):
         writer(raw.where(f"msg_id % 3 = {n}").select("value"), n)
     writer.release()
     assert trained == [1] and spark.read.parquet(f"{base}/out/published").count() > 0
+
+
+def test_store_embeds_and_matches_once_for_both_tables(spark, tmp_path):
+    """``append_news`` writes two tables of rows that are not persisted: the embedding runs once for both."""
+    import datetime as dt
+
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    from semjoin.operators import store as ST
+    marks = tmp_path / "marks"
+    marks.mkdir()
+    folder = str(marks)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def embed(ids: pd.Series) -> pd.Series:
+        import os
+        import uuid
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+            f.write(str(len(ids)))
+        return pd.Series([[float(i), 1.0] for i in ids])
+
+    rows = spark.range(0, 200, numPartitions=3).select(
+        F.when(F.col("id") % 4 != 0, F.col("id")).alias("news_id"), F.lit("s").alias("source"), F.lit("2024-01-01").alias("published_date"),
+        F.lit("10:00").alias("published_time"), F.col("id").cast("string").alias("headline"), embed.asNondeterministic()("id").alias("embedding"))
+    ST.append_news(rows, str(tmp_path / "store"), 0, dt.datetime(2024, 1, 1))
+    assert sum(int(p.read_text()) for p in marks.iterdir()) <= 200
+    news, vecs = (spark.read.parquet(str(tmp_path / "store" / t)) for t in ("news", "news_embeddings"))
+    assert {(r.id, r.headline) for r in news.collect()} == {(i, str(i)) for i in range(200) if i % 4}
+    assert {(r.id, r.news_id, r.embedding[0]) for r in vecs.collect()} == {(i, i, float(i)) for i in range(200) if i % 4}
