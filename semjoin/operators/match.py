@@ -68,12 +68,14 @@ TRAIN_ROWS = 500_000
 
 # Operational bounds (ours).
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024   # catalogue matrix shipped to executors
-SIM_CHUNK_CELLS = 1 << 24                     # rows x catalogue cells per matrix product
+SIM_CHUNK_CELLS = 1 << 20                     # rows x catalogue cells per matrix product (4 MB: stays near the caches)
+SIM_CHUNK_ROWS = 512                          # left rows of one product
 # A co-group of the blocked path holds at most BLOCK_ROWS + CAT_BLOCK_ROWS rows. Its shuffle
 # moves n_left * n_cat * (1 / CAT_BLOCK_ROWS + 1 / BLOCK_ROWS) rows for a large list, least
 # when the two are equal; a small list gives its unused catalogue allowance to the left side.
 BLOCK_ROWS = 60000                            # left rows in one co-group
 CAT_BLOCK_ROWS = 60000                        # catalogue rows in one co-group
+LEFT_BATCH_ROWS = 8192                        # left rows of a co-group that are taken to float64 at a time
 
 MATCH_TYPE = T.StructType([
     T.StructField("market_id", T.LongType()),
@@ -140,7 +142,7 @@ def _stack_arrow(arr, dim: int) -> tuple[np.ndarray, np.ndarray]:
 RESCORE_MARGIN = 1e-3
 # Ours: bytes of the float64 copies held while rescoring. Near-duplicate catalogues make
 # every row a candidate, so candidates are rescored in slices of this size.
-RESCORE_BYTES = 64 * 1024 * 1024
+RESCORE_BYTES = 4 * 1024 * 1024
 NORM_ROWS = 1 << 16       # catalogue rows whose norms are computed at a time
 
 
@@ -170,9 +172,11 @@ def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_n
 
     ``x`` holds unit rows (float64). ``cat`` holds the stored float32 vectors
     sorted by id and ``inv_norm`` their reciprocal norms (float64); without
-    ``inv_norm`` the rows of ``cat`` are taken as already unit length. Besides
-    its arguments it holds a chunk of SIM_CHUNK_CELLS float32 products, their
-    mask and RESCORE_BYTES of candidates, however many candidates there are.
+    ``inv_norm`` the rows of ``cat`` are taken as already unit length. Rows and
+    catalogue are walked in tiles: a tile's row is looked at again only if its
+    float32 maximum comes within RESCORE_MARGIN of the best so far, and its
+    cells that do are rescored. Besides its arguments it holds SIM_CHUNK_CELLS
+    float32 products and RESCORE_BYTES of candidates, however many there are.
     """
     n = x.shape[0]
     best_i = np.full(n, -1, dtype=np.int64)
@@ -183,26 +187,36 @@ def _best(x: np.ndarray, ok: np.ndarray, ids: np.ndarray, cat: np.ndarray, inv_n
     if inv_norm is None:
         inv_norm = np.ones(m, dtype=np.float64)
     cat32 = cat.astype(np.float32, copy=False)
-    inv32 = inv_norm.astype(np.float32)
-    rows_per = max(1, SIM_CHUNK_CELLS // m)
+    rows_per = min(n, SIM_CHUNK_ROWS)
+    cols_per = min(m, max(1, SIM_CHUNK_CELLS // rows_per))
     most = max(1, RESCORE_BYTES // (16 * cat.shape[1]))
+    products = np.empty(rows_per * cols_per, dtype=np.float32)
     for lo in range(0, n, rows_per):
         xs = x[lo:lo + rows_per]
-        approx = (xs.astype(np.float32) @ cat32.T) * inv32          # fast pass, float32
-        mask = approx >= (approx.max(axis=1) - RESCORE_MARGIN)[:, None]
+        xs32 = xs.astype(np.float32)
+        near = np.full(len(xs), -np.inf, dtype=np.float32)           # running best, float32
         top = np.full(len(xs), -np.inf)                              # running best, rounded
-        for r, c in _candidate_slices(mask, most):
-            exact = np.einsum("ij,ij->i", xs[r], cat32[c].astype(np.float64)) * inv_norm[c]
-            rounded = np.round(exact, TIE_DECIMALS)
-            # best per row: highest rounded similarity, then lowest id (columns are sorted by id)
-            order = np.lexsort((c, -rounded, r))
-            first = np.ones(len(order), dtype=bool)
-            first[1:] = r[order][1:] != r[order][:-1]
-            pick = order[first]
-            pick = pick[rounded[pick] > top[r[pick]]]                # a later slice holds higher ids: ties stay
-            top[r[pick]] = rounded[pick]
-            best_i[lo + r[pick]] = c[pick]
-            best_s[lo + r[pick]] = exact[pick]
+        for left in range(0, m, cols_per):
+            tile = cat32[left:left + cols_per] * inv_norm[left:left + cols_per, None].astype(np.float32)
+            approx = np.matmul(xs32, tile.T, out=products[:len(xs) * len(tile)].reshape(len(xs), len(tile)))  # fast pass, float32
+            highest = approx.max(axis=1)
+            near = np.maximum(near, highest)
+            again = np.flatnonzero(highest >= near - RESCORE_MARGIN)
+            for some in np.array_split(again, -(-len(again) // max(1, RESCORE_BYTES // (8 * len(tile))))) if len(again) else ():
+                mask = approx[some] >= (near[some] - RESCORE_MARGIN)[:, None]
+                for r, c in _candidate_slices(mask, most):
+                    r, c = some[r], c + left
+                    exact = np.einsum("ij,ij->i", xs[r], cat32[c].astype(np.float64)) * inv_norm[c]
+                    rounded = np.round(exact, TIE_DECIMALS)
+                    # best per row: highest rounded similarity, then lowest id (columns are sorted by id)
+                    order = np.lexsort((c, -rounded, r))
+                    first = np.ones(len(order), dtype=bool)
+                    first[1:] = r[order][1:] != r[order][:-1]
+                    pick = order[first]
+                    pick = pick[rounded[pick] > top[r[pick]]]        # a later slice holds higher ids: ties stay
+                    top[r[pick]] = rounded[pick]
+                    best_i[lo + r[pick]] = c[pick]
+                    best_s[lo + r[pick]] = exact[pick]
     best_i[~ok] = -1
     best_s[~ok] = np.nan
     return best_i, best_s
@@ -228,15 +242,15 @@ def _catalogue_from_broadcast(bc, dim: int):
 
 
 def _broadcast_udf(bc, dim: int):
-    @F.pandas_udf(MATCH_TYPE)
-    def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(MATCH_TYPE)
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, cat, inv = _catalogue_from_broadcast(bc, dim)
         for vs in batches:
-            x, ok = _stack(vs.to_numpy(), dim)
+            x, ok = _stack_arrow(vs, dim)
             bi, bs = _best(x, ok, ids, cat, inv)
-            mid = pd.array(np.where(bi >= 0, ids[np.maximum(bi, 0)], 0), dtype="Int64")
-            mid[bi < 0] = pd.NA
-            yield pd.DataFrame({"market_id": mid, "similarity": np.where(bi >= 0, bs, np.nan)})
+            none = bi < 0
+            yield pa.StructArray.from_arrays([pa.array(ids[np.maximum(bi, 0)], mask=none), pa.array(bs, mask=none)],
+                                             names=["market_id", "similarity"])
     # non-deterministic only for the optimizer: keeps filters above the matrix
     # product instead of copying the call into them
     return nearest.asNondeterministic()
@@ -314,6 +328,7 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
     same catalogue) reuses its size, broadcast matrix and inverted lists. ``rounds``
     bounds the rounds of ``ivf`` (None: until no list can hold a better match).
     """
+    _one_blas_thread(left.sparkSession)
     if prepared is not None and strategy in ("auto", "broadcast") and prepared.bc is not None:
         return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
     if prepared is not None and strategy in ("auto", "bounded") and prepared.ivf is not None:
@@ -347,6 +362,12 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
     return _threshold(out, threshold)
 
 
+def _one_blas_thread(spark) -> None:
+    """Every task's products run on one thread: Spark would give each worker as many as the executor has cores, and the tasks
+    beside it already keep those busy (measured: 25 s of tasks with four threads each, 6 s with one)."""
+    spark.sparkContext.environment.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+
 def _threshold(out: DataFrame, threshold: float | None) -> DataFrame:
     """Inclusive threshold applied after top-1: a best match below it becomes no match."""
     if threshold is None:
@@ -430,24 +451,35 @@ _BLOCK_OUT = "key long, market_id long, similarity double"
 
 
 def _block_kernel(dim: int):
-    def run(left_pdf: pd.DataFrame, cat_pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(left_pdf) == 0 or len(cat_pdf) == 0:
-            return pd.DataFrame({"key": pd.Series([], dtype="int64"),
-                                 "market_id": pd.Series([], dtype="int64"),
-                                 "similarity": pd.Series([], dtype="float64")})
-        cat_pdf = cat_pdf.sort_values("id", kind="stable")
-        ids = cat_pdf["id"].to_numpy(np.int64)
-        raw = np.stack(cat_pdf["embedding"].to_numpy()).astype(np.float32)
-        inv = _reciprocal_norms(raw)
-        x, ok = _stack(left_pdf["embedding"].to_numpy(), dim)
-        bi, bs = _best(x, ok, ids, raw, inv)
-        sel = bi >= 0
-        return pd.DataFrame({"key": left_pdf["key"].to_numpy(np.int64)[sel],
-                             "market_id": ids[bi[sel]],
-                             "similarity": bs[sel]})
+    """Best catalogue row of a co-group for each of its left rows, a left batch of Arrow at a time."""
+    def run(left: pa.Table, cat: pa.Table) -> pa.Table:
+        found = {"key": [], "market_id": [], "similarity": []}
+        if len(left) and len(cat):
+            ids = cat.column("id").to_numpy().astype(np.int64)
+            order = np.argsort(ids, kind="stable")
+            ids, raw = ids[order], _flat(cat.column("embedding"), dim)[order]
+            inv = _reciprocal_norms(raw)
+            for batch in left.select(["key", "embedding"]).to_batches(max_chunksize=LEFT_BATCH_ROWS):
+                x, ok = _stack_arrow(batch.column("embedding"), dim)
+                bi, bs = _best(x, ok, ids, raw, inv)
+                sel = bi >= 0
+                found["key"].append(batch.column("key").to_numpy(zero_copy_only=False)[sel])
+                found["market_id"].append(ids[bi[sel]])
+                found["similarity"].append(bs[sel])
+        return pa.table({name: np.concatenate([np.zeros(0, kind), *found[name]]) for name, kind in
+                         (("key", np.int64), ("market_id", np.int64), ("similarity", np.float64))})
     return run
 
 
+def _flat(vectors: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors of length ``dim`` as a float32 matrix, copied once."""
+    out, at = np.empty((len(vectors), dim), dtype=np.float32), 0
+    for part in vectors.chunks:
+        out[at:at + len(part)] = part.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        at += len(part)
+    return out
+
+
 def blocked_groups(left_kv: DataFrame, cat_kv: DataFrame, block_rows: int,
                    cat_block_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
     """The two keyed sides of the blocked co-group, or None when no list has rows on both sides.
@@ -515,7 +547,7 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     ls, cs = sides
     per_block = (ls.groupBy("list_id", "salt", "block")
                  .cogroup(cs.groupBy("list_id", "salt", "block"))
-                 .applyInPandas(_block_kernel(dim), _BLOCK_OUT))
+                 .applyInArrow(_block_kernel(dim), _BLOCK_OUT))
     return _best_of(per_block)
 
 

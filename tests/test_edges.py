@@ -347,3 +347,31 @@ def test_large_buffers_keep_values(spark):
         for topic, own in ((None, [i for i in range(4000) if i % 5 == 0]), ("a", [i for i in range(4000) if i % 5])):
             want |= {(topic, i): i * 2 + big if i % 3 else None for i in own[-n:]}
         assert got == want
+
+
+def test_products_and_cogroups_are_walked_in_tiles(monkeypatch):
+    """Rows and catalogue in small tiles: the answers of one large product, in memory that follows the tile."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    cat = rng.normal(size=(2500, 16)).astype(np.float32)
+    cat[2000:2100] = cat[100:200] * np.float32(2)                   # ties over tiles: the lower id
+    left = np.concatenate([rng.normal(size=(2900, 16)), cat[2000:2100]]).astype(np.float32)
+    unit = left / np.linalg.norm(left, axis=1, keepdims=True).astype(float)
+    sims = np.round((unit @ cat.T.astype(float)) * M._reciprocal_norms(cat), M.TIE_DECIMALS)
+    monkeypatch.setattr(M, "SIM_CHUNK_CELLS", 1 << 14)
+    monkeypatch.setattr(M, "SIM_CHUNK_ROWS", 64)
+    monkeypatch.setattr(M, "LEFT_BATCH_ROWS", 300)
+    tracemalloc.start()
+    at, _ = M._best(unit, np.ones(len(unit), bool), np.arange(len(cat)), cat, M._reciprocal_norms(cat))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (at == sims.argmax(axis=1)).all() and peak < 2 << 20     # all products: 29 MB in float32
+    vectors = lambda m: pa.array([*map(list, m)], pa.list_(pa.float32()))
+    shuffled = rng.permutation(len(cat))
+    out = M._block_kernel(16)(pa.table({"key": pa.array(np.arange(len(left) + 1)), "embedding": pa.array([*map(list, left), None], pa.list_(pa.float32()))}),
+                              pa.table({"id": pa.array(shuffled), "embedding": vectors(cat[shuffled])}))
+    assert out["key"].to_pylist() == list(range(len(left))) and out["market_id"].to_pylist() == sims.argmax(axis=1).tolist()
+    assert len(M._block_kernel(16)(pa.table({"key": pa.array([], pa.int64()), "embedding": vectors([])}), pa.table({"id": pa.array([1]), "embedding": vectors(cat[:1])}))) == 0
