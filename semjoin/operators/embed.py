@@ -41,30 +41,66 @@ def token_buckets(text: Column, dim: int) -> Column:
         F.conv(F.substring(F.md5(F.lower(t)), 1, HASH_HEX_CHARS), 16, 10).cast("long"), F.lit(dim)).cast("int"))
 
 
-_TOKEN_CACHE_MAX = 1 << 20
+# Ours: tokens whose buckets a worker remembers (some 15 MB).
+_TOKEN_CACHE_MAX = 1 << 17
+# Ours: bytes of text that are tokenised at a time. Tokens take some ten times the bytes of their text, so a worker
+# needs the same memory whatever an Arrow batch holds; pieces of this size also stay near the processor's caches.
+SLICE_BYTES = 1 << 21
 
 
 # Fixed value derived from TOKEN_PATTERN: tokens are the non-empty pieces between its complement.
 SPLIT_PATTERN = r"[^\p{L}\p{N}]+"
 
 
+def _text_slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """``texts`` in order, in slices of about ``most`` bytes; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
 def _bucket_vectors(texts: pa.Array, dim: int, cache: dict) -> pa.Array:
     """Unit bag-of-buckets vectors (``list<float>``) of an Arrow string array; NULL without tokens.
 
-    Tokenising, flattening and de-duplication run in Arrow's C++ kernels; only
-    the batch's distinct tokens meet Python (a cache lookup, md5 on a miss);
-    the counts of all texts are one ``np.bincount``.
+    Tokenising, flattening and de-duplication run in Arrow's C++ kernels, over
+    SLICE_BYTES of text at a time; only a slice's distinct tokens meet Python
+    (a cache lookup, md5 on a miss); its counts are one ``np.bincount``.
     """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     n = len(texts)
+    ok, values = np.zeros(n, dtype=bool), []
+    at = 0
+    for part in _text_slices(texts, SLICE_BYTES):
+        m = _bucket_counts(part, dim, cache)
+        norms = np.sqrt(np.einsum("ij,ij->i", m, m))
+        some = norms > 0
+        values.append((m[some] / norms[some, None]).astype(np.float32).ravel())
+        ok[at:at + len(part)] = some
+        at += len(part)
+    pa.default_memory_pool().release_unused()       # what the tokens took: a worker is kept between tasks
+    flat = np.concatenate(values) if values else np.zeros(0, dtype=np.float32)
+    offsets = np.zeros(n + 1, dtype=np.int32)
+    offsets[1:] = np.cumsum(np.where(ok, dim, 0))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32()), mask=pa.array(~ok))
+
+
+def _bucket_counts(texts: pa.Array, dim: int, cache: dict) -> np.ndarray:
+    """Tokens of every text by bucket (texts x dim, float64)."""
+    n = len(texts)
     pieces = pc.split_pattern_regex(texts, SPLIT_PATTERN)
     rows = pc.list_parent_indices(pieces)
     flat = pc.list_flatten(pieces)
-    real = pc.greater(pc.utf8_length(flat), 0)
+    real = pc.greater(pc.binary_length(flat), 0)
     rows = rows.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
     enc = pc.dictionary_encode(flat.filter(real))
     distinct = enc.dictionary.to_pylist()
+    if len(cache) > _TOKEN_CACHE_MAX:
+        cache.clear()
     per_token = np.empty(len(distinct), dtype=np.int64)
     for i, tok in enumerate(distinct):
         k = cache.get(tok)
@@ -73,13 +109,7 @@ def _bucket_vectors(texts: pa.Array, dim: int, cache: dict) -> pa.Array:
             cache[tok] = k
         per_token[i] = k
     buckets = per_token[enc.indices.to_numpy(zero_copy_only=False)]
-    m = np.bincount(rows * dim + buckets, minlength=n * dim).reshape(n, dim).astype(np.float64)
-    norms = np.sqrt(np.einsum("ij,ij->i", m, m))
-    ok = norms > 0
-    values = (m[ok] / norms[ok, None]).astype(np.float32).ravel()
-    offsets = np.zeros(n + 1, dtype=np.int32)
-    offsets[1:] = np.cumsum(np.where(ok, dim, 0))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=pa.float32()), mask=pa.array(~ok))
+    return np.bincount(rows * dim + buckets, minlength=n * dim).reshape(n, dim).astype(np.float64)
 
 
 def hash_encoder(dim: int) -> Callable[[list], list]:
@@ -112,10 +142,7 @@ _MODELS: dict = {}     # embedder token -> loaded encode function
 
 
 def _bucket_cache(dim: int) -> dict:
-    cache = _BUCKETS.setdefault(dim, {})
-    if len(cache) > _TOKEN_CACHE_MAX:
-        cache.clear()
-    return cache
+    return _BUCKETS.setdefault(dim, {})
 
 
 def _loaded_model(token: str, load: Callable[[], Callable[[list], np.ndarray]]):

@@ -107,3 +107,26 @@ def test_embed_batches_sends_real_requests(spark):
     want = [(b, len(p), 2, sum(t not in (None, "no") for t in p)) for b in range(6) for p in [texts[7 * b:7 * b + 7]]]
     assert got == want
     assert EMB.embed_batches(_texts(spark, [None, ""]), "text", "id", load).collect()[0].dimension is None
+
+
+def test_embedding_memory_does_not_grow_with_the_batch(monkeypatch):
+    """A batch is tokenised in slices: same vectors, and a batch eight times as large needs hardly more memory."""
+    import numpy as np
+    import pyarrow as pa
+    from semjoin.operators import embed as E
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 1 << 30, 200)) for _ in range(400)] + [None, "", "..", "x " * 9000]
+    whole = pa.array(texts * 8, pa.string())
+    monkeypatch.setattr(E, "SLICE_BYTES", 1 << 30)
+    want = E._bucket_vectors(whole, 64, {}).to_pylist()
+    monkeypatch.setattr(E, "SLICE_BYTES", 1 << 17)
+    asked = []
+    counts = E._bucket_counts
+    monkeypatch.setattr(E, "_bucket_counts", lambda part, *a: asked.append(part.nbytes) or counts(part, *a))
+    assert E._bucket_vectors(whole, 64, {}).to_pylist() == want and want[400] is None and want[402] is None
+    assert max(asked) < 2 * (1 << 17) and len(asked) > 8
+    assert E._bucket_vectors(pa.array([], pa.string()), 64, {}).to_pylist() == []
+    cache = {}
+    monkeypatch.setattr(E, "_TOKEN_CACHE_MAX", 1000)
+    E._bucket_vectors(whole, 64, cache)
+    assert len(cache) < 10_000                                     # the cap and a slice's tokens
