@@ -11,9 +11,11 @@ best similarity is below the threshold.
   other columns in the JVM and zips the result back, so the left side is never
   shuffled and no pair rows exist - each Arrow batch is one matrix product.
 * ``bounded`` (beyond the budget): the lists of ``ivf``, about as many as there
-  would be catalogue blocks, so that at most as many pairs are shuffled as by
-  ``blocked``; and only pairs that can reach the threshold and the best so far.
-  One block of catalogue has nothing to leave out and goes by ``blocked``.
+  would be catalogue blocks of ``cat_block_rows``. Lists that lie near each other
+  share a co-group of up to CAT_BLOCK_ROWS catalogue rows, and a left row goes
+  once to a co-group, if one of its lists can reach the threshold and the best so
+  far; so small lists make the bounds finer, not the shuffle larger. One block
+  of catalogue has nothing to leave out and goes by ``blocked``.
 * ``blocked``: both sides are cut into bounded blocks by
   hashing keys, a block of left rows meets a block of catalogue rows through a
   co-grouped shuffle (equi-key ``list_id, salt, block``), each group emits only
@@ -332,7 +334,7 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
     if prepared is not None and strategy in ("auto", "broadcast") and prepared.bc is not None:
         return _threshold(_apply_broadcast(left, prepared.bc, dim, vector), threshold)
     if prepared is not None and strategy in ("auto", "bounded") and prepared.ivf is not None:
-        return _threshold(_nearest_ivf(left, prepared.ivf, dim, vector, 1, block_rows, cat_block_rows, None, threshold), threshold)
+        return _threshold(_nearest_ivf(left, prepared.ivf, dim, vector, 1, block_rows, None if prepared.ivf.packed else cat_block_rows, None, threshold), threshold)
     if strategy == "ivf":
         index = prepared.ivf if prepared is not None and prepared.ivf is not None else prepare_lists(
             catalogue, dim, nlist, seed, cat_id, cat_vector)
@@ -356,7 +358,7 @@ def nearest(left: DataFrame, catalogue: DataFrame, *, dim: int, vector: str = "e
         if index is None:
             out = _nearest_blocked(left, cat, dim, vector, block_rows, cat_block_rows)
         else:
-            out = _nearest_ivf(left, index, dim, vector, 1, block_rows, cat_block_rows, None, threshold)
+            out = _nearest_ivf(left, index, dim, vector, 1, block_rows, None, None, threshold)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return _threshold(out, threshold)
@@ -606,15 +608,17 @@ def train_lists(cat: DataFrame, nlist: int, seed: int = 7):
 def _probe_udf(bc, done: int, more: int, dim: int):
     """Arrow UDF (vector, best so far): the lists number ``done`` to ``done + more`` by falling bound that can reach the best.
 
-    NULL for unusable vectors. Ties of the bound go to the lower list id.
+    NULL for unusable vectors. Ties of the bound go to the lower list id. Of packed lists it is the packs, by their highest bound.
     """
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def probe(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        cents, radii = bc.value
+        cents, radii, starts = bc.value
         for vs, best in batches:
             x, ok = _stack_arrow(vs, dim)
             least = np.asarray(pc.fill_null(best.combine_chunks() if isinstance(best, pa.ChunkedArray) else best, -2.0)) - BOUND_SLACK
             bound = np.cos(np.maximum(0.0, np.arccos(np.clip(x @ cents.T, -1.0, 1.0)) - radii[None, :]))
+            if starts is not None:
+                bound = np.maximum.reduceat(bound, starts, axis=1)
             order = np.argsort(-bound, axis=1, kind="stable")[:, done:done + more]
             can = (np.take_along_axis(bound, order, 1) >= least[:, None]) & ok[:, None]
             offsets = np.zeros(len(ok) + 1, dtype=np.int32)
@@ -624,10 +628,14 @@ def _probe_udf(bc, done: int, more: int, dim: int):
 
 
 class InvertedLists:
-    """Trained lists of one catalogue: broadcast (unit centroids, radii), and its rows (id, list_id, embedding) written once."""
+    """Trained lists of one catalogue: broadcast (unit centroids, radii, starts), and its rows (id, list_id, embedding) written once.
 
-    def __init__(self, rows: DataFrame | None, bc, n_rows: int, n_lists: int):
-        self.rows, self.bc, self.n_rows, self.n_lists = rows, bc, n_rows, n_lists
+    ``packed`` lists are searched several together: ``starts`` has the first list of every pack, ``n_lists`` counts the
+    packs and ``list_id`` names them.
+    """
+
+    def __init__(self, rows: DataFrame | None, bc, n_rows: int, n_lists: int, packed: bool = False):
+        self.rows, self.bc, self.n_rows, self.n_lists, self.packed = rows, bc, n_rows, n_lists, packed
 
 
 def _angle_udf(bc, dim: int):
@@ -644,8 +652,8 @@ def prepare_lists(catalogue: DataFrame, dim: int, nlist: int = DEFAULT_NLIST, se
     return _lists_of(_written(usable_catalogue(catalogue, dim, cat_id, cat_vector)), dim, nlist, seed)
 
 
-def _lists_of(cat: DataFrame, dim: int, nlist: int, seed: int) -> InvertedLists:
-    """The lists of a usable catalogue that is written already."""
+def _lists_of(cat: DataFrame, dim: int, nlist: int, seed: int, pack_rows: int | None = None) -> InvertedLists:
+    """The lists of a usable catalogue that is written already, packed to about ``pack_rows`` rows if given."""
     spark, n = cat.sparkSession, cat.count()
     if n == 0:
         return InvertedLists(None, None, 0, 0)
@@ -656,18 +664,40 @@ def _lists_of(cat: DataFrame, dim: int, nlist: int, seed: int) -> InvertedLists:
     assigned = model.transform(cat.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>"))))
     rows = _written(assigned.select("id", F.col("prediction").cast("int").alias("list_id"), "embedding"))
     held = spark.sparkContext.broadcast(centers)
-    angles = rows.groupBy("list_id").agg(F.max(_angle_udf(held, dim)("embedding", "list_id")).alias("radius")).collect()
+    lists = rows.groupBy("list_id").agg(F.max(_angle_udf(held, dim)("embedding", "list_id")).alias("radius"),
+                                        F.count(F.lit(1)).alias("n")).collect()
     radii = np.full(len(centers), -np.pi)                            # a list without rows bounds everything out
-    for r in angles:
+    for r in lists:
         radii[r.list_id] = r.radius
     held.unpersist(blocking=False)
-    return InvertedLists(rows, spark.sparkContext.broadcast((centers, radii)), n, len(centers))
+    if pack_rows is None:
+        return InvertedLists(rows, spark.sparkContext.broadcast((centers, radii, None)), n, len(centers))
+    order, starts, pack_of = _packs(centers, {r.list_id: r.n for r in lists}, pack_rows)
+    rows = rows.withColumn("list_id", F.get(F.lit([int(k) for k in pack_of]), F.col("list_id")))
+    return InvertedLists(rows, spark.sparkContext.broadcast((centers[order], radii[order], starts)), n, len(starts), packed=True)
+
+
+def _packs(centers: np.ndarray, sizes: dict[int, int], pack_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists side by side along the centroids' main axis, cut where the next would pass ``pack_rows``.
+
+    Returns their order, the places where packs start, and every list's pack.
+    """
+    spread = centers - centers.mean(axis=0)
+    order = np.argsort(spread @ np.linalg.svd(spread, full_matrices=False)[2][0], kind="stable")
+    starts, filled, pack_of = [0], 0, np.zeros(len(centers), dtype=np.int64)
+    for at, k in enumerate(order):
+        if filled and filled + sizes.get(int(k), 0) > pack_rows:
+            starts.append(at)
+            filled = 0
+        filled += sizes.get(int(k), 0)
+        pack_of[k] = len(starts) - 1
+    return order, np.array(starts), pack_of
 
 
 def _block_lists(cat: DataFrame, dim: int, cat_block_rows: int | None, seed: int) -> InvertedLists | None:
-    """About as many lists of a written catalogue as it fills blocks; None if that is one."""
+    """About as many lists of a written catalogue as it fills blocks, packed to CAT_BLOCK_ROWS; None if that is one."""
     n_lists = min(MAX_LISTS, math.ceil(cat.count() / (cat_block_rows or CAT_BLOCK_ROWS)))
-    return _lists_of(cat, dim, n_lists, seed) if n_lists > 1 else None
+    return _lists_of(cat, dim, n_lists, seed, CAT_BLOCK_ROWS) if n_lists > 1 else None
 
 
 def _nearest_ivf(left, index: InvertedLists, dim, vector, nprobe, block_rows, cat_block_rows=None, rounds=None, least=None):

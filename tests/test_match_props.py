@@ -141,6 +141,26 @@ def test_bounds_keep_pairs_that_cannot_match_out_of_the_shuffle(spark, monkeypat
     assert not rows
 
 
+def test_small_lists_share_cogroups_and_do_not_multiply_the_shuffle(spark, monkeypatch):
+    """Scattered vectors in lists of 8: rows go once to a co-group of lists, not once to each list; answers stay exact."""
+    n, c, ids, cat, news = _frames(spark, 12, n_news=600, n_cat=400)
+    want = _brute(ids, cat, news)
+    rows = _shuffled_rows(monkeypatch)
+    for block in (M.CAT_BLOCK_ROWS, 100):                                   # one pack, and four or more
+        monkeypatch.setattr(M, "CAT_BLOCK_ROWS", block)
+        rows.clear()
+        got = _run(M.nearest(n, c, dim=DIM, threshold=0.1, strategy="bounded", cat_block_rows=8))
+        assert {k: got[k][0] for k in want} == {k: v[0] if v[1] >= 0.1 else None for k, v in want.items()}
+        copies = 1 if block > len(cat) else 8
+        assert sum(rows) <= copies * len(news) + 8 * len(cat)               # in lists of 8 it was 50 lists a row, less some
+    centers = np.eye(6)
+    order, starts, pack_of = M._packs(centers, {0: 5, 1: 5, 2: 90, 4: 5, 5: 200}, 100)
+    assert sorted(order) == list(range(6)) and starts[0] == 0
+    size = np.zeros(len(starts))
+    np.add.at(size, pack_of, [5, 5, 90, 0, 5, 200])
+    assert size.max() == 200 and sum(size > 100) == 1                       # only a list that is larger by itself passes the size
+
+
 def test_auto_beyond_the_budget_is_bounded_and_lists_are_kept(spark, monkeypatch):
     n, c, ids, cat, news = _frames(spark, 6)
     want = _brute(ids, cat, news)
