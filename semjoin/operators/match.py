@@ -453,35 +453,27 @@ _BLOCK_OUT = "key long, market_id long, similarity double"
 
 
 def _block_kernel(dim: int):
-    """Best catalogue row of a co-group for each of its left rows, a left batch of Arrow at a time."""
-    def run(left: pa.Table, cat: pa.Table) -> pa.Table:
+    """Best catalogue row of a co-group for each of its left rows, LEFT_BATCH_ROWS of them at a time."""
+    def run(left_pdf: pd.DataFrame, cat_pdf: pd.DataFrame) -> pd.DataFrame:
         found = {"key": [], "market_id": [], "similarity": []}
-        if len(left) and len(cat):
-            ids = cat.column("id").to_numpy().astype(np.int64)
+        if len(left_pdf) and len(cat_pdf):
+            ids = cat_pdf["id"].to_numpy(np.int64)
             order = np.argsort(ids, kind="stable")
-            ids, raw = ids[order], _flat(cat.column("embedding"), dim)[order]
+            ids, raw = ids[order], np.stack(cat_pdf["embedding"].to_numpy()[order]).astype(np.float32, copy=False)
             inv = _reciprocal_norms(raw)
-            for batch in left.select(["key", "embedding"]).to_batches(max_chunksize=LEFT_BATCH_ROWS):
-                x, ok = _stack_arrow(batch.column("embedding"), dim)
+            keys, vectors = left_pdf["key"].to_numpy(np.int64), left_pdf["embedding"].to_numpy()
+            for lo in range(0, len(keys), LEFT_BATCH_ROWS):
+                x, ok = _stack(vectors[lo:lo + LEFT_BATCH_ROWS], dim)
                 bi, bs = _best(x, ok, ids, raw, inv)
                 sel = bi >= 0
-                found["key"].append(batch.column("key").to_numpy(zero_copy_only=False)[sel])
+                found["key"].append(keys[lo:lo + LEFT_BATCH_ROWS][sel])
                 found["market_id"].append(ids[bi[sel]])
                 found["similarity"].append(bs[sel])
-        return pa.table({name: np.concatenate([np.zeros(0, kind), *found[name]]) for name, kind in
-                         (("key", np.int64), ("market_id", np.int64), ("similarity", np.float64))})
+        return pd.DataFrame({name: np.concatenate([np.zeros(0, kind), *found[name]]) for name, kind in
+                             (("key", np.int64), ("market_id", np.int64), ("similarity", np.float64))})
     return run
 
 
-def _flat(vectors: pa.ChunkedArray, dim: int) -> np.ndarray:
-    """Vectors of length ``dim`` as a float32 matrix, copied once."""
-    out, at = np.empty((len(vectors), dim), dtype=np.float32), 0
-    for part in vectors.chunks:
-        out[at:at + len(part)] = part.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-        at += len(part)
-    return out
-
-
 def blocked_groups(left_kv: DataFrame, cat_kv: DataFrame, block_rows: int,
                    cat_block_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
     """The two keyed sides of the blocked co-group, or None when no list has rows on both sides.
@@ -549,7 +541,7 @@ def blocked_top1(left_kv: DataFrame, cat_kv: DataFrame, dim: int, block_rows: in
     ls, cs = sides
     per_block = (ls.groupBy("list_id", "salt", "block")
                  .cogroup(cs.groupBy("list_id", "salt", "block"))
-                 .applyInArrow(_block_kernel(dim), _BLOCK_OUT))
+                 .applyInPandas(_block_kernel(dim), _BLOCK_OUT))
     return _best_of(per_block)
 
 

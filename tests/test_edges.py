@@ -354,7 +354,7 @@ def test_products_and_cogroups_are_walked_in_tiles(monkeypatch):
     import tracemalloc
 
     import numpy as np
-    import pyarrow as pa
+    import pandas as pd
     rng = np.random.default_rng(3)
     cat = rng.normal(size=(2500, 16)).astype(np.float32)
     cat[2000:2100] = cat[100:200] * np.float32(2)                   # ties over tiles: the lower id
@@ -369,9 +369,8 @@ def test_products_and_cogroups_are_walked_in_tiles(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (at == sims.argmax(axis=1)).all() and peak < 2 << 20     # all products: 29 MB in float32
-    vectors = lambda m: pa.array([*map(list, m)], pa.list_(pa.float32()))
     shuffled = rng.permutation(len(cat))
-    out = M._block_kernel(16)(pa.table({"key": pa.array(np.arange(len(left) + 1)), "embedding": pa.array([*map(list, left), None], pa.list_(pa.float32()))}),
-                              pa.table({"id": pa.array(shuffled), "embedding": vectors(cat[shuffled])}))
-    assert out["key"].to_pylist() == list(range(len(left))) and out["market_id"].to_pylist() == sims.argmax(axis=1).tolist()
-    assert len(M._block_kernel(16)(pa.table({"key": pa.array([], pa.int64()), "embedding": vectors([])}), pa.table({"id": pa.array([1]), "embedding": vectors(cat[:1])}))) == 0
+    market = pd.DataFrame({"id": shuffled, "embedding": [*cat[shuffled]]})
+    out = M._block_kernel(16)(pd.DataFrame({"key": np.arange(len(left) + 1), "embedding": [*left, None]}), market)
+    assert out["key"].tolist() == list(range(len(left))) and out["market_id"].tolist() == sims.argmax(axis=1).tolist()
+    assert len(M._block_kernel(16)(pd.DataFrame({"key": [], "embedding": []}), market)) == 0
