@@ -181,3 +181,13 @@ def test_spread_goes_by_bytes(spark):
     assert partition_count(spread(spark.range(1 << 34, numPartitions=2), 64)) == 2     # 128 GB: left alone
     joined = spark.range(4 << 20, numPartitions=2).withColumnRenamed("id", "k").join(F.broadcast(spark.range(9).withColumnRenamed("id", "k")), "k", "left")
     assert partition_count(spread(joined, 64)) == 64                    # by what is read, not by the join's estimate
+
+
+def test_messages_are_parsed_once(spark):
+    """The filter on parsed messages is not moved below the parsing, where it would parse them a second time."""
+    from semjoin.operators import news as N
+    raw = spark.createDataFrame([('{"news": "a", "source": "s"}',), ("[1]",), ('{"news": ',), (None,), ("{}",)], "value string")
+    out = N.normalize_news(N.parse_news(raw.repartition(3)))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert sorted(map(str, [r.headline for r in out.collect()])) == ["None", "a"]
