@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 FEED_SCHEMA = "value string, snap long"
+# Ours: bytes of a row group. A reader holds a whole group of documents this long at once (up to 4,096 of them).
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +26,8 @@ def stream_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_feed(docs: DataFrame, path: str) -> None:
-    docs.select("value", docs["snap"].cast("long").alias("snap")).write.mode("append").parquet(path)
+    w = docs.select("value", docs["snap"].cast("long").alias("snap")).write.mode("append")
+    w.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def read_feed_documents(spark: SparkSession, path: str) -> DataFrame:

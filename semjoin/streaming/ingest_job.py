@@ -6,6 +6,10 @@ markets (keyed on slug) and vectors (keyed on market id), both kept in hash
 buckets: only the buckets that the feed's keys fall in are read and written
 (``sources.keyed``). The run's counters are appended.
 
+A batch's rows are parsed and embedded once, into ``staged`` under the
+catalogue's root, and every later pass reads the columns it needs from there:
+memory does not follow the size of a batch. The next batch overwrites it.
+
 A replayed batch, also one that broke off between two folders, applies the
 same rows again: rows already written keep their ids and creation times, the
 rest are inserted. Ids are never given out twice; a broken batch can leave a
@@ -18,7 +22,6 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,7 @@ from semjoin.sources import keyed as KT
 MARKETS_SCHEMA = ("id long, source string, slug string, question string, is_resolved boolean, "
                   "created_at timestamp_ntz, updated_at timestamp_ntz")
 VECTORS_SCHEMA = "id long, market_id long, embedding array<float>, created_at timestamp_ntz"
+STAGED_COLUMNS = ["slug", "question", "is_resolved", "source", "embedding", "status"]
 
 
 def create(markets: DataFrame, vectors: DataFrame, root: str, buckets: int = KT.BUCKETS) -> None:
@@ -61,30 +65,35 @@ def make_batch_writer(root: str, *, embedder, limit: int = C.DEFAULT_FEED_LIMIT,
 
     def write(docs: DataFrame, batch_id: int) -> None:
         spark = docs.sparkSession
-        staged = C.ingest_status(C.normalize_feed(C.feed_rows(docs, limit), source_tag), embedder)
-        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ts = now()
-            if "id" not in given:
-                given["id"] = C.highest_id(read_markets(spark, root))
-            ok = staged.where(F.col("status") == C.ST_OK)
-            attempt = KT.begin(spark, root, batch_id)
-            at = KT.touched(ok, "slug", buckets)
-            markets = C.upsert_markets(read_markets(spark, root, at), staged, ts, order, last_id=given["id"])
-            markets = KT.replace(_as(markets, MARKETS_SCHEMA), f"{root}/markets", "slug", at, buckets)
-            given["id"] = max(given["id"], C.highest_id(markets))
-            # vectors key on the ids just written; these buckets hold every slug of the run
-            changed = markets.join(ok.select("slug"), "slug", "left_semi")
-            at = KT.touched(changed, "id", buckets)
-            vectors = C.upsert_market_embeddings(read_vectors(spark, root, at), changed, staged, ts, order)
-            KT.replace(_as(vectors, VECTORS_SCHEMA), f"{root}/market_embeddings", "market_id", at, buckets)
-            KT.finish(spark, root, attempt)
-            write_batch(C.ingest_counters(staged), f"{root}/ingest_counters", batch_id)
-        finally:
-            staged.unpersist()
+        staged = _staged(C.ingest_status(C.normalize_feed(C.feed_rows(docs, limit), source_tag), embedder), root, order)
+        ts = now()
+        if "id" not in given:
+            given["id"] = C.highest_id(read_markets(spark, root))
+        ok = staged.where(F.col("status") == C.ST_OK)
+        attempt = KT.begin(spark, root, batch_id)
+        at = KT.touched(ok, "slug", buckets)
+        markets = C.upsert_markets(read_markets(spark, root, at), staged, ts, order, last_id=given["id"])
+        markets = KT.replace(_as(markets, MARKETS_SCHEMA), f"{root}/markets", "slug", at, buckets)
+        given["id"] = max(given["id"], C.highest_id(markets))
+        # vectors key on the ids just written; these buckets hold every slug of the run
+        changed = markets.join(ok.select("slug"), "slug", "left_semi")
+        at = KT.touched(changed, "id", buckets)
+        vectors = C.upsert_market_embeddings(read_vectors(spark, root, at), changed, staged, ts, order)
+        KT.replace(_as(vectors, VECTORS_SCHEMA), f"{root}/market_embeddings", "market_id", at, buckets)
+        KT.finish(spark, root, attempt)
+        write_batch(C.ingest_counters(staged), f"{root}/ingest_counters", batch_id)
     return write
 
 
+def _staged(rows: DataFrame, root: str, order: list[str]) -> DataFrame:
+    """What the upserts and counters need of a batch's rows, written once and read back by columns.
+
+    Not cached: cached batches of whole questions fill the executors' heaps with large arrays.
+    """
+    rows.select(*order, *[c for c in STAGED_COLUMNS if c not in order]).write.mode("overwrite").parquet(f"{root}/staged")
+    return rows.sparkSession.read.parquet(f"{root}/staged")
+
+
 def start(stream: DataFrame, root: str, checkpoint: str, *, embedder, trigger: dict | None = None, **kw):
     """``stream``: feed documents (``value``) with their fetch order (``snap``)."""
     w = stream.writeStream.foreachBatch(make_batch_writer(root, embedder=embedder, **kw))

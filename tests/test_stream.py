@@ -458,3 +458,32 @@ def test_store_embeds_and_matches_once_for_both_tables(spark, tmp_path):
     news, vecs = (spark.read.parquet(str(tmp_path / "store" / t)) for t in ("news", "news_embeddings"))
     assert {(r.id, r.headline) for r in news.collect()} == {(i, str(i)) for i in range(200) if i % 4}
     assert {(r.id, r.news_id, r.embedding[0]) for r in vecs.collect()} == {(i, i, float(i)) for i in range(200) if i % 4}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_keeps_no_rows_in_the_heap(spark, monkeypatch):
+    from semjoin.operators import catalog as C
+    from semjoin.streaming import ingest_job as INGEST
+
+    root, plans, real = _stored_catalogue(spark, "test-ingest-staged"), [], C.upsert_markets
+    monkeypatch.setattr(C, "upsert_markets", lambda current, staged, *a, **kw: plans.append(_plan(staged)) or real(current, staged, *a, **kw))
+    INGEST.make_batch_writer(root, embedder=R._embedder(), buckets=16, limit=X.FEED_SNAPSHOT_ROWS)(X.fx_feed_docs(spark, SMALL), 0)
+    assert len(plans) == 1 and "FileScan parquet" in plans[0]
+    assert "InMemoryTableScan" not in plans[0] and "EvalPython" not in plans[0]
+
+
+def test_landed_feed_has_small_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+    from semjoin.sources import feed as FEED
+
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(1600)), lambda i: F.sha2(F.concat_ws(",", F.col("id"), i), 256)), "")
+    FEED.write_feed(spark.range(0, 500, 1, 1).select(text.alias("value"), F.col("id").alias("snap")), f"{tmp_path}/feed")
+    meta = pq.ParquetFile(glob.glob(f"{tmp_path}/feed/*.parquet")[0]).metadata
+    assert meta.num_rows == 500 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) < 400
+    assert FEED.read_feed(spark, f"{tmp_path}/feed").agg(F.sum(F.length("value"))).first()[0] == 500 * 1600 * 64
