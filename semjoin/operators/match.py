@@ -70,6 +70,8 @@ TRAIN_ROWS = 500_000
 
 # Operational bounds (ours).
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024   # catalogue matrix shipped to executors
+# Texts that enrich broadcasts. The driver collects them, builds a hash table of them and keeps its blocks: some four times their size.
+TEXT_BROADCAST_BYTES = 32 * 1024 * 1024
 SIM_CHUNK_CELLS = 1 << 20                     # rows x catalogue cells per matrix product (4 MB: stays near the caches)
 SIM_CHUNK_ROWS = 512                          # left rows of one product
 # A co-group of the blocked path holds at most BLOCK_ROWS + CAT_BLOCK_ROWS rows. Its shuffle
@@ -737,13 +739,13 @@ def match_catalogue(markets: DataFrame, market_embeddings: DataFrame) -> DataFra
 
 
 def enrich(matched: DataFrame, catalogue: DataFrame,
-           max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, text_bytes: int | None = None) -> DataFrame:
+           max_broadcast_bytes: int = TEXT_BROADCAST_BYTES, text_bytes: int | None = None) -> DataFrame:
     """Attach slug and question of the matched market (left join keeps unmatched rows).
 
     Only the three narrow catalogue columns take part. They are broadcast when
     their measured size (``text_bytes``, or measured here) is under the
     budget, so the left side is never shuffled; otherwise Spark's shuffled
-    join is used.
+    join is used and no text passes through the driver.
     """
     m = catalogue.select(F.col("id").alias("matched_market_id"), F.col("slug").alias("matched_market"),
                          F.col("question").alias("matched_market_question"))

@@ -191,3 +191,13 @@ def test_messages_are_parsed_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
     assert sorted(map(str, [r.headline for r in out.collect()])) == ["None", "a"]
+
+
+def test_enrich_sends_few_texts_through_the_driver(spark):
+    """Texts of some tens of MB are joined by a shuffle: a broadcast's are collected and hashed on the driver."""
+    news, cat = _news_and_catalogue(spark)
+    matched = M.nearest(news, cat, dim=X.FX_DIM)
+    few, many = (M.enrich(matched, cat, text_bytes=n << 20) for n in (1, 100))
+    assert "_ns" not in plan(few) and "_ns" in plan(many)               # salted for a shuffle
+    key = lambda r: r.news_id
+    assert sorted(few.collect(), key=key) == sorted(many.collect(), key=key)
