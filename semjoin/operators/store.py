@@ -44,7 +44,9 @@ def number_batch(df: DataFrame, batch_id: int, col: str = "msg_key", value_col:
         numbered = df.join(F.broadcast(starts), own).withColumn("_idx", F.col("_base") + F.col("offset") - F.col("_low"))
         numbered = numbered.drop("_low", "_base")
     else:
-        numbered = with_dense_index(df.orderBy(F.xxhash64(value_col), value_col), "_idx")
+        # ranges of the hash alone: a sort by the texts would sample them whole, and the driver would hold the samples
+        by_text = df.repartitionByRange(F.xxhash64(value_col)).sortWithinPartitions(F.xxhash64(value_col), value_col)
+        numbered = with_dense_index(by_text, "_idx")
     fits = F.when(F.col("_idx") < ID_STRIDE, F.col("_idx")).otherwise(
         F.raise_error(F.lit(f"batch {batch_id} has more messages than ids ({ID_STRIDE})")).cast("long"))
     return numbered.withColumn(col, F.lit(batch_id * ID_STRIDE + 1) + fits).drop("_idx")

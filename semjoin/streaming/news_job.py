@@ -2,8 +2,10 @@
 
 Each micro-batch (``foreachBatch``) is numbered, parsed, embedded, matched
 against the catalogue as it is *now* (re-read per batch), classified, stored
-in two tables and its matched records published - one persisted batch feeding
-every sink. Beside them it keeps the messages that could not be parsed
+in two tables and its matched records published. The batch's messages are kept
+on the executors' disks, its processed records once in the shared folder
+(``processed``, overwritten by the next batch), and every sink reads the columns
+it needs from there: memory does not follow the size of a batch. Beside them it keeps the messages that could not be parsed
 (``bad_records``) and how many records got which statuses (``status_counts``).
 All tables overwrite the batch's own folder, so a batch replayed after a
 failure (the checkpoint commits only after ``foreachBatch`` returns) leaves
@@ -26,6 +28,8 @@ from semjoin.sources.streams import publish_to_topic, read_topic_stream
 
 
 SOURCE_COLUMNS = ("topic", "partition", "offset")
+# What the stores and the publisher need of a processed record.
+PROCESSED_COLUMNS = ("record", "source", "published_date", "published_time", "headline", "embedding", *P.RESULT_KEYS)
 
 
 def _messages(batch: DataFrame, batch_id: int, value_col: str) -> DataFrame:
@@ -40,6 +44,12 @@ def process_batch(batch: DataFrame, batch_id: int, *, embedder, catalogue: DataF
                                     value_col=value_col, **match_opts))
 
 
+def _staged(processed: DataFrame, path: str) -> DataFrame:
+    """The batch's records written once, in place of the last batch's, and read back by columns."""
+    processed.select(*PROCESSED_COLUMNS).write.mode("overwrite").parquet(path)
+    return processed.sparkSession.read.parquet(path)
+
+
 def publish_to_files(path: str):
     """The default sink: payloads as a Parquet table with a folder per batch."""
     return lambda df, batch_id: S.write_batch(df, path, batch_id)
@@ -71,7 +81,7 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
         version = catalogue_version()
         if held.get("version", _NONE) != version:
             release_held()
-            cat = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK)
+            cat = load_catalogue().persist(StorageLevel.DISK_ONLY)
             held.update(version=version, catalogue=cat, prepared=M.prepare_catalogue(cat, dim, **prepare))
         return held["catalogue"], held["prepared"]
 
@@ -85,24 +95,24 @@ def make_batch_writer(out_root: str, *, embedder, load_catalogue: Callable[[], D
         own = catalogue_version is None
         if not own:
             catalogue, prepared = current_catalogue()      # kept across batches: made outside the release block
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # not in memory: cached batches of whole texts fill the executors' heaps with large arrays
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         # broadcasts made for this batch alone are released with the batch
         with M.released_broadcasts():
             if own:
                 # the catalogue as it is now, read once for this batch (size-checked inside the matcher)
-                catalogue, prepared = load_catalogue().persist(StorageLevel.MEMORY_AND_DISK), None
+                catalogue, prepared = load_catalogue().persist(StorageLevel.DISK_ONLY), None
             processed = process_batch(batch, batch_id, embedder=embedder, catalogue=catalogue, dim=dim,
                                       threshold=threshold, prepared=prepared, **match_opts)
-            processed = processed.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                observed, seen = N.observed_statuses(processed)
-                S.append_news(observed, out_root, batch_id, now())       # the pass that also counts the statuses
+                observed, seen = N.observed_statuses(processed)          # counted in the pass that stages the records
+                processed = _staged(observed, f"{out_root}/processed")
+                S.append_news(processed, out_root, batch_id, now())
                 publish(P.payloads(processed), batch_id)
                 counts = batch.sparkSession.createDataFrame(N.status_rows(seen), "embedding_status string, db_status string, n long")
                 S.write_batch(counts, f"{out_root}/status_counts", batch_id)
                 S.write_batch(N.bad_records(batch), f"{out_root}/bad_records", batch_id)
             finally:
-                processed.unpersist()
                 batch.unpersist()
                 if own:
                     catalogue.unpersist()

@@ -487,3 +487,33 @@ def test_landed_feed_has_small_row_groups(spark, tmp_path):
     meta = pq.ParquetFile(glob.glob(f"{tmp_path}/feed/*.parquet")[0]).metadata
     assert meta.num_rows == 500 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) < 400
     assert FEED.read_feed(spark, f"{tmp_path}/feed").agg(F.sum(F.length("value"))).first()[0] == 500 * 1600 * 64
+
+
+def test_numbering_samples_no_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from semjoin.operators import store as ST
+
+    plans, real = [], ST.with_dense_index
+    monkeypatch.setattr(ST, "with_dense_index", lambda df, *a, **kw: plans.append(_plan(df)) or real(df, *a, **kw))
+    raw = X.fx_raw(spark, SMALL).select("value")
+    got = ST.number_batch(raw.unionByName(raw.limit(9)).repartition(5), 0).select("msg_key", F.xxhash64("value").alias("h"), "value").collect()
+    dealt = [line for line in plans[0].splitlines() if "rangepartitioning(" in line]
+    assert len(dealt) == 1 and "value" not in dealt[0].split("rangepartitioning(")[1].split("ASC")[1]
+    assert dealt[0].count("ASC") == 1                                   # the hash alone
+    assert [r.msg_key for r in sorted(got, key=lambda r: (r.h, r.value.encode(), r.msg_key))] == list(range(1, len(got) + 1))
+
+
+def test_job_keeps_no_batch_in_the_heap(spark, monkeypatch, tmp_path):
+    from semjoin.operators import news as N
+    from semjoin.operators import publish as P
+
+    plans, levels, real, bad = [], [], P.payloads, N.bad_records
+    monkeypatch.setattr(P, "payloads", lambda df: plans.append(_plan(df)) or real(df))
+    monkeypatch.setattr(N, "bad_records", lambda df, *a: levels.append(df.storageLevel) or bad(df, *a))
+    write = JOB.make_batch_writer(f"{tmp_path}/out", embedder=R._embedder(), load_catalogue=lambda: R._hash_catalogue(spark, SMALL),
+                                  dim=X.FX_DIM, threshold=X.FX_THRESHOLD)
+    write(X.fx_raw(spark, SMALL).select("value"), 0)
+    assert "FileScan parquet" in plans[0] and "InMemoryTableScan" not in plans[0] and "EvalPython" not in plans[0]
+    assert levels[0].useDisk and not levels[0].useMemory                # read once from its source, but not held in memory
+    counts = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out/status_counts/batch_id=0").collect()))
+    assert counts == sorted(map(tuple, R.QUERIES["status_counts"](spark, SMALL).collect()))
