@@ -28,8 +28,8 @@ from semjoin.sources.streams import publish_to_topic, read_topic_stream
 
 
 SOURCE_COLUMNS = ("topic", "partition", "offset")
-# What the stores and the publisher need of a processed record.
-PROCESSED_COLUMNS = ("record", "source", "published_date", "published_time", "headline", "embedding", *P.RESULT_KEYS)
+# What the stores and the publisher need of a processed record; its normalised fields are read out of ``record`` again.
+PROCESSED_COLUMNS = ("record", "embedding", *P.RESULT_KEYS)
 
 
 def _messages(batch: DataFrame, batch_id: int, value_col: str) -> DataFrame:
@@ -46,8 +46,8 @@ def process_batch(batch: DataFrame, batch_id: int, *, embedder, catalogue: DataF
 
 def _staged(processed: DataFrame, path: str) -> DataFrame:
     """The batch's records written once, in place of the last batch's, and read back by columns."""
-    processed.select(*PROCESSED_COLUMNS).write.mode("overwrite").parquet(path)
-    return processed.sparkSession.read.parquet(path)
+    processed.select(*PROCESSED_COLUMNS).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return N.normalize_news(processed.sparkSession.read.parquet(path))
 
 
 def publish_to_files(path: str):
